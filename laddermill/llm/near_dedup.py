@@ -6,7 +6,8 @@ In each bucket every member is compared with one centre only, a star, so pairs g
 their square; links are confirmed on the full shingle sets. Documents with equal sets are one node throughout.
 
 The centre is the member with the most company over all its buckets, which is the text that copies derive from.
-Members that the centre does not confirm form stars of their own, with new centres, in further rounds.
+In buckets that then hold several components, members outside the centre's component are centres of further stars, one
+in each round.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from laddermill.llm.components import components
 
 SHINGLE, PERCENT = 4, 80
 BINS, ROWS = 128, 4
-ROUNDS = 4
+ROUNDS = 5
 _ORDERS = np.argsort(np.random.default_rng(7).random((BINS, BINS)), axis=1)
 
 
@@ -111,22 +112,34 @@ def near_links(nodes: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percen
     buckets = materialize(names.join(sizes, "bucket"), "buckets")
     company = buckets.groupBy("rep").agg(F.sum("members").alias("company"))
     buckets = materialize(buckets.join(company, "rep").select("bucket", "rep", "n_shingles", "company"), "buckets")
-    linked, tried = None, None
-    for _ in range(rounds):
-        centre = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct("company", (-F.col("rep")).alias("least"), "n_shingles")).alias("c")).filter("members > 1")
-        stars = buckets.join(centre.select("bucket", (-F.col("c.least")).alias("centre"), F.col("c.n_shingles").alias("centre_n")), "bucket").filter("rep <> centre")
-        near_size = F.least("n_shingles", "centre_n") * 100 >= F.greatest("n_shingles", "centre_n") * percent
-        pairs = stars.filter(near_size).select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
-        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        tried = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).union(tried) if tried is not None else pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        new = materialize(confirmed(pairs, docs, shingle, percent), "confirmed")
-        linked = new if linked is None else linked.union(new)
-        # what a bucket's centre has not confirmed goes on without it
-        rest = stars.join(linked.select(F.col("a").alias("rep"), F.col("b").alias("centre")), ["rep", "centre"], "left_anti")
-        buckets = materialize(rest.select("bucket", "rep", "n_shingles", "company"), "buckets")
-    return linked if linked is not None else nodes.sparkSession.createDataFrame([], "a bigint, b bigint")
+    biggest = F.max(F.struct("company", (-F.col("rep")).alias("least"), "n_shingles"))
+
+    def stars(members: DataFrame, centre: DataFrame) -> DataFrame:
+        """Members beside the centre of their bucket, where the sizes of the sets leave a link possible."""
+        rows = members.join(centre.select("bucket", (-F.col("c.least")).alias("centre"), F.col("c.n_shingles").alias("centre_n")), "bucket").filter("rep <> centre")
+        return rows.filter(F.least("n_shingles", "centre_n") * 100 >= F.greatest("n_shingles", "centre_n") * percent)
+
+    pairs = materialize(stars(buckets, buckets.groupBy("bucket").agg(biggest.alias("c"))).select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
+    linked = materialize(confirmed(pairs, docs, shingle, percent), "confirmed")
+
+    # Buckets that hold several components: another member, outside the largest, is the centre of a star over the others.
+    roots = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    placed = buckets.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max_by("component", F.struct("company", (-F.col("rep")).alias("least"))).alias("main")).filter("low < high")
+    buckets = materialize(placed.join(mixed.select("bucket", "main"), "bucket").withColumn("open", F.col("component") != F.col("main")), "mixed")
+    tried = pairs
+    for _ in range(rounds - 1):
+        centre = buckets.filter("open").groupBy("bucket").agg(F.max(F.struct("company", (-F.col("rep")).alias("least"), "n_shingles", "component")).alias("c"))
+        rows = stars(buckets, centre).join(centre.select("bucket", F.col("c.component").alias("of_centre")), "bucket").filter("component <> of_centre")
+        pairs = rows.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
+        both = tried.union(tried.select("b", "a"))
+        pairs = materialize(pairs.join(both, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            linked = linked.union(materialize(confirmed(pairs, docs, shingle, percent), "confirmed"))
+            tried = tried.union(pairs)
+        done = centre.select("bucket", (-F.col("c.least")).alias("rep"), F.lit(False).alias("_open"))
+        buckets = materialize(buckets.join(done, ["bucket", "rep"], "left").withColumn("open", F.coalesce("_open", "open")).drop("_open"), "mixed")
+    return linked
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
