@@ -1,7 +1,7 @@
 """The queries of this subpackage and their SQL."""
 
-from laddermill.llm import bpe, mixing, near_dedup, pii, substring_dedup
+from laddermill.llm import bpe, mixing, near_dedup, pii, substring_dedup, suffix_dedup
 
-MODULES = (mixing, pii, bpe, near_dedup, substring_dedup)
+MODULES = (mixing, pii, bpe, near_dedup, substring_dedup, suffix_dedup)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
