@@ -17,6 +17,7 @@ from laddermill.llm.common import let, materialize, table, words
 
 WINDOW, LEAST_WORDS, MOST_REPEATED = 8, 20, 30
 ITERATIONS = 20
+RULES = ("length", "word_size", "symbols_to_words", "symbols_to_letters", "repeated_lines", "repeated_words")
 #: Pseudo-counts before any vote is seen, a share of the voters: a rule is right in 4 of 5 cases, 4 of 5 documents are good.
 PRIOR_WEIGHT, PRIOR_RIGHT, PRIOR_GOOD = 0.02, 0.8, 0.8
 
@@ -80,9 +81,6 @@ def rules() -> dict[str, Column]:
     }
 
 
-RULES = tuple(rules())
-
-
 def votes(counted: DataFrame) -> DataFrame:
     return counted.withColumns({f"v_{name}": rule.cast("int") for name, rule in rules().items()})
 

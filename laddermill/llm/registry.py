@@ -1,7 +1,7 @@
 """The queries of this subpackage and their SQL."""
 
-from laddermill.llm import bpe, mixing, near_dedup, pii, quality, substring_dedup, suffix_dedup
+from laddermill.llm import bpe, chroma, licenses, mixing, near_dedup, pii, quality, substring_dedup, suffix_dedup, url_filters
 
-MODULES = (mixing, pii, bpe, near_dedup, substring_dedup, suffix_dedup, quality)
+MODULES = (substring_dedup, suffix_dedup, quality, pii, licenses, url_filters, mixing, chroma, bpe, near_dedup)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
