@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from laddermill.plans import events, ingest, marts
+
+MODULES = (marts, events, ingest)
+QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
+ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
