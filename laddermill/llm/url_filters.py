@@ -73,7 +73,10 @@ def entries_of(events: DataFrame, pages: DataFrame) -> DataFrame:
     host = host_of(F.col("url"))
     hosts = pages.select(F.col("page_id").alias("user_id"), host.alias("host"))
     action = F.when(F.col("event_type") == "error", "block").when(F.col("event_type").isin("purchase", "signup"), "allow")
-    dated = events.select("user_id", F.unix_timestamp("ts").alias("at"), action.alias("action"), (F.col("event_id") % 3).alias("kind")).filter("action is not null")
+    # in parts, so that the session's time zone plays no part
+    day = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date"))
+    seconds = day * F.lit(DAY).cast("long") + F.hour("ts") * 3600 + F.minute("ts") * 60 + F.floor(F.expr("extract(second from ts)")).cast("long")
+    dated = events.select("user_id", seconds.alias("at"), action.alias("action"), (F.col("event_id") % 3).alias("kind")).filter("action is not null")
     domain = F.regexp_extract("host", r"([^.]+\.[^.]+\.[^.]+)$", 1)
     return dated.join(hosts, "user_id").select(F.when((F.col("kind") == 0) & (domain != ""), domain).otherwise(F.col("host")).alias("pattern"), "at", "action")
 
