@@ -125,7 +125,7 @@ def record_misses(misses: DataFrame, batch: DataFrame) -> DataFrame:
 
 def take_ready(manifest: DataFrame, now: int, n: int) -> DataFrame:
     """Matches to try: pending, or failed less than MAX_ATTEMPTS times and long enough ago; newest first."""
-    wait = F.lit(BACKOFF_S) * F.shiftleft(F.lit(1), F.least("attempts", F.lit(MAX_DOUBLINGS)).cast("int"))
+    wait = F.lit(BACKOFF_S) * F.call_function("shiftleft", F.lit(1), F.least("attempts", F.lit(MAX_DOUBLINGS)).cast("int"))
     retry = (F.col("status") == "error") & (F.col("attempts") < MAX_ATTEMPTS) & (now - F.col("updated_at") >= wait)
     return manifest.filter((F.col("status") == "pending") | retry).orderBy(F.desc("played_at"), F.desc("match_id")).limit(n).select("match_id", "status", "attempts", "played_at")
 
