@@ -94,7 +94,7 @@ def prettify(c: Column) -> Column:
 
 def mmss(seconds: Column) -> Column:
     whole = F.floor(seconds).cast("int")
-    return F.format_string("%d:%02d", F.floor(whole / 60).cast("int"), whole % 60)
+    return F.when(whole.isNotNull(), F.format_string("%d:%02d", F.floor(whole / 60).cast("int"), whole % 60))
 
 
 def kebab(c: Column, style: str = "words") -> Column:
