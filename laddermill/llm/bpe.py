@@ -13,6 +13,7 @@ import json
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
@@ -24,7 +25,9 @@ from laddermill.llm.common import ship, table
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 #: Pieces whose ids a worker remembers; a full memory is emptied. It bounds memory and changes no result.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
+#: Texts of one batch of results.
+BATCH = 128
 
 
 def byte_alphabet() -> list[str]:
@@ -49,7 +52,7 @@ class Bpe:
         self.bytes_of = {i: bytes(byte_of[c] for c in s) for s, i in vocab.items() if s not in self.special}
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.known: dict[str, tuple[int, str, bytes]] = {}
+        self.known: dict[str, tuple[int, str, bytes, bytes]] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one piece."""
@@ -77,25 +80,28 @@ class Bpe:
     def decode(self, ids: list[int]) -> str:
         return b"".join(self.bytes_of[i] for i in ids).decode("utf-8", "replace")
 
-    def piece(self, piece: str) -> tuple[int, str, bytes]:
-        """Number of ids, the ids in decimal joined by commas, and the bytes that they decode to."""
+    def piece(self, piece: str) -> tuple[int, str, bytes, bytes]:
+        """Number of ids, the ids in decimal joined by commas, the bytes that they decode to, and the ids as 32-bit integers."""
         ids = self.merge(piece.encode("utf-8", "surrogatepass"))
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        known = self.known[piece] = (len(ids), ",".join(map(str, ids)), b"".join(self.bytes_of[i] for i in ids))
+        known = self.known[piece] = (len(ids), ",".join(map(str, ids)), b"".join(self.bytes_of[i] for i in ids), np.array(ids, np.int32).tobytes())
         return known
 
-    def pieces(self, text: str) -> list[tuple[int, str, bytes]]:
+    def pieces(self, text: str) -> list[tuple[int, str, bytes, bytes]]:
         parts, out, known = self.split.split(text) if self.split and any(s in text for s in self.special) else [text], [], self.known
         for part in parts:
             if part in self.special:
-                out.append((1, str(self.special[part]), part.encode()))
+                out.append((1, str(self.special[part]), part.encode(), np.int32(self.special[part]).tobytes()))
             else:
                 out += [known.get(p) or self.piece(p) for p in PIECES.findall(part)]
         return out
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for _, s, _ in self.pieces(text) for i in s.split(",")]
+        return self.encoded(text).tolist()
+
+    def encoded(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join([x[3] for x in self.pieces(text)]), np.int32)
 
 
 @lru_cache(maxsize=2)
@@ -113,6 +119,12 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i in range(0, b.num_rows, BATCH):
+            yield b.slice(i, BATCH)
+
+
 def tokenize(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id_col, ids array<int>, decoded string. A null text counts as empty: no ids, ''."""
     path = vocabulary or default_path()
@@ -122,9 +134,11 @@ def tokenize(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)
-        for b in batches:
-            ids = [bpe.encode(t or "") for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(map(bpe.decode, ids), pa.string())], [id_col, "ids", "decoded"])
+        for b in parts(batches):
+            ids = [bpe.encoded(t or "") for t in b.column(1).to_pylist()]
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+            yield pa.RecordBatch.from_arrays([b.column(0), listed, pa.array([bpe.decode(x.tolist()) for x in ids], pa.string())], [id_col, "ids", "decoded"])
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
@@ -141,13 +155,13 @@ def digests(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, sha = loaded(path), hashlib.sha256
-        for b in batches:
+        for b in parts(batches):
             n, ids, decoded = [], [], []
             for t in b.column(1).to_pylist():
-                parts = bpe.pieces(t or "")
-                n.append(sum(x[0] for x in parts))
-                ids.append(sha(",".join([x[1] for x in parts]).encode()).hexdigest())
-                decoded.append(sha(b"".join([x[2] for x in parts]).decode("utf-8", "replace").encode()).hexdigest())
+                found = bpe.pieces(t or "")
+                n.append(sum(x[0] for x in found))
+                ids.append(sha(",".join([x[1] for x in found]).encode()).hexdigest())
+                decoded.append(sha(b"".join([x[2] for x in found]).decode("utf-8", "replace").encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
