@@ -128,8 +128,10 @@ def near_links(nodes: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percen
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max_by("component", F.struct("company", (-F.col("rep")).alias("least"))).alias("main")).filter("low < high")
     buckets = materialize(placed.join(mixed.select("bucket", "main"), "bucket").withColumn("open", F.col("component") != F.col("main")), "mixed")
     tried = pairs
-    for _ in range(rounds - 1):
-        centre = buckets.filter("open").groupBy("bucket").agg(F.max(F.struct("company", (-F.col("rep")).alias("least"), "n_shingles", "component")).alias("c"))
+    for turn in range(rounds - 1):
+        # After one star by company each bucket has an order of its own: a text with little company is a centre in some bucket.
+        order = F.col("company") if turn == 0 else F.xxhash64("bucket", "rep")
+        centre = buckets.filter("open").groupBy("bucket").agg(F.max(F.struct(order.alias("order"), (-F.col("rep")).alias("least"), "n_shingles", "component")).alias("c"))
         rows = stars(buckets, centre).join(centre.select("bucket", F.col("c.component").alias("of_centre")), "bucket").filter("component <> of_centre")
         pairs = rows.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
         both = tried.union(tried.select("b", "a"))
