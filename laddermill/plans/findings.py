@@ -27,7 +27,7 @@ def bench(t: Tables):
 
 def players(t: Tables):
     rows = m.rated(t.players).join(t.matches.select("match_id", F.col("map_id").cast("string").alias("map_id"), "ladder"), "match_id")
-    return rows.select("match_id", "profile_id", "civ_id", "map_id", "elo_bucket", "ladder").filter("profile_id <= 2")
+    return rows.select("match_id", "profile_id", "civ_id", "map_id", "elo_bucket", "ladder")
 
 
 PLAYERS = f"select {KEY}, civ_id, cast(map_id as varchar) as map_id, elo_bucket, ladder from f_rated join f_matches using (match_id) where profile_id <= 2"
