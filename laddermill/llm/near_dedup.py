@@ -7,7 +7,7 @@ their square; links are confirmed on the full shingle sets. Documents with equal
 
 The centre is the member with the most company over all its buckets, which is the text that copies derive from.
 In buckets that then hold several components, members outside the centre's component are centres of further stars, one
-in each round.
+in each round. What the stars leave in several components is joined exactly, by the rarest shingles of each set.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from laddermill.llm import textcore as tc
@@ -105,6 +106,42 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
+def shingle_rows(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """rep, gram: one row for each distinct shingle hash of each document (rep, text)."""
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first in range(0, b.num_rows, 256):
+                part = b.slice(first, 256)
+                sets = list(shingle_sets(part.column(1), shingle))
+                reps = np.repeat(part.column(0).to_numpy(), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(np.concatenate(sets).view(np.int64))], ["rep", "gram"])
+
+    return docs.select("rep", "text").mapInArrow(run, "rep bigint, gram bigint")
+
+
+def crossing_pairs(placed: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a < b) of different components that can be similar enough; placed: rep, n_shingles, component.
+
+    Two sets that are similar enough share one of their n - ceil(n * percent / 100) + 1 first shingles in any order that
+    is the same for all. Here shingles of a single component come first, as no pair looked for shares them, then the
+    rarer ones. Members outside the largest component of a shingle's holders are paired with all of its holders.
+    """
+    texts = semi_by_id(docs.select("doc_id", "text"), placed.select(F.col("rep").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"])
+    grams = materialize(shingle_rows(texts.withColumnRenamed("doc_id", "rep"), shingle).join(placed, "rep"), "grams")
+    held = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("holders"), F.min("component").alias("low"), F.max("component").alias("high"))
+    shared = grams.join(held.filter("low < high").select("gram", "holders"), "gram")
+    own = W.partitionBy("rep")
+    last = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1 - (F.col("n_shingles") - F.count(F.lit(1)).over(own))
+    prefix = shared.withColumn("last", last).filter("last > 0").withColumn("nth", F.row_number().over(own.orderBy("holders", "gram"))).filter("nth <= last")
+    prefix = materialize(prefix.select("gram", "rep", "n_shingles", "component"), "prefixes")
+    main = prefix.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("gram").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("several")).filter("several > 1")
+    asked = prefix.join(main.select("gram", "main"), "gram").filter("component <> main").select("gram", F.col("rep").alias("of"), F.col("n_shingles").alias("of_n"), F.col("component").alias("of_component"))
+    rows = prefix.join(asked, "gram").filter("component <> of_component").filter(F.least("n_shingles", "of_n") * 100 >= F.greatest("n_shingles", "of_n") * percent)
+    return rows.select(F.least("rep", "of").alias("a"), F.greatest("rep", "of").alias("b")).distinct()
+
+
 def near_links(nodes: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
     """Confirmed links (a, b) that hold similar nodes together; nodes: rep, n_shingles, bands."""
     names = nodes.select(F.explode("bands").alias("bucket"), "rep", "n_shingles")
@@ -139,7 +176,15 @@ def near_links(nodes: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percen
             tried = tried.union(pairs)
         done = centre.select("bucket", (-F.col("c.least")).alias("rep"), F.lit(False).alias("_open"))
         buckets = materialize(buckets.join(done, ["bucket", "rep"], "left").withColumn("open", F.coalesce("_open", "open")).drop("_open"), "mixed")
-    return linked
+
+    # Members of buckets that still hold several components: all pairs across them, by an exact join.
+    roots = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    placed = buckets.select("bucket", "rep", "n_shingles").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    placed = materialize(placed.join(mixed.select("bucket"), "bucket", "left_semi").select("rep", "n_shingles", "component").distinct(), "left-over")
+    pairs = crossing_pairs(placed, docs, shingle, percent)
+    pairs = materialize(pairs.join(tried.union(tried.select("b", "a")), ["a", "b"], "left_anti"), "pairs")
+    return linked if pairs.isEmpty() else linked.union(materialize(confirmed(pairs, docs, shingle, percent), "confirmed"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:

@@ -226,6 +226,17 @@ def test_near_duplicates(spark, docs, texts, empty):
     assert sorted(map(str, near_dedup.near_duplicates(nulls).select("component_id", "kept").collect())) == ["Row(component_id=3, kept=True)", "Row(component_id=None, kept=None)"]
 
 
+def test_near_duplicates_of_a_crowded_bucket(spark):
+    """Twelve pairs of near copies in one bucket, more than its stars have centres."""
+    rnd = random.Random(8)
+    firsts = [[f"w{rnd.randrange(10**6)}" for _ in range(60)] for _ in range(12)]
+    rows = [(2 * i + k, " ".join([*f[: 60 - k], *["other"] * k])) for i, f in enumerate(firsts) for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    nodes = spark.createDataFrame([(i, 57, [1]) for i, _ in rows], "rep bigint, n_shingles bigint, bands array<bigint>")
+    links = near_dedup.near_links(nodes, docs).collect()
+    assert {tuple(sorted(x)) for x in links} == {(2 * i, 2 * i + 1) for i in range(12)}
+
+
 def test_near_duplicates_of_sf(spark):
     got = by_id(near_dedup.near_duplicates(spark.read.parquet(f"{SF}/documents.parquet")))
     rows = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
