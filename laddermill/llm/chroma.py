@@ -88,29 +88,55 @@ def align(recordings: DataFrame, queries: DataFrame, least_votes: int = LEAST_VO
 
     recordings: rec_id, frames; queries: rec_id. Recordings with equal integers are one class, named by its smallest id,
     and aligned as one; query_id is such a name, and n_queries counts them. offset: where the query's first integer
-    falls in the other recording, by most votes, then the smallest. A pair needs `least_votes` equal integers at its
-    offset, `least_overlap` integers in common time and at most `most_error` of their bits different. Best: least bit
-    error, then most votes, then the smallest id. A null id or a recording without integers is aligned with nothing; a
-    class is not aligned with itself.
+    falls in the other recording. An offset needs `least_votes` equal integers, `least_overlap` integers in common time
+    and at most `most_error` of their bits different; of those of a pair the one with most votes counts, then the
+    smallest. Best: least bit error, then most votes, then the smallest id. A null id or a recording without integers is
+    aligned with nothing; a class is not aligned with itself: `matches` adds that.
     """
     prints = materialize(classes(recordings), "fingerprints")
+    per = _aligned_classes(prints, queries, least_votes, least_overlap, most_error)
+    return _listed(prints.select("rec_id", "class_id").join(per, "class_id"))
+
+
+def matches(recordings: DataFrame, queries: DataFrame, least_votes: int = LEAST_VOTES, least_overlap: int = LEAST_OVERLAP, most_error: float = MOST_ERROR) -> DataFrame:
+    """What `align` returns, and every recording whose integers equal those of a query other than itself.
+
+    Such a recording, however short, aligns with its own class at offset 0 with all its integers and no bit error; that
+    class counts in n_queries.
+    """
+    prints = materialize(classes(recordings), "fingerprints")
+    per = _aligned_classes(prints, queries, least_votes, least_overlap, most_error)
+    asked = prints.select("rec_id", "class_id").join(queries.select("rec_id").distinct(), "rec_id", "left_semi")
+    members = prints.select("rec_id", "class_id", F.size("prints").alias("n")).join(asked.select("rec_id", F.lit(1).alias("is_query")), "rec_id", "left")
+    members = members.join(asked.groupBy("class_id").agg(F.count(F.lit(1)).alias("in_class")), "class_id", "left").join(per, "class_id", "left")
+    n = F.col("n").cast("long")
+    same = F.coalesce("in_class", F.lit(0)) > F.coalesce("is_query", F.lit(0))
+    own = F.when(same, F.struct(F.lit(0.0).alias("bit_error"), (-n).alias("fewest"), F.col("class_id").alias("query_id"), F.lit(0).alias("offset"), F.col("n").alias("overlap")))
+    found = members.withColumn("n_queries", F.coalesce("n_queries", F.lit(0)) + same.cast("long")).filter("n_queries > 0")
+    return _listed(found.withColumn("b", F.when(F.col("b").isNull() | (same & (own < F.col("b"))), own).otherwise(F.col("b"))))
+
+
+def _aligned_classes(prints: DataFrame, queries: DataFrame, least_votes: int, least_overlap: int, most_error: float) -> DataFrame:
+    """class_id, n_queries, b (the best) of the classes that align with another class that holds a query."""
     ones = prints.filter("rec_id = class_id").select("class_id", "prints")
     asked = prints.join(queries.select("rec_id").distinct(), "rec_id", "left_semi").select("class_id").distinct()
     ask = ones.join(asked, "class_id").select(F.col("class_id").alias("query_id"), F.col("prints").alias("query_prints"))
     at = ones.select(F.col("class_id").alias("rec_id"), F.posexplode("prints").alias("at", "print"))
     at_query = ask.select("query_id", F.posexplode("query_prints").alias("query_at", "print"))
     votes = at_query.join(at, "print").filter("query_id <> rec_id").groupBy("query_id", "rec_id", (F.col("at") - F.col("query_at")).alias("offset")).agg(F.count(F.lit(1)).alias("votes"))
-    best = votes.filter(F.col("votes") >= least_votes).groupBy("query_id", "rec_id").agg(F.max(F.struct("votes", (-F.col("offset")).alias("least"))).alias("b")).select("query_id", "rec_id", (-F.col("b.least")).alias("offset"), "b.votes")
-    both = best.join(ask, "query_id").join(ones.withColumnRenamed("class_id", "rec_id"), "rec_id")
+    both = votes.filter(F.col("votes") >= least_votes).join(ask, "query_id").join(ones.withColumnRenamed("class_id", "rec_id"), "rec_id")
     start, other = F.greatest(-F.col("offset"), F.lit(0)), F.greatest(F.col("offset"), F.lit(0))
     overlap = F.least(F.size("query_prints") - start, F.size("prints") - other)
     both = both.withColumn("overlap", overlap).filter(F.col("overlap") >= least_overlap)
     pairs = F.zip_with(F.slice("query_prints", start + 1, F.col("overlap")), F.slice("prints", other + 1, F.col("overlap")), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
     error = F.aggregate(pairs, F.lit(0), lambda a, x: a + x) / (F.col("overlap") * 32)
     linked = both.withColumn("bit_error", F.round(error, 6)).filter(F.col("bit_error") <= most_error)
-    top = F.min(F.struct("bit_error", (-F.col("votes")).alias("fewest"), "query_id", "offset", "overlap"))
-    per = linked.groupBy("rec_id").agg(F.count(F.lit(1)).alias("n_queries"), top.alias("b")).withColumnRenamed("rec_id", "class_id")
-    found = prints.select("rec_id", "class_id").join(per, "class_id")
+    best = linked.groupBy("query_id", "rec_id").agg(F.max(F.struct("votes", (-F.col("offset")).alias("least"), "overlap", "bit_error")).alias("o"))
+    top = F.min(F.struct(F.col("o.bit_error").alias("bit_error"), (-F.col("o.votes")).alias("fewest"), "query_id", (-F.col("o.least")).alias("offset"), F.col("o.overlap").alias("overlap")))
+    return best.groupBy("rec_id").agg(F.count(F.lit(1)).alias("n_queries"), top.alias("b")).withColumnRenamed("rec_id", "class_id")
+
+
+def _listed(found: DataFrame) -> DataFrame:
     return found.select("rec_id", "class_id", "n_queries", "b.query_id", F.col("b.offset").cast("long").alias("offset"), (-F.col("b.fewest")).alias("votes"), F.col("b.overlap").cast("long").alias("overlap"), "b.bit_error")
 
 
@@ -132,7 +158,7 @@ def as_recordings(embeddings: DataFrame) -> DataFrame:
 
 def op8_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
     recordings = materialize(as_recordings(table(spark, sf_dir, "embeddings")), "recordings")
-    return align(recordings, recordings.filter("rec_id % 50 = 0"))
+    return matches(recordings, recordings.filter("rec_id % 50 = 0"))
 
 
 QUERIES = {"op8_chroma": op8_chroma}

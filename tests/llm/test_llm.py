@@ -309,6 +309,29 @@ def test_chroma(spark):
     assert (chroma.fingerprint(frames) >> 30).tolist() == [(0, 1, 3, 2)[x] for x in level]
 
 
+def test_chroma_matches_copies_of_a_query(spark):
+    rnd = np.random.default_rng(1)
+    song, other = rnd.random((80, 12)) ** 3, rnd.random((80, 12)) ** 3
+    rows = [(0, song), (1, song[20:]), (3, other), (4, song), (7, other), (8, other)]
+    recordings = spark.createDataFrame([(i, f.ravel().tolist()) for i, f in rows], "rec_id bigint, frames array<double>")
+    got = {r.rec_id: tuple(r)[1:] for r in chroma.matches(recordings, recordings.filter("rec_id in (0, 7, 8)")).collect()}
+    assert got.pop(1)[:4] == (1, 1, 0, -20)
+    # 7 and 8 are queries and match each other; 0 is alone in its class but for 4, which is no query
+    assert got == {4: (0, 1, 0, 0, 65, 65, 0.0), 3: (3, 1, 3, 0, 65, 65, 0.0), 7: (3, 1, 3, 0, 65, 65, 0.0), 8: (3, 1, 3, 0, 65, 65, 0.0)}
+
+
+def test_chroma_tries_every_offset(spark, monkeypatch):
+    """Five equal integers at an offset with too little overlap don't hide three at one that is long enough."""
+    query, rec = list(range(100, 130)), list(range(500, 530))
+    for i in (6, 14, 22):
+        rec[i] = query[i] = 900 + i
+    rec[:5] = query[25:30] = range(10, 15)
+    prints = spark.createDataFrame([(0, 0, query), (1, 1, rec)], "rec_id bigint, class_id bigint, prints array<bigint>")
+    monkeypatch.setattr(chroma, "classes", lambda recordings: recordings)
+    got = chroma.align(prints, prints.filter("rec_id = 0"), most_error=1.0).select("rec_id", "offset", "votes", "overlap").collect()
+    assert [tuple(r) for r in got] == [(1, 0, 3, 30)]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
