@@ -47,26 +47,27 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP)
     return tried.select("source", "source_size", "n_docs", target.alias("target"))
 
 
-def plan_mix(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed: str = SEED, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def plan_mix(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed: str = SEED, rows_per_range: int = ROWS_PER_RANGE, ties: Sequence[str] = ()) -> DataFrame:
     """Words to take from each row of `sizes` (doc_id, source, size): adds source_size, target, taken.
 
     taken counts repeats: whole epochs of the source, plus what the source's budget (its target, rounded down) still
     takes of the document in the last one, in the order of md5(seed:doc_id), then doc_id, then size. A null doc_id has
-    a key as well; repeated rows are rows of their own. A row of size 0 takes 0. Other columns of `sizes` are ignored.
+    a key as well; repeated rows are rows of their own. A row of size 0 takes 0. The columns of `sizes` named in `ties`
+    are kept and order rows that are equal in all these; its other columns are ignored.
     """
     # a string that is null for no source makes plain equi-joins of the joins below
-    rows = sizes.select("doc_id", "source", "size", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("of"), F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"))
+    rows = sizes.select("doc_id", "source", "size", *ties, F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("of"), F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"))
     per_source = targets(sizes, weights, cap).select(F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("of"), "source_size", "target", F.ceil(F.col("n_docs") / rows_per_range).alias("n_ranges"))
     dealt = rows.join(per_source, "of").withColumn("range", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.col("n_ranges") / F.lit(float(2**32))))
     sums = dealt.groupBy("of", "range").agg(F.sum("size").alias("range_size"))
     starts = sums.select("of", "range", F.coalesce(F.sum("range_size").over(W.partitionBy("of").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("range_start"))
-    inside = W.partitionBy("of", "range").orderBy("key", F.col("doc_id").asc_nulls_first(), "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("of", "range").orderBy("key", F.col("doc_id").asc_nulls_first(), "size", *ties).rowsBetween(W.unboundedPreceding, -1)
     at = F.col("range_start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)
     rest = budget - epochs * F.col("source_size") - at
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
-    return dealt.join(starts, ["of", "range"]).select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return dealt.join(starts, ["of", "range"]).select("doc_id", "source", "size", *ties, "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -74,13 +75,16 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
     A document appears once for each epoch that takes it whole and, where its source is cut inside it, once more with
     its first words only, joined by single spaces; n_chars, if there, follows the text. Documents of which nothing is
-    taken are left out. All rows of one doc_id count as one document here: doc_id is expected to be unique.
+    taken are left out. Rows that repeat a doc_id or have none are documents of their own, as in `plan_mix`; those that
+    are equal in its order too are ordered by a hash of all columns, so that only equal rows can change places.
     """
-    sizes = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
-    plan = plan_mix(sizes, **options).groupBy("doc_id").agg(F.first("size").alias("_mix_size"), F.first("taken").alias("_mix_taken")).withColumnRenamed("doc_id", "_mix_id").filter("_mix_taken > 0")
+    rows = docs.withColumns({"_mix_size": word_count(F.col("text")), "_mix_hash": F.xxhash64(*docs.columns), "_mix_row": F.monotonically_increasing_id()})
+    rows = materialize(rows, "mix-rows")  # a row's number holds once it is written
+    sizes = rows.select("doc_id", "source", F.col("_mix_size").alias("size"), "_mix_hash", "_mix_row")
+    plan = plan_mix(sizes, ties=("_mix_hash", "_mix_row"), **options).select("_mix_row", F.col("taken").alias("_mix_taken")).filter("_mix_taken > 0")
     whole, part = F.floor(F.col("_mix_taken") / F.col("_mix_size")).cast("int"), (F.col("_mix_taken") % F.col("_mix_size")).cast("int")
     copies = F.concat(F.array_repeat(F.lit(0), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    joined = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_mix_id"))).withColumn("_mix_words", F.explode(copies))
+    joined = rows.join(plan, "_mix_row").withColumn("_mix_words", F.explode(copies))
     text = F.when(F.col("_mix_words") == 0, F.col("text")).otherwise(F.array_join(F.slice(words(F.col("text")), 1, F.col("_mix_words")), " "))
     mixed = joined.withColumn("text", text)
     if "n_chars" in docs.columns:

@@ -278,6 +278,19 @@ def test_mixing(spark, docs, texts, empty):
     assert mixing.mix(empty).count() == 0 and mixing.plan_mix(empty.select("doc_id", "source", F.lit(0).cast("long").alias("size"))).count() == 0
 
 
+def test_mixing_takes_each_row_by_itself(spark):
+    """Rows that repeat a doc_id or have none are mixed one by one: each source's words are its budget."""
+    rows = [(None if i % 3 == 0 else i % 5, " ".join(f"{'abc'[i % 3 - i % 2]}{i}x{k}" for k in range(1 + i * 7 % 13)), "abc"[i * i % 7 % 3]) for i in range(60)]
+    docs = spark.createDataFrame([*rows, *rows[:4]], "doc_id bigint, text string, source string")
+    sizes = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    want = {r.source: int(r.target) for r in mixing.targets(sizes).collect()}
+    mixed = mixing.mix(docs)
+    got = mixed.groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()
+    assert {r.source: r.n for r in got} == want
+    again = mixing.mix(docs.repartition(3, "text")).collect()
+    assert sorted(map(str, mixed.collect())) == sorted(map(str, again))
+
+
 def test_licences(spark):
     files = [(1, "a/b/LICENSE", "Released under the MIT license."), (2, "a/b/c/d.txt", "words of a text"), (3, "a/x.txt", "This work\nis licensed under the GNU General Public License, version 3.\nmore"), (4, "a/y.txt", None), (5, None, ""), (6, "q/a/b/z.txt", "it is")]
     got = by_id(licenses.scan(spark.createDataFrame(files, "doc_id bigint, path string, text string")))
