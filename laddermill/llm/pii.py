@@ -26,6 +26,12 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 "
+    "IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 SV28 TL23 TN24 "
+    "TR26 UA29 VA22 VG24 XK20"
+).split()}
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 TEL = re.compile(r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-])")
 DIGIT = re.compile(r"[0-9]")
@@ -54,6 +60,18 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans confirmed by mod 97: of a match's ends, which are at blanks, that of the country's length or else the last."""
+    at = 0
+    while m := IBAN.search(text, at):
+        ends, at = [m.end(), *(i for i in range(m.end() - 1, m.start(), -1) if text[i] == " ")], m.start() + 1
+        sized = [(len(c), e) for e in ends if 15 <= len(c := text[m.start() : e].replace(" ", "")) <= 34 and mod97(c)]
+        if sized:
+            own = IBAN_LENGTHS.get(m[0][:2])
+            at = next((e for n, e in sized if n == own), sized[0][1])
+            yield m.start(), at
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     """Leftmost non-overlapping matches of the email pattern, in time linear in the text."""
     found, free, at = [], 0, text.find("@")
@@ -84,14 +102,13 @@ def spans(text: str | None) -> list[tuple[int, int, int]]:
     if "+" in text:
         found += [(m.start(), m.end(), 3) for m in PHONE.finditer(text) if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
     base = sorted(found)
-    for kind, pattern, confirms in (("iban", IBAN, lambda m: 15 <= len(c := m[0].replace(" ", "")) <= 34 and mod97(c)), ("ssn", SSN, None), ("tel", TEL, None)):
-        for m in pattern.finditer(text):
-            if confirms and not confirms(m):
-                continue
-            near = text[max(0, m.start() - REACH) : m.start()]
+    of = lambda pattern: ((m.start(), m.end()) for m in pattern.finditer(text))
+    for kind, proposed in (("iban", ibans(text)), ("ssn", of(SSN)), ("tel", of(TEL))):
+        for start, end in proposed:
+            near = text[max(0, start - REACH) : start]
             score = SCORE[kind] + LIFT * bool(CONTEXT[kind].search(near))
-            if score >= LEAST and not any(s < m.end() and m.start() < e for s, e, _ in base):
-                found.append((m.start(), m.end(), KINDS.index(kind)))
+            if score >= LEAST and not any(s < end and start < e for s, e, _ in base):
+                found.append((start, end, KINDS.index(kind)))
     return sorted(found, key=lambda x: (x[0], x[2]))
 
 

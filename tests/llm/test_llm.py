@@ -179,6 +179,16 @@ def test_pii_adds_confirmed_spans(spark, docs, empty):
     assert pii.redact(docs).filter("text is null").count() == 1
 
 
+def test_pii_finds_an_iban_before_capitals():
+    for t, want in (
+        ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", ["DE89 3704 0044 0532 0130 00"]),
+        ("GB82 WEST 1234 5698 7654 32 DE89370400440532013000 12", ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"]),
+        ("AB12 DE89 3704 0044 0532 0130 00", ["DE89 3704 0044 0532 0130 00"]),
+        ("DE89 3704 0044 0532 0130 01 BIC COBADEFFXXX", []),
+    ):
+        assert [t[s:e] for s, e, k in pii.spans(t) if pii.KINDS[k] == "iban"] == want
+
+
 def test_bpe_is_the_library(spark, docs, texts, empty):
     t, own = Tokenizer.from_file(bpe.default_path()), bpe.Bpe(bpe.default_path())
     rnd = random.Random(3)
