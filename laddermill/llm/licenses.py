@@ -1,7 +1,7 @@
 """Licence scans.
 
 Each line of a text is compared with licence templates by the cosine of sparse TF-IDF vectors; document frequencies are
-counted over the whole corpus. A file without a licence of its own takes that of the licence file in the nearest
+counted over the whole corpus, for all tokens. A file without a licence of its own takes that of the licence file in the nearest
 directory above it, found by joining its ancestors' paths with the directories of licence files.
 """
 
@@ -11,10 +11,10 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laddermill.llm.common import let, materialize, table
+from laddermill.llm.common import materialize, table
 
 #: The usual notices of common licences.
 TEMPLATES = {
@@ -39,56 +39,46 @@ def vocabulary() -> list[str]:
     return sorted({t for text in TEMPLATES.values() for t in tokens(text)})
 
 
-def idf(per_doc: DataFrame, n: int) -> dict[str, float]:
-    """Inverse document frequencies of the templates' tokens among n documents, and under "" that of any other token.
+def document_frequencies(files: DataFrame) -> DataFrame:
+    """token, df: in how many rows of files (text) each token is, over all tokens of the corpus."""
+    found = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(TOKEN), F.lit(0)))
+    return files.select(F.explode(found).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
 
-    One row per token of the templates comes to the driver, however large the corpus is. A token outside the templates
-    counts as one that a single document has.
-    """
-    found = per_doc.select(F.explode("hits").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    df = {r["token"]: r["df"] for r in found.collect()}
-    return {t: math.log((n + 1) / (df.get(t, 0) + 1)) + 1 for t in vocabulary()} | {"": math.log((n + 1) / 2) + 1}
-
-
-def scores(line_tokens: Column, weights: dict[str, float]) -> Column:
-    """The best template of a line's tokens and its cosine, as a struct (score, license)."""
-    known = F.create_map(*(x for t, w in weights.items() if t for x in (F.lit(t), F.lit(w))))
 
-    def best(tf: Column) -> Column:
-        weight = lambda t: F.coalesce(F.element_at(known, t), F.lit(weights[""]))
-        square = F.aggregate(tf, F.lit(0.0), lambda a, x: a + F.pow(x["n"] * weight(x["t"]), 2.0))
-        found = []
-        for name, text in TEMPLATES.items():
-            own = Counter(tokens(text))
-            norm = sum((n * weights[t]) ** 2 for t, n in own.items()) ** 0.5
-            parts = F.create_map(*(x for t, n in own.items() for x in (F.lit(t), F.lit(n * weights[t] ** 2 / norm))))
-            dot = F.aggregate(tf, F.lit(0.0), _dot(parts))
-            found.append(F.struct((dot / F.sqrt(square)).alias("score"), F.lit(name).alias("license")))
-        return F.array_max(F.array(*found))
+def scores(kinds: DataFrame, df: DataFrame, n: int) -> DataFrame:
+    """key, score, license: the best template of each row of kinds (key, tokens) and its cosine, among n documents.
 
-    counted = F.transform(F.array_distinct(line_tokens), lambda t: F.struct(t.alias("t"), F.size(F.filter(line_tokens, lambda x: x == t)).alias("n")))
-    return let(counted, best)
-
-
-def _dot(parts: Column):
-    return lambda a, x: a + x["n"] * F.coalesce(F.element_at(parts, x["t"]), F.lit(0.0))
+    The frequencies are joined to the rows' tokens. Only those of the templates' tokens come to the driver.
+    """
+    known = {r["token"]: r["df"] for r in df.filter(F.col("token").isin(vocabulary())).collect()}
+    weights = {t: math.log((n + 1) / (known.get(t, 0) + 1)) + 1 for t in vocabulary()}
+    tf = kinds.select("key", F.explode("tokens").alias("token")).groupBy("key", "token").agg(F.count(F.lit(1)).alias("n"))
+    weight = F.log(F.lit(n + 1) / (F.col("df") + 1)) + 1
+    weighted = tf.join(df, "token").select("key", "token", "n", F.pow(F.col("n") * weight, 2.0).alias("square"))
+    dots = []
+    for i, text in enumerate(TEMPLATES.values()):
+        own = Counter(tokens(text))
+        norm = sum((k * weights[t]) ** 2 for t, k in own.items()) ** 0.5
+        parts = F.create_map(*(x for t, k in own.items() for x in (F.lit(t), F.lit(k * weights[t] ** 2 / norm))))
+        dots.append(F.sum(F.col("n") * F.coalesce(F.element_at(parts, F.col("token")), F.lit(0.0))).alias(f"dot_{i}"))
+    summed = weighted.groupBy("key").agg(F.sum("square").alias("square"), *dots)
+    found = [F.struct(F.round(F.col(f"dot_{i}") / F.sqrt("square"), 9).alias("score"), F.lit(name).alias("license")) for i, name in enumerate(TEMPLATES)]
+    return summed.select("key", F.array_max(F.array(*found)).alias("s")).select("key", "s.score", "s.license")
 
 
 def own_licenses(files: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, score, license, first_line of each file with a line that is a licence notice: the best line's.
 
-    files: doc_id, text. Only lines with half of some template's tokens or more can reach `least`; the others are left
-    out before scoring.
+    files: doc_id, text. Only lines of whose different tokens a fifth or more are in some template are scored.
     """
     vocab = F.array(*map(F.lit, vocabulary()))
     lines = files.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("nth", "line"))
     lines = lines.withColumn("tokens", F.regexp_extract_all(F.lower("line"), F.lit(TOKEN), F.lit(0))).withColumn("hits", F.array_intersect("tokens", vocab)).filter("size(hits) > 0")
-    lines = materialize(lines.select("doc_id", "nth", "hits", F.when(F.size("hits") * 5 >= F.size(F.array_distinct("tokens")), F.col("tokens")).alias("tokens")), "license-lines")
-    per_doc = lines.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"))
-    n = files.count()
-    weights = idf(per_doc, n)
-    best = lines.filter("tokens is not null").select("doc_id", "nth", scores(F.col("tokens"), weights).alias("s")).filter(F.col("s.score") >= least)
-    top = best.groupBy("doc_id").agg(F.max(F.struct("s.score", "s.license", (-F.col("nth")).alias("nth"))).alias("s"))
+    lines = lines.filter(F.size("hits") * 5 >= F.size(F.array_distinct("tokens")))
+    lines = materialize(lines.select("doc_id", "nth", "tokens", F.array_join("tokens", " ").alias("key")), "license-lines")
+    df = materialize(document_frequencies(files), "document-frequencies")
+    best = scores(lines.select("key", "tokens").dropDuplicates(["key"]), df, files.count()).filter(F.col("score") >= least)
+    top = lines.join(best, "key").groupBy("doc_id").agg(F.max(F.struct("score", "license", (-F.col("nth")).alias("nth"))).alias("s"))
     return top.select("doc_id", "s.score", "s.license", (F.col("s.nth") == 0).alias("first_line"))
 
 

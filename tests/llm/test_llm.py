@@ -310,6 +310,20 @@ def test_licences(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id bigint, path string, text string")).count() == 0
 
 
+def test_licences_count_all_tokens(spark):
+    """The weight of a word outside the templates follows its documents, so a verdict doesn't change with the corpus's size."""
+    line = "This project is released under the MIT License."
+    for copies in (1, 40):
+        files = [line, *["this project is of words"] * 19] * copies
+        n = len(files)
+        df = collections.Counter(t for f in files for t in set(licenses.tokens(f)))
+        weigh = lambda t: np.log((n + 1) / (df[t] + 1)) + 1
+        a, b = ({t: k * weigh(t) for t, k in collections.Counter(licenses.tokens(x)).items()} for x in (line, licenses.TEMPLATES["MIT"]))
+        cosine = sum(v * b.get(t, 0) for t, v in a.items()) / (sum(v * v for v in a.values()) * sum(v * v for v in b.values())) ** 0.5
+        got = by_id(licenses.scan(spark.createDataFrame([(i, None, f) for i, f in enumerate(files)], "doc_id bigint, path string, text string")))
+        assert got[0][1] == "MIT" and got[0][2] == pytest.approx(cosine, abs=1e-6) and got[1][1] is None
+
+
 def test_url_filters(spark):
     day = url_filters.DAY
     entries = [("evil.example.com", 10, "block"), ("evil.example.com", 5 * day, "allow"), ("example.com", 3 * day, "block"), ("b.org/x", 0, "block"), (None, 1, "block"), ("evil.example.com", 10, "block")]
