@@ -342,7 +342,7 @@ def test_chroma(spark):
     frames = rnd.random((30, 12))
     whole = [sum(frames[t][c] for t in range(i, i + 16) for c in range(6)) for i in range(15)]
     part = [sum(frames[t][c] for t in range(i, i + 16) for c in range(3)) for i in range(15)]
-    level = np.digitize(np.log1p(part) - np.log1p(np.subtract(whole, part)), (-0.25, 0, 0.25))
+    level = np.digitize(np.log(part) - np.log(np.subtract(whole, part)), (-0.1, 0, 0.1))
     assert (chroma.fingerprint(frames) >> 30).tolist() == [(0, 1, 3, 2)[x] for x in level]
 
 
@@ -357,16 +357,42 @@ def test_chroma_matches_copies_of_a_query(spark):
     assert got == {4: (0, 1, 0, 0, 65, 65, 0.0), 3: (3, 1, 3, 0, 65, 65, 0.0), 7: (3, 1, 3, 0, 65, 65, 0.0), 8: (3, 1, 3, 0, 65, 65, 0.0)}
 
 
+def test_chroma_is_an_exact_comparison(spark):
+    """Beside every offset of every pair: on planted shifted and noisy copies and on vectors, hardly any is lost."""
+    rnd = np.random.default_rng(3)
+    songs = [rnd.random((70 + 3 * i, 12)) ** 2 for i in range(12)]
+    noisy = lambda x, e: x * np.exp(rnd.normal(0, e, x.shape))
+    rows = [*songs, *(noisy(x, 0.1) for x in songs), *(noisy(x[7 + i :], 0.05) for i, x in enumerate(songs)), *(np.concatenate((rnd.random((i + 1, 12)), noisy(x, 0.05))) for i, x in enumerate(songs))]
+    planted = spark.createDataFrame([(i, f.ravel().tolist(), "clash") for i, f in enumerate(rows)], "rec_id bigint, frames array<double>, print string")
+    vectors = chroma.as_recordings(spark.read.parquet(f"{SF}/embeddings.parquet"))
+    for recordings, every in ((planted, 1), (vectors, 50)):
+        prints = {r.rec_id: chroma.fingerprint(np.array(r.frames).reshape(-1, 12)) for r in recordings.collect()}
+        want = set()
+        for q in (x for x in prints if x % every == 0):
+            for r in prints:
+                for o in range(1 - len(prints[q]), len(prints[r])):
+                    a, b = prints[q][max(0, -o) :], prints[r][max(0, o) :]
+                    n = min(len(a), len(b))
+                    if q != r and np.bitwise_count(a[:n] ^ b[:n]).sum() / (32 * n) <= min(chroma.MOST_ERROR, 0.5 - chroma.SURE * chroma.SPREAD / n**0.5):
+                        want.add((q, r))
+        got = {r.rec_id: r.n_queries for r in chroma.matches(recordings, recordings.filter(f"rec_id % {every} = 0")).collect()}
+        n = collections.Counter(r for _, r in want)
+        assert got.keys() <= n.keys() and all(got[r] <= n[r] for r in got)
+        assert sum(got.values()) >= 0.95 * len(want)
+        if every == 1:
+            assert len(want) >= 12 * 12 and all(q % 12 == r % 12 for q, r in want)
+    assert chroma.matches(planted.limit(0), planted).count() == 0
+
+
 def test_chroma_tries_every_offset(spark, monkeypatch):
-    """Five equal integers at an offset with too little overlap don't hide three at one that is long enough."""
-    query, rec = list(range(100, 130)), list(range(500, 530))
-    for i in (6, 14, 22):
-        rec[i] = query[i] = 900 + i
-    rec[:5] = query[25:30] = range(10, 15)
+    """Votes at an offset with too little overlap don't hide those at one that is long enough."""
+    query, rec = list(range(100, 130)), list(range(100, 130))
+    query[25:30] = rec[:5] = range(1 << 20, (1 << 20) + 5)
     prints = spark.createDataFrame([(0, 0, query), (1, 1, rec)], "rec_id bigint, class_id bigint, prints array<bigint>")
     monkeypatch.setattr(chroma, "classes", lambda recordings: recordings)
-    got = chroma.align(prints, prints.filter("rec_id = 0"), most_error=1.0).select("rec_id", "offset", "votes", "overlap").collect()
-    assert [tuple(r) for r in got] == [(1, 0, 3, 30)]
+    monkeypatch.setattr(chroma, "fingerprints", lambda recordings, unsure=None: recordings.select("rec_id", "prints"))
+    got = chroma.align(prints, prints.filter("rec_id = 0")).select("rec_id", "offset", "votes", "overlap").collect()
+    assert [tuple(r) for r in got] == [(1, 0, 20, 30)]
 
 
 def test_pipeline(spark):
