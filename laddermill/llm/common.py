@@ -30,10 +30,16 @@ def ship(spark: SparkSession) -> None:
         sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp(prefix='spark-')}/laddermill", "zip", root, "laddermill"))
 
 
+#: Folders of intermediate tables written by this process.
+_WRITTEN: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a temporary one only where it is unset."""
+    """The folder that driver and executors share (spark.checkpoint.dir); a temporary one only on a single machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -43,14 +49,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back, so a lost executor never repeats the work before it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_intermediate(spark: SparkSession) -> None:
+    """Deletes all tables that `materialize` has written; for when the results that read them have been written."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while _WRITTEN:
+        path = hadoop(_WRITTEN.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def small(df: DataFrame, bound: int = BROADCAST_IDS) -> DataFrame:
+    """df, to be broadcast only if a count finds at most `bound` rows (of a few short columns)."""
+    return F.broadcast(df) if df.count() <= bound else df
+
+
 def semi_by_id(df: DataFrame, ids: DataFrame, key: str, bound: int = BROADCAST_IDS) -> DataFrame:
     """Rows of df whose key is in ids: ids are broadcast only if a count finds at most `bound` of them."""
-    ids = ids.select(key).distinct()
-    return df.join(F.broadcast(ids) if ids.count() <= bound else ids, key, "left_semi")
+    return df.join(small(ids.select(key).distinct(), bound), key, "left_semi")
 
 
 def words(text: Column) -> Column:

@@ -6,8 +6,8 @@ In each bucket every member is compared with one centre only, a star, so pairs g
 their square; links are confirmed on the full shingle sets. Documents with equal sets are one node throughout.
 
 The centre is the member with the most company over all its buckets, which is the text that copies derive from.
-In buckets that then hold several components, members outside the centre's component are centres of further stars, one
-in each round. What the stars leave in several components is joined exactly, by the rarest shingles of each set.
+The members of buckets that the stars leave in several components are joined exactly across components, by the rarest
+shingles of each set: whatever the stars did not compare is compared there, or has too little in common by a bound.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -26,7 +26,6 @@ from laddermill.llm.components import components
 
 SHINGLE, PERCENT = 4, 80
 BINS, ROWS = 128, 4
-ROUNDS = 5
 _ORDERS = np.argsort(np.random.default_rng(7).random((BINS, BINS)), axis=1)
 
 
@@ -84,10 +83,13 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id",
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Those pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union; docs: doc_id, text."""
+    """Those pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union; docs: doc_id, text.
+
+    A doc_id with several texts has several sets; one similar pair of them is enough, and may give its link repeatedly.
+    """
     ship(docs.sparkSession)
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = semi_by_id(docs.select("doc_id", "text"), ids, "doc_id").dropDuplicates(["doc_id"])
+    texts = semi_by_id(docs.select("doc_id", "text"), ids, "doc_id")
     joined = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     joined = joined.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
 
@@ -95,112 +97,102 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent
         last, kept = None, None
         for b in batches:
             good = []
-            ones, twos = b.column(0).to_pylist(), b.column(1).to_pylist()
             for i, s in enumerate(shingle_sets(b.column(2), shingle)):
-                if twos[i] != last:
-                    last, kept = twos[i], next(shingle_sets(b.column(3).slice(i, 1), shingle))
+                if (text := b.column(3)[i].as_py()) != last:  # the pairs come sorted by b
+                    last, kept = text, next(shingle_sets(b.column(3).slice(i, 1), shingle))
                 both = len(np.intersect1d(s, kept, assume_unique=True))
-                good.append(100 * both >= percent * (len(s) + len(kept) - both))
+                good.append(len(s) > 0 and 100 * both >= percent * (len(s) + len(kept) - both))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
 def shingle_rows(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """rep, gram: one row for each distinct shingle hash of each document (rep, text)."""
+    """rep, version, n, gram: one row for each distinct shingle hash of each text (rep, version, text); n: the set's size."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for first in range(0, b.num_rows, 256):
                 part = b.slice(first, 256)
-                sets = list(shingle_sets(part.column(1), shingle))
-                reps = np.repeat(part.column(0).to_numpy(), [len(s) for s in sets])
-                yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(np.concatenate(sets).view(np.int64))], ["rep", "gram"])
+                sets = list(shingle_sets(part.column(2), shingle))
+                sizes = np.array([*map(len, sets)], np.int64)
+                columns = [np.repeat(part.column(k).to_numpy(), sizes) for k in (0, 1)] + [np.repeat(sizes, sizes), np.concatenate(sets).view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["rep", "version", "n", "gram"])
 
-    return docs.select("rep", "text").mapInArrow(run, "rep bigint, gram bigint")
+    return docs.select("rep", "version", "text").mapInArrow(run, "rep bigint, version bigint, n bigint, gram bigint")
 
 
 def crossing_pairs(placed: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a < b) of different components that can be similar enough; placed: rep, n_shingles, component.
-
-    Two sets that are similar enough share one of their n - ceil(n * percent / 100) + 1 first shingles in any order that
-    is the same for all. Here shingles of a single component come first, as no pair looked for shares them, then the
-    rarer ones. Members outside the largest component of a shingle's holders are paired with all of its holders.
+    """Pairs (a < b) of different components that can be similar enough; placed: rep, component.
+
+    The shingles of all sets are put in one order: those of a single component first, as no pair looked for shares them,
+    then the rarer ones. Similar enough sets of n >= m shingles share (n + m) * percent / (100 + percent) or more, so the
+    first one that they share has at least that many, itself included, from its place on in either set. The smaller set
+    needs to be indexed by its first m - 2 * m * percent / (100 + percent) shingles only, and the larger one to look up
+    its first n - n * percent / 100. Sets whose own shingles fill these places, as those of texts with one passage in
+    common do, meet nowhere.
     """
-    texts = semi_by_id(docs.select("doc_id", "text"), placed.select(F.col("rep").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"])
-    grams = materialize(shingle_rows(texts.withColumnRenamed("doc_id", "rep"), shingle).join(placed, "rep"), "grams")
+    own = ["rep", "version"]
+    texts = semi_by_id(docs.select("doc_id", "text"), placed.select(F.col("rep").alias("doc_id")), "doc_id")
+    texts = texts.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("version"), "text")
+    grams = materialize(shingle_rows(texts, shingle).join(placed, "rep"), "grams")
     held = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("holders"), F.min("component").alias("low"), F.max("component").alias("high"))
     shared = grams.join(held.filter("low < high").select("gram", "holders"), "gram")
-    own = W.partitionBy("rep")
-    last = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1 - (F.col("n_shingles") - F.count(F.lit(1)).over(own))
-    prefix = shared.withColumn("last", last).filter("last > 0").withColumn("nth", F.row_number().over(own.orderBy("holders", "gram"))).filter("nth <= last")
-    prefix = materialize(prefix.select("gram", "rep", "n_shingles", "component"), "prefixes")
-    main = prefix.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("gram").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("several")).filter("several > 1")
-    asked = prefix.join(main.select("gram", "main"), "gram").filter("component <> main").select("gram", F.col("rep").alias("of"), F.col("n_shingles").alias("of_n"), F.col("component").alias("of_component"))
-    rows = prefix.join(asked, "gram").filter("component <> of_component").filter(F.least("n_shingles", "of_n") * 100 >= F.greatest("n_shingles", "of_n") * percent)
-    return rows.select(F.least("rep", "of").alias("a"), F.greatest("rep", "of").alias("b")).distinct()
-
-
-def near_links(nodes: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
-    """Confirmed links (a, b) that hold similar nodes together; nodes: rep, n_shingles, bands."""
+    place = F.col("n") - F.count(F.lit(1)).over(W.partitionBy(*own)) + F.row_number().over(W.partitionBy(*own).orderBy("holders", "gram")) - 1
+    first = materialize(shared.withColumn("left", F.col("n") - place).filter(F.col("left") * 100 >= F.col("n") * percent).select("gram", "rep", "n", "left", "component"), "prefixes")
+    enough = lambda left, sizes: left * (100 + percent) >= sizes * percent
+    index = first.filter(enough(F.col("left"), F.col("n") * 2)).select("gram", *(F.col(c).alias(f"of_{c}") for c in ("rep", "n", "left", "component")))
+    possible: Column = (F.col("of_n") <= F.col("n")) & (F.col("component") != F.col("of_component")) & (F.col("of_n") * 100 >= F.col("n") * percent)
+    rows = first.join(index, "gram").filter(possible & enough(F.least("left", "of_left"), F.col("n") + F.col("of_n")))
+    return rows.select(F.least("rep", "of_rep").alias("a"), F.greatest("rep", "of_rep").alias("b")).distinct()
+
+
+def near_links(nodes: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Confirmed links (a, b) that hold similar nodes together; nodes: rep, n_shingles, bands (a row for each set of a rep)."""
     names = nodes.select(F.explode("bands").alias("bucket"), "rep", "n_shingles")
     sizes = names.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     buckets = materialize(names.join(sizes, "bucket"), "buckets")
     company = buckets.groupBy("rep").agg(F.sum("members").alias("company"))
     buckets = materialize(buckets.join(company, "rep").select("bucket", "rep", "n_shingles", "company"), "buckets")
-    biggest = F.max(F.struct("company", (-F.col("rep")).alias("least"), "n_shingles"))
-
-    def stars(members: DataFrame, centre: DataFrame) -> DataFrame:
-        """Members beside the centre of their bucket, where the sizes of the sets leave a link possible."""
-        rows = members.join(centre.select("bucket", (-F.col("c.least")).alias("centre"), F.col("c.n_shingles").alias("centre_n")), "bucket").filter("rep <> centre")
-        return rows.filter(F.least("n_shingles", "centre_n") * 100 >= F.greatest("n_shingles", "centre_n") * percent)
-
-    pairs = materialize(stars(buckets, buckets.groupBy("bucket").agg(biggest.alias("c"))).select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
+    centres = buckets.groupBy("bucket").agg(F.max(F.struct("company", (-F.col("rep")).alias("least"), "n_shingles")).alias("c"))
+    stars = buckets.join(centres.select("bucket", (-F.col("c.least")).alias("centre"), F.col("c.n_shingles").alias("centre_n")), "bucket").filter("rep <> centre")
+    stars = stars.filter(F.least("n_shingles", "centre_n") * 100 >= F.greatest("n_shingles", "centre_n") * percent)
+    pairs = materialize(stars.select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
     linked = materialize(confirmed(pairs, docs, shingle, percent), "confirmed")
 
-    # Buckets that hold several components: another member, outside the largest, is the centre of a star over the others.
-    roots = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    placed = buckets.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max_by("component", F.struct("company", (-F.col("rep")).alias("least"))).alias("main")).filter("low < high")
-    buckets = materialize(placed.join(mixed.select("bucket", "main"), "bucket").withColumn("open", F.col("component") != F.col("main")), "mixed")
-    tried = pairs
-    for _ in range(rounds - 1):
-        centre = buckets.filter("open").groupBy("bucket").agg(F.max(F.struct("company", (-F.col("rep")).alias("least"), "n_shingles", "component")).alias("c"))
-        rows = stars(buckets, centre).join(centre.select("bucket", F.col("c.component").alias("of_centre")), "bucket").filter("component <> of_centre")
-        pairs = rows.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
-        both = tried.union(tried.select("b", "a"))
-        pairs = materialize(pairs.join(both, ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            linked = linked.union(materialize(confirmed(pairs, docs, shingle, percent), "confirmed"))
-            tried = tried.union(pairs)
-        done = centre.select("bucket", (-F.col("c.least")).alias("rep"), F.lit(False).alias("_open"))
-        buckets = materialize(buckets.join(done, ["bucket", "rep"], "left").withColumn("open", F.coalesce("_open", "open")).drop("_open"), "mixed")
-
-    # Members of buckets that still hold several components: all pairs across them, by an exact join.
+    # Members of buckets that still hold several components: what links them across components, by an exact join.
     roots = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    placed = buckets.select("bucket", "rep", "n_shingles").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    placed = materialize(buckets.select("bucket", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), "placed")
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    placed = materialize(placed.join(mixed.select("bucket"), "bucket", "left_semi").select("rep", "n_shingles", "component").distinct(), "left-over")
-    pairs = crossing_pairs(placed, docs, shingle, percent)
-    pairs = materialize(pairs.join(tried.union(tried.select("b", "a")), ["a", "b"], "left_anti"), "pairs")
-    return linked if pairs.isEmpty() else linked.union(materialize(confirmed(pairs, docs, shingle, percent), "confirmed"))
+    left = materialize(placed.join(mixed.select("bucket"), "bucket", "left_semi").select("rep", "component").distinct(), "left-over")
+    return linked.union(confirmed(materialize(crossing_pairs(left, docs, shingle, percent), "pairs"), docs, shingle, percent))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     A text that is null or has no words has 0 shingles and is linked with nothing: its component is its own doc_id.
-    A row with a null doc_id is in no component (component_id and kept are null). Rows that repeat a doc_id count as
-    one document; other columns are ignored. An empty table gives no rows.
+    A row with a null doc_id is in no component (component_id and kept are null). Rows that repeat a doc_id are one
+    document: their texts are in one component, and n_shingles is each row's own. Other columns are ignored. An empty
+    table gives no rows.
     """
+    of_set = ["set_a", "set_b", "n_shingles"]
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = materialize(signatures(docs, shingle), "signatures")
-    classes = materialize(signed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
-    nodes = signed.select("doc_id", "bands").dropDuplicates(["doc_id"]).join(classes.select(F.col("rep").alias("doc_id"), "n_shingles"), "doc_id").withColumnRenamed("doc_id", "rep")
-    links = near_links(nodes, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), shingle, percent, rounds)
-    roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    ends = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("of_set"))
-    out = signed.drop("bands").join(ends, ["set_a", "set_b", "n_shingles"], "left")
+    named = signed.filter("n_shingles > 0 and doc_id is not null")
+    classes = materialize(named.groupBy(*of_set).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
+    repeated = materialize(named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id"), "repeated-ids")
+    again = not repeated.isEmpty()
+    if again:
+        texts = texts.withColumn("_version", F.xxhash64("text")).dropDuplicates(["doc_id", "_version"]).drop("_version")
+    links = near_links(classes.select("rep", "n_shingles", "bands"), texts, shingle, percent).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    if again:  # a document with several texts holds their classes together
+        own = named.join(repeated, "doc_id", "left_semi").join(classes.drop("bands"), of_set).select("doc_id", "rep")
+        links = links.union(own.join(own.groupBy("doc_id").agg(F.min("rep").alias("least")), "doc_id").select("rep", "least"))
+    roots = components(links)
+    ends = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(*of_set, F.coalesce("component", "rep").alias("of_set"))
+    out = signed.drop("bands").join(ends, of_set, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("of_set", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
