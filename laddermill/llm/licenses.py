@@ -1,8 +1,10 @@
 """Licence scans.
 
-Each line of a text is compared with licence templates by the cosine of sparse TF-IDF vectors; document frequencies are
-counted over the whole corpus, for all tokens. A file without a licence of its own takes that of the licence file in the nearest
-directory above it, found by joining its ancestors' paths with the directories of licence files.
+The units of a text are its lines, the sentences of its lines, and the sentences of its paragraphs, which may run over
+several lines. Each unit is compared with the units of licence templates by the cosine of sparse TF-IDF vectors; document
+frequencies are counted over the whole corpus, for all tokens. A file without a licence of its own takes that of the
+licence file in the nearest directory above it, found by joining its ancestors' paths with the directories of licence
+files.
 """
 
 from __future__ import annotations
@@ -14,29 +16,51 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laddermill.llm.common import materialize, table
+from laddermill.llm.common import materialize, small, table
 
-#: The usual notices of common licences.
+#: Notices, headers and texts of common licences.
 TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0.
+        Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+        You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+        Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+    "GPL-3.0": """This work is licensed under the GNU General Public License, version 3.
+        This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+        You should have received a copy of the GNU General Public License along with this program.""",
+    "MIT": """Released under the MIT License.
+        Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+        The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
+    "CC-BY-NC-4.0": """Licensed under CC BY-NC 4.0.
+        This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.""",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "BSD-3-Clause": "Use of this source code is governed by a BSD-style license.",
+    "BSD-3-Clause": """Use of this source code is governed by a BSD-style license.
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+        Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+        Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.""",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+        Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
     "LicenseRef-reserved": "All rights reserved.",
 }
 LEAST = 0.7
 TOKEN = r"[\p{L}\p{N}]+(?:[.][\p{N}]+)*"
+SENTENCE = r"(?<=[.;:!?])\s+"
+#: File names of licence files.
+NOTICE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)(\.[a-z]+)?$"
 
 
 def tokens(text: str) -> list[str]:
     return re.findall(r"[^\W_]+(?:\.[0-9]+)*", text.lower())
 
 
+def template_units() -> list[tuple[str, Counter]]:
+    """(licence, tokens and how often) of each line of the templates."""
+    return [(name, Counter(tokens(line))) for name, text in TEMPLATES.items() for line in text.split("\n")]
+
+
 def vocabulary() -> list[str]:
-    return sorted({t for text in TEMPLATES.values() for t in tokens(text)})
+    return sorted({t for _, unit in template_units() for t in unit})
 
 
 def document_frequencies(files: DataFrame) -> DataFrame:
@@ -45,61 +69,105 @@ def document_frequencies(files: DataFrame) -> DataFrame:
     return files.select(F.explode(found).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
 
 
-def scores(kinds: DataFrame, df: DataFrame, n: int) -> DataFrame:
+def template_weights(df: DataFrame, n: int) -> dict[str, float]:
+    """The weight of each token of the templates among n documents; only these come to the driver."""
+    known = {r["token"]: r["df"] for r in df.filter(F.col("token").isin(vocabulary())).collect()}
+    return {t: math.log((n + 1) / (known.get(t, 0) + 1)) + 1 for t in vocabulary()}
+
+
+def key_tokens(weights: dict[str, float], least: float) -> list[str]:
+    """Tokens of which every unit with a cosine of `least` or more to a template's has one.
+
+    The cosine is at most the share of the template's norm that lies in the shared tokens. So of each template's unit the
+    heaviest tokens are taken until the others have a smaller share of its norm than `least`.
+    """
+    found = set()
+    for _, unit in template_units():
+        squares = sorted(((k * weights[t]) ** 2, t) for t, k in unit.items())
+        total, rest = sum(x for x, _ in squares), 0.0
+        for x, t in squares:
+            rest += x
+            if rest >= (least * (1 - 1e-9)) ** 2 * total:
+                found.add(t)
+    return sorted(found)
+
+
+def units(files: DataFrame) -> DataFrame:
+    """doc_id, first_line, unit of files (doc_id, text): each different unit once; first_line: it begins the text."""
+    text = F.coalesce("text", F.lit(""))
+    lines, paragraphs = F.split(text, "\n"), F.split(text, r"\n[ \t\r]*\n")
+    piece = lambda first, unit: F.struct(first.alias("first_line"), unit.alias("unit"))
+    whole = F.transform(lines, lambda x, i: piece(i == 0, x))
+    inside = F.flatten(F.transform(lines, lambda x, i: F.transform(F.split(x, SENTENCE), lambda y: piece(i == 0, y))))
+    across = F.flatten(F.transform(paragraphs, lambda x, i: F.transform(F.split(F.regexp_replace(x, r"\s*\n\s*", " "), SENTENCE), lambda y, j: piece((i == 0) & (j == 0), y))))
+    return files.select("doc_id", F.explode(F.array_distinct(F.concat(whole, inside, across))).alias("u")).select("doc_id", "u.*")
+
+
+def candidates(files: DataFrame, weights: dict[str, float], least: float) -> DataFrame:
+    """doc_id, first_line, tokens, key of the units that can have a cosine of `least` or more.
+
+    Such a unit has a key token. And with h tokens of the vocabulary and o others, whose weights are 1 or more, its
+    cosine is at most the share of its norm in the vocabulary, sqrt(s / (s + o)) where s is at most (h * heaviest) ** 2.
+    """
+    keys, heaviest = key_tokens(weights, least), max(weights.values())
+    has_key = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(map(re.escape, keys))})(?![\p{{L}}\p{{N}}])"
+    found = units(files.filter(F.lower("text").rlike(has_key))).withColumn("unit", F.lower("unit")).filter(F.col("unit").rlike(has_key))
+    found = found.withColumn("tokens", F.regexp_extract_all("unit", F.lit(TOKEN), F.lit(0))).withColumn("h", F.size(F.filter("tokens", lambda x: x.isin(vocabulary()))))
+    most = F.pow(F.col("h") * heaviest, 2.0) * (1 / least**2 - 1 + 1e-9)
+    return found.filter((F.size("tokens") - F.col("h")) <= most).select("doc_id", "first_line", "tokens", F.array_join("tokens", " ").alias("key"))
+
+
+def scores(kinds: DataFrame, df: DataFrame, weights: dict[str, float], n: int) -> DataFrame:
     """key, score, license: the best template of each row of kinds (key, tokens) and its cosine, among n documents.
 
-    The frequencies are joined to the rows' tokens. Only those of the templates' tokens come to the driver.
+    Of equal scores the last licence in the alphabet. The frequencies are joined to the rows' tokens; the templates'
+    weights, an inverted index of some hundred rows, are broadcast.
     """
-    known = {r["token"]: r["df"] for r in df.filter(F.col("token").isin(vocabulary())).collect()}
-    weights = {t: math.log((n + 1) / (known.get(t, 0) + 1)) + 1 for t in vocabulary()}
     tf = kinds.select("key", F.explode("tokens").alias("token")).groupBy("key", "token").agg(F.count(F.lit(1)).alias("n"))
-    weight = F.log(F.lit(n + 1) / (F.col("df") + 1)) + 1
-    weighted = tf.join(df, "token").select("key", "token", "n", F.pow(F.col("n") * weight, 2.0).alias("square"))
-    dots = []
-    for i, text in enumerate(TEMPLATES.values()):
-        own = Counter(tokens(text))
-        norm = sum((k * weights[t]) ** 2 for t, k in own.items()) ** 0.5
-        parts = F.create_map(*(x for t, k in own.items() for x in (F.lit(t), F.lit(k * weights[t] ** 2 / norm))))
-        dots.append(F.sum(F.col("n") * F.coalesce(F.element_at(parts, F.col("token")), F.lit(0.0))).alias(f"dot_{i}"))
-    summed = weighted.groupBy("key").agg(F.sum("square").alias("square"), *dots)
-    found = [F.struct(F.round(F.col(f"dot_{i}") / F.sqrt("square"), 9).alias("score"), F.lit(name).alias("license")) for i, name in enumerate(TEMPLATES)]
-    return summed.select("key", F.array_max(F.array(*found)).alias("s")).select("key", "s.score", "s.license")
+    weighted = tf.join(df, "token").select("key", "token", (F.col("n") * (F.log(F.lit(n + 1) / (F.col("df") + 1)) + 1)).alias("weight"))
+    norms = weighted.groupBy("key").agg(F.sqrt(F.sum(F.pow("weight", 2.0))).alias("norm"))
+    index = []
+    for i, (name, unit) in enumerate(template_units()):
+        norm = sum((k * weights[t]) ** 2 for t, k in unit.items()) ** 0.5
+        index += [(t, i, name, k * weights[t] / norm) for t, k in unit.items()]
+    index = kinds.sparkSession.createDataFrame(index, "token string, nth int, license string, part double")
+    dots = weighted.join(F.broadcast(index), "token").groupBy("key", "nth", "license").agg(F.sum(F.col("weight") * F.col("part")).alias("dot"))
+    best = dots.join(norms, "key").groupBy("key").agg(F.max(F.struct(F.round(F.col("dot") / F.col("norm"), 9).alias("score"), "license")).alias("s"))
+    return best.select("key", "s.score", "s.license")
 
 
 def own_licenses(files: DataFrame, least: float = LEAST) -> DataFrame:
-    """doc_id, score, license, first_line of each file with a line that is a licence notice: the best line's.
+    """doc_id, score, license, first_line of each file with a unit that is a licence notice: the best unit's.
 
-    files: doc_id, text. Only lines of whose different tokens a fifth or more are in some template are scored.
+    files: doc_id, text. Of equally good units one that begins the text is the best.
     """
-    vocab = F.array(*map(F.lit, vocabulary()))
-    lines = files.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("nth", "line"))
-    lines = lines.withColumn("tokens", F.regexp_extract_all(F.lower("line"), F.lit(TOKEN), F.lit(0))).withColumn("hits", F.array_intersect("tokens", vocab)).filter("size(hits) > 0")
-    lines = lines.filter(F.size("hits") * 5 >= F.size(F.array_distinct("tokens")))
-    lines = materialize(lines.select("doc_id", "nth", "tokens", F.array_join("tokens", " ").alias("key")), "license-lines")
     df = materialize(document_frequencies(files), "document-frequencies")
-    best = scores(lines.select("key", "tokens").dropDuplicates(["key"]), df, files.count()).filter(F.col("score") >= least)
-    top = lines.join(best, "key").groupBy("doc_id").agg(F.max(F.struct("score", "license", (-F.col("nth")).alias("nth"))).alias("s"))
-    return top.select("doc_id", "s.score", "s.license", (F.col("s.nth") == 0).alias("first_line"))
+    n = files.count()
+    weights = template_weights(df, n)
+    found = materialize(candidates(files, weights, least), "license-units")
+    best = scores(found.select("key", "tokens").dropDuplicates(["key"]), df, weights, n).filter(F.col("score") >= least)
+    top = found.join(best, "key").groupBy("doc_id").agg(F.max(F.struct("score", "license", "first_line")).alias("s"))
+    return top.select("doc_id", "s.score", "s.license", "s.first_line")
 
 
 def scan(files: DataFrame, least: float = LEAST) -> DataFrame:
     """One row per row of files (doc_id, path, text): doc_id, path, license, score, found_in.
 
-    A licence of the file's own has found_in = its path. A file whose first line is a notice is the licence file of its
-    directory (of several, the best by score, then the smallest doc_id); files without a licence of their own take that
+    A licence of the file's own has found_in = its path. A file that begins with a notice, or has one and the name of a
+    licence file, is the licence file of its directory (of several, the best by score, then the smallest doc_id); files without a licence of their own take that
     of the nearest directory above them that has one: found_in is the directory, score its notice's. No licence: nulls.
     A null path has no directories; null and empty texts have no licence of their own. Rows that repeat a doc_id share
-    their lines' best licence; other columns are ignored.
+    their units' best licence; other columns are ignored.
     """
     own = materialize(own_licenses(files, least), "own-licenses")
     place = files.select("doc_id", "path").join(own, "doc_id", "left")
     folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
-    notices = files.select("doc_id", "path").join(own.filter("first_line"), "doc_id").filter("path like '%/%'")
+    notices = files.select("doc_id", "path").join(own, "doc_id").filter("path like '%/%'").filter(F.col("first_line") | F.col("path").rlike(NOTICE_FILE))
     by_folder = notices.groupBy(folder.alias("folder")).agg(F.max(F.struct("score", (-F.col("doc_id")).alias("least"), "license")).alias("of"))
     parts = F.split(folder, "/")
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
     bare = place.filter("license is null and path like '%/%'").select("doc_id", "path", F.explode(above).alias("folder"))
-    nearest = bare.join(by_folder, "folder").groupBy("doc_id", "path").agg(F.max(F.struct(F.length("folder").alias("depth"), "folder", "of")).alias("n"))
+    nearest = bare.join(small(materialize(by_folder, "license-folders")), "folder").groupBy("doc_id", "path").agg(F.max(F.struct(F.length("folder").alias("depth"), "folder", "of")).alias("n"))
     found = nearest.select(F.col("doc_id").alias("_id"), F.col("path").alias("_path"), F.col("n.of.license").alias("_license"), F.col("n.of.score").alias("_score"), F.col("n.folder").alias("_folder"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("path") == F.col("_path"))
     source = F.when(F.col("license").isNotNull(), F.col("path")).otherwise(F.col("_folder"))

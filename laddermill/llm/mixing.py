@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from laddermill.llm.common import WORD, materialize, table, words
+from laddermill.llm.common import WORD, materialize, small, table, words
 
 WEIGHTS, CAP, SEED, ROWS_PER_RANGE = (1, 2, 3), 3, "mix", 8192
 
@@ -58,6 +58,7 @@ def plan_mix(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP,
     # a string that is null for no source makes plain equi-joins of the joins below
     rows = sizes.select("doc_id", "source", "size", *ties, F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("of"), F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"))
     per_source = targets(sizes, weights, cap).select(F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("of"), "source_size", "target", F.ceil(F.col("n_docs") / rows_per_range).alias("n_ranges"))
+    per_source = small(materialize(per_source, "targets"))
     dealt = rows.join(per_source, "of").withColumn("range", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.col("n_ranges") / F.lit(float(2**32))))
     sums = dealt.groupBy("of", "range").agg(F.sum("size").alias("range_size"))
     starts = sums.select("of", "range", F.coalesce(F.sum("range_size").over(W.partitionBy("of").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("range_start"))

@@ -43,7 +43,7 @@ def subtree(codes: np.ndarray, suffixes: np.ndarray, depth: int) -> tuple[np.nda
 def earlier_elsewhere(length: int):
     """For each window of a group's stretches: does its word sequence start anywhere before the stretch's first place?"""
 
-    def solve(bodies: list[bytes], windows: np.ndarray, doc_ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    def solve(bodies: list[bytes], windows: np.ndarray, doc_ids: np.ndarray, versions: np.ndarray, starts: np.ndarray) -> np.ndarray:
         column = pa.array(bodies, pa.binary()).cast(pa.string())
         words, firsts, at = [], [], 0
         for chunk in tc.chunks(column):
@@ -55,7 +55,7 @@ def earlier_elsewhere(length: int):
         inside = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
         order, common = subtree(codes, np.repeat(np.concatenate(firsts), windows) + inside, length)
         place = np.empty(len(order), np.int64)
-        place[np.lexsort([np.repeat(starts, windows) + inside, np.repeat(doc_ids, windows)])] = np.arange(len(order))
+        place[np.lexsort([np.repeat(starts, windows) + inside, np.repeat(versions, windows), np.repeat(doc_ids, windows)])] = np.arange(len(order))
         nodes = np.flatnonzero(common < length)
         least = np.repeat(np.minimum.reduceat(place[order], nodes), np.diff(np.append(nodes, len(order))))
         marks = np.empty(len(order), bool)
@@ -66,10 +66,10 @@ def earlier_elsewhere(length: int):
 
 
 def repeated_words(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_bytes: int = GROUP_BYTES, hot: int = cuts.HOT_ANCHOR) -> DataFrame:
-    """Runs of windows that repeat: doc_id, start, windows, marks (which of them start earlier elsewhere; null: all).
+    """Runs of windows that repeat: doc_id, version, start, windows, marks (which start earlier elsewhere; null: all).
 
-    docs: doc_id, text. Earlier is a smaller doc_id, or the same document and an earlier word. Rows that repeat a doc_id
-    are versions of one document, marked together; other columns are ignored.
+    docs: a row for each document (doc_id, version, text). Earlier is a smaller (doc_id, version), or the same document
+    and an earlier word.
     """
     found = cuts.repeated_runs(docs, length, gram, of_bytes=False)
     every = materialize(cuts.stretches(found), "stretches")
@@ -77,10 +77,10 @@ def repeated_words(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     cut = materialize(cuts.bodies(every.join(per_anchor, "anchor"), docs, length, of_bytes=False), "bodies")
     earlier = cuts.marked_one_by_one(cut, lambda first, n, own: first < own)
     marks = materialize(cuts.marked(cut, earlier_elsewhere(length), group_bytes).union(earlier).filter("contains(marks, '1')"), "marks")
-    first = every.select("anchor", "stretch", F.col("doc_id").alias("first_doc"), F.col("start").alias("first_start")).join(marks, ["anchor", "stretch"], "left")
-    at_first = (F.col("doc_id") == F.col("first_doc")) & (F.col("start") == F.col("first_start"))
+    first = every.select("anchor", "stretch", F.struct(*cuts.DOC, "start").alias("first")).join(marks, ["anchor", "stretch"], "left")
+    at_first = F.struct(*cuts.DOC, "start") == F.col("first")
     runs = found.join(first, ["anchor", "stretch"]).filter(~at_first | F.col("marks").isNotNull())
-    return runs.select("doc_id", "start", "windows", F.when(at_first, F.col("marks")).alias("marks"))
+    return runs.select(*cuts.DOC, "start", "windows", F.when(at_first, F.col("marks")).alias("marks"))
 
 
 def digest(data: np.ndarray, borders: np.ndarray, gone: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[str, pa.Array]:
@@ -102,18 +102,20 @@ def kept_words(data: np.ndarray, borders: np.ndarray, gone: np.ndarray, starts:
 
 def without_repeated_words(docs: DataFrame, **options) -> DataFrame:
     """doc_id, text: the words that are left, joined by single spaces. Null texts become empty."""
-    length = options.get("length", LENGTH)
+    rows, once = cuts.versioned(docs)
     text = lambda *chunk: {"text": pa.array([t.decode() for t in kept_words(*chunk)], pa.string())}
-    return cuts.covered(docs, repeated_words(docs, **options), length, False, "text string", text)
+    return cuts.covered(rows, repeated_words(once, **options), options.get("length", LENGTH), False, "text string", text)
 
 
 def substring_dedup(docs: DataFrame, **options) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_words, n_removed, kept_sha256.
 
-    A null text has no words. A row with a null doc_id is kept whole and repeats nothing. An empty table gives no rows.
+    A null text has no words. A row with a null doc_id is kept whole and repeats nothing. Rows that repeat a doc_id and
+    its text are one document and get the same result; other texts with the doc_id are documents of their own, ordered by
+    a hash of the text. Other columns are ignored. An empty table gives no rows.
     """
-    length = options.get("length", LENGTH)
-    return cuts.covered(docs, repeated_words(docs, **options), length, False, "n_words bigint, n_removed bigint, kept_sha256 string", digest)
+    rows, once = cuts.versioned(docs)
+    return cuts.covered(rows, repeated_words(once, **options), options.get("length", LENGTH), False, "n_words bigint, n_removed bigint, kept_sha256 string", digest)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

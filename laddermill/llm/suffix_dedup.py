@@ -120,7 +120,7 @@ def two_stage(text: np.ndarray, blocks: np.ndarray, most: int) -> np.ndarray:
 def occurs_again(length: int):
     """For each window of a group's stretches: does another window of the group hold the same bytes?"""
 
-    def solve(bodies: list[bytes], windows: np.ndarray, doc_ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    def solve(bodies: list[bytes], windows: np.ndarray, doc_ids: np.ndarray, versions: np.ndarray, starts: np.ndarray) -> np.ndarray:
         text = np.frombuffer(b"\0".join([*bodies, b""]), np.uint8)
         most = -(-length // 8) * 8
         blocks = eights(text, most)
@@ -146,10 +146,9 @@ def occurs_again(length: int):
 
 
 def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_bytes: int = GROUP_BYTES, hot: int = cuts.HOT_ANCHOR) -> DataFrame:
-    """Runs of windows that repeat: doc_id, start, windows, marks (which of them occur elsewhere; null: all).
+    """Runs of windows that repeat: doc_id, version, start, windows, marks (which of them occur elsewhere; null: all).
 
-    docs: doc_id, text, read as UTF-8 bytes. Rows that repeat a doc_id are versions of one document, marked together,
-    and repeat one another; other columns are ignored. gram is a power of two.
+    docs: a row for each document (doc_id, version, text), read as UTF-8 bytes. gram is a power of two.
     """
     found = cuts.repeated_runs(docs, length, gram, of_bytes=True)
     every = materialize(cuts.stretches(found), "stretches")
@@ -159,7 +158,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     marks = materialize(cuts.marked(cut, occurs_again(length), group_bytes).union(again).filter("contains(marks, '1')"), "marks")
     known = every.select("anchor", "stretch", "seen").join(marks, ["anchor", "stretch"], "left").filter("seen > 1 or marks is not null")
     runs = found.join(known.select("anchor", "stretch", F.when(F.col("seen") == 1, F.col("marks")).alias("marks")), ["anchor", "stretch"])
-    return runs.select("doc_id", "start", "windows", "marks")
+    return runs.select(*cuts.DOC, "start", "windows", "marks")
 
 
 def digest(data: np.ndarray, borders: np.ndarray, gone: np.ndarray, starts: None, ends: None) -> dict[str, pa.Array]:
@@ -180,18 +179,20 @@ def kept_bytes(data: np.ndarray, borders: np.ndarray, gone: np.ndarray, starts:
 
 def without_repeated_bytes(docs: DataFrame, **options) -> DataFrame:
     """doc_id, text: what is left, with U+FFFD where a removed string cut a character in two. Null texts become empty."""
-    length = options.get("length", LENGTH)
+    rows, once = cuts.versioned(docs)
     text = lambda *chunk: {"text": pa.array([t.decode("utf-8", "replace") for t in kept_bytes(*chunk)], pa.string())}
-    return cuts.covered(docs, repeated_bytes(docs, **options), length, True, "text string", text)
+    return cuts.covered(rows, repeated_bytes(once, **options), options.get("length", LENGTH), True, "text string", text)
 
 
 def suffix_dedup(docs: DataFrame, **options) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
-    A null text counts as empty. A row with a null doc_id is kept whole and repeats nothing. An empty table gives no rows.
+    A null text counts as empty. A row with a null doc_id is kept whole and repeats nothing. Rows that repeat a doc_id and
+    its text are one document and get the same result; other texts with the doc_id are documents of their own. Other
+    columns are ignored. An empty table gives no rows.
     """
-    length = options.get("length", LENGTH)
-    return cuts.covered(docs, repeated_bytes(docs, **options), length, True, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string", digest)
+    rows, once = cuts.versioned(docs)
+    return cuts.covered(rows, repeated_bytes(once, **options), options.get("length", LENGTH), True, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string", digest)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

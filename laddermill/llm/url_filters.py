@@ -2,8 +2,9 @@
 
 Entries of a list become validity intervals: an entry holds until the next one for the same pattern. A pattern is a
 host, a domain above it, or a host with the first parts of a path. An as-of join finds, for each capture, the entries
-active when it was fetched. Intervals are cut at the borders of days and joined by pattern and day, so neither a
-frequent host nor a pattern with a long history meets in one place.
+active when it was fetched. Intervals are cut at the borders of slots of time. Only the last entry of each slot is
+carried forward, to the slots in which captures ask for the pattern; so what meets in one place is a pattern's slots,
+whose number is bounded by the calendar, or the entries and captures of one slot, but never a pattern's whole history.
 """
 
 from __future__ import annotations
@@ -14,17 +15,24 @@ from pyspark.sql import functions as F
 
 from laddermill.llm.common import table
 
-DAY = 86_400
+DAY, SLOT = 86_400, 3_600
 
 
-def intervals(entries: DataFrame) -> DataFrame:
-    """pattern, action, since, until of entries (pattern, at: seconds, action); until is null while an entry holds.
+def intervals(entries: DataFrame, asked: DataFrame, slot: int = SLOT) -> DataFrame:
+    """pattern, slot, action, since, start, stop: what holds in a slot from start until stop (null: to its end).
 
-    Of entries with one pattern and second the last action in the alphabet holds. Entries with nulls are ignored;
-    repeated entries change nothing.
+    entries: pattern, at (seconds), action; asked: the (pattern, slot) that are wanted. Of entries with one pattern and
+    second the last action in the alphabet holds. Entries with nulls are ignored; repeated entries change nothing.
     """
-    one = entries.filter("pattern is not null and at is not null").groupBy("pattern", "at").agg(F.max("action").alias("action"))
-    return one.select("pattern", "action", F.col("at").alias("since"), F.lead("at").over(W.partitionBy("pattern").orderBy("at")).alias("until"))
+    one = entries.filter("pattern is not null and at is not null and action is not null").groupBy("pattern", "at").agg(F.max("action").alias("action"))
+    one = one.select("pattern", F.floor(F.col("at") / slot).alias("slot"), F.struct(F.col("at").alias("since"), "action").alias("entry"))
+    last = one.groupBy("pattern", "slot").agg(F.max("entry").alias("entry"))
+    marks = last.withColumn("wanted", F.lit(False)).unionByName(asked.select("pattern", "slot", F.lit(True).alias("wanted")), allowMissingColumns=True)
+    before = W.partitionBy("pattern").orderBy("slot", F.desc("wanted")).rowsBetween(W.unboundedPreceding, -1)
+    carried = marks.withColumn("entry", F.when(F.col("wanted"), F.last("entry", ignorenulls=True).over(before))).filter("entry is not null")
+    held = carried.select("pattern", "slot", "entry", (F.col("slot") * slot).alias("start")).union(one.select("pattern", "slot", "entry", F.col("entry.since")))
+    stop = F.lead("start").over(W.partitionBy("pattern", "slot").orderBy("start", "entry"))
+    return held.select("pattern", "slot", "entry.action", "entry.since", "start", stop.alias("stop"))
 
 
 def host_of(url: Column) -> Column:
@@ -41,7 +49,7 @@ def patterns_of(url: Column) -> Column:
     return F.when(host != "", F.array_distinct(F.concat(domains, paths)))
 
 
-def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
+def filter_captures(captures: DataFrame, entries: DataFrame, slot: int = SLOT) -> DataFrame:
     """One row per row of captures (page_id, url, fetched: seconds): page_id, url, fetched, blocked, pattern, since.
 
     pattern and since are those of the active entry with the longest pattern (in a tie the last in the alphabet);
@@ -49,13 +57,9 @@ def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     Rows that repeat are one capture. Other columns are ignored.
     """
     keyed = captures.select("page_id", "url", "fetched").distinct()
-    names = keyed.filter("fetched is not null").select("page_id", "url", "fetched", F.explode(patterns_of(F.col("url"))).alias("pattern"), F.floor(F.col("fetched") / DAY).alias("day"))
-    days = keyed.agg(F.min("fetched").alias("low"), F.max("fetched").alias("high"))
-    low, high = F.floor(F.col("low") / DAY), F.floor(F.col("high") / DAY)
-    held = intervals(entries).crossJoin(F.broadcast(days)).filter("since <= high and coalesce(until, high + 1) > low")
-    spread = F.sequence(F.greatest(low, F.floor(F.col("since") / DAY)), F.least(high, F.coalesce(F.floor((F.col("until") - 1) / DAY), high)))
-    held = held.select("pattern", "action", "since", "until", F.explode(spread).alias("day"))
-    hits = names.join(held, ["pattern", "day"]).filter("since <= fetched and (until is null or fetched < until)")
+    names = keyed.filter("fetched is not null").select("page_id", "url", "fetched", F.explode(patterns_of(F.col("url"))).alias("pattern"), F.floor(F.col("fetched") / slot).alias("slot"))
+    held = intervals(entries, names.select("pattern", "slot").distinct(), slot)
+    hits = names.join(held, ["pattern", "slot"]).filter("start <= fetched and (stop is null or fetched < stop)")
     best = hits.groupBy("page_id", "url", "fetched").agg(F.max(F.struct(F.length("pattern").alias("n"), "pattern", "action", "since")).alias("b"))
     found = best.select(F.col("page_id").alias("p"), F.col("url").alias("u"), F.col("fetched").alias("f"), "b.pattern", "b.action", "b.since")
     same = F.col("page_id").eqNullSafe(F.col("p")) & (F.col("url") == F.col("u")) & (F.col("fetched") == F.col("f"))

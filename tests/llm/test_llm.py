@@ -87,8 +87,29 @@ def want_bytes(texts, length):
 
 @pytest.mark.parametrize("options", [{}, {"hot": 1}, {"group_bytes": 3000}, {"length": 37, "gram": 4}])
 def test_bytes(docs, texts, options):
-    # the repeated row would repeat itself: its text occurs in another document too, so nothing changes
-    assert by_id(suffix_dedup.suffix_dedup(docs, **options)) == want_bytes([*texts], options.get("length", 200)) | {12: by_id(suffix_dedup.suffix_dedup(docs, **options))[12]}
+    # row 12 is there twice and is one document
+    got = suffix_dedup.suffix_dedup(docs, **options)
+    assert by_id(got) == want_bytes(texts, options.get("length", 200)) and got.count() == len(texts) + 1
+
+
+@pytest.mark.parametrize("options", [{}, {"hot": 1}, {"group_bytes": 900}])
+def test_repeated_ids_with_different_texts(spark, empty, options):
+    """Each text is a document of its own: marks of one never lie on another."""
+    say = lambda x, n: " ".join(f"{x}{i}" for i in range(n))
+    x = say("x", 60)
+    for second in ("short one", f"{say('y', 200)} {x}"):
+        rows = [(1, x), (2, f"{say('y', 30)} {x}"), (2, second), (3, say("z", 30)), (4, say("q", 50)), (4, say("q", 50)), (5, None), (None, x)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        found = {(r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.substring_dedup(docs, **options).collect()}
+        assert found >= {(1, 60, 0), (3, 30, 0), (4, 50, 0), (5, 0, 0), (None, 60, 0)} and len(found) == 7
+        # of the two texts with the doc_id 2 the later one by its hash also repeats the y words of the other
+        twos = {x[1:] for x in found if x[0] == 2}
+        assert twos in ([{(90, 60), (2, 0)}] if second == "short one" else [{(90, 60), (260, 90)}, {(90, 90), (260, 60)}])
+        data = {n: t.encode() for n, t in enumerate(t for k, t in dict.fromkeys(rows) if k is not None and t)}
+        want = collections.Counter((r[0], r[1]) for r in want_bytes([b.decode() for b in data.values()], 200).values())
+        got = suffix_dedup.suffix_dedup(docs, **options).collect()
+        assert collections.Counter({(r.n_bytes, r.n_removed) for r in got if r.doc_id in (1, 2, 3, 4)}) == collections.Counter(want.keys())
+    assert substring_dedup.substring_dedup(empty).count() == 0 and suffix_dedup.suffix_dedup(empty).count() == 0
 
 
 def test_two_stage_orders_all_suffixes():
@@ -236,8 +257,34 @@ def test_near_duplicates(spark, docs, texts, empty):
     assert sorted(map(str, near_dedup.near_duplicates(nulls).select("component_id", "kept").collect())) == ["Row(component_id=3, kept=True)", "Row(component_id=None, kept=None)"]
 
 
+def test_near_duplicates_with_repeated_ids(spark, texts):
+    """A document with several texts holds their components together; reruns over other partitions agree."""
+    a, b, c = texts[9], texts[13], texts[17]
+    rows = [(5, a), (5, b), (7, b), (9, a), (3, c), (5, None), (8, c), (8, "x y z"), (2, "x y z"), (8, c), (11, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = [(2, 2), (3, 2), (5, 5), (5, 5), (5, 5), (7, 5), (8, 2), (8, 2), (8, 2), (9, 5), (11, 11)]
+    for d in (docs, docs.repartition(3, "text")):
+        assert sorted((r.doc_id, r.component_id) for r in near_dedup.near_duplicates(d).collect()) == want
+    assert sorted(r.doc_id for r in near_dedup.drop_near_duplicates(docs).collect()) == [2, 5, 5, 5, 11]
+
+
+def test_near_duplicates_of_dense_groups(spark):
+    """Copies around the limit, with a passage that all share: hardly any is linked with a centre, and no link is lost."""
+    rnd = random.Random(12)
+    passage, out = [f"p{i}" for i in range(40)], []
+    for group in range(6):
+        base = [f"g{group}w{i}" for i in range(30)]
+        for _ in range(25):
+            t = list(base)
+            for _ in range(rnd.randint(0, 3)):
+                t[rnd.randrange(30)] = f"x{rnd.randrange(10**6)}"
+            out.append(" ".join(t + passage))
+    docs = spark.createDataFrame([*enumerate(out)], "doc_id bigint, text string")
+    assert by_id(near_dedup.near_duplicates(docs)) == near(out)
+
+
 def test_near_duplicates_of_a_crowded_bucket(spark):
-    """Twelve pairs of near copies in one bucket, more than its stars have centres."""
+    """Twelve pairs of near copies in one bucket with one centre."""
     rnd = random.Random(8)
     firsts = [[f"w{rnd.randrange(10**6)}" for _ in range(60)] for _ in range(12)]
     rows = [(2 * i + k, " ".join([*f[: 60 - k], *["other"] * k])) for i, f in enumerate(firsts) for k in (0, 1)]
@@ -302,34 +349,97 @@ def test_mixing_takes_each_row_by_itself(spark):
 
 
 def test_licences(spark):
-    files = [(1, "a/b/LICENSE", "Released under the MIT license."), (2, "a/b/c/d.txt", "words of a text"), (3, "a/x.txt", "This work\nis licensed under the GNU General Public License, version 3.\nmore"), (4, "a/y.txt", None), (5, None, ""), (6, "q/a/b/z.txt", "it is")]
-    got = by_id(licenses.scan(spark.createDataFrame(files, "doc_id bigint, path string, text string")))
+    say = lambda n: " ".join(f"word{i}" for i in range(n))
+    wrapped = licenses.TEMPLATES["MIT"].split("\n")[1].strip()
+    wrapped = "\n".join(wrapped[i : i + 60] for i in range(0, 120, 60)) + wrapped[120:]
+    files = [
+        (1, "a/b/LICENSE", "Released under the MIT license."), (2, "a/b/c/d.txt", "words of a text"), (3, "a/x.txt", "Prose comes first.\nThis work\nis licensed under the GNU General Public License, version 3.\nmore"),
+        (4, "a/y.txt", None), (5, None, ""), (6, "q/a/b/z.txt", "it is"), (7, "r/s.txt", f"{say(60)}. Licensed under the Apache License, Version 2.0. {say(60)}"),
+        (8, "t/COPYING", f"A title\n\nCopyright 2019 someone\n\n{wrapped}\n\nmore"), (9, "t/u/v.c", "code"), (10, "t/w/x.c", "All rights reserved."), (11, "t/w/y.c", "x"),
+    ]
+    got = by_id(licenses.scan(spark.createDataFrame([(*f, "clash", 1.0) for f in files], "doc_id bigint, path string, text string, token string, score double")))
     assert got[1][1] == "MIT" and got[2][1] == "MIT" and got[2][3] == "a/b"
-    assert got[3][1] == "GPL-3.0" and got[3][3] == "a/x.txt"  # not the first line, so not its directory's
+    assert got[3][1] == "GPL-3.0" and got[3][3] == "a/x.txt"  # does not begin the file, so not its directory's
     assert got[4][1] is None and got[5][1] is None and got[6][1] is None
+    assert got[7][1] == "Apache-2.0" and got[8][1] == "MIT" and got[9][1:4:2] == ("MIT", "t") and got[11][1:4:2] == ("LicenseRef-reserved", "t/w")
     assert licenses.scan(spark.createDataFrame([], "doc_id bigint, path string, text string")).count() == 0
 
 
+def plain_licences(files):
+    """Own licences by the cosine of every unit with every template, without filters."""
+    n, df = len(files), collections.Counter(t for f in files for t in set(licenses.tokens(f or "")))
+    vector = lambda counts: {t: k * (np.log((n + 1) / (df[t] + 1)) + 1) for t, k in counts.items()}
+    norm = lambda v: sum(x * x for x in v.values()) ** 0.5
+    templates = [(name, vector(c)) for name, c in licenses.template_units()]
+    out, memo = [], {}
+    for f in files:
+        pieces = [x for line in (f or "").split("\n") for x in (line, *re.split(licenses.SENTENCE, line))]
+        pieces += [x for p in re.split(r"\n[ \t\r]*\n", f or "") for x in re.split(licenses.SENTENCE, re.sub(r"\s*\n\s*", " ", p))]
+        best = (0, "")
+        for unit in {" ".join(licenses.tokens(p)) for p in pieces}:
+            if unit not in memo:
+                v = vector(collections.Counter(unit.split()))
+                memo[unit] = max(((round(sum(x * t.get(k, 0) for k, x in v.items()) / (norm(v) * norm(t) or 1), 9), name) for name, t in templates))
+            best = max(best, memo[unit])
+        out.append(best if best[0] >= licenses.LEAST else None)
+    return out
+
+
+def test_licences_beside_every_cosine(spark):
+    """On the given documents and on notices that are cut, mixed and diluted."""
+    rows = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()]
+    rnd = random.Random(6)
+    lines = [line.strip() for text in licenses.TEMPLATES.values() for line in text.split("\n")]
+    pool = [w for line in lines for w in line.split()]
+    for _ in range(250):
+        w = rnd.choice(lines).split()
+        for _ in range(rnd.randint(0, len(w))):
+            w[rnd.randrange(len(w))] = rnd.choice([*pool, "other", "words"])
+        rows.append(" ".join([*["more"] * rnd.randint(0, 3), *w]) + rnd.choice(["", ".", "\n", "\n\nend"]))
+    want = plain_licences(rows)
+    got = by_id(licenses.own_licenses(spark.createDataFrame([*enumerate(rows)], "doc_id bigint, text string")))
+    assert sum(w is not None for w in want) > 100
+    for i, w in enumerate(want):
+        assert (w is None) == (i not in got) and (w is None or (got[i][0], got[i][1]) == (pytest.approx(w[0], abs=1e-8), w[1]))
+
+
 def test_licences_count_all_tokens(spark):
     """The weight of a word outside the templates follows its documents, so a verdict doesn't change with the corpus's size."""
-    line = "This project is released under the MIT License."
     for copies in (1, 40):
-        files = [line, *["this project is of words"] * 19] * copies
-        n = len(files)
-        df = collections.Counter(t for f in files for t in set(licenses.tokens(f)))
-        weigh = lambda t: np.log((n + 1) / (df[t] + 1)) + 1
-        a, b = ({t: k * weigh(t) for t, k in collections.Counter(licenses.tokens(x)).items()} for x in (line, licenses.TEMPLATES["MIT"]))
-        cosine = sum(v * b.get(t, 0) for t, v in a.items()) / (sum(v * v for v in a.values()) * sum(v * v for v in b.values())) ** 0.5
+        files = ["This project is released under the MIT License.", *["this project is of words"] * 19] * copies
         got = by_id(licenses.scan(spark.createDataFrame([(i, None, f) for i, f in enumerate(files)], "doc_id bigint, path string, text string")))
-        assert got[0][1] == "MIT" and got[0][2] == pytest.approx(cosine, abs=1e-6) and got[1][1] is None
-
-
-def test_url_filters(spark):
-    day = url_filters.DAY
-    entries = [("evil.example.com", 10, "block"), ("evil.example.com", 5 * day, "allow"), ("example.com", 3 * day, "block"), ("b.org/x", 0, "block"), (None, 1, "block"), ("evil.example.com", 10, "block")]
-    captures = [(1, "http://evil.example.com/a", 9), (2, "http://evil.example.com/a", 10), (3, "https://evil.example.com", 6 * day), (4, "http://www.example.com/", 3 * day), (5, "http://b.org/x/y?z", 7), (6, None, 7), (7, "http://b.org/y", None)]
-    got = {r.page_id: (r.blocked, r.pattern) for r in url_filters.filter_captures(spark.createDataFrame(captures, "page_id int, url string, fetched bigint"), spark.createDataFrame(entries, "pattern string, at bigint, action string")).collect()}
-    assert got == {1: (False, None), 2: (True, "evil.example.com"), 3: (False, "evil.example.com"), 4: (True, "example.com"), 5: (True, "b.org/x"), 6: (False, None), 7: (False, None)}
+        want = plain_licences(files)
+        assert got[0][1] == "MIT" and got[0][2] == pytest.approx(want[0][0], abs=1e-6) and got[1][1] is None
+
+
+@pytest.mark.parametrize("slot", [7, 50, 1000])
+def test_url_filters_are_an_as_of_join(spark, slot):
+    """Beside plain look-ups in time, with ties, nulls, repeated rows and clashing columns."""
+    rnd = random.Random(slot)
+    hosts = ["a.com", "x.a.com", "y.x.a.com", "b.org", "b.org/p", "b.org/p/q"]
+    entries = [(rnd.choice([*hosts, None]), rnd.choice([None, *range(400)]), rnd.choice(["block", "allow"]), 1) for _ in range(300)]
+    urls = ["http://y.x.a.com/z", "https://x.a.com", "http://B.org/p/q/r", "http://b.org/p", "nothing", None]
+    captures = [(i % 150, urls[i % 6], rnd.choice([None, *range(400)]), "clash") for i in range(160)]
+
+    def active(url, at):
+        m = re.match(r"[a-z]+://([^/:?#]+)((?:/[^/?#]+)?)((?:/[^/?#]+)?)", url or "", re.I)
+        if not m or at is None:
+            return (False, None, None)
+        host = m[1].lower()
+        labels = host.split(".")
+        names = {".".join(labels[i:]) for i in range(max(1, len(labels) - 1))} | {host + m[2], host + m[2] + m[3]}
+        best = (-1,)
+        for name in names:
+            held = max(((t, action) for p, t, action, _ in entries if p == name and t is not None and t <= at), default=None)
+            if held:
+                best = max(best, (len(name), name, held[1], held[0]))
+        return (best[2] == "block", best[1], best[3]) if len(best) > 1 else (False, None, None)
+
+    got = url_filters.filter_captures(spark.createDataFrame(captures, "page_id int, url string, fetched bigint, slot string"), spark.createDataFrame(entries, "pattern string, at bigint, action string, slot int"), slot)
+    assert {tuple(r)[:3]: tuple(r)[3:] for r in got.collect()} == {c[:3]: active(c[1], c[2]) for c in captures}
+    assert got.count() == len({c[:3] for c in captures})
+    none = spark.createDataFrame([], "pattern string, at bigint, action string")
+    assert url_filters.filter_captures(got, none).filter("blocked").count() == 0
 
 
 def test_chroma(spark):
