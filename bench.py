@@ -11,6 +11,7 @@ import time
 from pyspark.sql import SparkSession
 
 from laddermill import registry
+from laddermill.sources import roles
 
 HEADLINE = (
     "civ_meta", "civ_meta_by_map", "civ_meta_openings", "matchups_1v1", "matchups_1v1_by_elo", "matchups_team", "benchmark_ageup", "benchmark_vils", "benchmark_ecotech", "civ_cube",
@@ -33,7 +34,9 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()  # starts the executors
-    seconds = {}
+    began = time.perf_counter()
+    roles.keep(spark, sf_dir)  # once for all queries; its time is part of the total
+    seconds = {"roles_written_once": round(time.perf_counter() - began, 3)}
     for name in HEADLINE:
         began = time.perf_counter()
         registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -89,6 +89,12 @@ def top_n(df: DataFrame, by: list[Column], n: int, per: list[str] | None = None)
     return df.withColumn("_nth", F.row_number().over(W.partitionBy(*per).orderBy(*by))).filter(F.col("_nth") <= n).drop("_nth")
 
 
+def trend(rows: DataFrame, order: Column, label: str) -> DataFrame:
+    """A civ's rates in the order of bands or patches, numbered."""
+    nth = F.row_number().over(W.partitionBy("civ_id").orderBy(order))
+    return rows.select("civ_id", label, "winrate", "games", nth.alias("nth"))
+
+
 def h2h(by_elo: DataFrame, selection: str) -> DataFrame:
     """Each pair's rate in a band, or pooled over bands from a rating on; without games there, the 'all' cell, flagged."""
     fine = summed(by_elo.filter((F.col("elo_bucket") != "all") & elo_predicate(F.col("elo_bucket"), selection)), "civ_id", "opp_civ_id")
@@ -107,7 +113,7 @@ def h2h_curve(by_elo: DataFrame, a: int, b: int) -> DataFrame:
 def h2h_maps(by_map: DataFrame, k: int = 15) -> DataFrame:
     """Pairs on the k maps with most games."""
     top = by_map.groupBy("map_id").agg(F.sum("games").alias("g")).orderBy(F.desc("g"), "map_id").limit(k)
-    return by_map.join(F.broadcast(top.select("map_id")), "map_id", "left_semi").select("civ_id", "opp_civ_id", "map_id", "games", "winrate").orderBy("civ_id", "opp_civ_id", F.desc("games"), "map_id")
+    return by_map.join(top.select("map_id"), "map_id", "left_semi").select("civ_id", "opp_civ_id", "map_id", "games", "winrate").orderBy("civ_id", "opp_civ_id", F.desc("games"), "map_id")
 
 
 def comp_bucket(comps: DataFrame, selection: str) -> DataFrame:

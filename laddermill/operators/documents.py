@@ -31,7 +31,7 @@ def doc_civ_meta(civs: DataFrame, meta: DataFrame, by_map: DataFrame, by_patch:
     figures = ["games", "winrate"]
     elo = keyed(meta.filter((F.col("elo_bucket") != "all") & (F.col("games") >= min_elo)), keys, "elo_bucket", *figures, name="by_elo")
     maps = keyed(by_map.filter(F.col("games") >= min_map), keys, "map_id", *figures, name="by_map")
-    patches = keyed(by_patch.filter(F.col("games") >= min_patch).join(F.broadcast(kept.select("build")), "build", "left_semi"), keys, "build", *figures, name="by_patch")
+    patches = keyed(by_patch.filter(F.col("games") >= min_patch).join(kept.select("build"), "build", "left_semi"), keys, "build", *figures, name="by_patch")
     top = openings.withColumn("total", F.sum("games").over(W.partitionBy(*keys))).filter("rank <= 3").withColumn("share", pct(F.col("games") / F.col("total")))
     opened = top.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "opening_kind", "share"))), lambda x: F.struct(x["opening_kind"].alias("opening"), x["share"].alias("share"))).alias("openings"))
     ages = ageup.dropna(subset=["feudal_median", "castle_median", "imperial_median"]).select(*keys, F.struct("feudal_median", "castle_median", "imperial_median").alias("age_up"))
@@ -44,9 +44,19 @@ def doc_civ_meta(civs: DataFrame, meta: DataFrame, by_map: DataFrame, by_patch:
 
 
 def doc_matchups(matchups: DataFrame, min_games: int = 50) -> DataFrame:
-    """Per civ its opponents with enough games, by rate, then opponent."""
+    """Per civ its opponents with enough games, by rate, then opponent. For the team ladder the gate is 100 games."""
+    return opponents(matchups, ["civ_id"], min_games)
+
+
+def opponents(matchups: DataFrame, keys: list[str], min_games: int) -> DataFrame:
     entry = F.struct((-F.col("winrate")).alias("order"), F.col("opp_civ_id").alias("opponent"), "winrate", "games")
-    return matchups.filter(F.col("games") >= min_games).groupBy("civ_id").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda x: F.struct(x["opponent"].alias("opponent"), x["winrate"].alias("winrate"), x["games"].alias("games"))).alias("opponents"))
+    return matchups.filter(F.col("games") >= min_games).groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(entry)), lambda x: F.struct(x["opponent"].alias("opponent"), x["winrate"].alias("winrate"), x["games"].alias("games"))).alias("opponents"))
+
+
+def doc_matchups_by_map(by_map: DataFrame, min_games: int = 50) -> DataFrame:
+    """Per civ a map from map to its opponents there with enough games."""
+    per = opponents(by_map, ["civ_id", "map_id"], min_games)
+    return per.groupBy("civ_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("map_id").cast("string"), "opponents")))).alias("maps"))
 
 
 def doc_matchups_by_elo(by_elo: DataFrame, min_games: int = 30) -> DataFrame:
@@ -61,12 +71,12 @@ def numbered(values: DataFrame, name: str, *order: Column | str) -> DataFrame:
 
 def doc_cube(cube: DataFrame, maps: DataFrame, kept: DataFrame, bands: list[str]) -> DataFrame:
     """Rows of kept patches, dictionary-encoded: civ, elo, map, month, games, wins. Maps by games, then slug."""
-    rows = cube.join(F.broadcast(kept.select("build")), "build", "left_semi").join(F.broadcast(maps.select("map_id", "slug")), "map_id")
+    rows = cube.join(kept.select("build"), "build", "left_semi").join(maps.select("map_id", "slug"), "map_id")
     civ = numbered(rows.select("civ_id").distinct(), "civ", "civ_id")
     by_games = numbered(rows.groupBy("map_id", "slug").agg(F.sum("games").alias("g")), "map", F.desc("g"), "slug").select("map_id", "map")
     month = numbered(kept.select("build"), "month", F.desc("build"))
     band = F.create_map(*(F.lit(x) for i, b in enumerate(bands) for x in (b, i)))
-    out = rows.join(F.broadcast(civ), "civ_id").join(F.broadcast(by_games), "map_id").join(F.broadcast(month), "build")
+    out = rows.join(civ, "civ_id").join(by_games, "map_id").join(month, "build")
     return out.select("civ", F.element_at(band, F.col("elo_bucket")).alias("elo"), "map", "month", "games", "wins")
 
 

@@ -240,7 +240,7 @@ def float_windows(events: DataFrame, costs: DataFrame, players: DataFrame, unit:
     """
     seconds = step_ms / 1000
     steps = players.select(*PLAYER, "duration_ms", F.explode(F.sequence(F.lit(0), F.floor(F.col("duration_ms") / step_ms).cast("int"))).alias("step"))
-    priced = events.join(F.broadcast(costs), ["kind", "target_id"], "left")
+    priced = events.join(costs, ["kind", "target_id"], "left")
     # an event counts from the first step at or after it
     per = priced.groupBy(*PLAYER, F.ceil(F.col("t_ms") / step_ms).cast("int").alias("step")).agg(F.sum(F.when(is_kind("train", [unit]), expanded()).otherwise(0)).alias("v"), F.sum(F.coalesce("cost", F.lit(0))).alias("c"))
     own = W.partitionBy(*PLAYER).orderBy("step")
@@ -277,22 +277,39 @@ def resolve_focus(players: DataFrame, selector: str) -> DataFrame:
     return found.join(F.broadcast(checked)).filter("ok is null").drop("ok")
 
 
-def player_metrics(events: DataFrame, players: DataFrame, costs: DataFrame, ages: Mapping[str, int] = AGES) -> DataFrame:
-    """One wide row per player: age clicks, first events, queues, idle time, places, floats and rates."""
+def player_metrics(events: DataFrame, players: DataFrame, costs: DataFrame, ages: Mapping[str, int] = AGES, per_second: float = 0.30, busy_ms: Mapping[int, int] = CENTRE_MS) -> DataFrame:
+    """One wide row per player: age clicks, first events, queues, idle time, places, floats and rates.
+
+    What needs no places and no grid of steps is counted in one pass over the events beside their player's clicks.
+    """
     clicks = age_clicks(events, ages)
-    bases = base_centroid(events)
-    bounds = lambda until, since: clicks.filter(f"{until} is not null").select(*PLAYER, F.col(until).alias("until_ms"), since.alias("since_ms"))
-    dark = idle_time(events, bounds("feudal_ms", F.lit(0))).withColumnRenamed("idle_ms", "idle_dark_ms")
-    all_castle = idle_time(events, bounds("castle_ms", F.lit(0))).withColumnRenamed("idle_ms", "idle_castle_ms")
+    lasts = F.element_at(F.create_map(*(F.lit(x) for kv in busy_ms.items() for x in kv)), F.col("target_id").cast("int"))
+
+    def queued(until: str) -> Column:
+        return F.coalesce(F.sum(F.when(is_kind("train", [VILLAGER]) & (F.col("t_ms") <= F.col(until)), expanded())), F.lit(0)).cast("long")
+
+    def busy(until: str) -> Column:
+        return F.coalesce(F.sum(F.when((F.col("kind") == "research") & (F.col("t_ms") < F.col(until)), F.least(lasts, F.col(until) - F.col("t_ms")))), F.lit(0)).cast("long")
+
+    def idle(age: str) -> Column:
+        floor = lambda x: F.greatest(x, F.lit(0))
+        return F.when(F.col(f"{age}_ms").isNotNull(), floor(floor(F.col(f"{age}_ms") - F.col(f"_vils_{age}") * VILLAGER_MS) - F.col(f"_busy_{age}"))).cast("long")
+
     counted = events.join(clicks, PLAYER, "left").groupBy(*PLAYER).agg(
+        *(F.first(f"{age}_ms").alias(f"{age}_ms") for age in ages),
         first_at((F.col("kind") == "train") & ~F.col("target_id").isin(*ECO_UNITS)).alias("first_military_ms"),
         first_at(is_kind("build", CENTRES)).alias("first_centre_ms"),
-        F.coalesce(F.sum(F.when(is_kind("train", [VILLAGER]) & (F.col("t_ms") <= F.col("castle_ms")), expanded())), F.lit(0)).cast("long").alias("vils_castle"),
+        queued("castle_ms").alias("vils_castle"),
         F.count_if(F.col("kind").isin("market_buy", "market_sell")).alias("market_uses"),
         *(first_at(is_kind("research", [t])).alias(f"tech_{t}_ms") for t in WATCHED),
+        F.count(F.lit(1)).alias("_commands"),
+        *(x for age in ("feudal", "castle") for x in (queued(f"{age}_ms").alias(f"_vils_{age}"), busy(f"{age}_ms").alias(f"_busy_{age}"))),
     )
-    peak = float_peak(float_windows(events, costs, players)).select(*PLAYER, F.col("rate").alias("float_rate"), F.col("banked").alias("float_banked"))
-    out = players.join(clicks, PLAYER, "left").join(counted, PLAYER, "left")
-    for part in (apm(events, players), dark, all_castle, peak, bases, nearest_enemy(bases, players).withColumnRenamed("distance", "nearest_enemy"), find_enemy(events, bases, players).withColumnRenamed("t_ms", "find_enemy_ms")):
+    bases = base_centroid(events)
+    peak = float_peak(float_windows(events, costs, players, per_second=per_second)).select(*PLAYER, F.col("rate").alias("float_rate"), F.col("banked").alias("float_banked"), F.col("start_ms").alias("float_start_ms"), F.col("end_ms").alias("float_end_ms"))
+    out = players.join(counted, PLAYER, "left")
+    for part in (peak, bases, nearest_enemy(bases, players).withColumnRenamed("distance", "nearest_enemy"), find_enemy(events, bases, players).withColumnRenamed("t_ms", "find_enemy_ms")):
         out = out.join(part, PLAYER, "left")
-    return out.withColumn("idle_feudal_ms", F.greatest(F.col("idle_castle_ms") - F.col("idle_dark_ms"), F.lit(0)))
+    minutes = F.greatest(F.col("duration_ms") / float(MINUTE), F.lit(1 / 60))
+    out = out.withColumns({"apm": F.round(F.coalesce("_commands", F.lit(0)) / minutes, 6), "idle_dark_ms": idle("feudal"), "idle_castle_ms": idle("castle")})
+    return out.withColumn("idle_feudal_ms", F.greatest(F.col("idle_castle_ms") - F.col("idle_dark_ms"), F.lit(0))).drop("_commands", *(f"_{x}_{age}" for x in ("vils", "busy") for age in ("feudal", "castle")))

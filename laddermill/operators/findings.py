@@ -18,25 +18,21 @@ PLAYER = ["match_id", "profile_id"]
 
 
 def fallback(rows: DataFrame, table: DataFrame, on: Sequence[str], steps: Sequence[tuple[str, dict[str, str | None]]], values: Sequence[str]) -> DataFrame:
-    """rows with `values` and `kind` of the first step whose cell exists.
-
-    on: columns always equal. A step names, for each further column, the value to look up (None: the row's own). One
-    join on `on` brings the candidates, which are a few per row; the best step is kept by min_by."""
-    more = list(steps[0][1])
-    cells = table.select(*on, *(F.col(c).alias(f"_{c}") for c in more), *(F.col(v).alias(f"_v_{v}") for v in values))
-    met = rows.join(cells, list(on), "left")
-    rank = None
+    """rows with `values` and `kind` of the first step whose cell exists; a key has one cell in the table at most.
+
+    on: columns always equal. A step names, for each further column, the value to look up (None: the row's own). Each
+    step is one join on its full key, so rows never multiply and stay where they are if the table is small enough to be
+    broadcast."""
+    out, found = rows, []
     for i, (_, wanted) in enumerate(steps):
-        hit = F.lit(True)
+        cells, own = table, [c for c, value in wanted.items() if value is None]
         for c, value in wanted.items():
-            hit = hit & (F.col(f"_{c}") == (F.col(c) if value is None else F.lit(value)))
-        rank = F.when(hit, i) if rank is None else rank.when(hit, i)
-    met = met.withColumn("_rank", rank)
-    keys = [c for c in rows.columns]
-    best = met.groupBy(*keys).agg(F.min_by(F.struct(*(F.col(f"_v_{v}").alias(v) for v in values)), "_rank").alias("_best"), F.min("_rank").alias("_rank"))
-    names = F.array(*(F.lit(n) for n, _ in steps))
-    found = F.col("_rank").isNotNull()
-    return best.select(*keys, *(F.when(found, F.col(f"_best.{v}")).alias(v) for v in values), F.when(found, F.get(names, F.col("_rank"))).alias("kind"))
+            if value is not None:
+                cells = cells.filter(F.col(c) == value)
+        out = out.join(cells.select(*on, *own, F.struct(*values).alias(f"_step_{i}")), [*on, *own], "left")
+        found.append(F.col(f"_step_{i}"))
+    kind = F.coalesce(*(F.when(x.isNotNull(), F.lit(name)) for x, (name, _) in zip(found, steps, strict=True)))
+    return out.withColumn("_best", F.coalesce(*found)).select(*rows.columns, *(F.col(f"_best.{v}").alias(v) for v in values), kind.alias("kind"))
 
 
 BENCH = ["feudal_s", "castle_s", "imperial_s", "vils_castle"]
@@ -89,44 +85,68 @@ class Rules:
 SEVERITY = {"high": 3, "med": 2, "low": 1}
 
 
+def with_top_band(players: DataFrame, bench: DataFrame, band: str = "2500+") -> DataFrame:
+    """players with pro_castle_s: the castle time of the exact cell of the top band, on their civ, map and mode."""
+    steps = [("exact", {"elo_bucket": band, "ladder": None})]
+    return fallback(players, bench, ["civ_id", "map_id"], steps, ["castle_s"]).withColumnRenamed("castle_s", "pro_castle_s").drop("kind")
+
+
 def findings(metrics: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """A row per finding: match_id, profile_id, code, your, reference, basis, severity.
+    """A row per finding: match_id, profile_id, code, your, reference, basis, severity, vars (what its text names).
 
-    metrics have the reference's columns joined (bench_slice, and pro_castle_s of the top band's exact cell), and
+    metrics have the reference's columns joined (bench_slice: kind and its values; with_top_band: pro_castle_s), and
     idle_dark_s, idle_feudal_s, feudal_t, castle_t, imperial_t (completion), feudal_click, castle_click, loom_s,
-    wheelbarrow_s, vils, float_rate, first_military_s, family, nearest_enemy, find_enemy_s, role and mode.
+    wheelbarrow_s, vils, float_rate, float_banked, float_start_s, float_end_s, first_military_s, family, nearest_enemy,
+    find_enemy_s, role and mode. Comparisons with a reference need a rating.
     """
     c = F.col
-    opponent = metrics.filter("mode = '1v1'").select(F.col("match_id").alias("_match"), F.col("profile_id").alias("_opp"), F.col("feudal_click").alias("opp_feudal"))
-    rows = metrics.join(opponent, F.expr("match_id = _match and profile_id <> _opp"), "left").drop("_match", "_opp")
+    opponent = metrics.filter("mode = '1v1'").select(F.col("match_id").alias("_match"), F.col("profile_id").alias("opp"), F.col("feudal_click").alias("opp_feudal"))
+    rows = metrics.join(opponent, F.expr("match_id = _match and profile_id <> opp"), "left").drop("_match")
 
-    def found(cond: Column, code: str, your: Column, reference: Column | str, basis: str, severity: Column | str) -> Column:
+    def found(cond: Column, code: str, your: Column, reference: Column | str, basis: str, severity: Column | str, **named: Column) -> Column:
         level = severity if isinstance(severity, Column) else F.lit(severity)
         ref = reference if isinstance(reference, Column) else F.lit(reference)
-        return F.when(cond, F.struct(F.lit(code).alias("code"), your.cast("string").alias("your"), ref.cast("string").alias("reference"), F.lit(basis).alias("basis"), level.alias("severity")))
+        entries = [F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in sorted(named.items())]
+        listed = F.map_from_entries(F.array(*entries)) if entries else F.create_map().cast("map<string,string>")
+        return F.when(cond, F.struct(F.lit(code).alias("code"), your.cast("string").alias("your"), ref.cast("string").alias("reference"), F.lit(basis).alias("basis"), level.alias("severity"), listed.alias("vars")))
 
     slack = F.when(c("role") == "pocket", rules.castle_pocket).otherwise(rules.castle)
     by = lambda when, age: when.isNotNull() & (when <= age)
+    rated = c("elo_bucket").isNotNull()
+    whole = lambda x: F.bround(x).cast("long")
+    ref_kind = F.when((c("kind") == "mapall") & (c("mode") == "1v1"), "mapall_1v1").otherwise(c("kind"))
+    cell = {"ref_kind": ref_kind, "bucket": c("elo_bucket"), "mode": c("mode"), "map": c("map_id")}
+    seconds = lambda x: F.concat(F.floor(x).cast("string"), F.lit("s"))
+    window = F.when(c("float_start_s").isNotNull(), F.concat(F.lit(" ("), mmss(c("float_start_s")), F.lit("–"), mmss(c("float_end_s")), F.lit(")"))).otherwise("")
+    floated = F.concat(F.lit("~"), whole(c("float_rate")), F.lit(" res/min ≈ "), whole(c("float_banked")), F.lit(" banked"), window)
+    # Codes, limits and short texts of the findings.
     every = [
-        found(c("idle_dark_s") > rules.idle_dark_high, "idle_tc_dark_high", mmss(c("idle_dark_s")), "~0-30s", "absolute", "high"),
-        found((c("idle_dark_s") > rules.idle_dark_med) & (c("idle_dark_s") <= rules.idle_dark_high), "idle_tc_dark_med", mmss(c("idle_dark_s")), "~0-30s", "absolute", "med"),
-        found(c("idle_feudal_s") > rules.idle_feudal, "idle_tc_feudal", mmss(c("idle_feudal_s")), "<25s", "absolute", "med"),
-        found(c("feudal_t") > c("feudal_s") + rules.feudal[0], "feudal_slow", mmss(c("feudal_t")), mmss(c("feudal_s")), "your_elo", F.when(c("feudal_t") > c("feudal_s") + rules.feudal[1], "high").otherwise("med")),
-        found(c("castle_t") > c("castle_s") + slack, "castle_slow", mmss(c("castle_t")), mmss(c("castle_s")), "your_elo", F.when(c("castle_t") > c("castle_s") + slack + rules.castle_high, "high").otherwise("med")),
-        found(c("imperial_t") > c("imperial_s") + rules.imperial, "imperial_slow", mmss(c("imperial_t")), mmss(c("imperial_s")), "your_elo", "low"),
-        found(c("castle_click").isNotNull() & (c("vils") + rules.vils[0] < c("vils_castle")), "villagers_castle", c("vils"), F.round("vils_castle").cast("long"), "your_elo", F.when(c("vils") + rules.vils[1] < c("vils_castle"), "high").otherwise("med")),
-        found(c("castle_t") > c("pro_castle_s") + rules.pro_castle, "castle_vs_pro", mmss(c("castle_t")), mmss(c("pro_castle_s")), "pro", "low"),
+        found(c("idle_dark_s") > rules.idle_dark_high, "idle_tc_dark_high", seconds(c("idle_dark_s")), "~0-30s", "absolute", "high"),
+        found((c("idle_dark_s") > rules.idle_dark_med) & (c("idle_dark_s") <= rules.idle_dark_high), "idle_tc_dark_med", seconds(c("idle_dark_s")), "~0-30s", "absolute", "med"),
+        found(c("idle_feudal_s") > rules.idle_feudal, "idle_tc_feudal", seconds(c("idle_feudal_s")), "<25s", "absolute", "med"),
+        found(rated & (c("feudal_t") > c("feudal_s") + rules.feudal[0]), "feudal_slow", mmss(c("feudal_t")), mmss(c("feudal_s")), "your_elo", F.when(c("feudal_t") > c("feudal_s") + rules.feudal[1], "high").otherwise("med"), civ=c("civ_id"), **cell),
+        found(rated & (c("castle_t") > c("castle_s") + slack), "castle_slow", mmss(c("castle_t")), mmss(c("castle_s")), "your_elo", F.when(c("castle_t") > c("castle_s") + slack + rules.castle_high, "high").otherwise("med"), **cell),
+        found(rated & (c("imperial_t") > c("imperial_s") + rules.imperial), "imperial_slow", mmss(c("imperial_t")), mmss(c("imperial_s")), "your_elo", "low", **cell),
+        found(rated & c("castle_click").isNotNull() & (c("vils") + rules.vils[0] < c("vils_castle")), "villagers_castle", c("vils"), F.concat(F.lit("~"), whole(c("vils_castle"))), "your_elo", F.when(c("vils") + rules.vils[1] < c("vils_castle"), "high").otherwise("med"), ref_v=whole(c("vils_castle"))),
+        found(rated & (c("castle_t") > c("pro_castle_s") + rules.pro_castle), "castle_vs_pro", mmss(c("castle_t")), mmss(c("pro_castle_s")), "pro", "low", gap=mmss(c("castle_t") - c("pro_castle_s")), map=c("map_id")),
         found(c("castle_click").isNotNull() & ~by(c("wheelbarrow_s"), c("castle_click")), "no_wheelbarrow", F.lit("not by Castle"), "by Castle Age", "absolute", "med"),
         found(c("feudal_click").isNotNull() & ~by(c("loom_s"), c("feudal_click")), "no_loom", F.lit("not by Feudal"), "by Feudal", "absolute", "low"),
-        found(c("float_rate") > rules.float_rate, "floating_res", F.round("float_rate").cast("long"), "reinvest", "absolute", "med"),
+        found(c("float_rate") > rules.float_rate, "floating_res", floated, "reinvest", "absolute", "med"),
         found(c("first_military_s").isNull() | (c("first_military_s") > rules.military), "late_military", F.coalesce(mmss(c("first_military_s")), F.lit("none")), "<20 min", "absolute", "low"),
-        found((c("family") == "open") & c("nearest_enemy").isNotNull() & c("find_enemy_s").isNull(), "never_scouted", F.lit("never reached enemy"), "by ~6-8 min", "absolute", "med"),
-        found((c("family") == "open") & c("nearest_enemy").isNotNull() & (c("find_enemy_s") > rules.scouted), "scouted_late", mmss(c("find_enemy_s")), "by ~6-8 min", "absolute", "low"),
-        found((c("mode") == "1v1") & (c("feudal_click") - c("opp_feudal") > rules.opponent), "feudal_vs_opp", mmss(c("feudal_click")), mmss(c("opp_feudal")), "opponent", "med"),
+        found((c("family") == "open") & c("nearest_enemy").isNotNull() & c("find_enemy_s").isNull(), "never_scouted", F.lit("never reached enemy"), "by ~6–8 min", "absolute", "med"),
+        found((c("family") == "open") & c("nearest_enemy").isNotNull() & (c("find_enemy_s") > rules.scouted), "scouted_late", mmss(c("find_enemy_s")), "by ~6–8 min", "absolute", "low"),
+        found((c("mode") == "1v1") & (c("feudal_click") - c("opp_feudal") > rules.opponent), "feudal_vs_opp", mmss(c("feudal_click")), mmss(c("opp_feudal")), "opponent", "med", gap=F.floor(c("feudal_click") - c("opp_feudal")), opp=c("opp")),
     ]
     return rows.select(*PLAYER, F.explode(F.array_compact(F.array(*every))).alias("f")).select(*PLAYER, "f.*")
 
 
+def metrics_of(measured: DataFrame) -> DataFrame:
+    """Columns of `findings` from those of `player_metrics`: milliseconds as seconds, what is trained by Castle as vils."""
+    named = {"feudal_ms": "feudal_click", "castle_ms": "castle_click", "idle_dark_ms": "idle_dark_s", "idle_feudal_ms": "idle_feudal_s", "tech_22_ms": "loom_s", "tech_213_ms": "wheelbarrow_s", "float_start_ms": "float_start_s", "float_end_ms": "float_end_s", "first_military_ms": "first_military_s", "find_enemy_ms": "find_enemy_s"}
+    same = [c for c in measured.columns if c not in named and c != "vils_castle"]
+    return measured.select(*same, F.col("vils_castle").alias("vils"), *((F.col(ms) / 1000).alias(s) for ms, s in named.items()))
+
+
 def rank_findings(found: DataFrame) -> DataFrame:
     level = F.element_at(F.create_map(*(F.lit(x) for kv in SEVERITY.items() for x in kv)), F.col("severity"))
     return found.withColumn("level", level).orderBy(F.desc("level"), *PLAYER, "code")

@@ -19,7 +19,7 @@ MAX_ATTEMPTS, BACKOFF_S, MAX_DOUBLINGS = 8, 60, 6
 def resolve_dims(df: DataFrame, **dims: DataFrame) -> DataFrame:
     """df with each dimension's id joined by its slug: dims maps a slug column of df to (slug, id) tables."""
     for column, dim in dims.items():
-        df = df.join(F.broadcast(dim.withColumnRenamed("slug", column)), column)
+        df = df.join(dim.withColumnRenamed("slug", column), column)
     return df
 
 
@@ -70,9 +70,9 @@ def upsert_dim(target: DataFrame, source: DataFrame, pk: str) -> DataFrame:
 
 
 def filter_known(df: DataFrame, dim: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """The rows whose id the dimension has, and a census: number of rows dropped and their ids."""
+    """The rows whose id the dimension has, and a census: each id that it lacks, with the number of rows dropped."""
     dropped = df.join(dim.select(key), key, "left_anti")
-    return df.join(dim.select(key), key, "left_semi"), dropped.agg(F.count(F.lit(1)).alias("dropped"), F.sort_array(F.collect_set(key)).alias("ids"))
+    return df.join(dim.select(key), key, "left_semi"), dropped.groupBy(key).agg(F.count(F.lit(1)).alias("dropped"))
 
 
 def attach_seed(meta: DataFrame, players: DataFrame, seed: DataFrame) -> DataFrame:
@@ -106,14 +106,34 @@ def compose(parsed: DataFrame, seed: DataFrame, kinds: dict[int, str]) -> DataFr
     checked = F.coalesce(ladder, F.raise_error(F.lit("unknown match type")).cast("string"))
     map_id = F.coalesce("map_id", F.raise_error(F.lit("a match without a map")).cast("int"))
     same = F.when(F.col("seed_match_id") == F.col("match_id"), F.col("match_id")).otherwise(F.raise_error(F.lit("seed of another match")).cast("long"))
-    return rows.select(same.alias("match_id"), checked.alias("ladder"), map_id.alias("map_id"), "duration_ms")
+    more = [c for c in ("build", "played_at", "n_players") if c in rows.columns]
+    return rows.select(same.alias("match_id"), checked.alias("ladder"), map_id.alias("map_id"), "duration_ms", *more)
+
+
+def compose_players(parsed: DataFrame, players: DataFrame, events: DataFrame, fast_civ: int, **of_opening) -> dict[str, DataFrame]:
+    """The tables below composed matches (match_id, duration_ms): players, units, techs.
+
+    players: match_id, profile_id, civ_id, won, post_elo (of the player's own post-game block, null without one). A player
+    gets opening, opening_kind, completed ages in seconds and commands a minute from the events; what these don't show is
+    null. Rows of other matches are left out. of_opening: `ages`, and the options of `classify_opening`.
+    """
+    from laddermill.operators import events as e
+
+    own = players.join(parsed.select("match_id", "duration_ms"), "match_id")
+    moves = gate(events, parsed)
+    clicks = e.age_clicks(moves, of_opening.pop("ages", e.AGES))
+    ages = e.completion(own.select(*e.PLAYER, "civ_id").join(clicks, e.PLAYER), fast_civ)
+    rows = own.select("match_id", "profile_id", "civ_id", F.col("post_elo").alias("elo"), "won")
+    for part in (e.classify_opening(moves, clicks, **of_opening), ages, e.apm(moves, own)):
+        rows = rows.join(part, e.PLAYER, "left")
+    return {"players": rows, "units": e.player_units(moves), "techs": e.player_techs(moves)}
 
 
 def discover(matches: DataFrame, players: DataFrame, misses: DataFrame, floor: str, n: int) -> DataFrame:
     """The newest n archive matches from a date on that are not known misses; cut first, then joined with players."""
     fresh = matches.filter((F.col("source") == "archive") & (F.col("played_at") >= F.lit(floor).cast("date"))).join(misses.select("match_id"), "match_id", "left_anti")
     newest = fresh.orderBy(F.desc("played_at"), F.desc("match_id")).limit(n)
-    ids = players.join(F.broadcast(newest.select("match_id")), "match_id").groupBy("match_id").agg(F.array_join(F.sort_array(F.collect_list("profile_id")), ",").alias("profile_ids"))
+    ids = players.join(newest.select("match_id"), "match_id").groupBy("match_id").agg(F.array_join(F.sort_array(F.collect_list("profile_id")), ",").alias("profile_ids"))
     return newest.select("match_id", "played_at").join(ids, "match_id")
 
 
@@ -164,4 +184,4 @@ def merge_seeds(seeds: DataFrame) -> DataFrame:
 
 
 def lookup_default(df: DataFrame, dim: DataFrame, key: str, value: str, default: str) -> DataFrame:
-    return df.join(F.broadcast(dim.select(key, value)), key, "left").withColumn(value, F.coalesce(value, F.lit(default)))
+    return df.join(dim.select(key, value), key, "left").withColumn(value, F.coalesce(value, F.lit(default)))

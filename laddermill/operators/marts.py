@@ -73,9 +73,13 @@ def patch_axis(matches: DataFrame) -> DataFrame:
 
 
 def pairs(matches: DataFrame, players: DataFrame, ladder: str) -> DataFrame:
-    """Ordered pairs of opponents. 1v1: the two players; team: players with opposite results. Mirrors are left out."""
-    side = rated(players).filter("won is not null and civ_id <> 0").join(matches.filter(F.col("ladder") == ladder).select("match_id", "map_id"), "match_id")
-    other = side.select("match_id", F.col("profile_id").alias("opp_profile"), F.col("civ_id").alias("opp_civ_id"), F.col("won").alias("opp_won"))
+    """Ordered pairs of opponents. 1v1: the two players; team: players with opposite results. Mirrors are left out.
+
+    Only the first of a pair needs a result; on the team ladder opposite results need both.
+    """
+    every = rated(players).filter("civ_id <> 0").join(matches.filter(F.col("ladder") == ladder).select("match_id", "map_id"), "match_id")
+    side = every.filter("won is not null")
+    other = (every if ladder == "1v1" else side).select("match_id", F.col("profile_id").alias("opp_profile"), F.col("civ_id").alias("opp_civ_id"), F.col("won").alias("opp_won"))
     met = "profile_id <> opp_profile" if ladder == "1v1" else "won <> opp_won"
     return side.join(other, "match_id").filter(f"{met} and civ_id <> opp_civ_id")
 
@@ -104,14 +108,15 @@ def benchmark_ageup(matches: DataFrame, players: DataFrame, min_n: int = 50) ->
 
 
 def benchmark_vils(matches: DataFrame, players: DataFrame, ages: DataFrame, min_n: int = 50) -> DataFrame:
-    """Median villagers up to Castle Age of winners that have dark and feudal windows and reached Castle Age."""
-    per = ages.filter("won").groupBy("match_id", "profile_id", "civ_id").agg(
-        F.sum(F.when(F.col("age").isin("dark", "feudal"), F.col("villagers"))).alias("vils"),
-        F.bool_or(F.col("age") == "dark").alias("dark"),
-        F.bool_or(F.col("age") == "feudal").alias("feudal"),
-        F.bool_or((F.col("age") == "castle") & (F.col("uptime_ms") > 0)).alias("castle"),
+    """Median villagers up to Castle Age of winners that have dark and feudal windows and reached Castle Age.
+
+    A window with a negative uptime was not reached and counts nowhere.
+    """
+    early = F.col("age").isin("dark", "feudal")
+    per = ages.filter("age in ('dark', 'feudal', 'castle') and uptime_ms >= 0").groupBy("match_id", "profile_id", "civ_id").agg(
+        F.bool_or("won").alias("won"), F.sum(F.when(early, F.col("villagers"))).alias("vils"), F.count_if(early).alias("windows"), F.bool_or(F.col("age") == "castle").alias("castle")
     )
-    rows = per.filter("dark and feudal and castle and civ_id <> 0").join(rated(players).filter("elo is not null").select("match_id", "profile_id", "elo_bucket"), ["match_id", "profile_id"])
+    rows = per.filter("won and castle and windows = 2 and vils is not null and civ_id <> 0").join(rated(players).filter("elo is not null").select("match_id", "profile_id", "elo_bucket"), ["match_id", "profile_id"])
     rows = rows.join(matches.select("match_id", "map_id", "ladder"), "match_id")
     sets = [["civ_id", "map_id", "elo_bucket", "ladder"], ["civ_id", "map_id", "ladder"], ["civ_id", "map_id"]]
     named = [rollup_label(k).alias(f"g_{i}") for i, k in enumerate(("elo_bucket", "ladder"))]
@@ -134,9 +139,11 @@ def civ_cube(matches: DataFrame, players: DataFrame, min_games: int = 20, ladder
     return rows.groupBy("civ_id", "elo_bucket", "map_id", "build").agg(F.count(F.lit(1)).alias("games"), F.count_if("won").alias("wins")).filter(F.col("games") >= min_games)
 
 
-def winners(matches: DataFrame, players: DataFrame, source: str = "replay") -> DataFrame:
+def winners(matches: DataFrame, players: DataFrame, source: str | None = "replay", random_civ: bool = False) -> DataFrame:
+    """Rated winners of 1v1 matches, of one source or (None) of all, with or without those of civ 0."""
     scoped = matches.filter((F.col("source") == source) & (F.col("ladder") == "1v1")) if source else matches.filter("ladder = '1v1'")
-    return rated(players).filter("won and civ_id <> 0 and elo is not null").join(scoped.select("match_id", "map_id"), "match_id")
+    won = rated(players).filter("won and elo is not null")
+    return (won if random_civ else won.filter("civ_id <> 0")).join(scoped.select("match_id", "map_id"), "match_id")
 
 
 def share(part: str, whole: str) -> Column:
@@ -173,13 +180,17 @@ def winner_refs_ecotech(won: DataFrame, techs: DataFrame, min_n: int = 50) -> Da
 
 
 def winner_refs_meds(won: DataFrame, events: DataFrame, min_n: int = 50) -> DataFrame:
-    """Medians of winners' first military unit and four techs, by (map, band) and (band); a missing event counts nowhere."""
+    """Medians of winners' first military unit and four techs, by (map, band) and (band).
+
+    Winners without any of these events count nowhere; a winner without one of them only in the other medians.
+    """
     first = lambda cond: F.min(F.when(cond, F.col("t_ms")))
     kind, target = F.col("kind"), F.col("target_id")
-    firsts = events.groupBy("match_id", "profile_id").agg(
-        first((kind == "train") & ~target.isin(*MILITARY_OUT)).alias("military"), *(first((kind == "research") & (target == t)).alias(f"t{t}") for t in REF_TECHS[:4])
+    asked = ((kind == "train") & ~target.isin(*MILITARY_OUT)) | ((kind == "research") & target.isin(*REF_TECHS[:4]))
+    firsts = events.filter(asked).groupBy("match_id", "profile_id").agg(
+        first(kind == "train").alias("military"), *(first((kind == "research") & (target == t)).alias(f"t{t}") for t in REF_TECHS[:4])
     )
-    rows = won.select("match_id", "profile_id", "map_id", "elo_bucket").join(firsts, ["match_id", "profile_id"], "left")
+    rows = won.select("match_id", "profile_id", "map_id", "elo_bucket").join(firsts, ["match_id", "profile_id"])
     names = ["military", *(f"t{t}" for t in REF_TECHS[:4])]
     cells = rows.groupingSets([[F.col("map_id"), F.col("elo_bucket")], [F.col("elo_bucket")]], F.col("map_id"), F.col("elo_bucket")).agg(
         F.count(F.lit(1)).alias("n"), *(F.percentile(c, 0.5).alias(f"{c}_median") for c in names), rollup_label("map_id").alias("g")

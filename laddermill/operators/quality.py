@@ -77,11 +77,12 @@ def text_rules(df: DataFrame, key: str, slug: str, region: str, label: str, bonu
     return violation(df.withColumn("_hit", F.explode(hits)), F.col("_hit"), F.col(key), F.col(label))
 
 
-def sequence(steps: DataFrame, builds: DataFrame, slack_s: int = 90) -> DataFrame:
+def sequence(steps: DataFrame, builds: DataFrame, slack_s: int = 90, facts: DataFrame | None = None) -> DataFrame:
     """Ordered steps of builds: the counter never falls, times rise, a "+N" text says by how much the counter grows,
-    the last time is within the length, and the phase never goes back.
+    the last time is within the length, the phase never goes back, and no unit is of a later phase than the target.
 
-    steps: build_id, nth, counter, at_s, phase, text; builds: build_id, duration_s, target_phase.
+    steps: build_id, nth, counter, at_s, phase, text, and unit where there are facts (unit, phase); builds: build_id,
+    duration_s, target_phase.
     """
     own = W.partitionBy("build_id").orderBy("nth")
     said = F.regexp_extract("text", r"\+(\d+)", 1).try_cast("int")
@@ -92,7 +93,11 @@ def sequence(steps: DataFrame, builds: DataFrame, slack_s: int = 90) -> DataFram
     inner = violation(rows.withColumn("_hit", F.explode(hits)), F.col("_hit"), F.concat_ws("/", "build_id", "nth"), F.col("counter"))
     ends = steps.groupBy("build_id").agg(F.max_by("at_s", "nth").alias("last_s"), F.max("phase").alias("top")).join(builds, "build_id")
     late = violation(ends.filter(F.col("last_s") > F.col("duration_s") + slack_s), "length", F.col("build_id"), F.col("last_s"))
-    return inner.unionByName(late).unionByName(violation(ends.filter("top > target_phase"), "target", F.col("build_id"), F.col("top")))
+    out = inner.unionByName(late).unionByName(violation(ends.filter("top > target_phase"), "target", F.col("build_id"), F.col("top")))
+    if facts is None:
+        return out
+    units = steps.select("build_id", "unit").distinct().join(facts.select("unit", F.col("phase").alias("unit_phase")), "unit").join(builds, "build_id")
+    return out.unionByName(violation(units.filter("unit_phase > target_phase"), "unit", F.concat_ws("/", "build_id", "unit"), F.col("unit_phase")))
 
 
 def pairs(base: DataFrame, twin: DataFrame, key: str, body: str, fields: Sequence[str], allowed: Sequence[str] = ()) -> DataFrame:

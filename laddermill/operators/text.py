@@ -22,9 +22,16 @@ def consensus(df: DataFrame, key: str, columns: Sequence[str]) -> tuple[DataFram
     return per.filter("variants = 1").drop("variants"), per.filter("variants > 1").select(key, "variants")
 
 
-def first_wins(df: DataFrame, key: str, order: Sequence[str | Column], present: DataFrame | None = None) -> DataFrame:
+def first_wins(df: DataFrame, key: str, order: Sequence[str | Column], present: DataFrame | None = None, aliases: Mapping | None = None) -> DataFrame:
+    """Of the rows of each key the first in order, of keys that are present. aliases: a key without a row, and the key
+    whose row stands in for it."""
     rows = df.join(present.select(key).distinct(), key, "left_semi") if present is not None else df
-    return rows.withColumn("_nth", F.row_number().over(W.partitionBy(key).orderBy(*order))).filter("_nth = 1").drop("_nth")
+    first = rows.withColumn("_nth", F.row_number().over(W.partitionBy(key).orderBy(*order))).filter("_nth = 1").drop("_nth")
+    if not aliases:
+        return first
+    pairs = F.array(*(F.struct(F.lit(alias).alias("alias"), F.lit(source).alias("source")) for alias, source in aliases.items()))
+    more = first.withColumn("_alias", F.explode(F.filter(pairs, lambda x: x["source"] == F.col(key)))).withColumn(key, F.col("_alias.alias")).drop("_alias")
+    return first.unionByName(more.join(first.select(key), key, "left_anti").select(*first.columns))
 
 
 def resolve_names(ids: DataFrame, names: DataFrame, key: str) -> DataFrame:
@@ -36,7 +43,7 @@ def bonus_string(df: DataFrame, labels: DataFrame, key: str, base: Sequence[int]
     labels: class, label, small by nature. An unknown class is an error; keys without a bonus have null."""
     rows = df.select(key, F.explode_outer("bonuses").alias("b")).select(key, F.col("b.class").alias("class"), F.col("b.amount").alias("amount"))
     wanted = (F.col("amount") > 0) & ~F.col("class").isin(*base)
-    named = rows.join(F.broadcast(labels), "class", "left").withColumn("label", F.when(wanted, F.coalesce("label", F.raise_error(F.concat(F.lit("unknown class "), F.col("class"))).cast("string"))))
+    named = rows.join(labels, "class", "left").withColumn("label", F.when(wanted, F.coalesce("label", F.raise_error(F.concat(F.lit("unknown class "), F.col("class"))).cast("string"))))
     item = F.when(wanted, F.struct("class", F.format_string("+%d %s", "amount", "label").alias("s")))
     per = named.groupBy(key).agg(F.array_sort(F.array_compact(F.collect_list(item))).alias("l"))
     return per.select(key, F.when(F.size("l") > 0, F.array_join(F.transform("l", lambda x: x["s"]), "; ")).alias("bonus"))
@@ -59,16 +66,26 @@ def span(c: Column, tag: str) -> Column:
     return F.when(found != "", html_text(found))
 
 
-def sectioned_text(df: DataFrame, key: str, text: str, headers: Sequence[str]) -> DataFrame:
+def sectioned_text(df: DataFrame, key: str, text: str, headers: Sequence[str], required: Mapping[str, int] | None = None) -> DataFrame:
     """Items of each section of a text: a header line opens a section; bullets and commas part items; a trailing
-    parenthesis without another inside is an item's effect. Lines before the first header are left out."""
+    parenthesis without another inside is an item's effect. Lines before the first header are left out. required: how
+    many items a section must have in every text; another number is an error."""
     lines = df.select(key, F.posexplode(F.split(text, "\n")).alias("nth", "line")).withColumn("line", F.trim("line"))
     head = F.when(F.rtrim(F.col("line"), F.lit(":")).isin(*headers), F.rtrim(F.col("line"), F.lit(":")))
     placed = lines.withColumn("head", head).withColumn("section", F.last("head", ignorenulls=True).over(W.partitionBy(key).orderBy("nth")))
     items = placed.filter("section is not null and head is null").select(key, "section", "nth", F.posexplode(F.split(F.regexp_replace("line", r"^[•*-]\s*", ""), r",\s*(?![^(]*\))")).alias("part", "item")).filter("item <> ''")
     effect = F.regexp_extract("item", r"\(([^()]*)\)$", 1)
     name = F.trim(F.regexp_replace("item", r"\([^()]*\)$", ""))
-    return items.select(key, "section", "nth", "part", name.alias("name"), F.when(effect != "", effect).alias("effect"))
+    found = items.select(key, "section", "nth", "part", name.alias("name"), F.when(effect != "", effect).alias("effect"))
+    if not required:
+        return found
+    counted = found.groupBy(key).agg(*(F.count_if(F.col("section") == s).alias(f"_n{i}") for i, s in enumerate(required)))
+    rows = df.select(key).distinct().join(counted, key, "left")
+    for i, (section, n) in enumerate(required.items()):
+        have = F.coalesce(f"_n{i}", F.lit(0))
+        rows = rows.withColumn(f"_n{i}", F.when(have != n, F.raise_error(F.concat_ws(" ", F.lit(section), F.lit("has"), have, F.lit("items in"), F.col(key))).cast("bigint")).otherwise(have))
+    checked = rows.filter(" and ".join(f"_n{i} >= 0" for i in range(len(required)))).select(key)
+    return checked.join(found, key)
 
 
 def canonical_join(df: DataFrame, side: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -88,6 +88,10 @@ add(
     f"select canonical, arg_max(slug, (games, slug)) as slug, max(games) as games from (select *, canonical || '-' || v as slug from ({VARIANTS})) where civs >= 3 group by 1",
 )
 add("top_civs", lambda t: q.top_n(meta(t).filter("ladder = '1v1' and elo_bucket = 'all'").select("civ_id", "winrate", "games"), [F.desc("winrate"), F.asc("civ_id")], 4), f"select civ_id, winrate, games from {mart('civ_meta')} where ladder = '1v1' and elo_bucket = 'all' order by winrate desc, civ_id limit 4")
+SHOWN = "civ_id, winrate, games"
+add("top_civs_by_map", lambda t: q.top_n(m.civ_meta_by_map(t.matches, t.players).filter("ladder = '1v1'").select("civ_id", "map_id", "winrate", "games"), [F.desc("winrate"), F.asc("map_id")], 10, ["civ_id"]), f"select civ_id, map_id, winrate, games from {mart('civ_meta_by_map')} where ladder = '1v1' qualify row_number() over (partition by civ_id order by winrate desc, map_id) <= 10")
+add("civ_trend_by_elo", lambda t: q.trend(meta(t).filter("ladder = '1v1' and elo_bucket <> 'all'"), q.band_order(F.col("elo_bucket")), "elo_bucket"), f"select {SHOWN}, elo_bucket, cast(row_number() over (partition by civ_id order by {PLACE}) as int) as nth from {mart('civ_meta')} where ladder = '1v1' and elo_bucket <> 'all'")
+add("civ_trend_by_patch", lambda t: q.trend(m.civ_meta_by_patch(t.matches, t.players).filter("ladder = '1v1'"), F.col("build"), "build"), f"select {SHOWN}, build, cast(row_number() over (partition by civ_id order by build) as int) as nth from {mart('civ_meta_by_patch')} where ladder = '1v1'")
 add(
     "peer_average",
     lambda t: q.peer_average(t.raw("part").selectExpr("p_partkey", "p_brand", "cast(p_size as bigint) p_size"), "p_brand", "p_partkey", "p_size"),
@@ -103,9 +107,29 @@ def kept(t: Tables):
 
 
 add("kept_patches", kept, KEPT)
-add("doc_civ_meta", lambda t: d.doc_civ_meta(t.civs, meta(t), m.civ_meta_by_map(t.matches, t.players), m.civ_meta_by_patch(t.matches, t.players), m.civ_meta_openings(t.matches, t.players), m.civ_meta_ageup(t.matches, t.players), kept(t), 50, 10, 20, 10), None)
-add("doc_matchups", lambda t: d.doc_matchups(m.matchups(t.matches, t.players), 10), None)
-add("doc_matchups_by_elo", lambda t: d.doc_matchups_by_elo(m.matchups_by_elo(t.matches, t.players), 5), None)
+add("doc_civ_meta", lambda t: d.doc_civ_meta(t.civs, meta(t), m.civ_meta_by_map(t.matches, t.players), m.civ_meta_by_patch(t.matches, t.players), m.civ_meta_openings(t.matches, t.players), m.civ_meta_ageup(t.matches, t.players), kept(t), 50, 10, 20, 10).select("civ_id", "slug", F.explode_outer("ladders").alias("ladder", "v")).select("civ_id", "slug", "ladder", "v.games", "v.winrate", "v.play_rate", "v.tier", *(F.coalesce(F.size(f"v.{x}"), F.lit(0)).alias(x) for x in ("by_elo", "by_map", "by_patch", "openings")), F.element_at("v.by_elo", "1400-1649")["games"].alias("games_1400"), F.get("v.openings", F.lit(0))["opening"].alias("opening"), "v.age_up.feudal_median"), f"""select c.civ_id, slug, ladder, games, winrate, play_rate, case when ladder is not null then {TIER} end as tier, coalesce(by_elo, 0) as by_elo, coalesce(by_map, 0) as by_map, coalesce(by_patch, 0) as by_patch, coalesce(openings, 0) as openings, games_1400, opening, case when castle_median is not null and imperial_median is not null then feudal_median end as feudal_median
+    from (select * from f_civs where civ_id <> 0) c left join (select *, round(games / greatest(ladder_total_games, 1) * 10000) / 100 as play_rate from {mart("civ_meta")} where elo_bucket = 'all' and games >= 50) a on a.civ_id = c.civ_id
+    left join (select civ_id as c1, ladder as l1, cast(count(*) as int) as by_elo, max(case when elo_bucket = '1400-1649' then games end) as games_1400 from {mart("civ_meta")} where elo_bucket <> 'all' and games >= 10 group by all) e on c1 = a.civ_id and l1 = a.ladder
+    left join (select civ_id as c2, ladder as l2, cast(count(*) as int) as by_map from {mart("civ_meta_by_map")} where games >= 20 group by all) b on c2 = a.civ_id and l2 = a.ladder
+    left join (select civ_id as c3, ladder as l3, cast(count(*) as int) as by_patch from {mart("civ_meta_by_patch")} where games >= 10 and build in (select build from kept) group by all) p on c3 = a.civ_id and l3 = a.ladder
+    left join (select civ_id as c4, ladder as l4, cast(least(count(*), 3) as int) as openings, max(case when rank = 1 then opening_kind end) as opening from {mart("civ_meta_openings")} group by all) o on c4 = a.civ_id and l4 = a.ladder
+    left join (select civ_id as c5, ladder as l5, feudal_median, castle_median, imperial_median from {mart("civ_meta_ageup")}) g on c5 = a.civ_id and l5 = a.ladder""", kept=KEPT)
+ENTRY = "o.opponent opponent, o.winrate winrate, o.games games"
+
+
+def listed(docs, *keys: str):
+    """The entries of nested documents as rows, numbered in their order."""
+    return docs.select(*keys, F.posexplode("opponents").alias("nth", "o")).selectExpr(*keys, "nth", *(x.strip() for x in ENTRY.split(",")))
+
+
+def entries(name: str, keys: str, games: int) -> str:
+    return f"select {keys}, cast(row_number() over (partition by {keys} order by winrate desc, opp_civ_id) - 1 as int) as nth, opp_civ_id as opponent, winrate, games from {mart(name)} where games >= {games}"
+
+
+add("doc_matchups", lambda t: listed(d.doc_matchups(m.matchups(t.matches, t.players), 10), "civ_id"), entries("matchups_1v1", "civ_id", 10))
+add("doc_matchups_team", lambda t: listed(d.doc_matchups(m.matchups(t.matches, t.players, "team"), 20), "civ_id"), entries("matchups_team", "civ_id", 20))
+add("doc_matchups_by_map", lambda t: listed(d.doc_matchups_by_map(m.matchups(t.matches, t.players, by="map_id"), 2).select("civ_id", F.explode("maps").alias("map_id", "opponents")), "civ_id", "map_id"), f"select * replace (cast(map_id as varchar) as map_id) from ({entries('matchups_1v1_by_map', 'civ_id, map_id', 2)})")
+add("doc_matchups_by_elo", lambda t: d.doc_matchups_by_elo(m.matchups_by_elo(t.matches, t.players), 5).select("civ_id", "opp_civ_id", F.explode("cells").alias("elo_bucket", "cell")).selectExpr("civ_id", "opp_civ_id", "elo_bucket", "cell[0] winrate", "cast(cell[1] as bigint) games"), f"select civ_id, opp_civ_id, elo_bucket, winrate, games from {mart('matchups_1v1_by_elo')} where games >= 5")
 add(
     "doc_civ_cube",
     lambda t: d.doc_cube(cube(t), t.maps, kept(t), list(BANDS)),
@@ -124,15 +148,41 @@ def bench(t: Tables):
 add("doc_benchmark", lambda t: d.doc_benchmark(*bench(t)), "select civ_id, map_id, elo_bucket, ladder, feudal_median as feudal_s, castle_median as castle_s, imperial_median as imperial_s, vils_median as vils_castle from ageup left join vils using (civ_id, map_id, elo_bucket, ladder)", **CELLS)
 add("doc_benchmark_skipped", lambda t: d.skipped(*bench(t)), "select count(*) as skipped from vils anti join ageup using (civ_id, map_id, elo_bucket, ladder)", **CELLS)
 add("doc_eco", lambda t: d.doc_eco(m.benchmark_ecotech(t.matches, t.players, t.techs, N)), f"select tech_id, map_id, elo_bucket, ladder, round(p25_ms / 1000 * 10) / 10 as p25, round(p50_ms / 1000 * 10) / 10 as p50, round(p75_ms / 1000 * 10) / 10 as p75, n from {mart('benchmark_ecotech')}")
-add("doc_eco_nested", lambda t: d.nested_eco(d.doc_eco(m.benchmark_ecotech(t.matches, t.players, t.techs, N))), None)
-add("doc_winner_comps", lambda t: d.doc_winner_comps(comps(t)), None)
+
+
+def eco_cells(t: Tables):
+    """The nested document, taken apart again."""
+    docs = d.nested_eco(d.doc_eco(m.benchmark_ecotech(t.matches, t.players, t.techs, N)))
+    for key, name in (("map_id", "cells"), ("elo_bucket", "v"), ("ladder", "v")):
+        docs = docs.select(*(c for c in docs.columns if c != name), F.explode(name).alias(key, "v"))
+    return docs.select("tech_id", "map_id", "elo_bucket", "ladder", "v.*")
+
+
+add("doc_eco_nested", eco_cells, f"select * from ({ORACLE['doc_eco']})")
+add("doc_winner_comps", lambda t: d.doc_winner_comps(comps(t)).select("civ_id", F.explode("bands").alias("elo_bucket", "items")).select("civ_id", "elo_bucket", F.posexplode("items").alias("nth", "v")).select("civ_id", "elo_bucket", "nth", "v.*"), f"select civ_id, elo_bucket, rank - 1 as nth, unit_id, share, trained_median from {mart('winner_comps')} where rank <= 6")
 
 
 def refs(t: Tables):
-    won = m.winners(t.matches, t.players)
-    return m.winner_refs_openings(won, WN, SH), m.winner_refs_ecotech(won, t.techs, N), m.winner_refs_meds(won, t.events, N)
+    every = m.winners(t.matches, t.players, None, random_civ=True)
+    return m.winner_refs_openings(every.filter("civ_id <> 0"), WN, SH), m.winner_refs_ecotech(m.winners(t.matches, t.players, random_civ=True), t.techs, N), m.winner_refs_meds(every, t.events, N)
+
 
+def refs_parts(t: Tables):
+    """The document's JSON values, taken apart: section, key, nth, name, value."""
+    docs = d.doc_winner_refs(*refs(t))
+    of = lambda section, name: docs.filter(f"section = '{section}'").select("section", "key", F.posexplode(F.from_json("value", f"array<struct<{name}:string,share:double>>")).alias("nth", "v")).select("section", "key", "nth", F.col(f"v.{name}").alias("name"), F.col("v.share").alias("value"))
+    meds = docs.filter("section like 'meds%'").select("section", "key", F.lit(0).alias("nth"), F.explode(F.from_json("value", "map<string,double>")).alias("name", "value"))
+    return of("openings", "opening_kind").union(of("ecotech", "tech_id")).union(meds)
 
-add("doc_winner_refs", lambda t: d.doc_winner_refs(*refs(t)), None)
+
+MED_NAMES = ["n", "military_median", *(f"t{x}_median" for x in m.REF_TECHS[:4])]
+add(
+    "doc_winner_refs",
+    refs_parts,
+    f"""select 'openings' as section, civ_id || '/' || elo_bucket as key, rank - 1 as nth, opening_kind as name, share as value from {mart("winner_refs_openings")} where rank <= 5
+    union all select 'ecotech', elo_bucket, cast(row_number() over (partition by elo_bucket order by tech_id) - 1 as int), cast(tech_id as varchar), share from {mart("winner_refs_ecotech")}
+    union all select case when map_id = 'all' then 'meds' else 'meds_by_map' end, case when map_id = 'all' then elo_bucket else map_id || '/' || elo_bucket end, 0, name, value
+    from (unpivot (select map_id, elo_bucket, {", ".join(f"cast({c} as double) as {c}" for c in MED_NAMES)} from {mart("winner_refs_meds")}) on {", ".join(MED_NAMES)} into name name value value)""",
+)
 add("source_date", lambda t: d.source_date(t.matches), "select strftime(max(played_at), '%Y-%m') as source_date from f_matches")
 add("all_slugs", lambda t: d.all_slugs(t.civs), "select slug from f_civs where civ_id <> 0")

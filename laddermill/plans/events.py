@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from laddermill.operators import events as e
+from laddermill.operators.ingest import compose_players
+from laddermill.plans.ingest import split_top
 from laddermill.sources.roles import Tables, twin
 
 QUERIES, ORACLE = {}, {}
@@ -149,6 +151,43 @@ FLOATS = {
 }
 add("float_windows", lambda t: e.float_windows(t.sessions, costs(t), t.session_players, per_second=3.0), "select * from floats", **FLOATS)
 add("float_peak", lambda t: e.float_peak(e.float_windows(t.sessions, costs(t), t.session_players, per_second=3.0)), f"select {KEY}, rate, start_ms, end_ms, banked from floats qualify row_number() over (partition by {KEY} order by rate desc, start_ms desc) = 1", **FLOATS)
-add("player_metrics", lambda t: e.player_metrics(t.sessions, t.session_players, costs(t), AGES), None)
+BUSY_ALL = " ".join(f"when {i} then {ms}" for i, ms in e.CENTRE_MS.items())
+
+
+def until(age: str) -> str:
+    return f"""coalesce(sum(case when kind = 'train' and target_id = 83 and t_ms <= {age}_ms then {AMOUNT} end), 0) as vils_{age},
+        coalesce(sum(case when kind = 'research' and t_ms < {age}_ms then least(case target_id {BUSY_ALL} end, {age}_ms - t_ms) end), 0) as busy_{age}"""
+
+
+def idle(age: str) -> str:
+    return f"case when {age}_ms is not null then cast(greatest(greatest({age}_ms - 25000 * vils_{age}, 0) - busy_{age}, 0) as bigint) end"
+
+
+TECH_COLUMNS = [f"tech_{x}_ms" for x in e.WATCHED]
+MEASURED = CLICKS | BASES | FLOATS | {
+    "counted": f"""select {KEY}, min(case when kind = 'train' and target_id not in {ECO} then t_ms end) as first_military_ms, min(case when kind = 'build' and target_id in {e.CENTRES} then t_ms end) as first_centre_ms,
+        count(*) filter (where kind in ('market_buy', 'market_sell')) as market_uses, count(*) as commands, {until("feudal")}, {until("castle")},
+        {", ".join(f"min(case when kind = 'research' and target_id = {x} then t_ms end) as tech_{x}_ms" for x in e.WATCHED)} from {S} left join clicks using ({KEY}) group by all""",
+    "measured": f"""select p.*, feudal_ms, castle_ms, imperial_ms, first_military_ms, first_centre_ms, cast(vils_castle as bigint) as vils_castle, market_uses, {", ".join(TECH_COLUMNS)},
+        rate as float_rate, banked as float_banked, start_ms as float_start_ms, end_ms as float_end_ms, base_x, base_y, distance as nearest_enemy, found.t_ms as find_enemy_ms,
+        round(coalesce(commands, 0) / greatest(duration_ms / 60000.0::double, 1/60.0::double), 6) as apm, {idle("feudal")} as idle_dark_ms, {idle("castle")} as idle_castle_ms,
+        greatest({idle("castle")} - {idle("feudal")}, 0) as idle_feudal_ms
+        from {P} p left join clicks using ({KEY}) left join counted using ({KEY}) left join bases using ({KEY}) left join ({ORACLE["nearest_enemy"]}) near using ({KEY}) left join ({ORACLE["find_enemy"]}) found using ({KEY})
+        left join (select {KEY}, rate, start_ms, end_ms, banked from floats qualify row_number() over (partition by {KEY} order by rate desc, start_ms desc) = 1) peak using ({KEY})""",
+}
+
+
+def measured(t: Tables):
+    return e.player_metrics(t.sessions, t.session_players, costs(t), AGES, per_second=3.0)
+
+
+add("player_metrics", measured, "select * from measured", **MEASURED)
+POSTED = "match_id, profile_id, civ_id, profile_id % 2 = 0 as won, case when profile_id % 3 > 0 then cast(1000 + profile_id as int) end as {}"
+add(
+    "compose_players",
+    lambda t: compose_players(t.session_players.select("match_id", "duration_ms").distinct(), t.session_players.selectExpr(*(x.strip() for x in split_top(POSTED.format("post_elo")))), t.sessions, 3, ages=AGES, lines=LINES, militia=MILITIA)["players"],
+    f"""select p.*, opening, opening_kind, feudal_t, castle_t, imperial_t, apm from (select {POSTED.format("elo")} from {P}) p
+    left join ({ORACLE["openings_derived"]}) o using ({KEY}) left join ({ORACLE["age_completion"]}) a using ({KEY}) left join ({ORACLE["apm"]}) m using ({KEY})""",
+)
 add("game_mode", lambda t: e.game_mode(t.players), "select match_id, case when count(*) > 2 then 'team' else '1v1' end as mode from f_players group by 1")
-add("resolve_focus", lambda t: e.resolve_focus(t.players.selectExpr("match_id", "profile_id", "concat('Player', match_id % 97) name"), "player7"), None)
+add("resolve_focus", lambda t: e.resolve_focus(t.players.selectExpr("match_id", "profile_id", "concat('Player', match_id % 97) name"), "player7"), "select match_id, profile_id, 'Player7' as name from f_players where match_id % 97 = 7")

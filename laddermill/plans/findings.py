@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laddermill.operators import documents as d
 from laddermill.operators import findings as f
 from laddermill.operators import marts as m
+from laddermill.plans.events import MEASURED, measured
 from laddermill.plans.marts import ORACLE as MART_SQL, SH, WN, N
+from laddermill.sources.archives import scratch
 from laddermill.sources.roles import Tables, twin
 
 QUERIES, ORACLE = {}, {}
@@ -21,8 +24,15 @@ def add(name: str, query, sql: str | None, **ctes: str) -> None:
         ORACLE[name] = twin(sql, **ctes)
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """df written once, for queries that read it several times; how large it is decides whether its joins broadcast it."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bench(t: Tables):
-    return d.doc_benchmark(m.benchmark_ageup(t.matches, t.players, N), m.benchmark_vils(t.matches, t.players, t.ages, N))
+    return saved(d.doc_benchmark(m.benchmark_ageup(t.matches, t.players, N), m.benchmark_vils(t.matches, t.players, t.ages, N)), "bench")
 
 
 def players(t: Tables):
@@ -30,7 +40,7 @@ def players(t: Tables):
     return rows.select("match_id", "profile_id", "civ_id", "map_id", "elo_bucket", "ladder")
 
 
-PLAYERS = f"select {KEY}, civ_id, cast(map_id as varchar) as map_id, elo_bucket, ladder from f_rated join f_matches using (match_id) where profile_id <= 2"
+PLAYERS = f"select {KEY}, civ_id, cast(map_id as varchar) as map_id, elo_bucket, ladder from f_rated join f_matches using (match_id)"
 BENCH = {
     "players": PLAYERS,
     "ageup": MART_SQL["benchmark_ageup"],
@@ -53,7 +63,7 @@ ECO = {
 
 
 def eco(t: Tables):
-    return d.doc_eco(m.benchmark_ecotech(t.matches, t.players, t.techs, N)).drop("n")
+    return saved(d.doc_eco(m.benchmark_ecotech(t.matches, t.players, t.techs, N)).drop("n"), "eco")
 
 
 add("eco_band", lambda t: f.eco_band(players(t).withColumn("tech_id", F.explode(F.array(*map(F.lit, WATCHED)))), eco(t)), "select * from banded", **ECO)
@@ -67,54 +77,86 @@ add(
 add("pick_elo", lambda t: t.players.join(t.matches, "match_id").select("match_id", "profile_id", f.pick_elo(F.col("elo"), F.expr("case when profile_id % 2 = 0 then elo + 50 end"), F.col("ladder")).alias("elo")), f"select {KEY}, case when ladder = 'team' and profile_id % 2 = 0 then elo + 50 else elo end as elo from f_players join f_matches using (match_id)")
 METRIC_COLUMNS = """case when won then 1 else 0 end as team, ladder as mode, (profile_id * 31 + match_id) % 90 as idle_dark_s, (match_id * 7 + profile_id) % 70 as idle_feudal_s,
     feudal_t - 130 as feudal_click, castle_t - 160 as castle_click, case when match_id % 3 > 0 then match_id % 500 end as loom_s, case when match_id % 4 > 0 then match_id % 1500 end as wheelbarrow_s,
-    match_id % 60 as vils, cast(match_id % 400 as double) as float_rate, case when match_id % 6 > 0 then match_id % 1500 end as first_military_s, match_id % 40 as market_uses,
+    match_id % 60 as vils, cast(match_id % 400 as double) as float_rate, match_id % 901 + 0.25 as float_banked, case when match_id % 2 = 0 then match_id % 800 end as float_start_s, match_id % 800 + 120 as float_end_s, case when match_id % 6 > 0 then match_id % 1500 end as first_military_s, match_id % 40 as market_uses,
     cast(match_id * profile_id % 97 as double) as apm, case when profile_id % 2 = 0 then match_id % 50 end as nearest_enemy, case when match_id % 5 > 0 then match_id % 700 end as find_enemy_s,
     case when match_id % 2 = 0 then 'pocket' else 'flank' end as role"""
 
 
 def metrics(t: Tables):
     rows = t.players.select(*f.PLAYER, "won", "feudal_t", "castle_t", "imperial_t").join(t.matches.select("match_id", F.col("map_id").alias("_m")), "match_id").join(t.maps.select(F.col("map_id").alias("_m"), "family"), "_m").drop("_m")
-    rows = f.bench_slice(players(t), bench(t)).join(rows, f.PLAYER).withColumn("pro_castle_s", F.col("castle_s") - 60)
+    cells = bench(t)
+    rows = f.bench_slice(f.with_top_band(players(t), cells), cells).join(rows, f.PLAYER)
     from laddermill.plans.ingest import split_top
 
-    return rows.selectExpr("*", *(x.strip() for x in split_top(METRIC_COLUMNS)))
+    return saved(rows.selectExpr("*", *(x.strip() for x in split_top(METRIC_COLUMNS))), "metrics")
 
 
-METRICS = BENCH | {"metrics": f"select s.*, won, feudal_t, castle_t, imperial_t, family, castle_s - 60 as pro_castle_s, {METRIC_COLUMNS} from sliced s join f_players using ({KEY}) join f_maps mm on cast(mm.map_id as varchar) = s.map_id".replace("match_id", "s.match_id").replace("profile_id", "s.profile_id").replace("using (s.match_id, s.profile_id)", "using (match_id, profile_id)").replace("civ_id", "civ_id")}
+METRICS = BENCH | {"metrics": f"select s.*, won, feudal_t, castle_t, imperial_t, family, top_castle_s as pro_castle_s, {METRIC_COLUMNS} from sliced s join f_players using ({KEY}) join f_maps mm on cast(mm.map_id as varchar) = s.map_id left join (select civ_id as tc, map_id as tm, ladder as tl, castle_s as top_castle_s from bench where elo_bucket = '2500+') top on tc = s.civ_id and tm = s.map_id and tl = s.ladder".replace("match_id", "s.match_id").replace("profile_id", "s.profile_id").replace("using (s.match_id, s.profile_id)", "using (match_id, profile_id)")}
 TIME = "printf('%d:%02d', cast(floor({0}) as bigint) // 60, cast(floor({0}) as bigint) % 60)"
 
 
-def rule(cond: str, code: str, your: str, reference: str, basis: str, severity: str) -> str:
-    return f"select {KEY}, '{code}' as code, {your} as your, {reference} as reference, '{basis}' as basis, {severity} as severity from faced where {cond}"
+def rule(cond: str, code: str, your: str, reference: str, basis: str, severity: str, **named: str) -> str:
+    said = " || ',' || ".join(f"""'"{k}":"' || {v} || '"'""" for k, v in sorted(named.items()))
+    said = "'{' || " + said + " || '}'" if named else "'{}'"
+    return f"select {KEY}, '{code}' as code, {your} as your, {reference} as reference, '{basis}' as basis, {severity} as severity, {said} as vars from faced where {cond}"
 
 
 def time(x: str) -> str:
     return TIME.format(x)
 
 
+def whole(x: str) -> str:
+    return f"cast(cast(round_even({x}, 0) as bigint) as varchar)"
+
+
+def secs(x: str) -> str:
+    return f"cast(cast(floor({x}) as bigint) as varchar) || 's'"
+
+
 SLACK = "(case when role = 'pocket' then 180 else 90 end)"
+RATED = "elo_bucket is not null"
+CELL = {"ref_kind": "(case when kind = 'mapall' and mode = '1v1' then 'mapall_1v1' else kind end)", "bucket": "elo_bucket", "mode": "mode", "map": "map_id"}
 FINDINGS = " union all ".join(
     [
-        rule("idle_dark_s > 70", "idle_tc_dark_high", time("idle_dark_s"), "'~0-30s'", "absolute", "'high'"),
-        rule("idle_dark_s > 35 and idle_dark_s <= 70", "idle_tc_dark_med", time("idle_dark_s"), "'~0-30s'", "absolute", "'med'"),
-        rule("idle_feudal_s > 50", "idle_tc_feudal", time("idle_feudal_s"), "'<25s'", "absolute", "'med'"),
-        rule("feudal_t > feudal_s + 60", "feudal_slow", time("feudal_t"), time("feudal_s"), "your_elo", "case when feudal_t > feudal_s + 120 then 'high' else 'med' end"),
-        rule(f"castle_t > castle_s + {SLACK}", "castle_slow", time("castle_t"), time("castle_s"), "your_elo", f"case when castle_t > castle_s + {SLACK} + 90 then 'high' else 'med' end"),
-        rule("imperial_t > imperial_s + 180", "imperial_slow", time("imperial_t"), time("imperial_s"), "your_elo", "'low'"),
-        rule("castle_click is not null and vils + 6 < vils_castle", "villagers_castle", "cast(vils as varchar)", "cast(cast(round(vils_castle) as bigint) as varchar)", "your_elo", "case when vils + 12 < vils_castle then 'high' else 'med' end"),
-        rule("castle_t > pro_castle_s + 240", "castle_vs_pro", time("castle_t"), time("pro_castle_s"), "pro", "'low'"),
+        rule("idle_dark_s > 70", "idle_tc_dark_high", secs("idle_dark_s"), "'~0-30s'", "absolute", "'high'"),
+        rule("idle_dark_s > 35 and idle_dark_s <= 70", "idle_tc_dark_med", secs("idle_dark_s"), "'~0-30s'", "absolute", "'med'"),
+        rule("idle_feudal_s > 50", "idle_tc_feudal", secs("idle_feudal_s"), "'<25s'", "absolute", "'med'"),
+        rule(f"{RATED} and feudal_t > feudal_s + 60", "feudal_slow", time("feudal_t"), time("feudal_s"), "your_elo", "case when feudal_t > feudal_s + 120 then 'high' else 'med' end", civ="civ_id", **CELL),
+        rule(f"{RATED} and castle_t > castle_s + {SLACK}", "castle_slow", time("castle_t"), time("castle_s"), "your_elo", f"case when castle_t > castle_s + {SLACK} + 90 then 'high' else 'med' end", **CELL),
+        rule(f"{RATED} and imperial_t > imperial_s + 180", "imperial_slow", time("imperial_t"), time("imperial_s"), "your_elo", "'low'", **CELL),
+        rule(f"{RATED} and castle_click is not null and vils + 6 < vils_castle", "villagers_castle", "cast(vils as varchar)", f"'~' || {whole('vils_castle')}", "your_elo", "case when vils + 12 < vils_castle then 'high' else 'med' end", ref_v=whole("vils_castle")),
+        rule(f"{RATED} and castle_t > pro_castle_s + 240", "castle_vs_pro", time("castle_t"), time("pro_castle_s"), "pro", "'low'", gap=time("(castle_t - pro_castle_s)"), map="map_id"),
         rule("castle_click is not null and not (wheelbarrow_s is not null and wheelbarrow_s <= castle_click)", "no_wheelbarrow", "'not by Castle'", "'by Castle Age'", "absolute", "'med'"),
         rule("feudal_click is not null and not (loom_s is not null and loom_s <= feudal_click)", "no_loom", "'not by Feudal'", "'by Feudal'", "absolute", "'low'"),
-        rule("float_rate > 250", "floating_res", "cast(cast(round(float_rate) as bigint) as varchar)", "'reinvest'", "absolute", "'med'"),
+        rule("float_rate > 250", "floating_res", f"'~' || {whole('float_rate')} || ' res/min ≈ ' || {whole('float_banked')} || ' banked' || case when float_start_s is null then '' else ' (' || {time('float_start_s')} || '–' || {time('float_end_s')} || ')' end", "'reinvest'", "absolute", "'med'"),
         rule("first_military_s is null or first_military_s > 1200", "late_military", f"case when first_military_s is null then 'none' else {time('first_military_s')} end", "'<20 min'", "absolute", "'low'"),
-        rule("family = 'open' and nearest_enemy is not null and find_enemy_s is null", "never_scouted", "'never reached enemy'", "'by ~6-8 min'", "absolute", "'med'"),
-        rule("family = 'open' and nearest_enemy is not null and find_enemy_s > 480", "scouted_late", time("find_enemy_s"), "'by ~6-8 min'", "absolute", "'low'"),
-        rule("mode = '1v1' and feudal_click - opp_feudal > 45", "feudal_vs_opp", time("feudal_click"), time("opp_feudal"), "opponent", "'med'"),
+        rule("family = 'open' and nearest_enemy is not null and find_enemy_s is null", "never_scouted", "'never reached enemy'", "'by ~6–8 min'", "absolute", "'med'"),
+        rule("family = 'open' and nearest_enemy is not null and find_enemy_s > 480", "scouted_late", time("find_enemy_s"), "'by ~6–8 min'", "absolute", "'low'"),
+        rule("mode = '1v1' and feudal_click - opp_feudal > 45", "feudal_vs_opp", time("feudal_click"), time("opp_feudal"), "opponent", "'med'", gap="cast(floor(feudal_click - opp_feudal) as bigint)", opp="op"),
     ]
 )
-FACED = METRICS | {"faced": "select m.*, o.feudal_click as opp_feudal from metrics m left join (select match_id as om, profile_id as op, feudal_click from metrics where mode = '1v1') o on m.match_id = om and m.profile_id <> op"}
-add("findings", lambda t: f.findings(metrics(t)), FINDINGS, **FACED)
-add("findings_ranked", lambda t: f.rank_findings(f.findings(metrics(t))), f"select *, case severity when 'high' then 3 when 'med' then 2 else 1 end as level from ({FINDINGS})", **FACED)
+FACED = METRICS | {"faced": "select m.*, o.feudal_click as opp_feudal, o.op from metrics m left join (select match_id as om, profile_id as op, feudal_click from metrics where mode = '1v1') o on m.match_id = om and m.profile_id <> op"}
+add("findings", lambda t: f.findings(metrics(t)).withColumn("vars", F.to_json("vars")), FINDINGS, **FACED)
+add("findings_ranked", lambda t: f.rank_findings(f.findings(metrics(t))).withColumn("vars", F.to_json("vars")), f"select *, case severity when 'high' then 3 when 'med' then 2 else 1 end as level from ({FINDINGS})", **FACED)
+
+
+def from_events(t: Tables):
+    """The measured players of the sessions, whose matches have no map and no rating: what needs no reference is found."""
+    rows = f.metrics_of(measured(t)).selectExpr("*", "'team' mode", "'open' family", "cast(null as string) role", *(f"cast(null as {kind}) {c}" for c, kind in UNKNOWN.items()))
+    return f.findings(saved(rows, "measured")).withColumn("vars", F.to_json("vars"))
+
+
+UNKNOWN = {"kind": "string", "map_id": "string", "elo_bucket": "string", "feudal_t": "double", "castle_t": "double", "imperial_t": "double", "feudal_s": "double", "castle_s": "double", "imperial_s": "double", "vils_castle": "double", "pro_castle_s": "double"}
+SECONDS = {"feudal_click": "feudal_ms", "castle_click": "castle_ms", "idle_dark_s": "idle_dark_ms", "idle_feudal_s": "idle_feudal_ms", "loom_s": "tech_22_ms", "wheelbarrow_s": "tech_213_ms", "float_start_s": "float_start_ms", "float_end_s": "float_end_ms", "first_military_s": "first_military_ms", "find_enemy_s": "find_enemy_ms"}
+add(
+    "findings_from_events",
+    from_events,
+    FINDINGS,
+    **MEASURED,
+    faced=f"""select {KEY}, civ_id, 'team' as mode, 'open' as family, cast(null as varchar) as role, market_uses, apm, float_rate, float_banked, nearest_enemy, vils_castle as vils,
+        {", ".join(f"{ms} / 1000.0::double as {s}" for s, ms in SECONDS.items())}, {", ".join(f"cast(null as {'varchar' if kind == 'string' else kind}) as {c}" for c, kind in UNKNOWN.items())},
+        cast(null as double) as opp_feudal, cast(null as bigint) as op from measured""",
+)
 OPP = METRICS | {"opp": f"""select a.match_id, a.profile_id, round(avg(b.feudal_t), 4) as opp_feudal_t, round(avg(b.castle_t), 4) as opp_castle_t, round(avg(b.imperial_t), 4) as opp_imperial_t, round(avg(case when b.castle_t is not null then b.vils end), 4) as opp_vils
     from metrics a join metrics b on a.match_id = b.match_id and a.team <> b.team group by all"""}
 add("opponent_profile", lambda t: f.opponent_profile(metrics(t)), "select * from opp", **OPP)
@@ -131,7 +173,7 @@ add("gaps", gap_rows, "select * from gaps", **GAPS)
 REFS = {"meds": MART_SQL["winner_refs_meds"], "shares": f"select elo_bucket, share from ({MART_SQL['winner_refs_ecotech']}) where tech_id = 213"}
 add(
     "winner_gaps",
-    lambda t: f.winner_gaps(metrics(t), m.winner_refs_meds(m.winners(t.matches, t.players), t.events, N), m.winner_refs_ecotech(m.winners(t.matches, t.players), t.techs, N).filter("tech_id = 213")),
+    lambda t: f.winner_gaps(metrics(t), m.winner_refs_meds(m.winners(t.matches, t.players, None, random_civ=True), t.events, N), m.winner_refs_ecotech(m.winners(t.matches, t.players, random_civ=True), t.techs, N).filter("tech_id = 213")),
     f"""select {KEY}, gap_s, case when gap_s is null then share end as share from (select {KEY}, round(military_median / 1000 - first_military_s, 3) as gap_s, share
     from metrics x left join (select * from meds where map_id <> 'all') m2 on m2.map_id = x.map_id and m2.elo_bucket = x.elo_bucket left join shares s on s.elo_bucket = x.elo_bucket)""",
     **METRICS,
@@ -150,7 +192,7 @@ add(
 add("idle_cost", lambda t: f.idle_cost(metrics(t)), f"select {KEY}, cast(round((idle_dark_s + idle_feudal_s) / 25) as bigint) as lost_units from metrics where idle_dark_s + idle_feudal_s > 60", **METRICS)
 add(
     "opening_match",
-    lambda t: f.opening_match(m.rated(t.players).select(*f.PLAYER, "civ_id", "elo_bucket", F.col("opening_kind").alias("opening")).filter("opening is not null"), m.winner_refs_openings(m.winners(t.matches, t.players), WN, SH)),
+    lambda t: f.opening_match(m.rated(t.players).select(*f.PLAYER, "civ_id", "elo_bucket", F.col("opening_kind").alias("opening")).filter("opening is not null"), m.winner_refs_openings(m.winners(t.matches, t.players, None), WN, SH)),
     f"select {KEY}, bool_or(contains(p.opening_kind, string_split(o.opening_kind, '_')[1])) as agrees from f_rated p join refs o using (civ_id, elo_bucket) where rank <= 2 and p.opening_kind is not null group by all",
     refs=MART_SQL["winner_refs_openings"],
 )

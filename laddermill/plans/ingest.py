@@ -81,7 +81,7 @@ add(
 add("replace_scope", lambda t: g.replace_scope(t.ages.select("match_id", "age", "villagers"), t.ages.filter("match_id % 4 = 0 and age = 'dark'").selectExpr("match_id", "age", "villagers + 1 villagers")), "select match_id, age, villagers from f_ages where match_id % 4 <> 0 union all select match_id, age, villagers + 1 from f_ages where match_id % 4 = 0 and age = 'dark'")
 add("upsert_dim", lambda t: g.upsert_dim(t.maps, t.maps.filter("map_id < 2").withColumn("name", F.lower("name")), "map_id"), "select map_id, case when map_id < 2 then lower(name) else name end as name, slug, family from f_maps")
 KNOWN = "unit_id in (83, 4, 7, 448)"
-add("filter_known", lambda t: g.filter_known(t.units, t.units.filter(KNOWN).select("unit_id").distinct(), "unit_id")[1].select("dropped", F.array_join("ids", ",").alias("ids")), f"select count(*) as dropped, array_to_string(list_sort(list(distinct unit_id)), ',') as ids from f_units where not {KNOWN}")
+add("filter_known", lambda t: g.filter_known(t.units, t.units.filter(KNOWN).select("unit_id").distinct(), "unit_id")[1], f"select unit_id, count(*) as dropped from f_units where not {KNOWN} group by 1")
 
 
 def seeds(t: Tables):
@@ -164,5 +164,5 @@ add(
 add("tier", lambda t: t.raw("supplier").select("s_suppkey", s.tier_of(F.col("s_suppkey") % 100 / 2 + 20).alias("tier")), "select s_suppkey, case when x >= 53 then 'S' when x >= 51 then 'A' when x >= 49 then 'B' when x >= 47 then 'C' else 'D' end as tier from (select s_suppkey, s_suppkey % 100 / 2 + 20 as x from supplier)")
 add("prettify", lambda t: t.raw("part").select("p_partkey", s.prettify(F.translate(F.lower("p_name"), " ", "-")).alias("title")), "select p_partkey, array_to_string(list_transform(string_split(lower(p_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') as title from part")
 add("mmss", lambda t: t.raw("supplier").select("s_suppkey", s.mmss(F.col("s_suppkey") * 7.5).alias("t")), "select s_suppkey, printf('%d:%02d', cast(floor(s_suppkey * 7.5) as bigint) // 60, cast(floor(s_suppkey * 7.5) as bigint) % 60) as t from supplier")
-add("kebab", lambda t: t.raw("documents").select("doc_id", s.kebab(F.substring("text", 1, 40)).alias("words"), s.kebab(F.substring("text", 1, 40), "runs").alias("runs")), """select doc_id, regexp_replace(regexp_replace(trim(lower(text[1:40])), '[^a-z0-9_ -]', '', 'g'), '[ ]+', '-', 'g') as words,
-    regexp_replace(regexp_replace(regexp_replace(lower(text[1:40]), '[''’]', '', 'g'), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') as runs from documents""")
+add("kebab", lambda t: t.raw("documents").select("doc_id", s.kebab(F.col("text")).alias("words"), s.kebab(F.col("text"), "runs").alias("runs")), """select doc_id, regexp_replace(regexp_replace(trim(lower(text)), '[^a-z0-9_ -]', '', 'g'), '[ ]+', '-', 'g') as words,
+    regexp_replace(regexp_replace(regexp_replace(lower(text), '[''’]', '', 'g'), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') as runs from documents""")

@@ -18,14 +18,16 @@ def med(c: str, name: str, q: float = 0.5) -> str:
 
 
 MEDIANS = ", ".join(med(f"{a}_t", f"{a}_median") for a in ("feudal", "castle", "imperial"))
-WINNERS = "select p.*, map_id from f_rated p join f_matches using (match_id) where won and civ_id <> 0 and elo is not null and source = 'replay' and ladder = '1v1'"
+EVERY_WINNER = "select p.*, map_id, source from f_rated p join f_matches using (match_id) where won and elo is not null and ladder = '1v1'"
+WINNERS = f"select * from ({EVERY_WINNER}) where civ_id <> 0 and source = 'replay'"
 OUT = f"({', '.join(map(str, m.MILITARY_OUT))})"
 
 
 def pair_cte(ladder: str) -> str:
     met = "a.profile_id <> b.profile_id" if ladder == "1v1" else "a.won <> b.won"
+    other = f"f_rated where civ_id <> 0{'' if ladder == '1v1' else ' and won is not null'}"
     return f"""select a.*, b.civ_id as opp_civ_id from (select p.*, map_id from {BASE} and ladder = '{ladder}') a
-        join (select p.* from {BASE} and ladder = '{ladder}') b on a.match_id = b.match_id and {met} and a.civ_id <> b.civ_id"""
+        join (select * from {other}) b on a.match_id = b.match_id and {met} and a.civ_id <> b.civ_id"""
 
 
 def rolled(keys: str, base: str, over: str = "elo_bucket") -> dict[str, str]:
@@ -73,10 +75,10 @@ add(
     lambda t: m.benchmark_vils(t.matches, t.players, t.ages, N),
     f"""select civ_id, cast(map_id as varchar) as map_id, {label("elo_bucket")}, {label("ladder")}, count(*) as n, {med("vils", "vils_median")}
     from per join (select match_id, profile_id, elo_bucket from f_rated where elo is not null) using (match_id, profile_id) join f_matches using (match_id)
-    where dark and feudal and castle and civ_id <> 0
+    where won and castle and windows = 2 and vils is not null and civ_id <> 0
     group by grouping sets ((civ_id, map_id, elo_bucket, ladder), (civ_id, map_id, ladder), (civ_id, map_id)) having count(*) >= {N}""",
-    per="""select match_id, profile_id, civ_id, sum(case when age in ('dark', 'feudal') then villagers end) as vils, bool_or(age = 'dark') as dark,
-        bool_or(age = 'feudal') as feudal, bool_or(age = 'castle' and uptime_ms > 0) as castle from f_ages where won group by all""",
+    per="""select match_id, profile_id, civ_id, bool_or(won) as won, sum(case when age in ('dark', 'feudal') then villagers end) as vils, count(*) filter (where age in ('dark', 'feudal')) as windows,
+        bool_or(age = 'castle') as castle from f_ages where uptime_ms >= 0 group by all""",
 )
 add(
     "benchmark_ecotech",
@@ -98,28 +100,29 @@ add(
 )
 add(
     "winner_refs_openings",
-    lambda t: m.winner_refs_openings(m.winners(t.matches, t.players), WN, SH),
+    lambda t: m.winner_refs_openings(m.winners(t.matches, t.players, None), WN, SH),
     f"""select *, cast(row_number() over (partition by civ_id, elo_bucket order by share desc, opening_kind) as int) as rank
     from (select *, {shared("n", "winners")} from by_opening join totals using (civ_id, elo_bucket) where n >= winners * {SH})""",
-    won=f"select * from ({WINNERS}) where opening_kind is not null",
+    won=f"select * from ({EVERY_WINNER}) where opening_kind is not null and civ_id <> 0",
     totals=f"select civ_id, elo_bucket, count(*) as winners from won group by all having count(*) >= {WN}",
     by_opening="select civ_id, elo_bucket, opening_kind, count(*) as n from won group by all",
 )
 add(
     "winner_refs_ecotech",
-    lambda t: m.winner_refs_ecotech(m.winners(t.matches, t.players), t.techs, N),
+    lambda t: m.winner_refs_ecotech(m.winners(t.matches, t.players, random_civ=True), t.techs, N),
     f"select elo_bucket, n, tech_id, clicked, {shared('clicked', 'n')} from cells",
-    won=f"select * from ({WINNERS}) where castle_t is not null",
+    won=f"select * from ({EVERY_WINNER}) where castle_t is not null and source = 'replay'",
     cells=f"""select elo_bucket, count(distinct (match_id, profile_id)) as n, x.tech_id, count(distinct case when t.tech_id = x.tech_id and t.t_ms < castle_t * 1000 then (match_id, profile_id) end) as clicked
         from won left join f_techs t using (match_id, profile_id), (select unnest({list(m.REF_TECHS)}) as tech_id) x group by elo_bucket, x.tech_id having n >= {N}""",
 )
 add(
     "winner_refs_meds",
-    lambda t: m.winner_refs_meds(m.winners(t.matches, t.players), t.events, N),
+    lambda t: m.winner_refs_meds(m.winners(t.matches, t.players, None, random_civ=True), t.events, N),
     f"""select {label("map_id")}, elo_bucket, count(*) as n, {med("military", "military_median")}, {", ".join(med(f"t{x}", f"t{x}_median") for x in m.REF_TECHS[:4])}
-    from won left join firsts using (match_id, profile_id) group by grouping sets ((map_id, elo_bucket), (elo_bucket)) having count(*) >= {N}""",
-    won=WINNERS,
-    firsts=f"""select match_id, profile_id, min(case when kind = 'train' and target_id not in {OUT} then t_ms end) as military,
-        {", ".join(f"min(case when kind = 'research' and target_id = {x} then t_ms end) as t{x}" for x in m.REF_TECHS[:4])} from f_events group by all""",
+    from won join firsts using (match_id, profile_id) group by grouping sets ((map_id, elo_bucket), (elo_bucket)) having count(*) >= {N}""",
+    won=EVERY_WINNER,
+    firsts=f"""select match_id, profile_id, min(case when kind = 'train' then t_ms end) as military,
+        {", ".join(f"min(case when kind = 'research' and target_id = {x} then t_ms end) as t{x}" for x in m.REF_TECHS[:4])}
+        from f_events where kind = 'train' and target_id not in {OUT} or kind = 'research' and target_id in {m.REF_TECHS[:4]} group by all""",
 )
 add("map_meta", lambda t: m.map_meta(t.matches, t.players), f"select *, {RATE}, cast(sum(case when elo_bucket = 'all' then games end) over (partition by map_id, ladder) as bigint) as map_total_games from rolled_up", **rolled("map_id, ladder, civ_id", BASE))

@@ -71,7 +71,7 @@ STEPS = "l_orderkey as build_id, l_linenumber as nth, cast(l_quantity as int) as
 ENDS = "select build_id, arg_max(at_s, nth) as last_s, max(phase) as top from steps group by 1"
 add(
     "dq_sequence",
-    lambda t: v.sequence(t.lines.selectExpr("l_orderkey build_id", "l_linenumber nth", "cast(l_quantity as int) counter", "l_linenumber * 60 + l_suppkey % 90 at_s", "l_partkey % 3 phase", "case when l_partkey % 4 = 0 then concat('+', l_partkey % 6) else 'build' end text"), t.raw("orders").selectExpr("o_orderkey build_id", "o_orderkey % 300 duration_s", "1 target_phase")),
+    lambda t: v.sequence(t.lines.selectExpr("l_orderkey build_id", "l_linenumber nth", "cast(l_quantity as int) counter", "l_linenumber * 60 + l_suppkey % 90 at_s", "l_partkey % 3 phase", "case when l_partkey % 4 = 0 then concat('+', l_partkey % 6) else 'build' end text", "l_suppkey % 25 unit"), t.raw("orders").selectExpr("o_orderkey build_id", "o_orderkey % 300 duration_s", "1 target_phase"), facts=t.raw("nation").selectExpr("n_nationkey unit", "n_regionkey phase")),
     union(
         row("counter", "build_id || '/' || nth", "counter", "seq where counter < c0"),
         row("delta", "build_id || '/' || nth", "counter", "seq where text like '+%' and cast(text[2:] as int) <> counter - c0"),
@@ -79,6 +79,7 @@ add(
         row("phase", "build_id || '/' || nth", "counter", "seq where phase < p0"),
         row("length", "build_id", "last_s", "ends where last_s > build_id % 300 + 90"),
         row("target", "build_id", "top", "ends where top > 1"),
+        row("unit", "build_id || '/' || unit", "n_regionkey", "(select distinct l_orderkey as build_id, l_suppkey % 25 as unit from l1) join nation on unit = n_nationkey where n_regionkey > 1"),
     ),
     steps=f"select {STEPS} from l1",
     ends=ENDS,
@@ -96,7 +97,7 @@ add(
     ),
 )
 add("dq_fk", lambda t: v.foreign_keys(t.units, t.units.select("unit_id").distinct().filter("unit_id < 100"), "unit_id"), union(row("fk_unit_id", "unit_id", "count(*)", "f_units where unit_id >= 100 group by unit_id")))
-add("dq_id_spaces", lambda t: v.id_spaces(t.civs.selectExpr("civ_id id", "slug"), t.civs.selectExpr("7 - civ_id id", "slug"), t.civs.selectExpr("civ_id id", "case when civ_id = 3 then 'other' else slug end slug")), None)
+add("dq_id_spaces", lambda t: v.id_spaces(t.civs.selectExpr("civ_id id", "slug"), t.civs.selectExpr("7 - civ_id id", "slug"), t.civs.selectExpr("civ_id id", "case when civ_id = 3 then 'other' else slug end slug")), union(row("mirror", "civ_id", "slug || '/other'", "f_civs where civ_id = 3")))
 SUMMARY = ("elo", "won", "castle_t")
 add(
     "dq_summary",
@@ -122,7 +123,7 @@ add("html_text", lambda t: t.raw("pages").select("page_id", F.sha2(x.html_text(F
 HELP = "concat('intro\\n', n_name, ':\\n- first (', n_regionkey, ' gold), second\\nBonus\\n* one, two (a, b)\\nthird')"
 add(
     "sectioned_text",
-    lambda t: x.sectioned_text(t.raw("nation").selectExpr("n_nationkey", f"{HELP} help", "n_name"), "n_nationkey", "help", ["Bonus", "FRANCE", "CHINA"]),
+    lambda t: x.sectioned_text(t.raw("nation").selectExpr("n_nationkey", f"{HELP} help", "n_name"), "n_nationkey", "help", ["Bonus", "FRANCE", "CHINA"], {"Bonus": 3}),
     """select n_nationkey, 'Bonus' as section, nth, part, name, effect from nation, (values (4, 0, 'one', null), (4, 1, 'two', 'a, b'), (5, 0, 'third', null)) v(nth, part, name, effect)
     union all select n_nationkey, n_name, 2, part, name, case when part = 0 then n_regionkey || ' gold' end from nation, (values (0, 'first'), (1, 'second')) v(part, name) where n_name in ('FRANCE', 'CHINA')""",
 )

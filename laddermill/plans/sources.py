@@ -20,37 +20,49 @@ def add(name: str, query, sql: str | None = None, **ctes: str) -> None:
         ORACLE[name] = twin(sql, **ctes)
 
 
-def written(df: DataFrame, name: str, files: int = 2) -> str:
+def written(df: DataFrame, name: str) -> str:
+    """df as files of as many tasks as it takes to read it."""
     path = a.scratch(df.sparkSession, name)
-    df.repartition(files).write.parquet(path)
+    df.write.parquet(path)
+    return path
+
+
+def landed(df: DataFrame, name: str, times: int = 4) -> str:
+    """df as files that land one after the other, each with part of the rows."""
+    path = a.scratch(df.sparkSession, name)
+    parted = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(times)))
+    for i in range(times):
+        parted.filter(F.col("_part") == i).drop("_part").write.mode("append").parquet(path)
     return path
 
 
 def match_files(t: Tables) -> list[str]:
-    """Matches as two archive folders, of which the second stores ids as text."""
+    """Matches as two archive folders, of which the second stores ids as text and times as nanoseconds."""
     rows = t.matches.selectExpr("match_id game_id", "concat('Map ', map_id) map", "cast(played_at as timestamp) started_timestamp", "duration_ms * 1000000L duration", "n_players num_players", "ladder leaderboard", "cast(build as bigint) patch", "'unused' raw")
-    return [written(rows.filter("game_id % 2 = 0"), "m"), written(rows.filter("game_id % 2 = 1").withColumn("game_id", F.col("game_id").cast("string")), "m")]
+    return [written(rows.filter("game_id % 2 = 0"), "m"), written(rows.filter("game_id % 2 = 1").withColumn("game_id", F.col("game_id").cast("string")).withColumn("started_timestamp", F.unix_micros("started_timestamp") * 1000), "m")]
 
 
 def player_files(t: Tables) -> list[str]:
     rows = t.players.selectExpr("match_id game_id", "cast(profile_id as bigint) profile_id", "concat('c', civ_id) civ", "won winner", "opening_kind opening", "cast(feudal_t as double) feudal_age_uptime", "cast(castle_t as double) castle_age_uptime", "cast(imperial_t as double) imperial_age_uptime", "cast(elo as bigint) new_rating")
-    third = rows.filter("game_id % 3 = 2").withColumn("profile_id", F.col("profile_id").cast("double")).withColumn("opening", F.lit(None).cast("int")).withColumn("feudal_age_uptime", F.col("feudal_age_uptime").cast("string"))
+    third = rows.filter("game_id % 3 = 2").withColumn("profile_id", F.col("profile_id").cast("double")).withColumn("opening", F.lit(None).cast("int"))
     return [written(rows.filter("game_id % 3 = 0"), "p"), written(rows.filter("game_id % 3 = 1").withColumn("profile_id", F.col("profile_id").cast("int")), "p"), written(third, "p")]
 
 
-add("scan_matches", lambda t: a.read_match_archive(t.spark, match_files(t)).select("game_id", "map", "duration_ms", "num_players", "leaderboard", "patch"), "select match_id as game_id, 'map' || map_id as map, cast(duration_ms as bigint) as duration_ms, n_players as num_players, ladder as leaderboard, cast(build as bigint) as patch from f_matches")
+add("scan_matches", lambda t: a.read_match_archive(t.spark, match_files(t)).select("game_id", "map", F.to_date("started_timestamp").alias("started_on"), "duration_ms", "num_players", "leaderboard", "patch"), "select match_id as game_id, 'map' || map_id as map, cast(played_at as date) as started_on, cast(duration_ms as bigint) as duration_ms, n_players as num_players, ladder as leaderboard, cast(build as bigint) as patch from f_matches")
 SCAN = "select match_id as game_id, cast(profile_id as bigint) as profile_id, 'c' || civ_id as civ, won as winner, {} as opening, cast(feudal_t as double) as feudal_age_uptime, cast(castle_t as double) as castle_age_uptime, cast(imperial_t as double) as imperial_age_uptime, cast(elo as bigint) as new_rating from f_players"
-add("scan_players", lambda t: a.read_player_archive(t.spark, player_files(t)[:2]), SCAN.format("opening_kind") + " where match_id % 3 < 2")
+add("scan_players", lambda t: a.read_player_archive(t.spark, player_files(t)), SCAN.format("case when match_id % 3 < 2 then opening_kind end"))
 add("schema_drift_union", lambda t: a.read_player_archive(t.spark, player_files(t)), SCAN.format("case when match_id % 3 < 2 then opening_kind end"))
-add("pair_files", lambda t: a.pair_files(t.raw("orders").selectExpr("concat('x/', case when o_orderkey % 2 = 0 then 'm_' else 'p_' end, o_orderdate, '.parquet') path").distinct()))
+add("pair_files", lambda t: a.pair_files(t.raw("orders").selectExpr("concat('x/', case when o_orderkey % 2 = 0 then 'm_' else 'p_' end, date_format(o_orderdate, 'yyyy-MM-dd'), '.parquet') path").distinct()), """select date, max(case when side = 'm' then 'x/m_' || date || '.parquet' end) as matches, max(case when side = 'p' then 'x/p_' || date || '.parquet' end) as players
+    from (select distinct case when o_orderkey % 2 = 0 then 'm' else 'p' end as side, strftime(o_orderdate, '%Y-%m-%d') as date from orders) group by 1""")
 BLOB = """concat('{''age_stats'': {''dark'': {''unit_counts'': {''villager'': ', l_linenumber + 18, ', ''militia'': ', l_suppkey % 5, ', ''sheep'': 4}, ''building_counts'': {''house'': 2}, ''research'': [''loom'']}',
     case when l_partkey % 3 = 0 then concat(', ''feudal'': {''uptime'': ', l_partkey % 900, '.5, ''unit_counts'': {''archer'': 3}}') else '' end, case when l_suppkey = 7 then '' else '}}' end)"""
+OWN = "l_orderkey as game_id, cast(l_linenumber as bigint) as profile_id, 'c' || l_partkey % 9 as civ, l_linestatus = 'F' as won"
 add(
     "age_summaries",
-    lambda t: a.explode_age_summaries(t.raw("lineitem").selectExpr("l_orderkey game_id", f"{BLOB} summary")),
-    """select l_orderkey as game_id, 'bad' as age, cast(null as int) as villagers, cast(null as int) as military, cast(null as int) as n_buildings, cast(null as int) as n_research, cast(null as int) as uptime_ms from lineitem where l_suppkey = 7
-    union all select l_orderkey, 'dark', l_linenumber + 18, cast(l_suppkey % 5 as int), 2, 1, -1 from lineitem where l_suppkey <> 7
-    union all select l_orderkey, 'feudal', 0, 3, 0, 0, cast((l_partkey % 900) * 1000 + 500 as int) from lineitem where l_suppkey <> 7 and l_partkey % 3 = 0""",
+    lambda t: a.explode_age_summaries(t.raw("lineitem").selectExpr("l_orderkey game_id", "cast(l_linenumber as bigint) profile_id", "concat('c', l_partkey % 9) civ", "l_linestatus = 'F' won", f"{BLOB} summary")),
+    f"""select {OWN}, 'bad' as age, cast(null as int) as villagers, cast(null as int) as military, cast(null as int) as n_buildings, cast(null as int) as n_research, cast(null as int) as uptime_ms from lineitem where l_suppkey = 7
+    union all select {OWN}, 'dark', l_linenumber + 18, cast(l_suppkey % 5 as int), 2, 1, -1 from lineitem where l_suppkey <> 7
+    union all select {OWN}, 'feudal', 0, 3, 0, 0, cast((l_partkey % 900) * 1000 + 500 as int) from lineitem where l_suppkey <> 7 and l_partkey % 3 = 0""",
 )
 
 
@@ -92,6 +104,34 @@ def dim_file(t: Tables) -> str:
 add("dim_maps", lambda t: a.read_dimension(t.spark, dim_file(t), ("map_id", "name", "slug", "family"), "map_id"), "select cast(map_id as int) as map_id, name, slug, cast(null as varchar) as family from f_maps")
 
 
+def unit_file(t: Tables) -> str:
+    path = a.scratch(t.spark, "dims")
+    t.raw("part").select(F.concat_ws("\t", F.when(F.col("p_partkey") % 17 == 0, "none").otherwise(F.col("p_partkey").cast("string")), "p_name").alias("line")).write.text(path)
+    return path
+
+
+def json_file(t: Tables, rows: DataFrame, body) -> str:
+    path = a.scratch(t.spark, "dims")
+    rows.agg(F.to_json(F.struct(body)).alias("value")).coalesce(1).write.text(path)
+    return path
+
+
+def civ_file(t: Tables) -> str:
+    """The civs as a map from id to slug; one id is no number."""
+    entries = F.map_from_entries(F.collect_list(F.struct(F.when(F.col("civ_id") == 9, "x").otherwise(F.col("civ_id").cast("string")), "slug")))
+    return json_file(t, t.civs, entries.alias("map"))
+
+
+def patch_file(t: Tables) -> str:
+    builds = t.matches.groupBy("build").agg(F.date_format(F.min("played_at"), "yyyy-MM-dd").alias("released")).select("build", F.concat(F.lit("Update "), "build").alias("label"), "released")
+    return json_file(t, builds, F.collect_list(F.struct("build", "label", "released")).alias("builds"))
+
+
+add("dim_units", lambda t: a.read_dimension(t.spark, unit_file(t), ("unit_id", "name"), "unit_id"), "select cast(p_partkey as int) as unit_id, p_name as name from part where p_partkey % 17 <> 0")
+add("dim_civs", lambda t: a.read_id_map(t.spark, civ_file(t)), "select civ_id as id, slug from f_civs where civ_id <> 9")
+add("dim_patches", lambda t: a.read_patches(t.spark, patch_file(t)), "select build, 'Update ' || build as label, cast(cast(min(played_at) as date) as varchar) as released from f_matches group by 1")
+
+
 def audited(t: Tables) -> DataFrame:
     path = a.scratch(t.spark, "raw")
     t.raw("orders").select(F.concat("o_orderkey", F.lit(","), "o_custkey").alias("line"), (F.col("o_orderkey") % 20).alias("shard")).repartition("shard").write.partitionBy("shard").text(path)
@@ -110,7 +150,7 @@ def documents_written(t: Tables) -> DataFrame:
     return t.spark.read.json(path).select("civ_id", F.size("opponents").alias("opponents"))
 
 
-add("write_docs", documents_written, "select civ_id, cast(count(*) as int) as opponents from pairs_n where games >= 10 group by 1", pairs_n="select a.civ_id, b.civ_id as o, count(*) as games from (select * from f_players join f_matches using (match_id) where ladder = '1v1' and won is not null and civ_id <> 0) a join (select * from f_players where won is not null) b on a.match_id = b.match_id and a.profile_id <> b.profile_id and a.civ_id <> b.civ_id group by all")
+add("write_docs", documents_written, "select civ_id, cast(count(*) as int) as opponents from pairs_n where games >= 10 group by 1", pairs_n="select a.civ_id, b.civ_id as o, count(*) as games from (select * from f_players join f_matches using (match_id) where ladder = '1v1' and won is not null and civ_id <> 0) a join (select * from f_players where civ_id <> 0) b on a.match_id = b.match_id and a.profile_id <> b.profile_id and a.civ_id <> b.civ_id group by all")
 
 
 def table_written(t: Tables) -> DataFrame:
@@ -126,17 +166,26 @@ add("write_table", table_written, "select build, case when build = 1995 then upp
 
 def stream_ingest(t: Tables) -> DataFrame:
     rows = t.matches.select("match_id", "played_at", "build")
-    path = written(rows.union(rows.filter("match_id % 3 = 0")), "stream", 4)
-    out = a.scratch(t.spark, "ingest")
-    return streams.ingest(t.spark, path, out, f"{out}-checkpoint")
+    path, out = landed(rows.union(rows.filter("match_id % 3 = 0")), "stream"), a.scratch(t.spark, "ingest")
+    return streams.ingest(t.spark, path, out, f"{out}-checkpoint", span=20_000)
 
 
 add("stream_ingest", stream_ingest, "select match_id, played_at, build from f_matches")
 
 
+def stream_upgrade(t: Tables) -> DataFrame:
+    """A third of the archive matches come again as replays with another build, before or after themselves."""
+    rows = t.matches.selectExpr("match_id", "'archive' source", "played_at", "build")
+    path, out = landed(rows.union(rows.filter("match_id % 3 = 0").selectExpr("match_id", "'replay'", "played_at", "build + 100")), "stream"), a.scratch(t.spark, "upgrade")
+    return streams.ingest(t.spark, path, out, f"{out}-checkpoint", "upgrade", 20_000)
+
+
+add("stream_upgrade", stream_upgrade, "select match_id, case when match_id % 3 = 0 then 'replay' else 'archive' end as source, played_at, case when match_id % 3 = 0 then build + 100 else build end as build from f_matches")
+
+
 def stream_dedup(t: Tables) -> DataFrame:
     rows = t.raw("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
-    path, out = written(rows.union(rows.filter("event_id % 4 = 0")), "stream", 4), a.scratch(t.spark, "dedup")
+    path, out = landed(rows.union(rows.filter("event_id % 4 = 0")), "stream"), a.scratch(t.spark, "dedup")
     return streams.run(streams.dedup(streams.source(t.spark, path), "event_id", "ts"), out, f"{out}-checkpoint").select("event_id", "user_id")
 
 
@@ -144,15 +193,18 @@ add("stream_dedup", stream_dedup, "select event_id, user_id from events")
 
 
 def stream_apm(t: Tables) -> DataFrame:
-    path, out = written(t.raw("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id"), "stream", 1), a.scratch(t.spark, "apm")
-    return streams.run(streams.commands_per_minute(streams.source(t.spark, path), "ts"), out, f"{out}-checkpoint")
+    rows = t.raw("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    closing = rows.agg(F.lit(None).cast("bigint").alias("event_id"), (F.max("ts") + F.expr("interval 1 hour")).alias("ts"), F.lit(None).cast("bigint").alias("user_id"))
+    path, out = written(rows.union(closing), "stream"), a.scratch(t.spark, "apm")
+    counted = streams.commands_per_minute(streams.source(t.spark, path, 1000), "ts")
+    return streams.run(counted, out, f"{out}-checkpoint").select(F.floor(F.unix_seconds("minute") / 60).alias("minute"), "user_id", "commands")
 
 
-add("stream_apm", stream_apm)
+add("stream_apm", stream_apm, "select cast(floor(epoch(ts) / 60) as bigint) as minute, user_id, count(*) as commands from events group by 1, 2")
 
 
 def stream_retry(t: Tables) -> DataFrame:
-    path, out = written(t.raw("events").filter("event_type = 'error'").select(F.col("user_id").alias("match_id"), F.col("event_id").alias("failed_at")), "stream", 1), a.scratch(t.spark, "retry")
+    path, out = landed(t.raw("events").filter("event_type = 'error'").select(F.col("user_id").alias("match_id"), F.col("event_id").alias("failed_at")), "stream"), a.scratch(t.spark, "retry")
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")

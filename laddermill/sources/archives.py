@@ -14,8 +14,16 @@ from pyspark.sql import types as T
 
 MATCH_COLUMNS = {"game_id": "bigint", "map": "string", "started_timestamp": "timestamp", "duration": "bigint", "num_players": "bigint", "leaderboard": "string", "patch": "bigint"}
 PLAYER_COLUMNS = {"game_id": "bigint", "profile_id": "bigint", "civ": "string", "winner": "boolean", "opening": "string", "feudal_age_uptime": "double", "castle_age_uptime": "double", "imperial_age_uptime": "double", "new_rating": "bigint"}
-#: Types in which a column may be stored; any other fails.
-ACCEPTED = {"game_id": {"string", "bigint", "int"}, "profile_id": {"double", "int", "bigint"}, "opening": {"string", "double", "int"}, "feudal_age_uptime": {"double", "string", "int"}, "castle_age_uptime": {"double", "string", "int"}, "imperial_age_uptime": {"double", "string", "int"}}
+#: Types in which a column may be stored; any other fails. Fixed values, as the archive's files have them.
+ACCEPTED = {
+    "game_id": {"string", "bigint", "int"}, "map": {"string"}, "started_timestamp": {"timestamp", "timestamp_ntz", "bigint"}, "duration": {"bigint"}, "num_players": {"bigint", "int"},
+    "leaderboard": {"string"}, "patch": {"bigint", "int"}, "profile_id": {"double", "int", "bigint"}, "civ": {"string"}, "winner": {"boolean"}, "opening": {"string", "int", "void"},
+    "feudal_age_uptime": {"double", "int", "void"}, "castle_age_uptime": {"double", "int", "void"}, "imperial_age_uptime": {"double", "int", "void"}, "new_rating": {"bigint", "int"},
+}
+#: Columns of which an int stands for no value at all: a file that has one must have nulls only.
+ALL_NULL_AS_INT = {"opening", "feudal_age_uptime", "castle_age_uptime", "imperial_age_uptime"}
+#: Map slugs of the archive that are spelled otherwise in the dimension.
+MAP_ALIASES = {"scandanavia": "scandinavia", "passage": "thepassage"}
 #: Kinds of unit in a summary that are no soldiers.
 NOT_MILITARY = ("villager", "fishing ship", "trade cart", "trade cog", "sheep", "llama", "cow", "goat", "turkey", "water buffalo", "fish trap")
 SUMMARY_AGES = ("dark", "feudal", "castle", "imperial")
@@ -23,9 +31,11 @@ SHARD = "match_id bigint, profile_id bigint, player_number smallint, t_ms int, k
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under the one that driver and executors share."""
+    """A new folder under the one that driver and executors share; a temporary one only on a single machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -34,19 +44,29 @@ def scratch(spark: SparkSession, name: str) -> str:
 def read_drifting(spark: SparkSession, paths: Sequence[str], columns: Mapping[str, str], accepted: Mapping[str, set[str]] = ACCEPTED) -> DataFrame:
     """Files whose columns differ in type, read once for each kind of schema, cast to `columns` and put together.
 
-    Only footers are looked at file by file. A stored type that is not accepted fails; a missing column is null.
+    Only footers are looked at file by file. A stored type that is not accepted fails, and so does a column that is
+    missing altogether, or an int that is to stand for nulls (ALL_NULL_AS_INT) and has a value. Times stored in
+    nanoseconds are read as their number and become microseconds.
     """
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     kinds: dict[tuple, list[str]] = {}
     for path in paths:
         stored = dict(spark.read.parquet(path).dtypes)
-        for c, allowed in accepted.items():
-            if c in columns and c in stored and stored[c] not in allowed:
+        for c in columns:
+            if c not in stored:
+                raise ValueError(f"{path}: no column {c}")
+            if c in accepted and stored[c] not in accepted[c]:
                 raise ValueError(f"{path}: column {c} is stored as {stored[c]}")
-        kinds.setdefault(tuple((c, stored.get(c)) for c in columns), []).append(path)
-    parts = []
-    for kind, files in kinds.items():
-        rows = spark.read.parquet(*files)
-        parts.append(rows.select(*((F.col(c) if stored else F.lit(None)).cast(columns[c]).alias(c) for c, stored in kind)))
+        kinds.setdefault(tuple((c, stored[c]) for c in columns), []).append(path)
+
+    def conformed(c: str, stored: str):
+        if c in ALL_NULL_AS_INT and stored == "int":
+            return F.when(F.col(c).isNotNull(), F.raise_error(F.lit(f"column {c} is stored as int and has values")).cast(columns[c])).cast(columns[c])
+        if columns[c] == "timestamp" and stored == "bigint":
+            return F.timestamp_micros(F.floor(F.col(c) / 1000).cast("bigint"))
+        return F.col(c).cast(columns[c])
+
+    parts = [spark.read.parquet(*files).select(*(conformed(c, stored).alias(c) for c, stored in kind)) for kind, files in kinds.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -58,7 +78,7 @@ def read_match_archive(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     from laddermill.functions.scalars import alias, slug
 
     rows = read_drifting(spark, paths, MATCH_COLUMNS)
-    return rows.withColumn("map", alias(slug(F.col("map")), {"scandanavia": "scandinavia"})).withColumn("duration_ms", (F.col("duration") / 1_000_000).cast("bigint")).drop("duration")
+    return rows.withColumn("map", alias(slug(F.col("map")), MAP_ALIASES)).withColumn("duration_ms", (F.col("duration") / 1_000_000).cast("bigint")).drop("duration")
 
 
 def read_player_archive(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -72,29 +92,34 @@ def pair_files(files: DataFrame) -> DataFrame:
     return of("m", "matches").join(of("p", "players"), "date", "full")
 
 
-def explode_age_summaries(df: DataFrame, text: str = "summary", key: str = "game_id") -> DataFrame:
-    """Up to four rows per summary (a Python dictionary as text, over 50 characters): age, villagers, military,
-    buildings, research and uptime in ms (-1: not reached). A text that can't be read gives one row with age 'bad'."""
-    schema = f"{key} bigint, age string, villagers int, military int, n_buildings int, n_research int, uptime_ms int"
+def explode_age_summaries(df: DataFrame, text: str = "summary", keys: Sequence[str] = ("game_id", "profile_id", "civ", "won")) -> DataFrame:
+    """Up to four rows per player's summary (a Python dictionary as text, over 50 characters): the keys, age, villagers,
+    military, buildings, research and uptime in ms (-1: not reached). A text that can't be read gives one row with age
+    'bad'."""
+    counts = ("villagers", "military", "n_buildings", "n_research", "uptime_ms")
+    schema = ", ".join([*(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys), "nth int", "age string", *(f"{c} int" for c in counts)])
+
+    def ages(blob: str) -> Iterator[tuple]:
+        try:
+            stats, out = ast.literal_eval(blob)["age_stats"], []
+            for age in SUMMARY_AGES:
+                if age in stats:
+                    units, built = stats[age].get("unit_counts") or {}, stats[age].get("building_counts") or {}
+                    up = stats[age].get("uptime")
+                    army = sum(int(n or 0) for u, n in units.items() if u not in NOT_MILITARY)
+                    out.append((age, int(units.get("villager") or 0), army, sum(int(n or 0) for n in built.values()), len(stats[age].get("research") or ()), -1 if up is None else int(up * 1000)))
+            yield from out
+        except (ValueError, SyntaxError, KeyError, TypeError, AttributeError):
+            yield ("bad", None, None, None, None, None)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for k, blob in zip(b[key], b[text], strict=True):
-                try:
-                    stats = ast.literal_eval(blob)["age_stats"]
-                    for age in SUMMARY_AGES:
-                        if age in stats:
-                            units, built = stats[age].get("unit_counts") or {}, stats[age].get("building_counts") or {}
-                            up = stats[age].get("uptime")
-                            army = sum(int(n or 0) for u, n in units.items() if u not in NOT_MILITARY)
-                            out.append((k, age, int(units.get("villager") or 0), army, sum(int(n or 0) for n in built.values()), len(stats[age].get("research") or ()), -1 if up is None else int(up * 1000)))
-                except (ValueError, SyntaxError, KeyError, TypeError, AttributeError):
-                    out.append((k, "bad", None, None, None, None, None))
-            rows = pd.DataFrame(out, columns=[key, "age", "villagers", "military", "n_buildings", "n_research", "uptime_ms"])
-            yield rows.astype({c: "Int32" for c in rows.columns[2:]} | {key: "int64"})
-
-    return df.filter(F.length(text) > 50).select(F.col(key).cast("bigint"), text).mapInPandas(run, schema)
+            found = [(i, *row) for i, blob in enumerate(b[text]) for row in ages(blob)]
+            rows = pd.DataFrame(found, columns=["nth", "age", *counts]).astype({c: "Int32" for c in counts} | {"nth": "int32"})
+            whose = b[list(keys)].iloc[rows["nth"]].reset_index(drop=True)
+            yield pd.concat([whose, rows], axis=1)
+
+    return df.filter(F.length(text) > 50).select(*keys, text).mapInPandas(run, schema).drop("nth")
 
 
 def read_event_shards(spark: SparkSession, path: str, schema: str = SHARD) -> DataFrame:
@@ -138,10 +163,17 @@ def read_dimension(spark: SparkSession, path: str, names: Sequence[str], id_colu
 
 
 def read_id_map(spark: SparkSession, path: str) -> DataFrame:
-    """{id: slug} as rows."""
+    """The map {id: slug} of {"map": {...}} as rows; an id that is no number is left out."""
     whole = spark.read.text(path, wholetext=True)
-    pairs = whole.select(F.explode(F.from_json("value", T.MapType(T.StringType(), T.StringType()))).alias("id", "slug"))
-    return pairs.select(F.col("id").cast("int"), "slug")
+    pairs = whole.select(F.explode(F.from_json("value", T.StructType.fromDDL("map map<string,string>"))["map"]).alias("id", "slug"))
+    return pairs.select(F.col("id").try_cast("int").alias("id"), "slug").filter("id is not null")
+
+
+def read_patches(spark: SparkSession, path: str) -> DataFrame:
+    """build, label, released of an index {"builds": [...]}."""
+    kind = T.StructType.fromDDL("builds array<struct<build:int,label:string,released:string>>")
+    builds = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", kind)["builds"]).alias("b"))
+    return builds.select("b.build", "b.label", "b.released")
 
 
 def audit_archive(spark: SparkSession, path: str, sidecar: DataFrame) -> DataFrame:
@@ -152,8 +184,13 @@ def audit_archive(spark: SparkSession, path: str, sidecar: DataFrame) -> DataFra
     return both.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def write_docs(docs: DataFrame, path: str) -> None:
-    docs.write.mode("overwrite").json(path)
+def write_docs(docs: DataFrame, path: str, name: str | None = None) -> None:
+    """One JSON line per document or, with a column `name`, a readable file for each in a folder name=<its value>."""
+    if name is None:
+        docs.write.mode("overwrite").json(path)
+    else:
+        body = F.to_json(F.struct(*(c for c in docs.columns if c != name)), {"pretty": "true"})
+        docs.select(name, body.alias("value")).repartition(name).write.mode("overwrite").partitionBy(name).text(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = ()) -> None:

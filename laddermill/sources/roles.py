@@ -17,8 +17,33 @@ TRAINED = [83, 4, 7, 448, 751, 74, 93, 13, 39, 5]
 RESEARCHED = [22, 213, 249, 202, 203, 14, 13, 55, 182, 278]
 
 
+#: Roles that `keep` has written, by corpus and role: folders.
+_KEPT: dict[tuple[str, str], str] = {}
+
+
+def keep(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = ("lines", "matches", "players", "events", "techs", "units")) -> None:
+    """Writes the roles once to the shared folder; from then on the Tables of this corpus read them there."""
+    from laddermill.sources.archives import scratch
+
+    for name in names:
+        path = scratch(spark, f"role-{name}")
+        getattr(Tables(spark, sf_dir), name).write.parquet(path)
+        _KEPT[sf_dir, name] = path
+
+
+def role(make):
+    """A lazy table, read from where `keep` has written it if it has."""
+
+    def get(self) -> DataFrame:
+        path = _KEPT.get((self.sf_dir, make.__name__))
+        return self.spark.read.parquet(path) if path else make(self)
+
+    get.__name__, get.__doc__ = make.__name__, make.__doc__
+    return cached_property(get)
+
+
 class Tables:
-    """The tables of one corpus. `name(x)` is the raw table x; the other properties are roles."""
+    """The tables of one corpus. `raw(x)` is the given table x; the other properties are roles."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -26,28 +51,28 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    @cached_property
+    @role
     def lines(self) -> DataFrame:
         """One line per order and number: the first by part, supplier, price and date."""
         order = W.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
         return self.raw("lineitem").withColumn("rn", F.row_number().over(order)).filter("rn = 1").drop("rn")
 
-    @cached_property
+    @role
     def maps(self) -> DataFrame:
         from laddermill.functions.scalars import slug
 
         family = F.expr("case r_regionkey when 0 then 'open' when 1 then 'closed' when 2 then 'hybrid' when 3 then 'nomad' else 'water' end")
         return self.raw("region").select(F.col("r_regionkey").alias("map_id"), F.col("r_name").alias("name"), slug(F.col("r_name")).alias("slug"), family.alias("family"))
 
-    @cached_property
+    @role
     def civs(self) -> DataFrame:
         kinds = self.raw("part").select("p_type").distinct()
         return kinds.select(F.row_number().over(W.orderBy("p_type")).alias("civ_id"), F.lower("p_type").alias("slug"))
 
-    @cached_property
+    @role
     def matches(self) -> DataFrame:
         n = self.lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_players")).filter("n_players >= 2")
-        where = F.broadcast(self.raw("nation")).join(self.raw("customer"), F.expr("n_nationkey = c_nationkey"))
+        where = self.raw("nation").join(self.raw("customer"), F.expr("n_nationkey = c_nationkey"))
         rows = self.raw("orders").join(n, F.expr("l_orderkey = o_orderkey")).join(where, F.expr("c_custkey = o_custkey"))
         return rows.selectExpr(
             "o_orderkey match_id",
@@ -60,10 +85,9 @@ class Tables:
             "n_players",
         )
 
-    @cached_property
+    @role
     def players(self) -> DataFrame:
-        civ = F.broadcast(self.civs)
-        rows = self.lines.join(self.raw("part").select("p_partkey", F.lower("p_type").alias("slug")), F.expr("p_partkey = l_partkey")).join(civ, "slug")
+        rows = self.lines.join(self.raw("part").select("p_partkey", F.lower("p_type").alias("slug")), F.expr("p_partkey = l_partkey")).join(self.civs, "slug")
         return rows.selectExpr(
             "l_orderkey match_id",
             "l_linenumber profile_id",
@@ -76,7 +100,7 @@ class Tables:
             "case when l_suppkey % 3 = 0 or l_suppkey % 7 = 0 or l_suppkey % 11 = 0 then null else 1300 + l_quantity * 8 + l_partkey % 300 end imperial_t",
         )
 
-    @cached_property
+    @role
     def events(self) -> DataFrame:
         rows = self.lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("k"))
         pick = lambda ids: f"array({', '.join(map(str, ids))})[cast((l_suppkey + k) % 10 as int)]"
@@ -89,17 +113,17 @@ class Tables:
             "case when k % 2 = 0 then cast(l_quantity as bigint) % 6 end amount",
         )
 
-    @cached_property
+    @role
     def units(self) -> DataFrame:
         from laddermill.operators.events import player_units
 
         return player_units(self.events)
 
-    @cached_property
+    @role
     def techs(self) -> DataFrame:
         return self.events.filter("kind = 'research'").groupBy("match_id", "profile_id", F.col("target_id").alias("tech_id")).agg(F.min("t_ms").alias("t_ms"))
 
-    @cached_property
+    @role
     def ages(self) -> DataFrame:
         rows = self.players.select("match_id", "profile_id", "civ_id", "won", "feudal_t", "castle_t", F.explode(F.array(*map(F.lit, ("dark", "feudal", "castle")))).alias("age"))
         return rows.selectExpr(
@@ -108,7 +132,7 @@ class Tables:
             "case age when 'dark' then 18 + profile_id else 8 + civ_id end villagers",
         )
 
-    @cached_property
+    @role
     def sessions(self) -> DataFrame:
         """Events of ten-day blocks as matches, their users as players; ten days scaled to 30 minutes."""
         day = "datediff(to_date(ts), date '2024-01-01')"
@@ -126,7 +150,7 @@ class Tables:
             "(event_id * 29) % 120 y",
         )
 
-    @cached_property
+    @role
     def session_players(self) -> DataFrame:
         """Each session's players, in teams of two by their number, with the length of their match."""
         return self.sessions.select("match_id", "profile_id").distinct().selectExpr("match_id", "profile_id", "cast(2 + profile_id % 2 as int) team", "cast(profile_id % 6 as int) civ_id", "cast(1800000 as bigint) duration_ms")

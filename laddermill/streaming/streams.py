@@ -25,16 +25,33 @@ def run(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> D
     return stream.sparkSession.read.parquet(out)
 
 
-def ingest(spark: SparkSession, path: str, target: str, checkpoint: str) -> DataFrame:
-    """Inserts matches that the target lacks, batch by batch: the first writer of a match wins. Target: one folder per
-    batch, so that a batch run again overwrites its own."""
+#: Match ids of one shard of an ingest target.
+SPAN = 1_000_000
+
+
+def ingest(spark: SparkSession, path: str, target: str, checkpoint: str, policy: str = "skip", span: int = SPAN) -> DataFrame:
+    """Takes matches in batch by batch and returns what then counts. skip: the first writer of a match wins. upgrade: a
+    replay also takes the place of an archive match; replays stay.
+
+    The target holds what each batch brought, by shard (a range of ids) and batch, so that a batch reads the earlier rows
+    of its own shards only, and a batch run again overwrites its own rows.
+    """
+    better = F.col("source") == "replay" if policy == "upgrade" else F.lit(False)
 
     def write(batch: DataFrame, number: int) -> None:
-        there = batch.sparkSession.read.option("recursiveFileLookup", True).schema(batch.schema).parquet(*[f"{target}/batch={i}" for i in range(number)]) if number else batch.limit(0)
-        first_of(batch, ["match_id"], ["played_at", "build"]).join(there.select("match_id"), "match_id", "left_anti").select(*batch.columns).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        rows = first_of(batch.withColumn("_better", better), ["match_id"], [F.desc("_better"), "played_at", "build"]).withColumn("shard", F.floor(F.col("match_id") / span))
+        if number:
+            shards = [r.shard for r in rows.select("shard").distinct().collect()]
+            earlier = batch.sparkSession.read.parquet(target).filter(F.col("shard").isin(shards) & (F.col("batch") < number))
+            there = earlier.groupBy("match_id").agg(F.bool_or(better).alias("_there"))
+            rows = rows.join(there, "match_id", "left").filter("_there is null or (_better and not _there)")
+        rows = rows.select(*batch.columns, "shard", F.lit(number).alias("batch"))
+        rows.write.partitionBy("shard", "batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(target)
 
     source(spark, path).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(target).drop("batch")
+    found = spark.read.parquet(target)
+    # of a match's rows the last: an upgrade comes after what it replaces
+    return first_of(found, ["match_id"], [F.desc("batch")]).drop("batch", "shard")
 
 
 def dedup(stream: DataFrame, key: str, time: str, within: str = "60 days") -> DataFrame:
@@ -42,6 +59,11 @@ def dedup(stream: DataFrame, key: str, time: str, within: str = "60 days") -> Da
 
 
 def commands_per_minute(stream: DataFrame, time: str, late: str = "10 minutes") -> DataFrame:
+    """Commands of each user in each minute, emitted once a row that is `late` or more after the minute's end has come.
+
+    So a source that ends needs a closing row that is later than all others by more than that; its own minute is never
+    emitted. (A filter on the user here would reach the source before the watermark and take the closing row away.)
+    """
     counted = stream.withWatermark(time, late).groupBy(F.window(time, "1 minute"), "user_id").agg(F.count(F.lit(1)).alias("commands"))
     return counted.select(F.col("window.start").alias("minute"), "user_id", "commands")
 

@@ -118,3 +118,105 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def match_rows(spark, rows):
+    return spark.createDataFrame(rows, "match_id int, source string, ladder string, map_id int, build int")
+
+
+def player_rows(spark, rows):
+    return spark.createDataFrame(rows, "match_id int, profile_id int, civ_id int, elo int, won boolean, opening_kind string, castle_t double")
+
+
+def test_a_pair_needs_the_first_result_only(spark):
+    matches = match_rows(spark, [(1, "archive", "1v1", 3, 1), (2, "archive", "team", 3, 1)])
+    players = player_rows(spark, [(1, 1, 5, 900, True, None, None), (1, 2, 6, None, None, None, None), (2, 1, 5, 900, True, None, None), (2, 2, 6, 900, None, None, None), (2, 3, 7, 900, False, None, None)])
+    assert rows(m.matchups(matches, players)) == [(5, 6, 1, 1, 100.0)]
+    assert rows(m.matchups(matches, players, by="map_id")) == [(5, 6, 3, 1, 1, 100.0)]
+    assert rows(m.matchups_by_elo(matches, players).select("civ_id", "elo_bucket", "games")) == [(5, "<1000", 1), (5, "all", 1)]
+    assert rows(m.matchups(matches, players, "team").select("civ_id", "opp_civ_id")) == [(5, 7), (7, 5)]
+
+
+def test_villagers_need_reached_windows(spark):
+    matches, players = match_rows(spark, [(1, "replay", "1v1", 3, 1)]), player_rows(spark, [(1, p, 5, 900, True, None, None) for p in (1, 2, 3)])
+    ages = [(1, 1, 5, True, "dark", 0, 20), (1, 1, 5, True, "feudal", 5, 9), (1, 1, 5, True, "castle", 0, 1)]  # castle at 0 counts
+    ages += [(1, 2, 5, True, "dark", 0, 20), (1, 2, 5, True, "feudal", -1, 50), (1, 2, 5, True, "castle", 9, 1)]  # feudal not reached
+    ages += [(1, 3, 5, True, "dark", 0, 20), (1, 3, 5, True, "feudal", 5, 50), (1, 3, 5, True, "castle", -1, 1)]
+    got = m.benchmark_vils(matches, players, spark.createDataFrame(ages, "match_id int, profile_id int, civ_id int, won boolean, age string, uptime_ms int, villagers int"), 1)
+    assert {(r.n, r.vils_median) for r in got.collect()} == {(1, 29.0)}
+
+
+def test_whose_wins_are_references(spark):
+    """Openings and medians are of every source, tech shares of replays; civ 0 counts in the latter two."""
+    matches = match_rows(spark, [(1, "replay", "1v1", 3, 1), (2, "archive", "1v1", 3, 1), (3, "replay", "1v1", 3, 1)])
+    players = player_rows(spark, [(1, 1, 5, 900, True, "scouts", 800.0), (2, 1, 5, 900, True, "drush", 800.0), (3, 1, 0, 900, True, "scouts", 800.0)])
+    every = m.winners(matches, players, None, random_civ=True)
+    assert rows(m.winner_refs_openings(m.winners(matches, players, None), 1, 0.0).select("civ_id", "opening_kind", "n", "winners")) == [(5, "drush", 1, 2), (5, "scouts", 1, 2)]
+    techs = spark.createDataFrame([(3, 1, 22, 100)], "match_id int, profile_id int, tech_id int, t_ms int")
+    assert ("<1000", 2, 22, 1) in rows(m.winner_refs_ecotech(m.winners(matches, players, random_civ=True), techs, 1).select("elo_bucket", "n", "tech_id", "clicked"))
+    events = spark.createDataFrame([(2, 1, 50, "train", 4), (3, 1, 70, "research", 22), (1, 1, 5, "train", 83), (1, 1, 5, "move", 22)], "match_id int, profile_id int, t_ms int, kind string, target_id int")
+    assert rows(m.winner_refs_meds(every, events, 1).select("map_id", "n", "military_median", "t22_median")) == [("3", 2, 50.0, 70.0), ("all", 2, 50.0, 70.0)]
+
+
+def archive_file(tmp_path, name, **columns):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / name)
+    pq.write_table(pa.table(columns), path)
+    return path
+
+
+def test_archives_in_all_their_types(spark, tmp_path):
+    import datetime
+
+    import pyarrow as pa
+
+    at = datetime.datetime(2024, 3, 1, 12, 0, 5, 250, tzinfo=datetime.timezone.utc)
+    rest = {"map": ["passage", "Black_Forest"], "duration": [2_971_600_000_000, None], "num_players": [2, 2], "leaderboard": ["x", "y"], "patch": [1, 2]}
+    files = [archive_file(tmp_path, f"m_{unit}.parquet", game_id=["1", "2"], started_timestamp=pa.array([at, None], pa.timestamp(unit, "UTC")), **rest) for unit in ("us", "ns")]
+    got = a.read_match_archive(spark, files).filter("game_id = 1").select("map", "duration_ms", F.unix_micros("started_timestamp")).distinct().collect()
+    assert [tuple(r) for r in got] == [("thepassage", 2_971_600, int(at.timestamp()) * 1_000_000 + 250)]
+    for bad in ({"patch": ["one", "two"]}, {"leaderboard": [1, 2]}, {"duration": ["1", "2"]}):
+        with pytest.raises(ValueError):
+            a.read_match_archive(spark, [archive_file(tmp_path, "bad.parquet", game_id=["1", "2"], started_timestamp=pa.array([at, None], pa.timestamp("us", "UTC")), **(rest | bad))])
+    with pytest.raises(ValueError):
+        a.read_match_archive(spark, [archive_file(tmp_path, "short.parquet", game_id=["1"])])
+
+
+def test_a_column_without_values_stored_as_int(spark, tmp_path):
+    import pyarrow as pa
+
+    def file(name, opening):
+        none = pa.array([None, None], pa.int32())
+        return archive_file(tmp_path, name, game_id=[1, 2], profile_id=[1.0, 2.0], civ=["a", "b"], winner=[True, None], opening=opening, feudal_age_uptime=[1.5, None], castle_age_uptime=none, imperial_age_uptime=none, new_rating=[1000, None])
+
+    got = a.read_player_archive(spark, [file("p_1.parquet", pa.array([None, None], pa.int32())), file("p_2.parquet", ["scouts", None])])
+    assert rows(got.filter("profile_id = 1").select("profile_id", F.coalesce("opening", F.lit("-")), "feudal_age_uptime")) == [(1, "-", 1.5), (1, "scouts", 1.5)]
+    with pytest.raises(PySparkException):
+        a.read_player_archive(spark, [file("p_3.parquet", pa.array([7, None], pa.int32()))]).collect()
+
+
+def test_readable_documents(spark, tmp_path):
+    docs = spark.createDataFrame([("a", 1, [1, 2]), ("b", 2, [])], "name string, n int, l array<int>")
+    a.write_docs(docs, str(tmp_path / "docs"), "name")
+    files = list((tmp_path / "docs").glob("name=*/*.txt"))
+    assert len(files) == 2 and all('\n  "n" : ' in f.read_text() for f in files)
+
+
+def test_aliases_and_required_items(spark):
+    from laddermill.operators import text as x
+
+    df = spark.createDataFrame([("packed", 2), ("packed", 1), ("other", 5)], "k string, n int")
+    assert rows(x.first_wins(df, "k", ["n"], aliases={"plain": "packed", "other": "packed"})) == [("other", 5), ("packed", 1), ("plain", 1)]
+    help_text = spark.createDataFrame([(1, "Techs\na, b"), (2, "Techs\na")], "k int, help string")
+    assert x.sectioned_text(help_text.filter("k = 1"), "k", "help", ["Techs"], {"Techs": 2}).count() == 2
+    with pytest.raises(PySparkException):
+        x.sectioned_text(help_text, "k", "help", ["Techs"], {"Techs": 2}).collect()
+
+
+def test_fallback_takes_the_first_step(spark):
+    bench = spark.createDataFrame([(1, "m", "<1000", "1v1", 10.0), (1, "m", "all", "1v1", 20.0), (1, "m", "all", "all", 30.0), (1, "n", "all", "all", 40.0)], "civ_id int, map_id string, elo_bucket string, ladder string, castle_s double")
+    players = spark.createDataFrame([(1, 1, "m", "<1000", "1v1"), (2, 1, "m", "2500+", "1v1"), (3, 1, "m", None, "team"), (4, 1, "n", "<1000", "1v1"), (5, 2, "m", "<1000", "1v1"), (5, 2, "m", "<1000", "1v1")], "profile_id int, civ_id int, map_id string, elo_bucket string, ladder string")
+    got = sorted((r.profile_id, r.castle_s, r.kind) for r in f.bench_slice(players, bench).filter("kind is not null").collect())
+    assert got == [(1, 10.0, "exact"), (2, 20.0, "mapmode"), (3, 30.0, "mapall"), (4, 40.0, "mapall")] and f.bench_slice(players, bench).count() == 6
