@@ -200,6 +200,42 @@ def test_pii_adds_confirmed_spans(spark, docs, empty):
     assert pii.redact(docs).filter("text is null").count() == 1
 
 
+def test_pii_scores_beside_brute_force():
+    """Every stretch that has the form of a number, its own score and its context, one by one."""
+    rnd = random.Random(9)
+    near = {"ssn": {"ssn", "taxpayer", "tin"}, "tel": {"tel", "call", "fax", "phone"}}
+
+    def ssn(x):
+        a, b, c = x[:3], x[4:6], x[7:]
+        return len(x) == 11 and x[3] == x[6] == "-" and (a + b + c).isdigit() and a not in ("000", "666") and a[0] != "9" and b != "00" and c != "0000"
+
+    def tel(x):
+        if x[0] == "(":
+            x = x[1:4] + x[4:].replace(")", "", 1) if x[4:5] == ")" else "?"
+            x = x if x[3:4] == " " else x[:3] + " " + x[3:]
+        return len(x) == 12 and x[3] in " .-" and x[7] in " .-" and (x[:3] + x[4:7] + x[8:]).isdigit()
+
+    for _ in range(3000):
+        parts = [rnd.choice(["ssn", "call", "word", "TIN", "fax", "other", "y" * rnd.randint(1, 40), "123-45-6789", "000-12-3456", "912-34-5678", "219-09-9999x", "555-123-4567", "(555) 123-4567", "(555)123 4567", "555.123.4567", "1555-123-4567", "555-123-45678"]) for _ in range(rnd.randint(1, 7))]
+        t = rnd.choice([" ", "  ", ", "]).join(parts)
+        got = [x for x in pii.spans(t) if x[2] >= 4]
+        base = [x for x in pii.spans(t) if x[2] < 4]
+        want = []
+        for kind, form, sizes, left, right in (("ssn", ssn, (11,), "0123456789-", "0123456789-"), ("tel", tel, (12, 13, 14), "0123456789+.-", "0123456789.-")):
+            at = 0
+            while at < len(t):
+                fits = [n for n in sizes if at + n <= len(t) and form(t[at : at + n]) and not (at and t[at - 1] in left) and not (at + n < len(t) and t[at + n] in right)]
+                if fits:
+                    end = at + max(fits)
+                    words = set(re.findall(r"\w+", t[max(0, at - pii.REACH) : at].lower()))
+                    if words & near[kind] and not any(s < end and at < e for s, e, _ in base):
+                        want.append((at, end, pii.KINDS.index(kind)))
+                    at = end
+                else:
+                    at += 1
+        assert got == sorted(want), t
+
+
 def test_pii_finds_an_iban_before_capitals():
     for t, want in (
         ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", ["DE89 3704 0044 0532 0130 00"]),
