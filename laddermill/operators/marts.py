@@ -21,40 +21,55 @@ def rated(players: DataFrame) -> DataFrame:
 
 
 def results(matches: DataFrame, players: DataFrame) -> DataFrame:
-    """One row per player with a known result and civ, with the match's columns."""
-    return rated(players).filter("won is not null and civ_id <> 0").join(matches, "match_id")
+    """One row per player with a known result and civ, with the match's columns; games (1) and wins are summed later."""
+    rows = rated(players).filter("won is not null and civ_id <> 0").join(matches, "match_id")
+    return rows.withColumns({"games": F.lit(1).cast("long"), "wins": F.col("won").cast("long")})
+
+
+#: The finest keys by which the win-rate marts count.
+FINEST = ["civ_id", "ladder", "elo_bucket", "map_id", "build", "opening_kind"]
+
+
+def finest(matches: DataFrame, players: DataFrame) -> DataFrame:
+    """games and wins by all of FINEST: what civ_meta and its kin can be summed from in place of `results`."""
+    return summed(results(matches, players), *FINEST)
+
+
+def summed(rows: DataFrame, *keys) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.sum("games").alias("games"), F.sum("wins").alias("wins"))
 
 
 def wins_by(rows: DataFrame, *keys) -> DataFrame:
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("games"), F.count_if("won").alias("wins"))
-    return counted.withColumn("winrate", rate(F.col("wins"), F.col("games")))
+    return summed(rows, *keys).withColumn("winrate", rate(F.col("wins"), F.col("games")))
 
 
 def rolled(rows: DataFrame, keys: list[str], over: str) -> DataFrame:
     """wins_by(keys + over) and, as 'all', wins_by(keys): the finest counts are summed again."""
-    fine = rows.groupBy(*keys, over).agg(F.count(F.lit(1)).alias("games"), F.count_if("won").alias("wins"))
-    coarse = fine.groupBy(*keys).agg(F.sum("games").alias("games"), F.sum("wins").alias("wins")).withColumn(over, F.lit("all"))
+    fine = summed(rows, *keys, over)
+    coarse = summed(fine, *keys).withColumn(over, F.lit("all"))
     both = fine.filter(F.col(over).isNotNull()).unionByName(coarse)
     return both.withColumn("winrate", rate(F.col("wins"), F.col("games")))
 
 
-def civ_meta(matches: DataFrame, players: DataFrame) -> DataFrame:
-    """civ, ladder, band or 'all' (which includes unrated players), with the ladder's total of appearances."""
-    out = rolled(results(matches, players), ["civ_id", "ladder"], "elo_bucket")
+def civ_meta(rows: DataFrame) -> DataFrame:
+    """civ, ladder, band or 'all' (which includes unrated players), with the ladder's total of appearances.
+
+    rows here and in the next three: `results`, or `finest`."""
+    out = rolled(rows, ["civ_id", "ladder"], "elo_bucket")
     total = F.sum(F.when(F.col("elo_bucket") == "all", F.col("games"))).over(W.partitionBy("ladder"))
     return out.withColumn("ladder_total_games", total)
 
 
-def civ_meta_by_map(matches: DataFrame, players: DataFrame) -> DataFrame:
-    return wins_by(results(matches, players), "civ_id", "ladder", "map_id")
+def civ_meta_by_map(rows: DataFrame) -> DataFrame:
+    return wins_by(rows, "civ_id", "ladder", "map_id")
 
 
-def civ_meta_by_patch(matches: DataFrame, players: DataFrame) -> DataFrame:
-    return wins_by(results(matches, players).filter("build is not null"), "civ_id", "ladder", "build")
+def civ_meta_by_patch(rows: DataFrame) -> DataFrame:
+    return wins_by(rows.filter("build is not null"), "civ_id", "ladder", "build")
 
 
-def civ_meta_openings(matches: DataFrame, players: DataFrame) -> DataFrame:
-    counted = results(matches, players).filter("opening_kind is not null").groupBy("civ_id", "ladder", "opening_kind").agg(F.count(F.lit(1)).alias("games"), F.count_if("won").alias("wins"))
+def civ_meta_openings(rows: DataFrame) -> DataFrame:
+    counted = summed(rows.filter("opening_kind is not null"), "civ_id", "ladder", "opening_kind")
     order = W.partitionBy("civ_id", "ladder").orderBy(F.desc("games"), "opening_kind")
     return counted.withColumn("rank", F.row_number().over(order))
 
@@ -78,10 +93,12 @@ def pairs(matches: DataFrame, players: DataFrame, ladder: str) -> DataFrame:
     Only the first of a pair needs a result; on the team ladder opposite results need both.
     """
     every = rated(players).filter("civ_id <> 0").join(matches.filter(F.col("ladder") == ladder).select("match_id", "map_id"), "match_id")
-    side = every.filter("won is not null")
-    other = (every if ladder == "1v1" else side).select("match_id", F.col("profile_id").alias("opp_profile"), F.col("civ_id").alias("opp_civ_id"), F.col("won").alias("opp_won"))
-    met = "profile_id <> opp_profile" if ladder == "1v1" else "won <> opp_won"
-    return side.join(other, "match_id").filter(f"{met} and civ_id <> opp_civ_id")
+    # a match has eight players at most; pairs are made within it, without another join
+    side = F.struct("profile_id", "civ_id", "elo_bucket", "won")
+    per = every.groupBy("match_id", "map_id").agg(F.collect_list(side).alias("sides")).withColumn("a", F.explode("sides")).withColumn("b", F.explode("sides"))
+    met = "a.profile_id <> b.profile_id" if ladder == "1v1" else "a.won <> b.won"
+    met = per.filter(f"{met} and a.won is not null and a.civ_id <> b.civ_id").select("map_id", "a.civ_id", F.col("b.civ_id").alias("opp_civ_id"), "a.elo_bucket", "a.won")
+    return met.withColumns({"games": F.lit(1).cast("long"), "wins": F.col("won").cast("long")})
 
 
 def matchups(matches: DataFrame, players: DataFrame, ladder: str = "1v1", by: str | None = None) -> DataFrame:
@@ -120,7 +137,9 @@ def benchmark_vils(matches: DataFrame, players: DataFrame, ages: DataFrame, min_
     rows = rows.join(matches.select("match_id", "map_id", "ladder"), "match_id")
     sets = [["civ_id", "map_id", "elo_bucket", "ladder"], ["civ_id", "map_id", "ladder"], ["civ_id", "map_id"]]
     named = [rollup_label(k).alias(f"g_{i}") for i, k in enumerate(("elo_bucket", "ladder"))]
-    cells = rows.groupingSets([[F.col(k) for k in s] for s in sets], *map(F.col, sets[0])).agg(F.count(F.lit(1)).alias("n"), F.percentile("vils", 0.5).alias("vils_median"), *named)
+    # equal values are counted before the rows are copied for each rollup
+    rows = rows.groupBy(*sets[0], "vils").agg(F.count(F.lit(1)).alias("times"))
+    cells = rows.groupingSets([[F.col(k) for k in s] for s in sets], *map(F.col, sets[0])).agg(F.sum("times").alias("n"), F.percentile("vils", 0.5, F.col("times")).alias("vils_median"), *named)
     return cells.filter(F.col("n") >= min_n).select("civ_id", F.col("map_id").cast("string").alias("map_id"), F.col("g_0").alias("elo_bucket"), F.col("g_1").alias("ladder"), "n", "vils_median")
 
 
@@ -130,13 +149,14 @@ def benchmark_ecotech(matches: DataFrame, players: DataFrame, techs: DataFrame,
     rows = techs.join(won, ["match_id", "profile_id"]).join(matches.select("match_id", "map_id", "ladder"), "match_id")
     sets = [["tech_id", "map_id", "elo_bucket", "ladder"], ["tech_id", "map_id", "ladder"], ["tech_id", "elo_bucket", "ladder"], ["tech_id", "ladder"]]
     named = [rollup_label(k).alias(f"g_{i}") for i, k in enumerate(("map_id", "elo_bucket"))]
-    cells = rows.groupingSets([[F.col(k) for k in s] for s in sets], *map(F.col, sets[0])).agg(F.count(F.lit(1)).alias("n"), F.percentile("t_ms", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), *named)
+    rows = rows.groupBy(*sets[0], "t_ms").agg(F.count(F.lit(1)).alias("times"))
+    cells = rows.groupingSets([[F.col(k) for k in s] for s in sets], *map(F.col, sets[0])).agg(F.sum("times").alias("n"), F.percentile("t_ms", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("times")).alias("q"), *named)
     return cells.filter(F.col("n") >= min_n).select("tech_id", F.col("g_0").alias("map_id"), F.col("g_1").alias("elo_bucket"), "ladder", "n", *(F.col("q")[i].alias(p) for i, p in enumerate(("p25_ms", "p50_ms", "p75_ms"))))
 
 
 def civ_cube(matches: DataFrame, players: DataFrame, min_games: int = 20, ladder: str = "1v1") -> DataFrame:
     rows = results(matches.filter(F.col("ladder") == ladder), players).filter("elo_bucket is not null and build is not null")
-    return rows.groupBy("civ_id", "elo_bucket", "map_id", "build").agg(F.count(F.lit(1)).alias("games"), F.count_if("won").alias("wins")).filter(F.col("games") >= min_games)
+    return summed(rows, "civ_id", "elo_bucket", "map_id", "build").filter(F.col("games") >= min_games)
 
 
 def winners(matches: DataFrame, players: DataFrame, source: str | None = "replay", random_civ: bool = False) -> DataFrame:

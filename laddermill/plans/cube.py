@@ -9,6 +9,7 @@ from laddermill.operators import cube as q
 from laddermill.operators import documents as d
 from laddermill.operators import marts as m
 from laddermill.plans.marts import CUBE, ORACLE as MART_SQL, RATE, SUMS, WN, SH, N, G
+from laddermill.sources.archives import saved
 from laddermill.sources.roles import ROLE_CTES, Tables, twin
 
 QUERIES, ORACLE = {}, {}
@@ -30,7 +31,7 @@ def cube(t: Tables):
 
 
 def meta(t: Tables):
-    return m.civ_meta(t.matches, t.players)
+    return m.civ_meta(m.results(t.matches, t.players))
 
 
 EDGE = "try_cast(regexp_extract(elo_bucket, '^(\\d+)', 1) as int)"
@@ -89,15 +90,15 @@ add(
 )
 add("top_civs", lambda t: q.top_n(meta(t).filter("ladder = '1v1' and elo_bucket = 'all'").select("civ_id", "winrate", "games"), [F.desc("winrate"), F.asc("civ_id")], 4), f"select civ_id, winrate, games from {mart('civ_meta')} where ladder = '1v1' and elo_bucket = 'all' order by winrate desc, civ_id limit 4")
 SHOWN = "civ_id, winrate, games"
-add("top_civs_by_map", lambda t: q.top_n(m.civ_meta_by_map(t.matches, t.players).filter("ladder = '1v1'").select("civ_id", "map_id", "winrate", "games"), [F.desc("winrate"), F.asc("map_id")], 10, ["civ_id"]), f"select civ_id, map_id, winrate, games from {mart('civ_meta_by_map')} where ladder = '1v1' qualify row_number() over (partition by civ_id order by winrate desc, map_id) <= 10")
+add("top_civs_by_map", lambda t: q.top_n(m.civ_meta_by_map(m.results(t.matches, t.players)).filter("ladder = '1v1'").select("civ_id", "map_id", "winrate", "games"), [F.desc("winrate"), F.asc("map_id")], 10, ["civ_id"]), f"select civ_id, map_id, winrate, games from {mart('civ_meta_by_map')} where ladder = '1v1' qualify row_number() over (partition by civ_id order by winrate desc, map_id) <= 10")
 add("civ_trend_by_elo", lambda t: q.trend(meta(t).filter("ladder = '1v1' and elo_bucket <> 'all'"), q.band_order(F.col("elo_bucket")), "elo_bucket"), f"select {SHOWN}, elo_bucket, cast(row_number() over (partition by civ_id order by {PLACE}) as int) as nth from {mart('civ_meta')} where ladder = '1v1' and elo_bucket <> 'all'")
-add("civ_trend_by_patch", lambda t: q.trend(m.civ_meta_by_patch(t.matches, t.players).filter("ladder = '1v1'"), F.col("build"), "build"), f"select {SHOWN}, build, cast(row_number() over (partition by civ_id order by build) as int) as nth from {mart('civ_meta_by_patch')} where ladder = '1v1'")
+add("civ_trend_by_patch", lambda t: q.trend(m.civ_meta_by_patch(m.results(t.matches, t.players)).filter("ladder = '1v1'"), F.col("build"), "build"), f"select {SHOWN}, build, cast(row_number() over (partition by civ_id order by build) as int) as nth from {mart('civ_meta_by_patch')} where ladder = '1v1'")
 add(
     "peer_average",
     lambda t: q.peer_average(t.raw("part").selectExpr("p_partkey", "p_brand", "cast(p_size as bigint) p_size"), "p_brand", "p_partkey", "p_size"),
     "select p_partkey, p_brand, p_size, peers, peer_mean, p_size - peer_mean as difference from (select p_partkey, p_brand, cast(p_size as bigint) as p_size, count(*) over w as peers, cast(round(avg(p_size) over w) as bigint) as peer_mean from part window w as (partition by p_brand)) where peers >= 3",
 )
-add("tier_counts", lambda t: q.tier_counts(m.civ_meta_by_map(t.matches, t.players)), f"select tier, n, cast(sum(n) over () as bigint) as total from (select {TIER} as tier, count(*) as n from {mart('civ_meta_by_map')} group by 1)")
+add("tier_counts", lambda t: q.tier_counts(m.civ_meta_by_map(m.results(t.matches, t.players))), f"select tier, n, cast(sum(n) over () as bigint) as total from (select {TIER} as tier, count(*) as n from {mart('civ_meta_by_map')} group by 1)")
 add("match_total", lambda t: q.match_total(meta(t).filter("elo_bucket = 'all'")), f"select cast(floor(sum(games) / 2 / 10000) * 10000 as bigint) as matches from {mart('civ_meta')} where elo_bucket = 'all'")
 KEPT = "select build, 'Update ' || build as label, matches from (select build, count(*) as matches from f_matches where ladder = '1v1' and build is not null group by 1) where matches >= 20 order by build desc limit 5"
 
@@ -107,7 +108,15 @@ def kept(t: Tables):
 
 
 add("kept_patches", kept, KEPT)
-add("doc_civ_meta", lambda t: d.doc_civ_meta(t.civs, meta(t), m.civ_meta_by_map(t.matches, t.players), m.civ_meta_by_patch(t.matches, t.players), m.civ_meta_openings(t.matches, t.players), m.civ_meta_ageup(t.matches, t.players), kept(t), 50, 10, 20, 10).select("civ_id", "slug", F.explode_outer("ladders").alias("ladder", "v")).select("civ_id", "slug", "ladder", "v.games", "v.winrate", "v.play_rate", "v.tier", *(F.coalesce(F.size(f"v.{x}"), F.lit(0)).alias(x) for x in ("by_elo", "by_map", "by_patch", "openings")), F.element_at("v.by_elo", "1400-1649")["games"].alias("games_1400"), F.get("v.openings", F.lit(0))["opening"].alias("opening"), "v.age_up.feudal_median"), f"""select c.civ_id, slug, ladder, games, winrate, play_rate, case when ladder is not null then {TIER} end as tier, coalesce(by_elo, 0) as by_elo, coalesce(by_map, 0) as by_map, coalesce(by_patch, 0) as by_patch, coalesce(openings, 0) as openings, games_1400, opening, case when castle_median is not null and imperial_median is not null then feudal_median end as feudal_median
+
+
+def civ_documents(t: Tables):
+    """All win rates of the document are summed from one finest aggregate."""
+    rows = saved(m.finest(t.matches, t.players), "finest")
+    return d.doc_civ_meta(t.civs, m.civ_meta(rows), m.civ_meta_by_map(rows), m.civ_meta_by_patch(rows), m.civ_meta_openings(rows), m.civ_meta_ageup(t.matches, t.players), kept(t), 50, 10, 20, 10)
+
+
+add("doc_civ_meta", lambda t: civ_documents(t).select("civ_id", "slug", F.explode_outer("ladders").alias("ladder", "v")).select("civ_id", "slug", "ladder", "v.games", "v.winrate", "v.play_rate", "v.tier", *(F.coalesce(F.size(f"v.{x}"), F.lit(0)).alias(x) for x in ("by_elo", "by_map", "by_patch", "openings")), F.element_at("v.by_elo", "1400-1649")["games"].alias("games_1400"), F.get("v.openings", F.lit(0))["opening"].alias("opening"), "v.age_up.feudal_median"), f"""select c.civ_id, slug, ladder, games, winrate, play_rate, case when ladder is not null then {TIER} end as tier, coalesce(by_elo, 0) as by_elo, coalesce(by_map, 0) as by_map, coalesce(by_patch, 0) as by_patch, coalesce(openings, 0) as openings, games_1400, opening, case when castle_median is not null and imperial_median is not null then feudal_median end as feudal_median
     from (select * from f_civs where civ_id <> 0) c left join (select *, round(games / greatest(ladder_total_games, 1) * 10000) / 100 as play_rate from {mart("civ_meta")} where elo_bucket = 'all' and games >= 50) a on a.civ_id = c.civ_id
     left join (select civ_id as c1, ladder as l1, cast(count(*) as int) as by_elo, max(case when elo_bucket = '1400-1649' then games end) as games_1400 from {mart("civ_meta")} where elo_bucket <> 'all' and games >= 10 group by all) e on c1 = a.civ_id and l1 = a.ladder
     left join (select civ_id as c2, ladder as l2, cast(count(*) as int) as by_map from {mart("civ_meta_by_map")} where games >= 20 group by all) b on c2 = a.civ_id and l2 = a.ladder

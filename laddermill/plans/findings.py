@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laddermill.operators import documents as d
@@ -10,7 +9,7 @@ from laddermill.operators import findings as f
 from laddermill.operators import marts as m
 from laddermill.plans.events import MEASURED, measured
 from laddermill.plans.marts import ORACLE as MART_SQL, SH, WN, N
-from laddermill.sources.archives import scratch
+from laddermill.sources.archives import saved
 from laddermill.sources.roles import Tables, twin
 
 QUERIES, ORACLE = {}, {}
@@ -24,13 +23,6 @@ def add(name: str, query, sql: str | None, **ctes: str) -> None:
         ORACLE[name] = twin(sql, **ctes)
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """df written once, for queries that read it several times; how large it is decides whether its joins broadcast it."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def bench(t: Tables):
     return saved(d.doc_benchmark(m.benchmark_ageup(t.matches, t.players, N), m.benchmark_vils(t.matches, t.players, t.ages, N)), "bench")
 

@@ -53,10 +53,10 @@ def add(name: str, query, sql: str, **ctes: str) -> None:
     ORACLE[name] = twin(sql, **ctes)
 
 
-add("civ_meta", lambda t: m.civ_meta(t.matches, t.players), f"select *, {RATE}, cast(sum(case when elo_bucket = 'all' then games end) over (partition by ladder) as bigint) as ladder_total_games from rolled_up", **rolled("civ_id, ladder", BASE))
-add("civ_meta_by_map", lambda t: m.civ_meta_by_map(t.matches, t.players), f"select *, {RATE} from (select civ_id, ladder, map_id, {COUNTS} from {BASE} group by all)")
-add("civ_meta_by_patch", lambda t: m.civ_meta_by_patch(t.matches, t.players), f"select *, {RATE} from (select civ_id, ladder, build, {COUNTS} from {BASE} and build is not null group by all)")
-add("civ_meta_openings", lambda t: m.civ_meta_openings(t.matches, t.players), f"select *, cast(row_number() over (partition by civ_id, ladder order by games desc, opening_kind) as int) as rank from (select civ_id, ladder, opening_kind, {COUNTS} from {BASE} and opening_kind is not null group by all)")
+add("civ_meta", lambda t: m.civ_meta(m.results(t.matches, t.players)), f"select *, {RATE}, cast(sum(case when elo_bucket = 'all' then games end) over (partition by ladder) as bigint) as ladder_total_games from rolled_up", **rolled("civ_id, ladder", BASE))
+add("civ_meta_by_map", lambda t: m.civ_meta_by_map(m.results(t.matches, t.players)), f"select *, {RATE} from (select civ_id, ladder, map_id, {COUNTS} from {BASE} group by all)")
+add("civ_meta_by_patch", lambda t: m.civ_meta_by_patch(m.results(t.matches, t.players)), f"select *, {RATE} from (select civ_id, ladder, build, {COUNTS} from {BASE} and build is not null group by all)")
+add("civ_meta_openings", lambda t: m.civ_meta_openings(m.results(t.matches, t.players)), f"select *, cast(row_number() over (partition by civ_id, ladder order by games desc, opening_kind) as int) as rank from (select civ_id, ladder, opening_kind, {COUNTS} from {BASE} and opening_kind is not null group by all)")
 add("civ_meta_ageup", lambda t: m.civ_meta_ageup(t.matches, t.players), f"select civ_id, ladder, {MEDIANS} from f_players join f_matches using (match_id) where feudal_t is not null and civ_id <> 0 group by all")
 add("patch_axis", lambda t: m.patch_axis(t.matches), "select build, count(*) as matches from f_matches where ladder = '1v1' and build is not null group by all")
 add("matchups_1v1", lambda t: m.matchups(t.matches, t.players), f"select *, {RATE} from (select civ_id, opp_civ_id, {COUNTS} from pairs group by all)", pairs=pair_cte("1v1"))

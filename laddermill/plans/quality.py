@@ -38,7 +38,7 @@ add(
 add("dq_elo_coverage", lambda t: v.coverage(t.players.join(t.matches, "match_id"), "elo", 0.99, "map_id"), "select n, have, nulls, round(have / n, 6) as share, have >= n * 0.99 and nulls = 0 as passed from (select count(*) as n, count(elo) as have, count(*) filter (where map_id is null) as nulls from f_players join f_matches using (match_id))")
 add(
     "dq_rates",
-    lambda t: v.rates(m.civ_meta_by_map(t.matches, t.players).withColumn("winrate", F.col("winrate") * 2.05).withColumn("tier", F.when(F.expr("civ_id <> 3"), tier_of(F.col("winrate")))), "winrate", "tier", F.concat_ws("/", "civ_id", "ladder", "map_id")),
+    lambda t: v.rates(m.civ_meta_by_map(m.results(t.matches, t.players)).withColumn("winrate", F.col("winrate") * 2.05).withColumn("tier", F.when(F.expr("civ_id <> 3"), tier_of(F.col("winrate")))), "winrate", "tier", F.concat_ws("/", "civ_id", "ladder", "map_id")),
     union(row("rate_range", "civ_id || '/' || ladder || '/' || map_id", "winrate", "bad where winrate > 100"), row("tier", "civ_id || '/' || ladder || '/' || map_id", "null", "bad where civ_id = 3")),
     bad=f"select civ_id, ladder, map_id, winrate * 2.05::double as winrate from {mart('civ_meta_by_map')}",
 )

@@ -41,6 +41,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """df written once, for what reads it several times; its size then decides whether joins broadcast it."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_drifting(spark: SparkSession, paths: Sequence[str], columns: Mapping[str, str], accepted: Mapping[str, set[str]] = ACCEPTED) -> DataFrame:
     """Files whose columns differ in type, read once for each kind of schema, cast to `columns` and put together.
 
