@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from laddermill.functions import scalars as s
 from laddermill.operators import ingest as g
+from laddermill.sources.archives import MAP_ALIASES
 from laddermill.sources.roles import Tables, twin
 
 QUERIES, ORACLE = {}, {}
@@ -20,7 +21,7 @@ def add(name: str, query, sql: str | None, **ctes: str) -> None:
 BAND = "select distinct elo, elo_bucket from f_rated"
 NAMES = "select p_partkey, p_name from part"
 add("slug", lambda t: t.raw("customer").select("c_custkey", s.slug(F.col("c_name")).alias("slug")), "select c_custkey, lower(regexp_replace(c_name, '[^A-Za-z0-9]', '', 'g')) as slug from customer")
-add("slug_alias", lambda t: t.maps.select("map_id", s.alias(F.col("slug"), {"asia": "east", "middleeast": "levant"}).alias("slug")), "select map_id, case slug when 'asia' then 'east' when 'middleeast' then 'levant' else slug end as slug from f_maps")
+add("slug_alias", lambda t: t.maps.select("map_id", s.alias(F.when(F.col("map_id") == 1, "scandanavia").when(F.col("map_id") == 2, "passage").otherwise(F.col("slug")), MAP_ALIASES).alias("slug")), "select map_id, case map_id when 1 then 'scandinavia' when 2 then 'thepassage' else slug end as slug from f_maps")
 LB = "case match_id % 5 when 0 then 'random_map' when 1 then 'co_random_map' when 2 then 'team_random_map' when 3 then 'co_team_random_map' end"
 add(
     "ladder_case",

@@ -108,7 +108,12 @@ add(
 
 add("mode_per_key", lambda t: x.mode_per_key(t.raw("lineitem"), "l_suppkey", F.least(F.floor(F.col("l_linenumber") / 2), F.lit(3)).cast("int")), "select l_suppkey, v as value, n from (select l_suppkey, cast(least(l_linenumber // 2, 3) as int) as v, count(*) as n from lineitem group by all) qualify row_number() over (partition by l_suppkey order by n desc, v) = 1")
 add("conflict_dedupe", lambda t: x.consensus(t.raw("lineitem").withColumn("k", F.concat_ws("/", "l_orderkey", "l_linenumber")), "k", ["l_partkey", "l_suppkey"])[1], "select l_orderkey || '/' || l_linenumber as k, count(distinct (l_partkey, l_suppkey)) as variants from lineitem group by 1 having count(distinct (l_partkey, l_suppkey)) > 1")
-add("first_wins", lambda t: x.first_wins(t.raw("orders").select("o_custkey", "o_orderkey", "o_orderdate"), "o_custkey", ["o_orderdate", "o_orderkey"], t.raw("customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))), "select o_custkey, o_orderkey, o_orderdate from orders where o_custkey in (select c_custkey from customer where c_acctbal > 0) qualify row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) = 1")
+add(
+    "first_wins",
+    lambda t: x.first_wins(t.raw("orders").select("o_custkey", "o_orderkey", "o_orderdate"), "o_custkey", ["o_orderdate", "o_orderkey"], t.raw("customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey")), {-1: 7, -2: 7, 8: 7, 10: 8}),
+    """select * from first union all select alias, o_orderkey, o_orderdate from first join (values (-1, 7), (-2, 7), (8, 7), (10, 8)) v(alias, source) on o_custkey = source where alias not in (select o_custkey from first)""",
+    first="select o_custkey, o_orderkey, o_orderdate from orders where o_custkey in (select c_custkey from customer where c_acctbal > 0) qualify row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) = 1",
+)
 add("resolve_names", lambda t: x.resolve_names(t.raw("supplier").select("s_suppkey", F.col("s_nationkey").alias("k")), t.raw("nation").filter("n_nationkey < 20").select(F.col("n_nationkey").alias("k"), "n_name"), "k"), "select s_suppkey, s_nationkey as k, n_name from supplier join nation on s_nationkey = n_nationkey where n_nationkey < 20")
 BONUS = "array(named_struct('class', cast(n_nationkey % 5 as int), 'amount', cast(n_nationkey % 4 as int)), named_struct('class', cast(n_nationkey % 3 + 5 as int), 'amount', cast(n_nationkey % 2 as int)))"
 add(

@@ -183,11 +183,18 @@ def read_patches(spark: SparkSession, path: str) -> DataFrame:
     return builds.select("b.build", "b.label", "b.released")
 
 
-def audit_archive(spark: SparkSession, path: str, sidecar: DataFrame) -> DataFrame:
-    """ok, missing, mismatch and unlisted files beside their recorded sha256 (name, sha256)."""
-    files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.sha2("content", 256).alias("found"))
-    both = files.join(sidecar, "name", "full")
-    state = F.when(F.col("sha256").isNull(), "unlisted").when(F.col("found").isNull(), "missing").when(F.col("found") == F.col("sha256"), "ok").otherwise("mismatch")
+def audit_archive(spark: SparkSession, path: str, sidecar: DataFrame, shards: int = 1000) -> DataFrame:
+    """How many files are ok, missing, a mismatch, unlisted or misplaced, beside recorded hashes (match_id, sha256).
+
+    A match's file lies in the folder of its shard, match_id % shards: <shard>/<match_id>.<type>, or as a table writes it
+    shard=<shard>/match_id=<match_id>/<file>. One that lies elsewhere is misplaced, whatever it holds.
+    """
+    place = r"/(?:shard=)?([0-9]+)/(?:match_id=)?([0-9]+)[./]"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = files.select(F.regexp_extract("path", place, 1).try_cast("bigint").alias("shard"), F.regexp_extract("path", place, 2).try_cast("bigint").alias("match_id"), F.sha2("content", 256).alias("found"))
+    both = files.filter("match_id is not null").join(sidecar, "match_id", "full")
+    misplaced = F.col("shard") != F.pmod("match_id", F.lit(shards))
+    state = F.when(misplaced, "misplaced").when(F.col("sha256").isNull(), "unlisted").when(F.col("found").isNull(), "missing").when(F.col("found") == F.col("sha256"), "ok").otherwise("mismatch")
     return both.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
 
 
