@@ -129,8 +129,8 @@ def scores(kinds: DataFrame, df: DataFrame, weights: dict[str, float], n: int) -
     index = []
     for i, (name, unit) in enumerate(template_units()):
         norm = sum((k * weights[t]) ** 2 for t, k in unit.items()) ** 0.5
-        index += [(t, i, name, k * weights[t] / norm) for t, k in unit.items()]
-    index = kinds.sparkSession.createDataFrame(index, "token string, nth int, license string, part double")
+        index += [f"('{t}', {i}, '{name}', {k * weights[t] / norm!r}D)" for t, k in unit.items()]
+    index = kinds.sparkSession.sql(f"select * from values {', '.join(index)} as t(token, nth, license, part)")
     dots = weighted.join(F.broadcast(index), "token").groupBy("key", "nth", "license").agg(F.sum(F.col("weight") * F.col("part")).alias("dot"))
     best = dots.join(norms, "key").groupBy("key").agg(F.max(F.struct(F.round(F.col("dot") / F.col("norm"), 9).alias("score"), "license")).alias("s"))
     return best.select("key", "s.score", "s.license")
