@@ -79,13 +79,20 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     taken are left out. Rows that repeat a doc_id or have none are documents of their own, as in `plan_mix`; those that
     are equal in its order too are ordered by a hash of all columns, so that only equal rows can change places.
     """
-    rows = docs.withColumns({"_mix_size": word_count(F.col("text")), "_mix_hash": F.xxhash64(*docs.columns), "_mix_row": F.monotonically_increasing_id()})
-    rows = materialize(rows, "mix-rows")  # a row's number holds once it is written
-    sizes = rows.select("doc_id", "source", F.col("_mix_size").alias("size"), "_mix_hash", "_mix_row")
-    plan = plan_mix(sizes, ties=("_mix_hash", "_mix_row"), **options).select("_mix_row", F.col("taken").alias("_mix_taken")).filter("_mix_taken > 0")
-    whole, part = F.floor(F.col("_mix_taken") / F.col("_mix_size")).cast("int"), (F.col("_mix_taken") % F.col("_mix_size")).cast("int")
+    named = F.xxhash64(*docs.columns)
+    sizes = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), named.alias("_mix_hash")), "mix-sizes")
+    repeated = not sizes.groupBy("_mix_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        """A row is named by its hash and, where rows repeat, its number among the equal ones."""
+        nth = F.row_number().over(W.partitionBy("_mix_hash").orderBy("doc_id")) if repeated else F.lit(1)
+        return rows.withColumn("_mix_nth", nth)
+
+    plan = plan_mix(numbered(sizes), ties=("_mix_hash", "_mix_nth"), **options).filter("taken > 0")
+    whole, part = F.floor(F.col("taken") / F.col("size")).cast("int"), (F.col("taken") % F.col("size")).cast("int")
     copies = F.concat(F.array_repeat(F.lit(0), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    joined = rows.join(plan, "_mix_row").withColumn("_mix_words", F.explode(copies))
+    plan = plan.select("_mix_hash", "_mix_nth", copies.alias("_mix_copies"))
+    joined = numbered(docs.withColumn("_mix_hash", named)).join(plan, ["_mix_hash", "_mix_nth"]).withColumn("_mix_words", F.explode("_mix_copies"))
     text = F.when(F.col("_mix_words") == 0, F.col("text")).otherwise(F.array_join(F.slice(words(F.col("text")), 1, F.col("_mix_words")), " "))
     mixed = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
