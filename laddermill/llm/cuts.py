@@ -87,7 +87,8 @@ def cut(docs: DataFrame, length: int, gram: int, of_bytes: bool) -> DataFrame:
 def repeated_runs(docs: DataFrame, length: int, gram: int, of_bytes: bool) -> DataFrame:
     """The runs whose anchor occurs more than once in the corpus."""
     every = materialize(cut(docs, length, gram, of_bytes), "runs")
-    again = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    # written, so that both sides of the join are plain shuffles and a hot anchor's runs are split among tasks
+    again = materialize(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "repeated-anchors")
     return materialize(every.join(again, "anchor", "left_semi"), "repeated-runs")
 
 
@@ -105,13 +106,13 @@ HOT_ANCHOR = 16_384
 def bodies(todo: DataFrame, docs: DataFrame, length: int, of_bytes: bool) -> DataFrame:
     """The text of each stretch of `todo` (stretches with a flag hot), cut from its first occurrence.
 
-    docs: a row for each document. anchor, stretch, doc_id, version, start, windows, body; hot ones have instead of a body
-    the hashes of their windows (`each`).
+    docs: a row for each document. anchor, stretch, seen, doc_id, version, start, windows, body; hot ones have instead of a
+    body the hashes of their windows (`each`).
     """
     ship(docs.sparkSession)
-    where = todo.groupBy(*DOC).agg(F.collect_list(F.struct("anchor", "stretch", "start", "windows", "hot")).alias("cut"))
-    rows = docs.join(where, DOC).select(*DOC, "text", *(F.col(f"cut.{c}").alias(c) for c in ("anchor", "stretch", "start", "windows", "hot")))
-    names = ["anchor", "stretch", *DOC, "start", "windows", "body", "each"]
+    where = todo.groupBy(*DOC).agg(F.collect_list(F.struct("anchor", "stretch", "seen", "start", "windows", "hot")).alias("cut"))
+    rows = docs.join(where, DOC).select(*DOC, "text", *(F.col(f"cut.{c}").alias(c) for c in ("anchor", "stretch", "seen", "start", "windows", "hot")))
+    names = ["anchor", "stretch", "seen", *DOC, "start", "windows", "body", "each"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
@@ -126,27 +127,27 @@ def bodies(todo: DataFrame, docs: DataFrame, length: int, of_bytes: bool) -> Dat
                     symbols = tc.word_hashes(chunk, starts, ends)
                 view, size = memoryview(np.ascontiguousarray(symbols)).cast("B"), symbols.itemsize
                 whole = chunk.data.tobytes()
-                for anchor, stretch, at, n, hot in zip(*(b.column(c)[i].as_py() for c in range(3, 8)), strict=True):
+                for anchor, stretch, seen, at, n, hot in zip(*(b.column(c)[i].as_py() for c in range(3, 9)), strict=True):
                     last = at + n + length - 1
                     body = None if hot else whole[at:last] if of_bytes else whole[starts[at] : ends[last - 1]]
                     each = [digest(view[j * size : (j + length) * size]) - (1 << 63) for j in range(at, at + n)] if hot else None
-                    for column, value in zip(out, (anchor, stretch, b.column(0)[i].as_py(), b.column(1)[i].as_py(), at, n, body, each), strict=True):
+                    for column, value in zip(out, (anchor, stretch, seen, b.column(0)[i].as_py(), b.column(1)[i].as_py(), at, n, body, each), strict=True):
                         column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
 
-    return rows.mapInArrow(run, "anchor bigint, stretch bigint, doc_id bigint, version bigint, start int, windows int, body binary, each array<bigint>")
+    return rows.mapInArrow(run, "anchor bigint, stretch bigint, seen bigint, doc_id bigint, version bigint, start int, windows int, body binary, each array<bigint>")
 
 
 def marked_one_by_one(cuts: DataFrame, flag) -> DataFrame:
     """anchor, stretch, marks of hot anchors: the prefix that a window is grouped by is as long as the window itself.
 
     The group of such a prefix is one node, of which only aggregates are needed: flag(first, n, own) gives the mark of a
-    window at `own` (doc_id, version, start) from the node's first place and its number of different stretches.
+    window at `own` (doc_id, version, start) from the node's first place and its number of leaves, repeated stretches counted.
     """
-    windows = cuts.filter("each is not null").select("anchor", "stretch", *DOC, "start", F.posexplode("each").alias("nth", "window"))
+    windows = cuts.filter("each is not null").select("anchor", "stretch", "seen", *DOC, "start", F.posexplode("each").alias("nth", "window"))
     own = F.struct(*DOC, (F.col("start") + F.col("nth")).alias("start"))
-    nodes = windows.groupBy("window").agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("n"))
+    nodes = windows.groupBy("window").agg(F.min(own).alias("first"), F.sum("seen").alias("n"))
     marks = windows.join(nodes, "window").select("anchor", "stretch", F.struct("nth", F.when(flag(F.col("first"), F.col("n"), own), "1").otherwise("0").alias("mark")).alias("x"))
     return marks.groupBy("anchor", "stretch").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["mark"]), "").alias("marks"))
 
@@ -154,7 +155,7 @@ def marked_one_by_one(cuts: DataFrame, flag) -> DataFrame:
 def marked(cuts: DataFrame, solve, per_group: int) -> DataFrame:
     """anchor, stretch, marks of all other anchors: groups of whole anchors, about per_group symbols each, are solved.
 
-    solve(bodies, windows, doc_ids, versions, starts) gets the stretches of a group and gives a bool array of all their windows.
+    solve(bodies, windows, seen, doc_ids, versions, starts) gets the stretches of a group and gives a bool array of all their windows.
     """
     rest = cuts.filter("body is not null")
     symbols = rest.agg(F.sum(F.length("body"))).first()[0] or 0
@@ -163,7 +164,7 @@ def marked(cuts: DataFrame, solve, per_group: int) -> DataFrame:
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         windows = group["windows"].to_numpy()
-        marks = solve(group["body"].to_pylist(), windows, *(group[c].to_numpy() for c in DOC), group["start"].to_numpy())
+        marks = solve(group["body"].to_pylist(), windows, group["seen"].to_numpy(), *(group[c].to_numpy() for c in DOC), group["start"].to_numpy())
         text = (marks.astype(np.uint8) + 48).tobytes().decode()
         ends = np.cumsum(windows).tolist()
         return pa.table([group["anchor"], group["stretch"], pa.array([text[i:j] for i, j in zip([0, *ends], ends)], pa.string())], ["anchor", "stretch", "marks"])

@@ -4,7 +4,7 @@ The stretches of text that could repeat (see cuts) are dealt into memory-sized g
 are smaller than their successors are sorted directly; the others follow by scanning the array bucket by bucket, each
 suffix placing the one before it. Common prefixes of neighbours of `length` bytes or more are repeats.
 
-A stretch that occurs twice repeats as a whole, and is sorted only where it can decide about one that occurs once.
+Equal stretches are sorted once, and their places in the array count as often as they occur.
 """
 
 from __future__ import annotations
@@ -33,10 +33,9 @@ def eights(text: np.ndarray, room: int) -> np.ndarray:
 
 def smaller_than_next(text: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than its successor; the last one counts as smaller."""
-    n = len(text)
     change = np.flatnonzero(text[1:] != text[:-1])
     rises = np.append(text[change + 1] > text[change], True)
-    return rises[np.searchsorted(change, np.arange(n), "left")]
+    return np.repeat(rises, np.diff(np.concatenate(([-1], change, [len(text) - 1]))))
 
 
 def agree(blocks: np.ndarray, a: np.ndarray, b: np.ndarray, depth: np.ndarray | int, most: int) -> np.ndarray:
@@ -51,47 +50,83 @@ def agree(blocks: np.ndarray, a: np.ndarray, b: np.ndarray, depth: np.ndarray |
     return common
 
 
+def agree_all(blocks: np.ndarray, rows: np.ndarray, size: np.ndarray, depth: np.ndarray, most: int) -> np.ndarray:
+    """Bytes, in eights, in which all the places of a group agree: rows holds groups of `size`, each known to `depth`."""
+    depth, active = depth.copy(), np.arange(len(size))
+    while len(active):
+        own = size[active]
+        head = np.cumsum(own) - own
+        same = blocks[rows + np.repeat(depth[active], own)]
+        every = np.logical_and.reduceat(same == np.repeat(same[head], own), head)
+        depth[active[every]] += 8
+        further = every & (depth[active] < most)
+        rows, active = rows[np.repeat(further, own)], active[further]
+    return depth
+
+
+def sorted_within(group: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """The order by group, then key: keys become ranks first, as numpy sorts plain integers fastest."""
+    order = np.argsort(key)
+    ranked = key[order]
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.cumsum(np.concatenate(([False], ranked[1:] != ranked[:-1])))
+    return np.argsort((group << np.int64(32)) + rank)
+
+
 def sorted_directly(blocks: np.ndarray, places: np.ndarray, most: int) -> np.ndarray:
     """The places by the text from them on, compared up to `most` bytes.
 
-    A group of places that agree is compared with its first member as far as all its members agree, and split there.
+    A group of places that agree is skipped as far as all its members agree, and split there.
     """
-    order = places[np.argsort(blocks[places], kind="stable")]
+    order = places[np.argsort(blocks[places])]
     key = blocks[order]
     new = np.concatenate(([True], key[1:] != key[:-1]))
     at, depth = np.arange(len(order)), np.full(len(order), 8)
     while True:
         head = np.flatnonzero(new)
         size = np.diff(np.append(head, len(at)))
-        keep = np.repeat((size > 1) & (depth[head] < most), size)
-        if not keep.any():
+        split = (size > 1) & (depth[head] < most)
+        if not split.any():
             return order
-        at, depth, new = at[keep], depth[keep], new[keep]
-        head = np.flatnonzero(new)
-        size = np.diff(np.append(head, len(at)))
-        rows = order[at]
-        common = agree(blocks, rows, np.repeat(rows[head], size), depth, most)
-        depth = np.repeat(np.minimum.reduceat(common, head), size)
-        keep = depth < most
-        if not keep.any():
+        keep = np.repeat(split, size)
+        at, size, depth = at[keep], size[split], depth[head][split]
+        depth = agree_all(blocks, order[at], size, depth, most)
+        open_ = depth < most
+        if not open_.any():
             return order
-        at, depth, new, rows = at[keep], depth[keep], new[keep], rows[keep]
-        group = np.cumsum(new)
+        at, size, depth = at[np.repeat(open_, size)], size[open_], depth[open_]
+        rows, depth = order[at], np.repeat(depth, size)
+        group = np.repeat(np.arange(len(size)), size)
         key = blocks[rows + depth]
-        by = np.lexsort([key, group])
+        by = sorted_within(group, key)
         order[at], key = rows[by], key[by]
-        new = new | np.concatenate(([True], key[1:] != key[:-1]))
+        new = np.concatenate(([True], (key[1:] != key[:-1]) | (group[1:] != group[:-1])))
         depth = depth + 8
 
 
-def two_stage(text: np.ndarray, blocks: np.ndarray, most: int) -> np.ndarray:
-    """The suffix array of text, in the order of the suffixes' first `most` bytes."""
-    small = smaller_than_next(text)
-    direct = sorted_directly(blocks, np.flatnonzero(small), most)
-    sizes = np.bincount(text, minlength=256)
+def reached(small: np.ndarray, first: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Whether each suffix starts one of `windows` windows from `first` on, or follows their last up to a smaller one.
+
+    A suffix that is larger than its successor is placed by it, so these suffixes are all that the windows' order needs.
+    """
+    smaller = np.flatnonzero(small)
+    last = smaller[np.searchsorted(smaller, first + windows - 1)]
+    step = np.zeros(len(small) + 1, np.int8)
+    step[first] = 1
+    step[last + 1] -= 1
+    return np.cumsum(step[:-1], dtype=np.int8) > 0
+
+
+def two_stage(text: np.ndarray, blocks: np.ndarray, most: int, small: np.ndarray | None = None, needed: np.ndarray | None = None) -> np.ndarray:
+    """The suffix array of text, or of its `needed` suffixes, in the order of the suffixes' first `most` bytes."""
+    small = smaller_than_next(text) if small is None else small
+    needed = np.ones(len(text), bool) if needed is None else needed
+    direct = sorted_directly(blocks, np.flatnonzero(small & needed), most)
+    large = needed & ~small
+    sizes = np.bincount(text[needed], minlength=256)
     ends = np.cumsum(sizes)
     begins = ends - sizes
-    array = np.full(len(text), -1, np.int64)
+    array = np.full(int(sizes.sum()), -1, np.int64)
     direct_sizes = np.bincount(text[direct], minlength=256)
     within = np.arange(len(direct)) - np.repeat(np.cumsum(direct_sizes) - direct_sizes, direct_sizes)
     array[np.repeat(ends - direct_sizes, direct_sizes) + within] = direct
@@ -102,13 +137,13 @@ def two_stage(text: np.ndarray, blocks: np.ndarray, most: int) -> np.ndarray:
             done.append(array[low:high])
             before = array[low:high] - 1
             before = before[before >= 0]
-            before = before[(text[before] == c) & ~small[before]]
+            before = before[(text[before] == c) & large[before]]
             array[high : high + len(before)] = before
             low, high = high, high + len(before)
         scan = np.concatenate([*done, array[ends[c] - direct_sizes[c] : ends[c]]]) - 1
         scan = scan[scan >= 0]
         letters = text[scan]
-        larger = letters > c
+        larger = (letters > c) & large[scan]
         scan, letters = scan[larger], letters[larger]
         by = np.argsort(letters, kind="stable")
         counts = np.bincount(letters, minlength=256)
@@ -118,9 +153,9 @@ def two_stage(text: np.ndarray, blocks: np.ndarray, most: int) -> np.ndarray:
 
 
 def occurs_again(length: int):
-    """For each window of a group's stretches: does another window of the group hold the same bytes?"""
+    """For each window of a group's stretches: do the same bytes occur again, in the group or by its stretch's repetition?"""
 
-    def solve(bodies: list[bytes], windows: np.ndarray, doc_ids: np.ndarray, versions: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    def solve(bodies: list[bytes], windows: np.ndarray, seen: np.ndarray, doc_ids: np.ndarray, versions: np.ndarray, starts: np.ndarray) -> np.ndarray:
         text = np.frombuffer(b"\0".join([*bodies, b""]), np.uint8)
         most = -(-length // 8) * 8
         blocks = eights(text, most)
@@ -128,7 +163,8 @@ def occurs_again(length: int):
         wanted = np.repeat(first, windows) + np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
         number = np.full(len(text), -1, np.int64)
         number[wanted] = np.arange(len(wanted))
-        array = two_stage(text, blocks, most)
+        small = smaller_than_next(text)
+        array = two_stage(text, blocks, most, small, reached(small, first, windows))
         array = array[number[array] >= 0]
         common = agree(blocks, array[:-1], array[1:], 0, length // 8 * 8)
         full = common >= length // 8 * 8
@@ -140,7 +176,7 @@ def occurs_again(length: int):
         again[1:] |= full
         marks = np.empty(len(wanted), bool)
         marks[number[array]] = again
-        return marks
+        return marks | np.repeat(seen > 1, windows)  # places that stand for several
 
     return solve
 
@@ -152,13 +188,12 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     """
     found = cuts.repeated_runs(docs, length, gram, of_bytes=True)
     every = materialize(cuts.stretches(found), "stretches")
-    per_anchor = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.min("seen").alias("least")).filter("k > 1 and least = 1").select("anchor", (F.col("k") > hot).alias("hot"))
+    per_anchor = every.groupBy("anchor").agg((F.count(F.lit(1)) > hot).alias("hot"))
     cut = materialize(cuts.bodies(every.join(per_anchor, "anchor"), docs, length, of_bytes=True), "bodies")
     again = cuts.marked_one_by_one(cut, lambda first, n, own: n > 1)
     marks = materialize(cuts.marked(cut, occurs_again(length), group_bytes).union(again).filter("contains(marks, '1')"), "marks")
-    known = every.select("anchor", "stretch", "seen").join(marks, ["anchor", "stretch"], "left").filter("seen > 1 or marks is not null")
-    runs = found.join(known.select("anchor", "stretch", F.when(F.col("seen") == 1, F.col("marks")).alias("marks")), ["anchor", "stretch"])
-    return runs.select(*cuts.DOC, "start", "windows", "marks")
+    whole = F.when(F.contains("marks", F.lit("0")), F.col("marks")).alias("marks")
+    return found.join(marks.select("anchor", "stretch", whole), ["anchor", "stretch"]).select(*cuts.DOC, "start", "windows", "marks")
 
 
 def digest(data: np.ndarray, borders: np.ndarray, gone: np.ndarray, starts: None, ends: None) -> dict[str, pa.Array]:
