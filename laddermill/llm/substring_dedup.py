@@ -43,7 +43,7 @@ def subtree(codes: np.ndarray, suffixes: np.ndarray, depth: int) -> tuple[np.nda
 def earlier_elsewhere(length: int):
     """For each window of a group's stretches: does its word sequence start anywhere before the stretch's first place?"""
 
-    def solve(bodies: list[bytes], windows: np.ndarray, doc_ids: np.ndarray, versions: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    def solve(bodies: list[bytes], windows: np.ndarray, seen: np.ndarray, doc_ids: np.ndarray, versions: np.ndarray, starts: np.ndarray) -> np.ndarray:
         column = pa.array(bodies, pa.binary()).cast(pa.string())
         words, firsts, at = [], [], 0
         for chunk in tc.chunks(column):
@@ -73,6 +73,7 @@ def repeated_words(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     """
     found = cuts.repeated_runs(docs, length, gram, of_bytes=False)
     every = materialize(cuts.stretches(found), "stretches")
+    # a stretch that has its anchor to itself is one leaf: its later occurrences repeat it, and nothing else decides
     per_anchor = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("anchor", (F.col("k") > hot).alias("hot"))
     cut = materialize(cuts.bodies(every.join(per_anchor, "anchor"), docs, length, of_bytes=False), "bodies")
     earlier = cuts.marked_one_by_one(cut, lambda first, n, own: first < own)
