@@ -152,13 +152,19 @@ def rank_findings(found: DataFrame) -> DataFrame:
     return found.withColumn("level", level).orderBy(F.desc("level"), *PLAYER, "code")
 
 
-METRICS = ["feudal_t", "castle_t", "imperial_t", "vils"]
+METRICS = ["feudal_t", "castle_t", "imperial_t", "vils", "idle_dark_s", "idle_feudal_s", "first_military_s", "apm", "eco_apm", "army_apm", "float_banked", "market_buys", "market_sells", "find_enemy_s", "nearest_enemy"]
 
 
 def opponent_profile(metrics: DataFrame, columns: Sequence[str] = METRICS) -> DataFrame:
-    """Means over the players of other teams, ignoring nulls; villagers only of enemies that reached Castle Age."""
-    other = metrics.select("match_id", F.col("team").alias("_team"), *(F.when(F.col("castle_t").isNotNull(), F.col(c)).alias(f"opp_{c}") if c == "vils" else F.col(c).alias(f"opp_{c}") for c in columns))
-    met = metrics.select(*PLAYER, "team").join(other, "match_id").filter("team <> _team")
+    """Means over the opponents, ignoring nulls; villagers only of those that reached Castle Age.
+
+    Two players of a match face each other, whatever their teams; in larger matches a null team is a team of its own.
+    Players without opponents have no row.
+    """
+    played = metrics.groupBy("match_id").agg(F.count(F.lit(1)).alias("_players"))
+    value = {c: F.when(F.col("castle_t").isNotNull(), F.col(c)) if c == "vils" else F.col(c) for c in columns}
+    other = metrics.select("match_id", F.col("team").alias("_team"), F.col("profile_id").alias("_profile"), *(v.alias(f"opp_{c}") for c, v in value.items()))
+    met = metrics.select(*PLAYER, "team").join(played, "match_id").join(other, "match_id").filter(F.when(F.col("_players") == 2, F.col("profile_id") != F.col("_profile")).otherwise(~F.col("team").eqNullSafe(F.col("_team"))))
     return met.groupBy(*PLAYER).agg(*(F.round(F.avg(f"opp_{c}"), 4).alias(f"opp_{c}") for c in columns))
 
 
@@ -172,12 +178,12 @@ def gaps(metrics: DataFrame, opponents: DataFrame) -> DataFrame:
 
 
 def winner_gaps(metrics: DataFrame, meds: DataFrame, shares: DataFrame) -> DataFrame:
-    """Gap of the first military unit to the winners' median of the same map and band; without one, the band's share of
-    winners that had clicked the tech."""
-    own = meds.filter("map_id <> 'all'").select("map_id", "elo_bucket", "military_median")
-    rows = metrics.select(*PLAYER, F.col("map_id").cast("string").alias("map_id"), "elo_bucket", "first_military_s").join(own, ["map_id", "elo_bucket"], "left").join(shares.select("elo_bucket", "share"), "elo_bucket", "left")
-    gap = F.round(F.col("military_median") / 1000 - F.col("first_military_s"), 3)
-    return rows.select(*PLAYER, gap.alias("gap_s"), F.when(gap.isNull(), F.col("share")).alias("share"))
+    """Seconds ahead of the winners' medians of the same map and band: the first military unit (gap_s), the wheelbarrow
+    (wheelbarrow_gap_s); share: where that median is missing, the band's share of winners that had clicked the tech."""
+    own = meds.filter("map_id <> 'all'").select("map_id", "elo_bucket", "military_median", F.col("t213_median").alias("wheelbarrow_median"))
+    rows = metrics.select(*PLAYER, F.col("map_id").cast("string").alias("map_id"), "elo_bucket", "first_military_s", "wheelbarrow_s").join(own, ["map_id", "elo_bucket"], "left").join(shares.select("elo_bucket", "share"), "elo_bucket", "left")
+    gap = lambda median, mine: F.round(F.col(median) / 1000 - F.col(mine), 3)
+    return rows.select(*PLAYER, gap("military_median", "first_military_s").alias("gap_s"), gap("wheelbarrow_median", "wheelbarrow_s").alias("wheelbarrow_gap_s"), F.when(F.col("wheelbarrow_median").isNull(), F.col("share")).alias("share"))
 
 
 def upgrades_by_castle(techs: DataFrame, clicks: DataFrame, watched: Sequence[int]) -> DataFrame:
@@ -191,13 +197,15 @@ def ahead_behind(gap_rows: DataFrame, groups: dict[str, list[str]]) -> DataFrame
 
 
 def biggest_gap(gap_rows: DataFrame, least: float = 30) -> DataFrame:
-    """The age with the worst deficit and the one with the best surplus, beyond `least` seconds."""
-    ages = [F.struct(F.lit(a).alias("age"), F.least(f"{a}_vs_opp", f"{a}_vs_ref").alias("low"), F.greatest(f"{a}_vs_opp", f"{a}_vs_ref").alias("high")) for a in ("feudal", "castle", "imperial")]
-    rows = gap_rows.select(*PLAYER, F.explode(F.array(*ages)).alias("x")).select(*PLAYER, "x.*")
-    worst = F.min(F.when(F.col("low") < -least, F.struct("low", "age")))
-    best = F.max(F.when(F.col("high") > least, F.struct("high", "age")))
+    """The age with the worst deficit and the one with the best surplus, beyond `least` seconds; of equal ones the first."""
+    ages = ("feudal", "castle", "imperial")
+    cells = [F.struct(F.lit(i).alias("nth"), F.least(f"{a}_vs_opp", f"{a}_vs_ref").alias("low"), F.greatest(f"{a}_vs_opp", f"{a}_vs_ref").alias("high")) for i, a in enumerate(ages)]
+    rows = gap_rows.select(*PLAYER, F.explode(F.array(*cells)).alias("x")).select(*PLAYER, "x.*")
+    worst = F.min(F.when(F.col("low") < -least, F.struct("low", "nth")))
+    best = F.min(F.when(F.col("high") > least, F.struct((-F.col("high")).alias("less"), "nth")))
     out = rows.groupBy(*PLAYER).agg(worst.alias("w"), best.alias("b"))
-    return out.select(*PLAYER, F.col("w.age").alias("deficit_age"), F.col("w.low").alias("deficit"), F.col("b.age").alias("surplus_age"), F.col("b.high").alias("surplus"))
+    named = lambda nth: F.get(F.array(*map(F.lit, ages)), F.col(nth))
+    return out.select(*PLAYER, named("w.nth").alias("deficit_age"), F.col("w.low").alias("deficit"), named("b.nth").alias("surplus_age"), (-F.col("b.less")).alias("surplus"))
 
 
 def idle_cost(metrics: DataFrame) -> DataFrame:
@@ -212,12 +220,20 @@ def opening_match(players: DataFrame, openings: DataFrame) -> DataFrame:
     return rows.groupBy(*PLAYER).agg(F.bool_or(F.contains(F.lower("opening"), F.col("word"))).alias("agrees"))
 
 
-AWARDS = {"fastest_castle": ("castle_t", -1), "most_villagers": ("vils", 1), "highest_apm": ("apm", 1), "least_idle": ("idle_dark_s", -1), "first_military": ("first_military_s", -1), "most_market": ("market_uses", 1)}
+#: What is compared, as SQL over metrics (null: not in the running), and whether the most (1) or the least (-1) wins.
+AWARDS = {
+    "fastest_castle": ("castle_click", -1),
+    "most_villagers": ("case when castle_click is not null then vils end", 1),
+    "highest_apm": ("apm", 1),
+    "least_idle": ("case when feudal_click is not null and castle_click is not null then idle_dark_s + idle_feudal_s end", -1),
+    "first_military": ("first_military_s", -1),
+    "most_market": ("case when market_buys + market_sells > 0 then market_buys + market_sells end", 1),
+}
 
 
 def superlatives(metrics: DataFrame, awards: dict[str, tuple[str, int]] = AWARDS) -> DataFrame:
-    """Each award's strict winner in a match; a tie or no value gives none."""
-    cells = F.array(*(F.struct(F.lit(a).alias("award"), (F.col(c).cast("double") * sign).alias("v")) for a, (c, sign) in awards.items()))
-    rows = metrics.select(*PLAYER, F.explode(cells).alias("x")).select(*PLAYER, "x.*").filter("v is not null")
-    best = rows.groupBy("match_id", "award").agg(F.max("v").alias("v"))
+    """Each award's strict winner in a match of two players or more; a tie or no value gives none."""
+    cells = F.array(*(F.struct(F.lit(a).alias("award"), (F.expr(c).cast("double") * sign).alias("v")) for a, (c, sign) in awards.items()))
+    rows = metrics.select(*PLAYER, F.explode(cells).alias("x")).select(*PLAYER, "x.*")
+    best = rows.groupBy("match_id", "award").agg(F.max("v").alias("v"), F.count(F.lit(1)).alias("players")).filter("v is not null and players >= 2").drop("players")
     return rows.join(best, ["match_id", "award", "v"]).groupBy("match_id", "award").agg(F.count(F.lit(1)).alias("n"), F.max("profile_id").alias("profile_id")).filter("n = 1").select("match_id", "award", "profile_id")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from laddermill.operators import documents as d
 from laddermill.operators import findings as f
 from laddermill.operators import marts as m
-from laddermill.plans.events import MEASURED, measured
+from laddermill.operators import events as e
+from laddermill.plans.events import COMPLETE, MEASURED, measured
+from laddermill.plans.events import ORACLE_SELECT as EVENT_SQL
 from laddermill.plans.marts import ORACLE as MART_SQL, SH, WN, N
 from laddermill.sources.archives import saved
 from laddermill.sources.roles import Tables, twin
@@ -69,8 +71,8 @@ add(
 add("pick_elo", lambda t: t.players.join(t.matches, "match_id").select("match_id", "profile_id", f.pick_elo(F.col("elo"), F.expr("case when profile_id % 2 = 0 then elo + 50 end"), F.col("ladder")).alias("elo")), f"select {KEY}, case when ladder = 'team' and profile_id % 2 = 0 then elo + 50 else elo end as elo from f_players join f_matches using (match_id)")
 METRIC_COLUMNS = """case when won then 1 else 0 end as team, ladder as mode, (profile_id * 31 + match_id) % 90 as idle_dark_s, (match_id * 7 + profile_id) % 70 as idle_feudal_s,
     feudal_t - 130 as feudal_click, castle_t - 160 as castle_click, case when match_id % 3 > 0 then match_id % 500 end as loom_s, case when match_id % 4 > 0 then match_id % 1500 end as wheelbarrow_s,
-    match_id % 60 as vils, cast(match_id % 400 as double) as float_rate, match_id % 901 + 0.25 as float_banked, case when match_id % 2 = 0 then match_id % 800 end as float_start_s, match_id % 800 + 120 as float_end_s, case when match_id % 6 > 0 then match_id % 1500 end as first_military_s, match_id % 40 as market_uses,
-    cast(match_id * profile_id % 97 as double) as apm, case when profile_id % 2 = 0 then match_id % 50 end as nearest_enemy, case when match_id % 5 > 0 then match_id % 700 end as find_enemy_s,
+    match_id % 60 as vils, cast(match_id % 400 as double) as float_rate, cast(match_id % 901 + 0.25 as double) as float_banked, case when match_id % 2 = 0 then match_id % 800 end as float_start_s, match_id % 800 + 120 as float_end_s, case when match_id % 6 > 0 then match_id % 1500 end as first_military_s, match_id % 4 as market_buys, profile_id % 2 as market_sells,
+    cast(match_id * profile_id % 97 as double) as apm, cast(match_id % 31 as double) as eco_apm, cast(profile_id % 5 as double) as army_apm, case when profile_id % 2 = 0 then match_id % 50 end as nearest_enemy, case when match_id % 5 > 0 then match_id % 700 end as find_enemy_s,
     case when match_id % 2 = 0 then 'pocket' else 'flank' end as role"""
 
 
@@ -132,25 +134,44 @@ add("findings", lambda t: f.findings(metrics(t)).withColumn("vars", F.to_json("v
 add("findings_ranked", lambda t: f.rank_findings(f.findings(metrics(t))).withColumn("vars", F.to_json("vars")), f"select *, case severity when 'high' then 3 when 'med' then 2 else 1 end as level from ({FINDINGS})", **FACED)
 
 
-def from_events(t: Tables):
-    """The measured players of the sessions, whose matches have no map and no rating: what needs no reference is found."""
-    rows = f.metrics_of(measured(t)).selectExpr("*", "'team' mode", "'open' family", "cast(null as string) role", *(f"cast(null as {kind}) {c}" for c, kind in UNKNOWN.items()))
-    return f.findings(saved(rows, "measured")).withColumn("vars", F.to_json("vars"))
+SECONDS = {"feudal_click": "feudal_ms", "castle_click": "castle_ms", "idle_dark_s": "idle_dark_ms", "idle_feudal_s": "idle_feudal_ms", "loom_s": "tech_22_ms", "wheelbarrow_s": "tech_213_ms", "float_start_s": "float_start_ms", "float_end_s": "float_end_ms", "first_military_s": "first_military_ms", "find_enemy_s": "find_enemy_ms"}
+#: What the sessions' players have besides: a rating, a map by its number, and the mode by how many play.
+SESSION_RATED = "case when profile_id % 9 > 0 then cast(900 + profile_id * 37 % 1700 as int) end as elo", "cast(match_id % 5 as {text}) as map_id"
 
 
-UNKNOWN = {"kind": "string", "map_id": "string", "elo_bucket": "string", "feudal_t": "double", "castle_t": "double", "imperial_t": "double", "feudal_s": "double", "castle_s": "double", "imperial_s": "double", "vils_castle": "double", "pro_castle_s": "double"}
-SECONDS = {"feudal_click": "feudal_ms", "castle_click": "castle_ms", "idle_dark_s": "idle_dark_ms", "idle_feudal_s": "idle_feudal_ms", "loom_s": "tech_22_ms", "wheelbarrow_s": "tech_213_ms", "float_start_s": "float_start_ms", "float_end_s": "float_end_ms", "first_military_s": "first_military_ms", "find_enemy_s": "find_enemy_ms"}
+def measured_with_references(t: Tables):
+    """The players measured from their events, beside the benchmarks of their civ, map, band and mode, and the top band's."""
+    rated = t.session_players.selectExpr("match_id", "profile_id", "civ_id", *(x.format(text="string") for x in SESSION_RATED)).join(e.game_mode(t.session_players).withColumnRenamed("mode", "ladder"), "match_id")
+    own = m.rated(rated).select("match_id", "profile_id", "civ_id", "map_id", "elo_bucket", "ladder")
+    cells = bench(t)
+    looked_up = f.bench_slice(f.with_top_band(own, cells), cells)
+    rows = saved(measured(t), "measured-events")
+    role = e.roles(t.session_players.selectExpr("*", "profile_id % 7 slot"))
+    times = e.completion(rows.select(*f.PLAYER, "civ_id", "feudal_ms", "castle_ms", "imperial_ms"), 3)
+    return f.metrics_of(rows.drop("civ_id")).join(looked_up, f.PLAYER).join(times, f.PLAYER).join(role, f.PLAYER, "left").withColumn("mode", F.col("ladder"))
+
+
+RATED_CASE = "case when elo < 1000 then '<1000' when elo < 1200 then '1000-1199' when elo < 1400 then '1200-1399' when elo < 1650 then '1400-1649' when elo < 1800 then '1650-1799' when elo < 2000 then '1800-1999' when elo < 2200 then '2000-2199' when elo < 2500 then '2200-2499' when elo is not null then '2500+' end"
 add(
     "findings_from_events",
-    from_events,
+    lambda t: f.findings(saved(measured_with_references(t), "measured-metrics")).withColumn("vars", F.to_json("vars")),
     FINDINGS,
-    **MEASURED,
-    faced=f"""select {KEY}, civ_id, 'team' as mode, 'open' as family, cast(null as varchar) as role, market_uses, apm, float_rate, float_banked, nearest_enemy, vils_castle as vils,
-        {", ".join(f"{ms} / 1000.0::double as {s}" for s, ms in SECONDS.items())}, {", ".join(f"cast(null as {'varchar' if kind == 'string' else kind}) as {c}" for c, kind in UNKNOWN.items())},
-        cast(null as double) as opp_feudal, cast(null as bigint) as op from measured""",
+    **(
+        MEASURED
+        | BENCH
+        | {
+            "players": f"""select {KEY}, civ_id, map_id, {RATED_CASE} as elo_bucket, ladder from (select {KEY}, civ_id, {", ".join(x.format(text="varchar") for x in SESSION_RATED)} from f_session_players)
+                join (select match_id, case when count(*) > 2 then 'team' else '1v1' end as ladder from f_session_players group by 1) using (match_id)""",
+            "seen": f"""select x.match_id, x.profile_id, s.civ_id, s.map_id, s.elo_bucket, s.ladder as mode, s.kind, s.feudal_s, s.castle_s, s.imperial_s, s.vils_castle, top.castle_s as pro_castle_s, family, role, feudal_t, castle_t, imperial_t,
+                x.vils_castle as vils, x.apm, float_rate, float_banked, nearest_enemy, {", ".join(f"{ms} / 1000.0::double as {c}" for c, ms in SECONDS.items())} from measured x join sliced s using ({KEY})
+                left join bench top on top.civ_id = s.civ_id and top.map_id = s.map_id and top.ladder = s.ladder and top.elo_bucket = '2500+' left join ({EVENT_SQL["roles"]}) r using ({KEY})
+                left join (select {KEY}, {COMPLETE} from measured) a using ({KEY})""",
+            "faced": "select m.*, o.feudal_click as opp_feudal, o.op from seen m left join (select match_id as om, profile_id as op, feudal_click from seen where mode = '1v1') o on m.match_id = om and m.profile_id <> op",
+        }
+    ),
 )
-OPP = METRICS | {"opp": f"""select a.match_id, a.profile_id, round(avg(b.feudal_t), 4) as opp_feudal_t, round(avg(b.castle_t), 4) as opp_castle_t, round(avg(b.imperial_t), 4) as opp_imperial_t, round(avg(case when b.castle_t is not null then b.vils end), 4) as opp_vils
-    from metrics a join metrics b on a.match_id = b.match_id and a.team <> b.team group by all"""}
+OPP = METRICS | {"opp": f"""select a.match_id, a.profile_id, {", ".join(f"round(avg(case when b.castle_t is not null then b.vils end), 4) as opp_vils" if c == "vils" else f"round(avg(b.{c}), 4) as opp_{c}" for c in f.METRICS)}
+    from (select *, count(*) over (partition by match_id) as n from metrics) a join metrics b on a.match_id = b.match_id and case when n = 2 then a.profile_id <> b.profile_id else a.team is distinct from b.team end group by all"""}
 add("opponent_profile", lambda t: f.opponent_profile(metrics(t)), "select * from opp", **OPP)
 GAP = ", ".join(f"round(opp_{a}_t - {a}_t, 4) as {a}_vs_opp, round(case when kind = 'exact' then {a}_s - {a}_t end, 4) as {a}_vs_ref" for a in ("feudal", "castle", "imperial"))
 GAPS = OPP | {"gaps": f"select {KEY}, {GAP} from metrics left join opp using ({KEY})"}
@@ -166,7 +187,7 @@ REFS = {"meds": MART_SQL["winner_refs_meds"], "shares": f"select elo_bucket, sha
 add(
     "winner_gaps",
     lambda t: f.winner_gaps(metrics(t), m.winner_refs_meds(m.winners(t.matches, t.players, None, random_civ=True), t.events, N), m.winner_refs_ecotech(m.winners(t.matches, t.players, random_civ=True), t.techs, N).filter("tech_id = 213")),
-    f"""select {KEY}, gap_s, case when gap_s is null then share end as share from (select {KEY}, round(military_median / 1000 - first_military_s, 3) as gap_s, share
+    f"""select {KEY}, gap_s, wheelbarrow_gap_s, case when t213_median is null then share end as share from (select {KEY}, round(military_median / 1000 - first_military_s, 3) as gap_s, round(t213_median / 1000 - wheelbarrow_s, 3) as wheelbarrow_gap_s, t213_median, share
     from metrics x left join (select * from meds where map_id <> 'all') m2 on m2.map_id = x.map_id and m2.elo_bucket = x.elo_bucket left join shares s on s.elo_bucket = x.elo_bucket)""",
     **METRICS,
     **REFS,
@@ -177,8 +198,8 @@ add("ahead_behind", lambda t: f.ahead_behind(gap_rows(t), GROUPS), " union all "
 add(
     "biggest_gap",
     lambda t: f.biggest_gap(gap_rows(t)),
-    f"""select {KEY}, min(case when low < -30 then (low, age) end)[2] as deficit_age, min(case when low < -30 then low end) as deficit, max(case when high > 30 then (high, age) end)[2] as surplus_age, max(case when high > 30 then high end) as surplus
-    from ({" union all ".join(f"select {KEY}, '{a}' as age, least({a}_vs_opp, {a}_vs_ref) as low, greatest({a}_vs_opp, {a}_vs_ref) as high from gaps" for a in ("feudal", "castle", "imperial"))}) group by all""",
+    f"""select {KEY}, ['feudal', 'castle', 'imperial'][min(case when low < -30 then (low, age) end)[2]] as deficit_age, min(case when low < -30 then low end) as deficit, ['feudal', 'castle', 'imperial'][min(case when high > 30 then (-high, age) end)[2]] as surplus_age, max(case when high > 30 then high end) as surplus
+    from ({" union all ".join(f"select {KEY}, {i} as age, least({a}_vs_opp, {a}_vs_ref) as low, greatest({a}_vs_opp, {a}_vs_ref) as high from gaps" for i, a in enumerate(("feudal", "castle", "imperial"), 1))}) group by all""",
     **GAPS,
 )
 add("idle_cost", lambda t: f.idle_cost(metrics(t)), f"select {KEY}, cast(round((idle_dark_s + idle_feudal_s) / 25) as bigint) as lost_units from metrics where idle_dark_s + idle_feudal_s > 60", **METRICS)
@@ -189,4 +210,4 @@ add(
     refs=MART_SQL["winner_refs_openings"],
 )
 AWARD = " union all ".join(f"select {KEY}, '{a}' as award, cast({c} as double) * {s} as v from metrics" for a, (c, s) in f.AWARDS.items())
-add("superlatives", lambda t: f.superlatives(metrics(t)), f"select match_id, award, max(profile_id) as profile_id from (select * from ({AWARD}) where v is not null qualify v = max(v) over (partition by match_id, award)) group by all having count(*) = 1", **METRICS)
+add("superlatives", lambda t: f.superlatives(metrics(t)), f"select match_id, award, max(profile_id) as profile_id from (select * from ({AWARD}) qualify v = max(v) over (partition by match_id, award) and count(*) over (partition by match_id, award) > 1) group by all having count(*) = 1", **METRICS)

@@ -21,7 +21,7 @@ RESEARCHED = [22, 213, 249, 202, 203, 14, 13, 55, 182, 278]
 _KEPT: dict[tuple[str, str], str] = {}
 
 
-def keep(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = ("lines", "matches", "players", "events", "techs", "units")) -> None:
+def keep(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = ("lines", "matches", "players", "events", "techs", "units", "sessions", "session_players")) -> None:
     """Writes the roles once to the shared folder; from then on the Tables of this corpus read them there."""
     from laddermill.sources.archives import scratch
 
@@ -134,17 +134,21 @@ class Tables:
 
     @role
     def sessions(self) -> DataFrame:
-        """Events of ten-day blocks as matches, their users as players; ten days scaled to 30 minutes."""
+        """Events of ten days and eight users, or in every fourth group of eight two, as matches, the users as players; ten days scaled to 30 minutes.
+
+        Half of the researches are age clicks (20, 40, 60).
+        """
         day = "datediff(to_date(ts), date '2024-01-01')"
         # in parts, so that the session's time zone plays no part
         millis = f"({day} * 86400000L + hour(ts) * 3600000L + minute(ts) * 60000L + cast(floor(extract(second from ts) * 1000) as bigint))"
+        k = "cast(get_json_object(props, '$.k') as int)"
         return self.raw("events").selectExpr(
             "event_id",
-            f"cast({day} div 10 as bigint) match_id",
+            f"cast({day} div 10 + 1000 * (user_id div 8) + case when user_id div 8 % 4 = 3 then 100 * (user_id % 8 div 2) else 0 end as bigint) match_id",
             "user_id profile_id",
             f"({millis} - 864000000 * ({day} div 10)) div 480 t_ms",
             "case event_type when 'click' then 'train' when 'view' then 'research' when 'purchase' then 'build' when 'signup' then 'move' else 'resign' end kind",
-            "cast(get_json_object(props, '$.k') as int) target_id",
+            f"case when event_type = 'view' and {k} % 2 = 0 then 20 * (1 + {k} % 3) else {k} end target_id",
             "1 + cast(floor(value / 100) as int) amount",
             "(event_id * 17) % 120 x",
             "(event_id * 29) % 120 y",
@@ -152,8 +156,8 @@ class Tables:
 
     @role
     def session_players(self) -> DataFrame:
-        """Each session's players, in teams of two by their number, with the length of their match."""
-        return self.sessions.select("match_id", "profile_id").distinct().selectExpr("match_id", "profile_id", "cast(2 + profile_id % 2 as int) team", "cast(profile_id % 6 as int) civ_id", "cast(1800000 as bigint) duration_ms")
+        """Each session's players, in two teams by their number, with the length and the kind of map of their match."""
+        return self.sessions.select("match_id", "profile_id").distinct().selectExpr("match_id", "profile_id", "cast(2 + profile_id % 2 as int) team", "cast(profile_id % 6 as int) civ_id", "cast(1800000 as bigint) duration_ms", "case (match_id + match_id div 1000) % 4 when 0 then 'open' when 1 then 'closed' when 2 then 'nomad' else 'hybrid' end family")
 
 
 ROLE_CTES = {
@@ -185,12 +189,12 @@ ROLE_CTES = {
     "f_ages": """select match_id, profile_id, civ_id, won, age,
         case age when 'dark' then 0 when 'feudal' then coalesce(cast(feudal_t * 1000 as int), -1) else coalesce(cast(castle_t * 1000 as int), -1) end uptime_ms,
         case age when 'dark' then 18 + profile_id else 8 + civ_id end villagers from f_players, (select unnest(['dark', 'feudal', 'castle']) age) a""",
-    "f_sessions": """select event_id, date_diff('day', timestamp '2024-01-01', ts) // 10 match_id, user_id profile_id,
+    "f_sessions": """select event_id, date_diff('day', timestamp '2024-01-01', ts) // 10 + 1000 * (user_id // 8) + case when user_id // 8 % 4 = 3 then 100 * (user_id % 8 // 2) else 0 end match_id, user_id profile_id,
         (epoch_us(ts) // 1000 - 1704067200000 - 864000000 * (date_diff('day', timestamp '2024-01-01', ts) // 10)) // 480 t_ms,
         case event_type when 'click' then 'train' when 'view' then 'research' when 'purchase' then 'build' when 'signup' then 'move' else 'resign' end kind,
-        cast(json_extract(props, '$.k') as int) target_id, 1 + cast(floor(value / 100) as int) amount, (event_id * 17) % 120 x, (event_id * 29) % 120 y from events""",
+        case when event_type = 'view' and cast(json_extract(props, '$.k') as int) % 2 = 0 then 20 * (1 + cast(json_extract(props, '$.k') as int) % 3) else cast(json_extract(props, '$.k') as int) end target_id, 1 + cast(floor(value / 100) as int) amount, (event_id * 17) % 120 x, (event_id * 29) % 120 y from events""",
     "f_session_players": """select distinct match_id, profile_id, cast(2 + profile_id % 2 as int) team, cast(profile_id % 6 as int) civ_id,
-        cast(1800000 as bigint) duration_ms from f_sessions""",
+        cast(1800000 as bigint) duration_ms, case (match_id + match_id // 1000) % 4 when 0 then 'open' when 1 then 'closed' when 2 then 'nomad' else 'hybrid' end as family from f_sessions""",
     "f_rated": """select *, case when elo < 1000 then '<1000' when elo < 1200 then '1000-1199' when elo < 1400 then '1200-1399' when elo < 1650 then '1400-1649'
         when elo < 1800 then '1650-1799' when elo < 2000 then '1800-1999' when elo < 2200 then '2000-2199' when elo < 2500 then '2200-2499'
         when elo is not null then '2500+' end elo_bucket from f_players""",

@@ -1,5 +1,8 @@
 """Small golden tables and properties."""
 
+import math
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -60,10 +63,10 @@ def test_opening(spark):
 
 
 def test_winner_needs_a_loser(spark):
-    players = spark.createDataFrame([(1, 1, 2), (1, 2, 3), (2, 1, 2), (2, 2, 3)], "match_id int, profile_id int, team int")
+    players = spark.createDataFrame([(1, 1, 2, 5), (1, 2, 3, 5), (2, 1, 2, 5), (2, 2, 3, 5), (1, 9, 4, 0)], "match_id int, profile_id int, team int, civ_id int")
     ev = spark.createDataFrame([(1, 1, 5, "resign")], "match_id int, profile_id int, t_ms int, kind string")
     assert rows(e.winner_team(ev, players)) == [(1, 1, 2, False), (1, 2, 3, True), (2, 1, 2, None), (2, 2, 3, None)]
-    assert {(r[0], r[1]): r[2] for r in e.winner_individual(ev, players).collect()} == {(1, 1): False, (1, 2): True, (2, 1): None, (2, 2): None}
+    assert {(r[0], r[1]): r[2] for r in e.winner_individual(ev, players).collect()} == {(1, 1): False, (1, 2): True, (1, 9): True, (2, 1): None, (2, 2): None}
 
 
 def test_float_window_ends_at_the_slow_step(spark):
@@ -220,3 +223,78 @@ def test_fallback_takes_the_first_step(spark):
     players = spark.createDataFrame([(1, 1, "m", "<1000", "1v1"), (2, 1, "m", "2500+", "1v1"), (3, 1, "m", None, "team"), (4, 1, "n", "<1000", "1v1"), (5, 2, "m", "<1000", "1v1"), (5, 2, "m", "<1000", "1v1")], "profile_id int, civ_id int, map_id string, elo_bucket string, ladder string")
     got = sorted((r.profile_id, r.castle_s, r.kind) for r in f.bench_slice(players, bench).filter("kind is not null").collect())
     assert got == [(1, 10.0, "exact"), (2, 20.0, "mapmode"), (3, 30.0, "mapall"), (4, 40.0, "mapall")] and f.bench_slice(players, bench).count() == 6
+
+
+EV = "match_id int, profile_id int, t_ms int, kind string, target_id int, amount int, x double, y double"
+
+
+def test_floats_by_hand(spark):
+    """Ten villagers queued by one command of 50 each: 500 are spent, so the surplus grows from 1:00 on."""
+    costs = spark.createDataFrame([("train", 83, 50.0)], "kind string, target_id int, cost double")
+    players = spark.createDataFrame([(1, 1, 120_000), (1, 2, 120_000), (1, 3, 120_000)], "match_id int, profile_id int, duration_ms int")
+    ev = spark.createDataFrame([(1, 1, 0, "train", 83, 10, None, None), (1, 2, 0, "train", 83, 10, None, None), (1, 2, 125_000, "train", 83, 60, None, None), (1, 3, 5, "move", None, None, 1.0, 1.0)], EV)
+    assert rows(e.float_windows(ev, costs, players, per_second=1.0)) == [(1, 1, 30_000, 120_000, 700.0, 466.666667), (1, 2, 30_000, 120_000, 700.0, 466.666667)]
+    free = costs.limit(0)
+    assert rows(e.float_windows(ev, free, players, per_second=1.0)) == [(1, p, 0, 120_000, 1200.0, 600.0) for p in (1, 2)]
+
+
+def test_places_beside_brute_force(spark):
+    """Distances of exactly 15 do not count, players without a base find nobody, far bases are found on the widest ring."""
+    rnd = random.Random(1)
+    players, bases, moves = [], {}, []
+    for match in range(30):
+        for p in range(rnd.choice([1, 2, 3, 8])):
+            players.append((match, p, rnd.choice([2, 3, 4])))
+            if rnd.random() < 0.85:
+                bases[match, p] = (float(rnd.randint(-300, 300)), float(rnd.randint(-300, 300))) if match % 3 else (float(rnd.randint(0, 60)), float(rnd.randint(0, 60)))
+            moves += [(match, p, rnd.randint(0, 900), rnd.choice(["move", "interact", "train"]), None, None, float(rnd.randint(0, 60)), float(rnd.randint(0, 60))) for _ in range(12)]
+    players += [(99, 1, 2), (99, 2, 3), (99, 3, 3)]
+    bases |= {(99, 1): (0.0, 0.0), (99, 2): (5000.0, 0.0), (99, 3): (100.0, 100.0)}
+    moves += [(99, 1, 10, "move", None, None, 115.0, 100.0), (99, 1, 20, "move", None, None, 100.0, 85.0), (99, 1, 30, "move", None, None, 109.0, 111.9), (99, 2, 5, "move", None, None, None, 3.0)]
+    team = {(m, p): t for m, p, t in players}
+    enemies = lambda m, p: [b for (n, q), b in bases.items() if n == m and team[n, q] != team[m, p]]
+    near = {k: min(math.dist(b, x) for x in enemies(*k)) for k, b in bases.items() if enemies(*k)}
+    found = {}
+    for m, p, t, kind, _, _, x, y in moves:
+        if kind != "train" and x is not None and (m, p) in bases and any(math.dist((x, y), b) < 15 for b in enemies(m, p)):
+            found[m, p] = min(t, found.get((m, p), t))
+    ps = spark.createDataFrame(players, "match_id int, profile_id int, team int")
+    bs = spark.createDataFrame([(*k, *v) for k, v in bases.items()], "match_id int, profile_id int, base_x double, base_y double")
+    assert {r[:2]: r[2] for r in rows(e.nearest_enemy(bs, ps))} == {k: round(v, 6) for k, v in near.items()}
+    assert {r[:2]: r[2] for r in rows(e.find_enemy(spark.createDataFrame(moves, EV), bs, ps))} == found and found[99, 1] == 30
+    plan = e.find_enemy(spark.createDataFrame(moves, EV), bs, ps)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and all("cx" in line for line in plan.splitlines() if "enemy_x" in line and "Join Inner" in line)
+
+
+def test_metrics_without_ages(spark):
+    """No Castle click: villagers at the end; no age: no idle time; on nomad maps idle time starts with the first centre."""
+    ev = [(1, 1, 1000, "train", 83, 3, None, None), (1, 1, 900_000, "train", 83, 70, None, None), (1, 1, 60_000, "build", 109, None, 3.0, 4.0), (1, 1, 300_000, "research", 101, None, None, None), (1, 1, 200_000, "research", 22, None, None, None), (1, 1, 250_000, "research", 999, None, None, None), (1, 2, 7, "market_buy", None, None, None, None), (1, 2, 9, "market_sell", None, None, None, None)]
+    players = spark.createDataFrame([(1, 1, 2, 1, 1_200_000, "nomad"), (1, 2, 3, 1, 1_200_000, "open"), (1, 3, 3, 1, 1_200_000, "open")], "match_id int, profile_id int, team int, civ_id int, duration_ms int, family string")
+    got = {r.profile_id: r for r in e.player_metrics(spark.createDataFrame(ev, EV), players, spark.createDataFrame([], "kind string, target_id int, cost double")).collect()}
+    assert got[1].vils_castle == 63 and got[1].idle_dark_ms == 300_000 - 60_000 - 3 * 25_000 - 25_000 and got[1].idle_feudal_ms == 0
+    assert got[2].vils_castle == 0 and got[2].idle_dark_ms == 0 and (got[2].market_buys, got[2].market_sells) == (1, 1) and got[2].nearest_enemy is None
+    assert got[1].opening is None and got[3].apm == 0 and got[3].float_rate == 0 and got[1].eco_apm == 0.25
+
+
+def test_recorder_is_the_focus(spark):
+    players = spark.createDataFrame([(1, 10, "Ann", 1, 2), (1, 11, "Bob", 2, 2)], "match_id int, profile_id int, name string, player_number int, recorder int")
+    assert [r[1] for r in rows(e.resolve_focus(players))] == [11] and [r[1] for r in rows(e.resolve_focus(players, "aNN"))] == [10] and [r[1] for r in rows(e.resolve_focus(players, 11))] == [11]
+    with pytest.raises(Exception, match="no player"):
+        e.resolve_focus(players, "11").collect()
+
+
+def test_opponents_and_awards_by_hand(spark):
+    kinds = {"match_id": "int", "profile_id": "int", "team": "int", "castle_t": "double", "vils": "int", "castle_click": "double", "feudal_click": "double", "idle_dark_s": "double", "idle_feudal_s": "double", "apm": "double", "first_military_s": "double", "market_buys": "int", "market_sells": "int"}
+    data = [
+        (1, 1, 2, 900.0, 30, 740.0, 500.0, 10.0, 20.0, 5.0, None, 0, 0), (1, 2, 2, None, 99, None, 500.0, 0.0, 0.0, 5.0, 50.0, 0, 0),  # one team, two players: they face each other
+        (2, 1, 2, 900.0, 30, 740.0, 500.0, 10.0, 20.0, 5.0, 9.0, 1, 1), (3, 1, 2, None, 1, None, None, 0.0, 0.0, 5.0, None, 0, 0), (3, 2, 3, 800.0, 40, 640.0, None, 0.0, 0.0, 7.0, None, 1, 0), (3, 3, None, 600.0, 20, 440.0, 1.0, 3.0, 0.0, 6.0, 7.0, 0, 1),
+    ]
+    metrics = spark.createDataFrame(data, ", ".join(f"{k} {v}" for k, v in kinds.items()))
+    opp = {(r.match_id, r.profile_id): (r.opp_castle_t, r.opp_vils, r.opp_apm) for r in f.opponent_profile(metrics, ["castle_t", "vils", "apm"]).collect()}
+    assert opp == {(1, 1): (None, None, 5.0), (1, 2): (900.0, 30.0, 5.0), (3, 1): (700.0, 30.0, 6.5), (3, 2): (600.0, 20.0, 5.5), (3, 3): (800.0, 40.0, 6.0)}
+    assert sorted(rows(f.superlatives(metrics))) == [(1, "fastest_castle", 1), (1, "first_military", 2), (1, "least_idle", 1), (1, "most_villagers", 1), (3, "fastest_castle", 3), (3, "first_military", 3), (3, "highest_apm", 2), (3, "least_idle", 3), (3, "most_villagers", 2)]
+
+
+def test_equal_gaps_go_to_the_first_age(spark):
+    gap = spark.createDataFrame([(1, 1, *[-50.0, 60.0] * 3), (1, 2, None, None, -31.0, None, 20.0, 30.0)], "match_id int, profile_id int, " + ", ".join(f"{a}_vs_{w} double" for a in ("feudal", "castle", "imperial") for w in ("opp", "ref")))
+    assert rows(f.biggest_gap(gap)) == [(1, 1, "feudal", -50.0, "feudal", 60.0), (1, 2, "castle", -31.0, None, None)]
