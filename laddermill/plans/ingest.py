@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from laddermill.functions import scalars as s
 from laddermill.operators import ingest as g
-from laddermill.sources.archives import MAP_ALIASES
+from laddermill.sources.archives import MAP_ALIASES, scratch
 from laddermill.sources.roles import Tables, twin
+from laddermill.sources.targets import Target
 
 QUERIES, ORACLE = {}, {}
 
@@ -79,6 +80,37 @@ add(
     from (select p.match_id, profile_id, civ_id, source, build, match_id % 2 = 0 and (match_id % 3 = 0 or source = 'archive') as taken from f_players p join f_matches using (match_id)
           where match_id % 3 <> 0 or match_id % 2 = 0)""",
 )
+CHILD_TABLES = {"players": "f_players", "events": "f_events", "ages": "f_ages", "units": "f_units", "techs": "f_techs"}
+
+
+def versioned(t: Tables):
+    """upsert_upgrade over a bucketed target with all children, of which the batch brings those of the first three players."""
+    m = t.matches.select("match_id", "source", "build")
+    own = {name: getattr(t, name).withColumn("match_id", F.col("match_id").cast("long")) for name in CHILD_TABLES}
+    own["age_windows"] = own["ages"].withColumn("uptime_ms", F.lit(-1))
+    every = {"matches": m} | own
+    held = Target(t.spark, scratch(t.spark, "target"), {name: df.schema for name, df in every.items()})
+    held.upsert({name: df.filter("match_id % 3 <> 0") for name, df in every.items()}, number=0)
+    again = {name: df.filter("match_id % 2 = 0 and profile_id <= 3") for name, df in own.items()}
+    again["matches"] = m.filter("match_id % 2 = 0").selectExpr("match_id", "'replay' source", "build + 100 build")
+    for _ in range(2):  # a batch that runs again changes nothing
+        held.upsert(again, "upgrade", better="source = 'replay'", number=1)
+    out = held.read()
+    counts = [out[name].groupBy("match_id").agg(F.count(F.lit(1)).alias(f"n_{name}")) for name in own]
+    rows = out["matches"]
+    for c in counts:
+        rows = rows.join(c, "match_id", "left")
+    return rows.na.fill(0)
+
+
+add(
+    "upsert_versioned",
+    versioned,
+    f"""select match_id, case when taken then 'replay' else source end as source, case when taken then build + 100 else build end as build,
+    {", ".join(f"coalesce(case when taken then {n}.few else {n}.n end, 0) as n_{n}" for n in [*CHILD_TABLES, "age_windows"])}
+    from (select *, match_id % 2 = 0 and (match_id % 3 = 0 or source = 'archive') as taken from f_matches where match_id % 3 <> 0 or match_id % 2 = 0)
+    {" ".join(f"left join (select match_id, count(*) as n, count(*) filter (where profile_id <= 3) as few from {sql} group by 1) {n} using (match_id)" for n, sql in (CHILD_TABLES | {"age_windows": "f_ages"}).items())}""",
+)
 add("replace_scope", lambda t: g.replace_scope(t.ages.select("match_id", "age", "villagers"), t.ages.filter("match_id % 4 = 0 and age = 'dark'").selectExpr("match_id", "age", "villagers + 1 villagers")), "select match_id, age, villagers from f_ages where match_id % 4 <> 0 union all select match_id, age, villagers + 1 from f_ages where match_id % 4 = 0 and age = 'dark'")
 add("upsert_dim", lambda t: g.upsert_dim(t.maps, t.maps.filter("map_id < 2").withColumn("name", F.lower("name")), "map_id"), "select map_id, case when map_id < 2 then lower(name) else name end as name, slug, family from f_maps")
 KNOWN = "unit_id in (83, 4, 7, 448)"

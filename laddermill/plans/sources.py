@@ -176,7 +176,7 @@ add("write_table", table_written, "select build, case when build = 1995 then upp
 def stream_ingest(t: Tables) -> DataFrame:
     rows = t.matches.select("match_id", "played_at", "build")
     path, out = landed(rows.union(rows.filter("match_id % 3 = 0")), "stream"), a.scratch(t.spark, "ingest")
-    return streams.ingest(t.spark, path, out, f"{out}-checkpoint", span=20_000)
+    return streams.ingest(t.spark, path, out, f"{out}-checkpoint")
 
 
 add("stream_ingest", stream_ingest, "select match_id, played_at, build from f_matches")
@@ -186,7 +186,7 @@ def stream_upgrade(t: Tables) -> DataFrame:
     """A third of the archive matches come again as replays with another build, before or after themselves."""
     rows = t.matches.selectExpr("match_id", "'archive' source", "played_at", "build")
     path, out = landed(rows.union(rows.filter("match_id % 3 = 0").selectExpr("match_id", "'replay'", "played_at", "build + 100")), "stream"), a.scratch(t.spark, "upgrade")
-    return streams.ingest(t.spark, path, out, f"{out}-checkpoint", "upgrade", 20_000)
+    return streams.ingest(t.spark, path, out, f"{out}-checkpoint", "upgrade")
 
 
 add("stream_upgrade", stream_upgrade, "select match_id, case when match_id % 3 = 0 then 'replay' else 'archive' end as source, played_at, case when match_id % 3 = 0 then build + 100 else build end as build from f_matches")
@@ -205,7 +205,7 @@ def stream_apm(t: Tables) -> DataFrame:
     rows = t.raw("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
     closing = rows.agg(F.lit(None).cast("bigint").alias("event_id"), (F.max("ts") + F.expr("interval 1 hour")).alias("ts"), F.lit(None).cast("bigint").alias("user_id"))
     path, out = written(rows.union(closing), "stream"), a.scratch(t.spark, "apm")
-    counted = streams.commands_per_minute(streams.source(t.spark, path, 1000), "ts")
+    counted = streams.commands_per_minute(streams.source(t.spark, path, None), "ts")
     return streams.run(counted, out, f"{out}-checkpoint").select(F.floor(F.unix_seconds("minute") / 60).alias("minute"), "user_id", "commands")
 
 

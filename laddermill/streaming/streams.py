@@ -12,12 +12,18 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laddermill.operators.ingest import BACKOFF_S, MAX_ATTEMPTS, MAX_DOUBLINGS, first_of
+from laddermill.operators.ingest import BACKOFF_S, MAX_ATTEMPTS, MAX_DOUBLINGS
+from laddermill.sources.targets import Target
 
 
-def source(spark: SparkSession, path: str, files_per_trigger: int = 2) -> DataFrame:
-    """A folder of Parquet files as a stream; the schema is that of the files there."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def source(spark: SparkSession, path: str, files_per_trigger: int | None = 2) -> DataFrame:
+    """A folder of Parquet files as a stream; the schema is that of the files there.
+
+    None: all files that are there are one batch. A backlog whose files are in no order of time needs that under a
+    watermark, which would otherwise pass the later files' rows by.
+    """
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(path)
 
 
 def run(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> DataFrame:
@@ -25,33 +31,22 @@ def run(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> D
     return stream.sparkSession.read.parquet(out)
 
 
-#: Match ids of one shard of an ingest target.
-SPAN = 1_000_000
-
-
-def ingest(spark: SparkSession, path: str, target: str, checkpoint: str, policy: str = "skip", span: int = SPAN) -> DataFrame:
+def ingest(spark: SparkSession, path: str, target: str, checkpoint: str, policy: str = "skip", buckets: int = 8, files_per_trigger: int = 2) -> DataFrame:
     """Takes matches in batch by batch and returns what then counts. skip: the first writer of a match wins. upgrade: a
     replay also takes the place of an archive match; replays stay.
 
-    The target holds what each batch brought, by shard (a range of ids) and batch, so that a batch reads the earlier rows
-    of its own shards only, and a batch run again overwrites its own rows.
+    The target (sources/targets.py) is bucketed by match, a batch that runs again changes nothing, and layers are merged
+    as they come, so that files grow with the logarithm of the batches.
     """
-    better = F.col("source") == "replay" if policy == "upgrade" else F.lit(False)
+    stream = source(spark, path, files_per_trigger)
+    held = Target(spark, target, {"matches": stream.schema}, buckets=buckets)
+    better = "source = 'replay'" if policy == "upgrade" else None
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = first_of(batch.withColumn("_better", better), ["match_id"], [F.desc("_better"), "played_at", "build"]).withColumn("shard", F.floor(F.col("match_id") / span))
-        if number:
-            shards = [r.shard for r in rows.select("shard").distinct().collect()]
-            earlier = batch.sparkSession.read.parquet(target).filter(F.col("shard").isin(shards) & (F.col("batch") < number))
-            there = earlier.groupBy("match_id").agg(F.bool_or(better).alias("_there"))
-            rows = rows.join(there, "match_id", "left").filter("_there is null or (_better and not _there)")
-        rows = rows.select(*batch.columns, "shard", F.lit(number).alias("batch"))
-        rows.write.partitionBy("shard", "batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(target)
-
-    source(spark, path).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    found = spark.read.parquet(target)
-    # of a match's rows the last: an upgrade comes after what it replaces
-    return first_of(found, ["match_id"], [F.desc("batch")]).drop("batch", "shard")
+        held.upsert({"matches": batch}, policy, better=better, order=["played_at", "build"], source=checkpoint, number=number)
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return held.read()["matches"]
 
 
 def dedup(stream: DataFrame, key: str, time: str, within: str = "60 days") -> DataFrame:
