@@ -98,8 +98,10 @@ def mmss(seconds: Column) -> Column:
 
 
 def kebab(c: Column, style: str = "words") -> Column:
-    """words: spaces to hyphens, other signs dropped. runs: apostrophes dropped, each run of signs one hyphen, trimmed."""
+    """words: signs other than white space, _ and - dropped, then trimmed, white space to single hyphens.
+    runs: ' dropped, each run of other signs one hyphen, none at the ends."""
     low = F.lower(c)
     if style == "words":
-        return F.regexp_replace(F.regexp_replace(F.trim(low), "[^a-z0-9_ -]", ""), "[ ]+", "-")
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(low, "['’]", ""), "[^a-z0-9]+", "-"), "^-|-$", "")
+        kept = F.regexp_replace(low, r"[^a-z0-9_\s-]", "")
+        return F.regexp_replace(F.regexp_replace(kept, r"^\s+|\s+$", ""), r"\s+", "-")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(low, "'", ""), "[^a-z0-9]+", "-"), "^-|-$", "")

@@ -32,9 +32,10 @@ def doc_civ_meta(civs: DataFrame, meta: DataFrame, by_map: DataFrame, by_patch:
     elo = keyed(meta.filter((F.col("elo_bucket") != "all") & (F.col("games") >= min_elo)), keys, "elo_bucket", *figures, name="by_elo")
     maps = keyed(by_map.filter(F.col("games") >= min_map), keys, "map_id", *figures, name="by_map")
     patches = keyed(by_patch.filter(F.col("games") >= min_patch).join(kept.select("build"), "build", "left_semi"), keys, "build", *figures, name="by_patch")
-    top = openings.withColumn("total", F.sum("games").over(W.partitionBy(*keys))).filter("rank <= 3").withColumn("share", pct(F.col("games") / F.col("total")))
+    # of all of the ladder's games, also those whose opening is not known
+    top = openings.filter("rank <= 3").join(every.select(*keys, F.col("games").alias("overall")), keys).withColumn("share", pct(F.col("games") / F.col("overall")))
     opened = top.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "opening_kind", "share"))), lambda x: F.struct(x["opening_kind"].alias("opening"), x["share"].alias("share"))).alias("openings"))
-    ages = ageup.dropna(subset=["feudal_median", "castle_median", "imperial_median"]).select(*keys, F.struct("feudal_median", "castle_median", "imperial_median").alias("age_up"))
+    ages = ageup.dropna(subset=["feudal_median", "castle_median", "imperial_median"]).select(*keys, F.struct(*(F.round(c).alias(c) for c in ("feudal_median", "castle_median", "imperial_median"))).alias("age_up"))
     rows = every
     for part in (elo, maps, patches, opened, ages):
         rows = rows.join(part, keys, "left")

@@ -146,24 +146,36 @@ def record_misses(misses: DataFrame, batch: DataFrame) -> DataFrame:
 def take_ready(manifest: DataFrame, now: int, n: int) -> DataFrame:
     """Matches to try: pending, or failed less than MAX_ATTEMPTS times and long enough ago; newest first."""
     wait = F.lit(BACKOFF_S) * F.call_function("shiftleft", F.lit(1), F.least("attempts", F.lit(MAX_DOUBLINGS)).cast("int"))
-    retry = (F.col("status") == "error") & (F.col("attempts") < MAX_ATTEMPTS) & (now - F.col("updated_at") >= wait)
+    retry = (F.col("status") == "error") & (F.col("attempts") < MAX_ATTEMPTS) & (now - F.coalesce("updated_at", F.lit(0)) >= wait)
     return manifest.filter((F.col("status") == "pending") | retry).orderBy(F.desc("played_at"), F.desc("match_id")).limit(n).select("match_id", "status", "attempts", "played_at")
 
 
 def seed_manifest(manifest: DataFrame, rows: DataFrame) -> DataFrame:
-    """New matches are pending; known ones get profile ids if they had none, and then an expired one is pending again."""
-    new = rows.select("match_id", F.col("played_at").alias("new_at"), F.col("profile_ids").alias("new_ids"))
+    """New matches are pending; known ones get profile ids if they had none, and then an expired one is pending again.
+
+    A match that is seeded several times counts once, with its least time and the least profile ids that are given."""
+    new = rows.groupBy("match_id").agg(F.min("played_at").alias("new_at"), F.min("profile_ids").alias("new_ids"))
     both = manifest.join(new, "match_id", "full")
     known, filled = F.col("status").isNotNull(), F.col("profile_ids").isNull() & F.col("new_ids").isNotNull()
     status = F.when(~known, "pending").when(filled & (F.col("status") == "expired"), "pending").otherwise(F.col("status"))
     return both.select("match_id", F.coalesce("played_at", "new_at").alias("played_at"), F.coalesce("profile_ids", "new_ids").alias("profile_ids"), status.alias("status"), F.coalesce("attempts", F.lit(0)).alias("attempts"))
 
 
-def record_status(manifest: DataFrame, updates: DataFrame) -> DataFrame:
-    """Sets statuses, overwrites what the update has, and counts the attempt. updates: match_id, new_status, new_best."""
-    rows = manifest.join(updates, "match_id", "left")
-    hit = F.col("new_status").isNotNull()
-    return rows.select("match_id", F.coalesce("new_status", "status").alias("status"), F.coalesce("new_best", "best_size").alias("best_size"), (F.col("attempts") + hit.cast("int")).alias("attempts"))
+METADATA = ("n_files", "best_size", "best_pid", "events", "error")
+
+
+def record_status(manifest: DataFrame, updates: DataFrame, now: int, metadata: Sequence[str] = METADATA) -> DataFrame:
+    """Manifest after updates: match_id, nth (their order), status, attempts_inc, and of the metadata what they state.
+
+    Each update sets the status and the time, overwrites the metadata that it states (not null), and counts an attempt if
+    attempts_inc. Of several for a match the last ones stated count, and all attempts. Unknown matches change nothing.
+    """
+    stated = [c for c in metadata if c in updates.columns]
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("nth"))).alias(f"_{c}")
+    per = updates.groupBy("match_id").agg(*(last(c) for c in ("status", *stated)), F.count_if("attempts_inc").alias("_inc"))
+    rows = manifest.join(per, "match_id", "left")
+    new = {c: F.coalesce(f"_{c}", c) for c in ("status", *stated)} | {"attempts": F.col("attempts") + F.coalesce("_inc", F.lit(0)), "updated_at": F.when(F.col("_status").isNotNull(), F.lit(now)).otherwise(F.col("updated_at"))}
+    return rows.select(*(new[c].cast(manifest.schema[c].dataType).alias(c) if c in new else F.col(c) for c in manifest.columns))
 
 
 def status_counts(manifest: DataFrame) -> DataFrame:

@@ -46,31 +46,33 @@ def coverage(df: DataFrame, column: str, least: float, never_null: str) -> DataF
 
 
 def rates(df: DataFrame, rate: str, tier: str, key: Column) -> DataFrame:
-    """Rates outside 0 to 100 or not finite, tiers outside the set, and rates that are all fractions."""
+    """Rates outside 0 to 100 or not finite, tiers outside the set, and rates that are all fractions; nulls pass."""
     r = F.col(rate)
-    bad = r.isNull() | F.isnan(r) | (r < 0) | (r > 100)
-    rows = violation(df.filter(bad), "rate_range", key, r).unionByName(violation(df.filter(~F.coalesce(F.col(tier).isin(*TIERS), F.lit(False))), "tier", key, F.col(tier)))
+    bad = F.isnan(r) | (r < 0) | (r > 100)
+    rows = violation(df.filter(bad), "rate_range", key, r).unionByName(violation(df.filter(~F.col(tier).isin(*TIERS)), "tier", key, F.col(tier)))
     scale = df.agg(F.max(rate).alias("m")).filter("m <= 1")
     return rows.unionByName(violation(scale, "rate_scale", F.lit("all"), F.col("m")))
 
 
 def cube(rows: DataFrame, dims: Mapping[str, DataFrame], key: Column) -> DataFrame:
     """Indices that their dimension lacks, and counts that cannot be; an empty dimension fails as such."""
-    out = violation(rows.filter("wins < 0 or wins > games or games <= 0"), "cube_counts", key, F.concat_ws("/", "wins", "games"))
+    out = violation(rows.filter("wins < 0 or wins > games or games < 0"), "cube_counts", key, F.concat_ws("/", "wins", "games"))
     for name, dim in dims.items():
         out = out.unionByName(violation(rows.join(dim.select(name).distinct(), name, "left_anti"), f"cube_{name}", key, F.col(name)))
         out = out.unionByName(violation(dim.agg(F.count(F.lit(1)).alias("n")).filter("n = 0"), "cube_empty", F.lit(name), F.col("n")))
     return out
 
 
-def text_rules(df: DataFrame, key: str, slug: str, region: str, label: str, bonuses: str, regions: Sequence[str], typos: Sequence[str]) -> DataFrame:
-    """Kebab slugs, known regions, title-case labels, no listed typos, a bonus at least."""
-    words = F.filter(F.split(label, " "), lambda w: w != "")
+def text_rules(df: DataFrame, key: str, slug: str, region: str, label: str, bonuses: str, regions: Sequence[str], typos: Sequence[str], texts: Sequence[str] = ()) -> DataFrame:
+    """Slugs of small letters, digits and hyphens; known regions; labels whose words begin with capitals, but for "and"
+    between them; none of the typos, as words in any case, in the label, the bonuses or other texts; a bonus at least."""
+    words = F.flatten(F.transform(F.split(label, r"(?i)\s+and\s+"), lambda part: F.split(part, r"\s+")))
+    typo = rf"(?i)\b({'|'.join(typos)})\b"
     checks = {
-        "slug": ~F.col(slug).rlike("^[a-z0-9]+(-[a-z0-9]+)*$"),
+        "slug": ~F.col(slug).rlike("^[a-z0-9-]+$"),
         "region": ~F.col(region).isin(*regions),
-        "title": ~F.forall(words, lambda w: w.rlike("^[A-Z0-9]")),
-        "typo": F.exists(words, lambda w: F.lower(w).isin(*typos)),
+        "title": ~F.forall(words, lambda w: w.rlike("^[A-Z]")),
+        "typo": F.concat_ws("\n", label, bonuses, *texts).rlike(typo),
         "bonus": F.size(bonuses) < 1,
     }
     hits = F.array_compact(F.array(*(F.when(cond, F.lit(name)) for name, cond in checks.items())))
@@ -78,20 +80,28 @@ def text_rules(df: DataFrame, key: str, slug: str, region: str, label: str, bonu
 
 
 def sequence(steps: DataFrame, builds: DataFrame, slack_s: int = 90, facts: DataFrame | None = None) -> DataFrame:
-    """Ordered steps of builds: the counter never falls, times rise, a "+N" text says by how much the counter grows,
-    the last time is within the length, the phase never goes back, and no unit is of a later phase than the target.
+    """Ordered steps of builds: the counter never falls, times rise, a text "+N →" says by how much the counter grew, the
+    last time is within the length, the phase never goes back, and no unit is of a later phase than the target.
 
-    steps: build_id, nth, counter, at_s, phase, text, and unit where there are facts (unit, phase); builds: build_id,
-    duration_s, target_phase.
+    steps: build_id, nth, counter, at_s, phase, text (each may be null), and unit where there are facts (unit, phase);
+    builds: build_id, duration_s, target_phase. A counter is compared with the last one stated, however long ago; what a
+    text says counts only if it leads the text, stands alone there and the step before states a counter. Of times and of
+    phases the first fault of a build is reported.
     """
     own = W.partitionBy("build_id").orderBy("nth")
-    said = F.regexp_extract("text", r"\+(\d+)", 1).try_cast("int")
-    one = F.size(F.regexp_extract_all("text", F.lit(r"\+(\d+)"), F.lit(1))) == 1
-    rows = steps.select("*", F.lag("counter").over(own).alias("c0"), F.lag("at_s").over(own).alias("t0"), F.max("phase").over(own.rowsBetween(W.unboundedPreceding, -1)).alias("p0"))
-    checks = {"counter": F.col("counter") < F.col("c0"), "delta": one & (said != F.col("counter") - F.col("c0")), "time": F.col("at_s") <= F.col("t0"), "phase": F.col("phase") < F.col("p0")}
+    before = own.rowsBetween(W.unboundedPreceding, -1)
+    clause = r"\+\d+\s*(?:→|->)"
+    said = F.regexp_extract(F.coalesce("text", F.lit("")), r"^\s*\+(\d+)\s*(?:→|->)", 1).try_cast("int")
+    alone = F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(clause), F.lit(0))) == 1
+    last = lambda c: F.last(c, ignorenulls=True).over(before)
+    rows = steps.select("*", last("counter").alias("c0"), F.lag(F.col("counter").isNotNull(), 1, False).over(own).alias("stated"), last("at_s").alias("t0"), F.coalesce(F.max("phase").over(before), F.lit(0)).alias("p0"))
+    first = lambda cond: F.min(F.when(cond, F.col("nth"))).over(W.partitionBy("build_id")) == F.col("nth")
+    late_time, back = F.col("at_s") <= F.col("t0"), F.col("phase") < F.col("p0")
+    rows = rows.withColumns({"_time": late_time & first(late_time), "_phase": back & first(back)})
+    checks = {"counter": F.col("counter") < F.col("c0"), "delta": alone & F.col("stated") & (said != F.col("counter") - F.col("c0")), "time": F.col("_time"), "phase": F.col("_phase")}
     hits = F.array_compact(F.array(*(F.when(cond, F.lit(name)) for name, cond in checks.items())))
     inner = violation(rows.withColumn("_hit", F.explode(hits)), F.col("_hit"), F.concat_ws("/", "build_id", "nth"), F.col("counter"))
-    ends = steps.groupBy("build_id").agg(F.max_by("at_s", "nth").alias("last_s"), F.max("phase").alias("top")).join(builds, "build_id")
+    ends = steps.groupBy("build_id").agg(F.max_by("at_s", F.when(F.col("at_s").isNotNull(), F.col("nth"))).alias("last_s"), F.max("phase").alias("top")).join(builds, "build_id")
     late = violation(ends.filter(F.col("last_s") > F.col("duration_s") + slack_s), "length", F.col("build_id"), F.col("last_s"))
     out = inner.unionByName(late).unionByName(violation(ends.filter("top > target_phase"), "target", F.col("build_id"), F.col("top")))
     if facts is None:

@@ -39,14 +39,14 @@ def resolve_names(ids: DataFrame, names: DataFrame, key: str) -> DataFrame:
 
 
 def bonus_string(df: DataFrame, labels: DataFrame, key: str, base: Sequence[int]) -> DataFrame:
-    """'+N label' of positive amounts in other than base classes, joined by '; '. df: key, bonuses array<class, amount>;
-    labels: class, label, small by nature. An unknown class is an error; keys without a bonus have null."""
-    rows = df.select(key, F.explode_outer("bonuses").alias("b")).select(key, F.col("b.class").alias("class"), F.col("b.amount").alias("amount"))
+    """'+N label' of positive amounts in other than base classes, in their order, joined by ';'. df: key, bonuses
+    array<class, amount>; labels: class, label, small by nature. An unknown class is an error; keys without a bonus have null."""
+    rows = df.select(key, F.posexplode_outer("bonuses").alias("nth", "b")).select(key, "nth", F.col("b.class").alias("class"), F.col("b.amount").alias("amount"))
     wanted = (F.col("amount") > 0) & ~F.col("class").isin(*base)
     named = rows.join(labels, "class", "left").withColumn("label", F.when(wanted, F.coalesce("label", F.raise_error(F.concat(F.lit("unknown class "), F.col("class"))).cast("string"))))
-    item = F.when(wanted, F.struct("class", F.format_string("+%d %s", "amount", "label").alias("s")))
+    item = F.when(wanted, F.struct("nth", F.format_string("+%d %s", "amount", "label").alias("s")))
     per = named.groupBy(key).agg(F.array_sort(F.array_compact(F.collect_list(item))).alias("l"))
-    return per.select(key, F.when(F.size("l") > 0, F.array_join(F.transform("l", lambda x: x["s"]), "; ")).alias("bonus"))
+    return per.select(key, F.when(F.size("l") > 0, F.array_join(F.transform("l", lambda x: x["s"]), ";")).alias("bonus"))
 
 
 def sparse_map(columns: Sequence[str]) -> Column:
@@ -66,17 +66,28 @@ def span(c: Column, tag: str) -> Column:
     return F.when(found != "", html_text(found))
 
 
-def sectioned_text(df: DataFrame, key: str, text: str, headers: Sequence[str], required: Mapping[str, int] | None = None) -> DataFrame:
-    """Items of each section of a text: a header line opens a section; bullets and commas part items; a trailing
-    parenthesis without another inside is an item's effect. Lines before the first header are left out. required: how
-    many items a section must have in every text; another number is an error."""
-    lines = df.select(key, F.posexplode(F.split(text, "\n")).alias("nth", "line")).withColumn("line", F.trim("line"))
-    head = F.when(F.rtrim(F.col("line"), F.lit(":")).isin(*headers), F.rtrim(F.col("line"), F.lit(":")))
-    placed = lines.withColumn("head", head).withColumn("section", F.last("head", ignorenulls=True).over(W.partitionBy(key).orderBy("nth")))
-    items = placed.filter("section is not null and head is null").select(key, "section", "nth", F.posexplode(F.split(F.regexp_replace("line", r"^[•*-]\s*", ""), r",\s*(?![^(]*\))")).alias("part", "item")).filter("item <> ''")
-    effect = F.regexp_extract("item", r"\(([^()]*)\)$", 1)
-    name = F.trim(F.regexp_replace("item", r"\([^()]*\)$", ""))
-    found = items.select(key, "section", "nth", "part", name.alias("name"), F.when(effect != "", effect).alias("effect"))
+def sectioned_text(df: DataFrame, key: str, text: str, sections: Mapping[str, tuple[Sequence[str], str]], first: str, required: Mapping[str, int] | None = None) -> DataFrame:
+    """Items of each section of a text: key, section, nth (line), part, name, effect.
+
+    A line that begins with a section's prefix, in any case, opens it; the lines before the first belong to `first`.
+    sections: prefixes and a rule for each. bullets: lines with a bullet are items. effects: the same, and a trailing
+    parenthesis is the item's effect. list: commas part items, whose trailing parenthesis is left out. text: all lines are
+    one item, joined by blanks. required: how many items a section must have in every text; another number is an error.
+    """
+    lines = df.select(key, F.posexplode(F.split(text, "\n")).alias("nth", "line")).withColumn("line", F.trim("line")).filter("line <> ''")
+    opens = F.coalesce(*(F.when(F.lower("line").startswith(p.lower()), F.lit(name)) for name, (prefixes, _) in sections.items() for p in prefixes), F.lit(None).cast("string"))
+    own = W.partitionBy(key).orderBy("nth")
+    placed = lines.withColumn("head", opens).withColumn("section", F.coalesce(F.last("head", ignorenulls=True).over(own), F.lit(first))).filter("head is null")
+    rule = F.element_at(F.create_map(*(F.lit(x) for name, (_, r) in sections.items() for x in (name, r))), F.col("section"))
+    rows = placed.withColumns({"rule": rule, "bullet": F.col("line").startswith("•"), "body": F.trim(F.regexp_replace("line", "^•", ""))})
+    parts = F.when(F.col("rule") == "list", F.split("body", ",")).when(F.col("bullet") & F.col("rule").isin("bullets", "effects"), F.array("body"))
+    items = rows.filter("rule <> 'text'").select(key, "section", "nth", "rule", F.posexplode(parts).alias("part", "item")).withColumn("item", F.trim("item"))
+    tail = r"\s*\(([^()]*)\)$"
+    effect, plain = F.regexp_extract("item", tail, 1), F.trim(F.regexp_replace("item", tail, ""))
+    found = items.select(key, "section", "nth", "part", F.when(F.col("rule") == "bullets", F.col("item")).otherwise(plain).alias("name"), F.when((F.col("rule") == "effects") & (effect != ""), effect).alias("effect")).filter("name <> ''")
+    joined = rows.filter("rule = 'text'").groupBy(key, "section").agg(F.array_sort(F.collect_list(F.struct("nth", "body"))).alias("l"))
+    whole = joined.select(key, "section", F.get("l", F.lit(0))["nth"].alias("nth"), F.lit(0).alias("part"), F.array_join(F.transform("l", lambda x: x["body"]), " ").alias("name"), F.lit(None).cast("string").alias("effect"))
+    found = found.unionByName(whole)
     if not required:
         return found
     counted = found.groupBy(key).agg(*(F.count_if(F.col("section") == s).alias(f"_n{i}") for i, s in enumerate(required)))

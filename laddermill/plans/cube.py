@@ -116,9 +116,9 @@ def civ_documents(t: Tables):
     return d.doc_civ_meta(t.civs, m.civ_meta(rows), m.civ_meta_by_map(rows), m.civ_meta_by_patch(rows), m.civ_meta_openings(rows), m.civ_meta_ageup(t.matches, t.players), kept(t), 50, 10, 20, 10)
 
 
-add("doc_civ_meta", lambda t: civ_documents(t).select("civ_id", "slug", F.explode_outer("ladders").alias("ladder", "v")).select("civ_id", "slug", "ladder", "v.games", "v.winrate", "v.play_rate", "v.tier", *(F.coalesce(F.size(f"v.{x}"), F.lit(0)).alias(x) for x in ("by_elo", "by_map", "by_patch", "openings")), F.element_at("v.by_elo", "1400-1649")["games"].alias("games_1400"), F.get("v.openings", F.lit(0))["opening"].alias("opening"), "v.age_up.feudal_median"), f"""select c.civ_id, slug, ladder, games, winrate, play_rate, case when ladder is not null then {TIER} end as tier, coalesce(by_elo, 0) as by_elo, coalesce(by_map, 0) as by_map, coalesce(by_patch, 0) as by_patch, coalesce(openings, 0) as openings, games_1400, opening, case when castle_median is not null and imperial_median is not null then feudal_median end as feudal_median
+add("doc_civ_meta", lambda t: civ_documents(t).select("civ_id", "slug", F.explode_outer("ladders").alias("ladder", "v")).select("civ_id", "slug", "ladder", "v.games", "v.winrate", "v.play_rate", "v.tier", *(F.coalesce(F.size(f"v.{x}"), F.lit(0)).alias(x) for x in ("by_elo", "by_map", "by_patch", "openings")), F.element_at("v.by_elo", "1400-1649")["games"].alias("games_1400"), F.get("v.openings", F.lit(0))["opening"].alias("opening"), "v.age_up.feudal_median", F.expr("array_join(transform(v.openings, o -> concat(o.opening, ':', cast(round(o.share * 100) as bigint))), ',')").alias("shares"), F.expr("array_join(transform(array_sort(map_keys(v.by_elo)), k -> concat(k, ':', v.by_elo[k].games)), ',')").alias("elo_games")), f"""select c.civ_id, slug, ladder, games, winrate, play_rate, case when ladder is not null then {TIER} end as tier, coalesce(by_elo, 0) as by_elo, coalesce(by_map, 0) as by_map, coalesce(by_patch, 0) as by_patch, coalesce(openings, 0) as openings, games_1400, opening, case when castle_median is not null and imperial_median is not null then round(feudal_median) end as feudal_median, (select string_agg(w.opening_kind || ':' || cast(round(w.games / a.games * 10000) as bigint), ',' order by w.rank) from {mart("civ_meta_openings")} w where w.civ_id = a.civ_id and w.ladder = a.ladder and w.rank <= 3) as shares, elo_games
     from (select * from f_civs where civ_id <> 0) c left join (select *, round(games / greatest(ladder_total_games, 1) * 10000) / 100 as play_rate from {mart("civ_meta")} where elo_bucket = 'all' and games >= 50) a on a.civ_id = c.civ_id
-    left join (select civ_id as c1, ladder as l1, cast(count(*) as int) as by_elo, max(case when elo_bucket = '1400-1649' then games end) as games_1400 from {mart("civ_meta")} where elo_bucket <> 'all' and games >= 10 group by all) e on c1 = a.civ_id and l1 = a.ladder
+    left join (select civ_id as c1, ladder as l1, cast(count(*) as int) as by_elo, string_agg(elo_bucket || ':' || games, ',' order by elo_bucket) as elo_games, max(case when elo_bucket = '1400-1649' then games end) as games_1400 from {mart("civ_meta")} where elo_bucket <> 'all' and games >= 10 group by all) e on c1 = a.civ_id and l1 = a.ladder
     left join (select civ_id as c2, ladder as l2, cast(count(*) as int) as by_map from {mart("civ_meta_by_map")} where games >= 20 group by all) b on c2 = a.civ_id and l2 = a.ladder
     left join (select civ_id as c3, ladder as l3, cast(count(*) as int) as by_patch from {mart("civ_meta_by_patch")} where games >= 10 and build in (select build from kept) group by all) p on c3 = a.civ_id and l3 = a.ladder
     left join (select civ_id as c4, ladder as l4, cast(least(count(*), 3) as int) as openings, max(case when rank = 1 then opening_kind end) as opening from {mart("civ_meta_openings")} group by all) o on c4 = a.civ_id and l4 = a.ladder

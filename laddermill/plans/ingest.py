@@ -165,7 +165,7 @@ def split_top(text: str) -> list[str]:
 add("take_ready", lambda t: g.take_ready(manifest(t), 1_000_000, 40), "select match_id, status, attempts, played_at from manifest where status = 'pending' or status = 'error' and attempts < 8 and 1000000 - updated_at >= 60 * (1 << least(attempts, 6)) order by played_at desc, match_id desc limit 40", **MANIFEST_CTE)
 add(
     "seed_manifest",
-    lambda t: g.seed_manifest(manifest(t).filter("match_id % 5 <> 0").select("match_id", "played_at", "profile_ids", "status", "attempts"), t.matches.filter("match_id % 2 = 0").selectExpr("match_id", "played_at", "'1,2' profile_ids")),
+    lambda t: g.seed_manifest(manifest(t).filter("match_id % 5 <> 0").select("match_id", "played_at", "profile_ids", "status", "attempts"), t.matches.filter("match_id % 2 = 0").selectExpr("match_id", "played_at", "explode(array('1,2', null)) profile_ids")),
     """select match_id, played_at, case when known and (profile_ids is not null or not seeded) then profile_ids else '1,2' end as profile_ids,
     case when not known or (seeded and profile_ids is null and status = 'expired') then 'pending' else status end as status, case when known then attempts else 0 end as attempts
     from (select *, match_id % 5 <> 0 as known, match_id % 2 = 0 as seeded from manifest) where known or seeded""",
@@ -173,8 +173,12 @@ add(
 )
 add(
     "record_status",
-    lambda t: g.record_status(manifest(t), t.matches.filter("match_id % 6 = 0").selectExpr("match_id", "'done' new_status", "case when match_id % 12 = 0 then 5L end new_best")),
-    "select match_id, case when match_id % 6 = 0 then 'done' else status end as status, case when match_id % 12 = 0 then 5 else best_size end as best_size, attempts + cast(match_id % 6 = 0 as int) as attempts from manifest",
+    lambda t: g.record_status(
+        manifest(t).selectExpr("match_id", "status", "best_size", "cast(null as string) error", "attempts", "updated_at"),
+        t.matches.filter("match_id % 6 = 0").selectExpr("match_id", "explode(array(0, 1)) nth").selectExpr("match_id", "nth", "if(nth = 0, 'error', 'done') status", "case when match_id % 12 = 0 and nth = 0 then 5L end best_size", "if(nth = 0, 'timeout', null) error", "nth = 0 attempts_inc"),
+        2_000_000,
+    ),
+    "select match_id, case when u then 'done' else status end as status, case when match_id % 12 = 0 then 5 else best_size end as best_size, case when u then 'timeout' end as error, attempts + cast(u as int) as attempts, case when u then 2000000 else updated_at end as updated_at from (select *, match_id % 6 = 0 as u from manifest)",
     **MANIFEST_CTE,
 )
 add("status_counts", lambda t: g.status_counts(manifest(t)), "select status, count(*) as n from manifest group by 1", **MANIFEST_CTE)
@@ -197,5 +201,5 @@ add(
 add("tier", lambda t: t.raw("supplier").select("s_suppkey", s.tier_of(F.col("s_suppkey") % 100 / 2 + 20).alias("tier")), "select s_suppkey, case when x >= 53 then 'S' when x >= 51 then 'A' when x >= 49 then 'B' when x >= 47 then 'C' else 'D' end as tier from (select s_suppkey, s_suppkey % 100 / 2 + 20 as x from supplier)")
 add("prettify", lambda t: t.raw("part").select("p_partkey", s.prettify(F.translate(F.lower("p_name"), " ", "-")).alias("title")), "select p_partkey, array_to_string(list_transform(string_split(lower(p_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') as title from part")
 add("mmss", lambda t: t.raw("supplier").select("s_suppkey", s.mmss(F.col("s_suppkey") * 7.5).alias("t")), "select s_suppkey, printf('%d:%02d', cast(floor(s_suppkey * 7.5) as bigint) // 60, cast(floor(s_suppkey * 7.5) as bigint) % 60) as t from supplier")
-add("kebab", lambda t: t.raw("documents").select("doc_id", s.kebab(F.col("text")).alias("words"), s.kebab(F.col("text"), "runs").alias("runs")), """select doc_id, regexp_replace(regexp_replace(trim(lower(text)), '[^a-z0-9_ -]', '', 'g'), '[ ]+', '-', 'g') as words,
-    regexp_replace(regexp_replace(regexp_replace(lower(text), '[''’]', '', 'g'), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') as runs from documents""")
+add("kebab", lambda t: t.raw("documents").select("doc_id", s.kebab(F.col("text")).alias("words"), s.kebab(F.col("text"), "runs").alias("runs")), """select doc_id, regexp_replace(regexp_replace(regexp_replace(lower(text), '[^a-z0-9_ \\t\\n\\r\\f\\v-]', '', 'g'), '^[ \\t\\n\\r\\f\\v]+|[ \\t\\n\\r\\f\\v]+$', '', 'g'), '[ \\t\\n\\r\\f\\v]+', '-', 'g') as words,
+    regexp_replace(regexp_replace(replace(lower(text), '''', ''), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') as runs from documents""")

@@ -89,7 +89,10 @@ def read_match_archive(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def read_player_archive(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return read_drifting(spark, paths, PLAYER_COLUMNS)
+    """Nine columns of the player files; the civilisation as a slug."""
+    from laddermill.functions.scalars import slug
+
+    return read_drifting(spark, paths, PLAYER_COLUMNS).withColumn("civ", slug(F.col("civ")))
 
 
 def pair_files(files: DataFrame) -> DataFrame:
@@ -101,16 +104,20 @@ def pair_files(files: DataFrame) -> DataFrame:
 
 def explode_age_summaries(df: DataFrame, text: str = "summary", keys: Sequence[str] = ("game_id", "profile_id", "civ", "won")) -> DataFrame:
     """Up to four rows per player's summary (a Python dictionary as text, over 50 characters): the keys, age, villagers,
-    military, buildings, research and uptime in ms (-1: not reached). A text that can't be read gives one row with age
+    military, buildings, research and uptime in ms (-1: not reached). The civilisation (civ) becomes a slug. An age
+    that is absent, null or empty gives no row, and so does a text without ages; one that can't be read gives one with age
     'bad'."""
+    from laddermill.functions.scalars import slug
+
+    df = df.withColumn("civ", slug(F.col("civ"))) if "civ" in keys else df
     counts = ("villagers", "military", "n_buildings", "n_research", "uptime_ms")
     schema = ", ".join([*(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys), "nth int", "age string", *(f"{c} int" for c in counts)])
 
     def ages(blob: str) -> Iterator[tuple]:
         try:
-            stats, out = ast.literal_eval(blob)["age_stats"], []
+            stats, out = (ast.literal_eval(blob) or {}).get("age_stats") or {}, []
             for age in SUMMARY_AGES:
-                if age in stats:
+                if stats.get(age):
                     units, built = stats[age].get("unit_counts") or {}, stats[age].get("building_counts") or {}
                     up = stats[age].get("uptime")
                     army = sum(int(n or 0) for u, n in units.items() if u not in NOT_MILITARY)
@@ -130,8 +137,9 @@ def explode_age_summaries(df: DataFrame, text: str = "summary", keys: Sequence[s
 
 
 def read_event_shards(spark: SparkSession, path: str, schema: str = SHARD) -> DataFrame:
-    """Gzipped JSON lines with a fixed schema. Lines that can't be read and the torn end of a file are left out."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").option("ignoreCorruptFiles", True).json(path)
+    """Gzipped JSON lines with a fixed schema. Lines that can't be read, or that name no match, and the torn end of a file
+    are left out."""
+    return spark.read.schema(schema).option("mode", "DROPMALFORMED").option("ignoreCorruptFiles", True).json(path).filter("match_id is not null")
 
 
 def normalize_history(df: DataFrame, payload: str = "payload") -> tuple[DataFrame, DataFrame]:

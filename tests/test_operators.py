@@ -212,10 +212,11 @@ def test_aliases_and_required_items(spark):
 
     df = spark.createDataFrame([("packed", 2), ("packed", 1), ("other", 5)], "k string, n int")
     assert rows(x.first_wins(df, "k", ["n"], aliases={"plain": "packed", "other": "packed"})) == [("other", 5), ("packed", 1), ("plain", 1)]
-    help_text = spark.createDataFrame([(1, "Techs\na, b"), (2, "Techs\na")], "k int, help string")
-    assert x.sectioned_text(help_text.filter("k = 1"), "k", "help", ["Techs"], {"Techs": 2}).count() == 2
+    help_text = spark.createDataFrame([(1, "Techs\n• a\n• b"), (2, "Techs\n• a")], "k int, help string")
+    sections = {"Techs": (("techs",), "effects")}
+    assert x.sectioned_text(help_text.filter("k = 1"), "k", "help", sections, "Bonus", {"Techs": 2}).count() == 2
     with pytest.raises(PySparkException):
-        x.sectioned_text(help_text, "k", "help", ["Techs"], {"Techs": 2}).collect()
+        x.sectioned_text(help_text, "k", "help", sections, "Bonus", {"Techs": 2}).collect()
 
 
 def test_fallback_takes_the_first_step(spark):
@@ -298,3 +299,77 @@ def test_opponents_and_awards_by_hand(spark):
 def test_equal_gaps_go_to_the_first_age(spark):
     gap = spark.createDataFrame([(1, 1, *[-50.0, 60.0] * 3), (1, 2, None, None, -31.0, None, 20.0, 30.0)], "match_id int, profile_id int, " + ", ".join(f"{a}_vs_{w} double" for a in ("feudal", "castle", "imperial") for w in ("opp", "ref")))
     assert rows(f.biggest_gap(gap)) == [(1, 1, "feudal", -50.0, "feudal", 60.0), (1, 2, "castle", -31.0, None, None)]
+
+
+def test_sections_by_their_own_rules(spark):
+    """Bonuses come first without a header and keep their commas; only units are parted at commas."""
+    from laddermill.operators import text as x
+
+    sections = {"bonus": ((), "bullets"), "units": (("Unique Unit",), "list"), "techs": (("Unique Tech",), "effects"), "team": (("Team Bonus",), "text")}
+    text = "• Farms cost 10, not 20\nplain line\nunique units:\nSamurai (infantry), Turtle Ship (war (ship))\nUnique Technologies\n• Yasama (towers shoot, more)\n• Kataparuto\nteam bonus:\ngalleys see\nfurther"
+    got = rows(x.sectioned_text(spark.createDataFrame([(1, text), (2, None)], "k int, t string"), "k", "t", sections, "bonus"))
+    assert [r[1:] for r in got] == [("bonus", 0, 0, "Farms cost 10, not 20", None), ("team", 8, 0, "galleys see further", None), ("techs", 5, 0, "Yasama", "towers shoot, more"), ("techs", 6, 0, "Kataparuto", None), ("units", 3, 0, "Samurai", None), ("units", 3, 1, "Turtle Ship (war (ship))", None)]
+
+
+def test_kebab_by_hand(spark):
+    assert column(spark, ["! abc", "a\nb", "A  b_c-d", " x ", None], "string", s.kebab) == ["abc", "a-b", "a-b_c-d", "x", None]
+    assert column(spark, ["it's", "it’s", "--A.B--"], "string", lambda c: s.kebab(c, "runs")) == ["its", "it-s", "a-b"]
+
+
+def test_bonuses_keep_their_order(spark):
+    from laddermill.operators import text as x
+
+    df = spark.createDataFrame([(1, [(9, 2), (4, 3), (3, 5), (9, 0)]), (2, [(3, 5)]), (3, None)], "k int, bonuses array<struct<class: int, amount: int>>")
+    labels = spark.createDataFrame([(9, "ships"), (4, "camels")], "class int, label string")
+    assert rows(x.bonus_string(df, labels, "k", [3])) == [(1, "+2 ships;+3 camels"), (2, None), (3, None)]
+
+
+def test_quality_rules_by_hand(spark):
+    """Nulls and no games pass, "and" may part a label, a counter is compared with the last one stated."""
+    from laddermill.operators import quality as v
+
+    rate = spark.createDataFrame([(1, None, None), (2, 101.0, "S"), (3, 50.0, "X"), (4, float("nan"), "A"), (5, 0.0, "D")], "k int, rate double, tier string")
+    assert {(r.check, r.key) for r in v.rates(rate, "rate", "tier", F.col("k")).collect()} == {("rate_range", "2"), ("tier", "3"), ("rate_range", "4")}
+    cells = spark.createDataFrame([(1, 0, 0), (2, 3, 2), (3, 0, -1)], "k int, wins int, games int")
+    assert {r.key for r in v.cube(cells, {}, F.col("k")).collect()} == {"2", "3"}
+    text = spark.createDataFrame([(1, "a-b", "x", "Naval and Archer", ["b"]), (2, "-a--", "x", "Naval and archer", ["b"]), (3, "a", "x", "2nd Navy", ["best calvary!"]), (4, "a", "y", "Band Calvaryman", []), (5, "A", "x", "Sandy", ["b"])], "k int, slug string, region string, label string, bonuses array<string>")
+    got = {(r.check, r.key) for r in v.text_rules(text, "k", "slug", "region", "label", "bonuses", ["x"], ["Calvary"]).collect()}
+    assert got == {("title", "2"), ("title", "3"), ("typo", "3"), ("region", "4"), ("bonus", "4"), ("slug", "5")}
+    steps = [
+        (1, 1, 5, 10, 1, "start"), (1, 2, None, None, None, "+9 → wood"), (1, 3, 8, 5, None, "+2 → gold"), (1, 4, 10, 4, 0, "+3 -> food"), (1, 5, 9, 40, 2, "a +7 → b"), (1, 6, 12, None, 1, "+1→a +2→b"), (1, 7, 13, 41, 3, "+5"),
+        (2, 1, 3, 500, 4, "+3 →"), (2, 2, 3, None, None, None),
+    ]
+    df = spark.createDataFrame(steps, "build_id int, nth int, counter int, at_s int, phase int, text string")
+    builds = spark.createDataFrame([(1, 100, 3), (2, 400, 3)], "build_id int, duration_s int, target_phase int")
+    # 1/3: the step before states no counter; 1/3 and 1/4 fall behind 10 s, of which the first counts; so with phases
+    assert {(r.check, r.key) for r in v.sequence(df, builds).collect()} == {("counter", "1/5"), ("delta", "1/4"), ("time", "1/3"), ("phase", "1/4"), ("length", "2"), ("target", "2")}
+
+
+def test_queues_by_hand(spark):
+    queue = spark.createDataFrame([(1, "error", 2, None, 5), (2, "error", 8, None, 6), (3, "error", 1, 990, 7)], "match_id int, status string, attempts int, updated_at int, played_at int")
+    assert [r.match_id for r in g.take_ready(queue, 1000, 9).collect()] == [1]
+    seeds = spark.createDataFrame([(1, 10, None), (1, 9, "7"), (2, 5, "1,2"), (2, 5, "1,2")], "match_id int, played_at int, profile_ids string")
+    known = spark.createDataFrame([(2, 5, None, "expired", 3)], "match_id int, played_at int, profile_ids string, status string, attempts int")
+    assert rows(g.seed_manifest(known, seeds)) == [(1, 9, "7", "pending", 0), (2, 5, "1,2", "pending", 3)]
+    table = spark.createDataFrame([(1, "pending", 3, "old", 0, 5), (2, "pending", None, None, 1, 6)], "match_id int, status string, events int, error string, attempts int, updated_at int")
+    updates = spark.createDataFrame([(1, 0, "error", None, "timeout", True), (1, 1, "parsed", 40, None, True), (1, 2, "loaded", None, None, False), (9, 0, "error", 1, None, True)], "match_id int, nth int, status string, events int, error string, attempts_inc boolean")
+    assert rows(g.record_status(table, updates, 77)) == [(1, "loaded", 40, "timeout", 2, 77), (2, "pending", None, None, 1, 6)]
+
+
+def test_summaries_without_ages(spark):
+    pad = " " * 60
+    blobs = ["{'age_stats': {'dark': {}, 'feudal': None, 'castle': {'uptime': 1.5, 'unit_counts': None}}}", "{'other': 1}", "{'age_stats': None}", "None", "{'age_stats': {'dark': 5}}", "{broken"]
+    df = spark.createDataFrame([(i, 1, "Mongols!", True, b + pad) for i, b in enumerate(blobs)], "game_id int, profile_id int, civ string, won boolean, summary string")
+    assert [(r.game_id, r.age, r.civ, r.uptime_ms) for r in a.explode_age_summaries(df).orderBy("game_id").collect()] == [(0, "castle", "mongols", 1500), (4, "bad", "mongols", None), (5, "bad", "mongols", None)]
+
+
+def test_opening_shares_are_of_all_games(spark):
+    from laddermill.operators import documents as d
+
+    civs = spark.createDataFrame([(1, "a")], "civ_id int, slug string")
+    meta = spark.createDataFrame([(1, "1v1", "all", 1000, 500, 50.0, 2000)], "civ_id int, ladder string, elo_bucket string, games bigint, wins bigint, winrate double, ladder_total_games bigint")
+    none = lambda c: spark.createDataFrame([], f"civ_id int, ladder string, {c}, games bigint, winrate double")
+    openings = spark.createDataFrame([(1, "1v1", "scouts", 100, 1), (1, "1v1", "archers", 40, 2)], "civ_id int, ladder string, opening_kind string, games bigint, rank int")
+    ages = spark.createDataFrame([(1, "1v1", 600.5, 1100.4, 1900.6)], "civ_id int, ladder string, feudal_median double, castle_median double, imperial_median double")
+    got = d.doc_civ_meta(civs, meta, none("map_id string"), none("build int"), openings, ages, spark.createDataFrame([], "build int")).first().ladders["1v1"]
+    assert [tuple(o) for o in got.openings] == [("scouts", 10.0), ("archers", 4.0)] and tuple(got.age_up) == (601.0, 1100.0, 1901.0)
