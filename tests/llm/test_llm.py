@@ -142,28 +142,69 @@ def test_quality_counts(docs, texts):
         assert not (failed and got[i][6])
 
 
-def test_quality_expectation_maximisation(spark):
-    """The aggregated iterations give what plain ones over the documents give."""
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    voted = quality.votes(quality.counts(docs)).select(*(f"v_{r}" for r in quality.RULES)).collect()
-    model = {"good": quality.PRIOR_GOOD, "g": [quality.PRIOR_RIGHT] * 6, "b": [quality.PRIOR_RIGHT] * 6}
-    extra = quality.PRIOR_WEIGHT * len(voted)
-    for _ in range(quality.ITERATIONS):
+def plain_fit(voted, n_rules):
+    """Expectation-maximisation over the documents one by one."""
+    q, total = quality, len(voted)
+    e = {"good": [q.PRIOR_GOOD] * n_rules, "bad": [q.PRIOR_BAD] * n_rules}
+    pooled = [sum(v[i] == 0 for v in voted) / total for i in range(n_rules)]
+    for _ in range(q.ITERATIONS):
         p = []
         for v in voted:
-            a, z = model["good"], 1 - model["good"]
-            for x, g, b in zip(v, model["g"], model["b"]):
-                a, z = (a * g, z * (1 - b)) if x == 1 else (a * (1 - g), z * b) if x == -1 else (a, z)
+            a, z = q.GOOD, 1 - q.GOOD
+            for i, x in enumerate(v):
+                a, z = a * max(e["good"][i][x + 1], 1e-12), z * max(e["bad"][i][x + 1], 1e-12)
             p.append(a / (a + z))
-        share = lambda yes, no: (yes + extra * quality.PRIOR_RIGHT) / (yes + no + extra)
-        model = {
-            "good": (sum(p) + extra * quality.PRIOR_GOOD) / (len(p) + extra),
-            "g": [share(sum(q for q, v in zip(p, voted) if v[i] == 1), sum(q for q, v in zip(p, voted) if v[i] == -1)) for i in range(6)],
-            "b": [share(sum(1 - q for q, v in zip(p, voted) if v[i] == -1), sum(1 - q for q, v in zip(p, voted) if v[i] == 1)) for i in range(6)],
-        }
-    got = quality.fit(quality.votes(quality.counts(docs)))
-    assert got["good"] == pytest.approx(model["good"])
-    assert list(got["right_bad"].values()) == pytest.approx(model["b"])
+        for c, prior in (("good", q.PRIOR_GOOD), ("bad", q.PRIOR_BAD)):
+            w = p if c == "good" else [1 - x for x in p]
+            for i in range(n_rules):
+                no, none, yes = (sum(x for x, v in zip(w, voted) if v[i] == k) for k in (-1, 0, 1))
+                none = (none / sum(w) + q.POOLED * pooled[i]) / (1 + q.POOLED)
+                no, yes = no + q.PRIOR_WEIGHT * total * prior[0], yes + q.PRIOR_WEIGHT * total * prior[2]
+                no = no / (no + yes) * (1 - none)
+                no = min(no, q.MOST_FALSE) if c == "good" else no
+                e[c][i] = (no, none, 1 - none - no)
+    return e
+
+
+def test_quality_expectation_maximisation(spark):
+    """The aggregated iterations give what plain ones over the documents give."""
+    voted = quality.votes(quality.counts(spark.read.parquet(f"{SF}/documents.parquet"))).select(*(f"v_{r}" for r in quality.RULES))
+    got, want = quality.fit(voted), plain_fit([tuple(r) for r in voted.collect()], len(quality.RULES))
+    for c in ("good", "bad"):
+        assert [x for r in quality.RULES for x in got[c][r]] == pytest.approx([x for e in want[c] for x in e], abs=1e-9)
+
+
+@pytest.mark.parametrize("share", [0.02, 0.1, 0.3])
+def test_quality_rejects_each_kind_of_junk(spark, share):
+    """Junk that one rule sees, none of which fails the base, be it rare or frequent; plain documents stay."""
+    rnd = random.Random(7)
+    vocabulary = ["".join(rnd.choice("aeioubcdfglmnprst") for _ in range(rnd.randint(2, 9))) for _ in range(900)]
+    plain = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    twice = lambda x: f"{plain(72)} {x} {x}"
+    lines = lambda x: "\n".join([*(plain(rnd.randint(12, 20)) for _ in range(11)), *[x] * 9])
+    kinds = {
+        "good": lambda: "\n".join(plain(rnd.randint(8, 30)) for _ in range(rnd.randint(2, 9))),
+        "lines": lambda: lines(plain(5)),
+        "words": lambda: twice(plain(10)),
+        "symbols": lambda: " ".join(w + rnd.choice(["", "#", "|", "<", "$"]) for w in plain(80).split()),
+        "short": lambda: "\n".join(plain(1) for _ in range(40)),
+        "sizes": lambda: " ".join(plain(4).replace(" ", "") for _ in range(40)),
+    }
+    sizes = {k: int(1500 * (1 - share)) if k == "good" else int(1500 * share / 5) for k in kinds}
+    rows = [(kind, kinds[kind]()) for kind, n in sizes.items() for _ in range(n)]
+    docs = spark.createDataFrame([(i, kind, t) for i, (kind, t) in enumerate(rows)], "doc_id bigint, kind string, text string")
+    judged = quality.judged(docs, more=("kind",)).groupBy("kind").agg(F.avg(F.col("kept").cast("int")).alias("kept"), F.avg(F.col("base_failed").cast("int")).alias("base"))
+    found = {r.kind: (r.kept, r.base) for r in judged.collect()}
+    assert found["good"][0] >= 0.95 and all(kept <= 0.1 for kind, (kept, _) in found.items() if kind != "good")
+    assert all(found[kind][1] < 0.1 for kind in kinds)
+
+
+def test_quality_judges_rows_not_ids(spark, empty):
+    """A rejected text goes though another row with its id is good; repeated rows stay together; nulls and no rows work."""
+    good = " ".join(f"plain word number {i} of many" for i in range(20))
+    docs = spark.createDataFrame([(1, good), (1, "short"), (None, good + " x"), (None, None), (2, good), (2, good)], "doc_id bigint, text string")
+    assert sorted((tuple(r) for r in quality.keep_good(docs).collect()), key=str) == sorted([(1, good), (None, good + " x"), (2, good), (2, good)], key=str)
+    assert quality.judged(empty).count() == 0 and quality.keep_good(empty).count() == 0
 
 
 def test_quality_keeps_labelled_documents(spark):
