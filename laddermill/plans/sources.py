@@ -223,3 +223,20 @@ def stream_retry(t: Tables) -> DataFrame:
 
 
 add("stream_retry", stream_retry, "select user_id as match_id, cast(count(*) as int) as attempts, case when count(*) < 8 then max(event_id) + 60 * (1 << least(count(*), 6)) end as next_at from events where event_type = 'error' group by 1")
+
+
+def stream_ready(t: Tables) -> DataFrame:
+    """Each user's errors of a day as failed attempts at one match; a closing row, days later, lets all waits end."""
+    rows = t.raw("events").filter("event_type = 'error'").select((F.col("user_id") * 1000 + F.dayofyear("ts")).cast("bigint").alias("match_id"), F.col("ts").cast("timestamp").alias("failed_at"))
+    closing = rows.agg(F.lit(-1).cast("bigint").alias("match_id"), (F.max("failed_at") + F.expr("interval 2 days")).alias("failed_at"))
+    path, out = written(rows.union(closing), "stream"), a.scratch(t.spark, "ready")
+    kept = t.spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", streams.ROCKSDB)
+    try:
+        found = streams.run(streams.ready_by_timer(streams.source(t.spark, path, None)), out, f"{out}-checkpoint")
+    finally:
+        t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", kept)
+    return found.select("match_id", "attempts", F.unix_millis("ready_at").alias("ready_ms"))
+
+
+add("stream_ready", stream_ready, "select user_id * 1000 + dayofyear(ts) as match_id, cast(count(*) as int) as attempts, max(epoch_us(ts) // 1000) + 60000 * (1 << least(count(*), 6)) as ready_ms from events where event_type = 'error' group by 1 having count(*) < 8")

@@ -78,3 +78,54 @@ def retries(stream: DataFrame) -> DataFrame:
         yield pd.DataFrame({"match_id": [key[0]], "attempts": [attempts], "next_at": pd.array([wait], "Int64")})
 
     return stream.groupBy("match_id").applyInPandasWithState(step, schema, "attempts int, last bigint", "update", "NoTimeout")
+
+
+#: The state store that keeps timers.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ready_by_timer(stream: DataFrame, time: str = "failed_at", late: str = "10 minutes", forget_s: int = 7 * 86_400) -> DataFrame:
+    """Matches that may be tried again, emitted once their wait is over by the clock of the stream, without an event of theirs.
+
+    stream: match_id, and the time of a failed attempt. A failure sets the match's timer anew, to what `take_ready` waits
+    after so many attempts; at MAX_ATTEMPTS the match is given up and has none. State is dropped forget_s after the last
+    failure. Rows: match_id, attempts, ready_at. The clock is the watermark, `late` behind the latest failure of any match.
+    """
+    from pyspark.sql import Row
+    from pyspark.sql.streaming import StatefulProcessor
+
+    base, most, doublings = BACKOFF_S, MAX_ATTEMPTS, MAX_DOUBLINGS
+
+    class Retry(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.handle, self.state = handle, handle.getValueState("failures", "attempts int, last_ms bigint, wake_ms bigint")
+
+        def _wake(self, attempts: int, last: int, wake: int | None) -> None:
+            if wake is not None:
+                self.handle.registerTimer(wake)
+            self.state.update((attempts, last, wake))
+
+        def handleInputRows(self, key, rows, timerValues):
+            attempts, last, wake = self.state.get() if self.state.exists() else (0, 0, None)
+            for r in rows:
+                attempts, last = attempts + 1, max(last, r.at_ms)
+            if wake is not None:
+                self.handle.deleteTimer(wake)
+            self._wake(attempts, last, last + 1000 * (forget_s if attempts >= most else base * 2 ** min(attempts, doublings)))
+            return iter(())
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            attempts, last, _ = self.state.get()
+            gone = last + 1000 * forget_s
+            if expiredTimerInfo.getExpiryTimeInMs() >= gone:
+                self.state.clear()
+                return
+            self._wake(attempts, last, gone)
+            yield Row(match_id=key[0], attempts=attempts, ready_ms=expiredTimerInfo.getExpiryTimeInMs())
+
+        def close(self) -> None:
+            pass
+
+    timed = stream.withWatermark(time, late).select("match_id", time, F.unix_millis(time).alias("at_ms"))
+    found = timed.groupBy("match_id").transformWithState(Retry(), "match_id bigint, attempts int, ready_ms bigint", "append", "EventTime")
+    return found.select("match_id", "attempts", F.timestamp_millis("ready_ms").alias("ready_at"))
