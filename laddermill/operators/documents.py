@@ -111,7 +111,7 @@ def ranked_list(rows: DataFrame, keys: list[str], top: int, *values: str) -> Dat
 
 
 def doc_winner_comps(comps: DataFrame, top: int = 6) -> DataFrame:
-    cells = ranked_list(comps, ["civ_id", "elo_bucket"], top, "unit_id", "share", "trained_median")
+    cells = ranked_list(comps, ["civ_id", "elo_bucket"], top, "unit", "share", "trained_median")
     return cells.groupBy("civ_id").agg(F.map_from_entries(F.collect_list(F.struct("elo_bucket", "items"))).alias("bands"))
 
 

@@ -170,14 +170,17 @@ def share(part: str, whole: str) -> Column:
     return F.floor((F.col(part) * 20000 + F.col(whole)) / (F.col(whole) * 2)) / 10000.0
 
 
-def winner_comps(won: DataFrame, units: DataFrame, min_winners: int = 100, min_share: float = 0.15) -> DataFrame:
-    """Units that at least min_share of a cell's winners trained; the denominator counts all winners of the source."""
+def winner_comps(won: DataFrame, units: DataFrame, names: DataFrame, min_winners: int = 100, min_share: float = 0.15) -> DataFrame:
+    """Units, by their names in small letters (names: unit_id, name), that at least min_share of a cell's winners trained;
+    share is that percentage, to one decimal. The denominator counts all winners of the source; units without a name are
+    left out, and a player who trained two units of one name counts twice."""
     cell = ["civ_id", "elo_bucket"]
     totals = won.groupBy(*cell).agg(F.count(F.lit(1)).alias("winners")).filter(F.col("winners") >= min_winners)
-    made = units.filter(~F.col("unit_id").isin(*MILITARY_OUT)).join(won.select("match_id", "profile_id", *cell), ["match_id", "profile_id"])
-    by_unit = made.groupBy(*cell, "unit_id").agg(F.count(F.lit(1)).alias("producers"), F.percentile("trained", 0.5).alias("trained_median"))
-    out = by_unit.join(totals, cell).withColumn("share", share("producers", "winners")).filter(F.col("producers") >= F.col("winners") * min_share)
-    return out.withColumn("rank", F.row_number().over(W.partitionBy(*cell).orderBy(F.desc("producers"), "unit_id")))
+    made = units.filter(~F.col("unit_id").isin(*MILITARY_OUT)).join(names.select("unit_id", F.lower("name").alias("unit")), "unit_id").join(won.select("match_id", "profile_id", *cell), ["match_id", "profile_id"])
+    by_unit = made.groupBy(*cell, "unit").agg(F.count(F.lit(1)).alias("producers"), F.percentile("trained", 0.5).alias("trained_median"))
+    percent = F.floor((F.col("producers") * 2000 + F.col("winners")) / (F.col("winners") * 2)) / 10.0
+    out = by_unit.join(totals, cell).withColumn("share", percent).filter(F.col("producers") >= F.col("winners") * min_share)
+    return out.withColumn("rank", F.row_number().over(W.partitionBy(*cell).orderBy(F.desc("producers"), "unit")))
 
 
 def winner_refs_openings(won: DataFrame, min_winners: int = 100, min_share: float = 0.08) -> DataFrame:

@@ -73,7 +73,7 @@ COMPS = {"comps": mart("winner_comps")[1:-1]}
 
 
 def comps(t: Tables):
-    return m.winner_comps(m.winners(t.matches, t.players), t.units, WN, SH)
+    return m.winner_comps(m.winners(t.matches, t.players), t.units, t.unit_names, WN, SH)
 
 
 add(
@@ -168,7 +168,7 @@ def eco_cells(t: Tables):
 
 
 add("doc_eco_nested", eco_cells, f"select * from ({ORACLE['doc_eco']})")
-add("doc_winner_comps", lambda t: d.doc_winner_comps(comps(t)).select("civ_id", F.explode("bands").alias("elo_bucket", "items")).select("civ_id", "elo_bucket", F.posexplode("items").alias("nth", "v")).select("civ_id", "elo_bucket", "nth", "v.*"), f"select civ_id, elo_bucket, rank - 1 as nth, unit_id, share, trained_median from {mart('winner_comps')} where rank <= 6")
+add("doc_winner_comps", lambda t: d.doc_winner_comps(comps(t)).select("civ_id", F.explode("bands").alias("elo_bucket", "items")).select("civ_id", "elo_bucket", F.posexplode("items").alias("nth", "v")).select("civ_id", "elo_bucket", "nth", "v.*"), f"select civ_id, elo_bucket, rank - 1 as nth, unit, share, trained_median from {mart('winner_comps')} where rank <= 6")
 
 
 def refs(t: Tables):

@@ -91,12 +91,12 @@ CUBE = f"select civ_id, elo_bucket, map_id, build, {COUNTS} from {BASE} and ladd
 add("civ_cube", lambda t: m.civ_cube(t.matches, t.players, G), CUBE)
 add(
     "winner_comps",
-    lambda t: m.winner_comps(m.winners(t.matches, t.players), t.units, WN, SH),
-    f"""select *, cast(row_number() over (partition by civ_id, elo_bucket order by producers desc, unit_id) as int) as rank
-    from (select *, {shared("producers", "winners")} from made join totals using (civ_id, elo_bucket) where producers >= winners * {SH})""",
+    lambda t: m.winner_comps(m.winners(t.matches, t.players), t.units, t.unit_names, WN, SH),
+    f"""select *, cast(row_number() over (partition by civ_id, elo_bucket order by producers desc, unit) as int) as rank
+    from (select *, ((2000 * producers + winners) // (2 * winners)) / 10.0 as share from made join totals using (civ_id, elo_bucket) where producers >= winners * {SH})""",
     won=WINNERS,
     totals=f"select civ_id, elo_bucket, count(*) as winners from won group by all having count(*) >= {WN}",
-    made=f"select civ_id, elo_bucket, unit_id, count(*) as producers, {med('trained', 'trained_median')} from f_units join won using (match_id, profile_id) where unit_id not in {OUT} group by all",
+    made=f"select civ_id, elo_bucket, lower(name) as unit, count(*) as producers, {med('trained', 'trained_median')} from f_units join won using (match_id, profile_id) join f_unit_names using (unit_id) where unit_id not in {OUT} group by all",
 )
 add(
     "winner_refs_openings",

@@ -119,6 +119,12 @@ class Tables:
 
         return player_units(self.events)
 
+    @role
+    def unit_names(self) -> DataFrame:
+        """Names of units, a few ids to each."""
+        ids = self.spark.range(1, 1000).select(F.col("id").cast("int").alias("unit_id"))
+        return ids.join(self.raw("nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name")), F.expr("k = unit_id % 8")).drop("k")
+
     @role
     def techs(self) -> DataFrame:
         return self.events.filter("kind = 'research'").groupBy("match_id", "profile_id", F.col("target_id").alias("tech_id")).agg(F.min("t_ms").alias("t_ms"))
@@ -185,6 +191,7 @@ ROLE_CTES = {
         case when k % 2 = 0 then cast(l_quantity as bigint) % 6 end amount from l1, (select unnest(range(0, 6)) k) g""",
     "f_units": """select match_id, profile_id, target_id unit_id, cast(sum(greatest(coalesce(amount, 1), 1)) as bigint) trained
         from f_events where kind = 'train' group by 1, 2, 3""",
+    "f_unit_names": "select cast(u as int) as unit_id, n_name as name from nation, (select unnest(range(1, 1000)) u) x where n_nationkey = u % 8",
     "f_techs": "select match_id, profile_id, target_id tech_id, min(t_ms) t_ms from f_events where kind = 'research' group by 1, 2, 3",
     "f_ages": """select match_id, profile_id, civ_id, won, age,
         case age when 'dark' then 0 when 'feudal' then coalesce(cast(feudal_t * 1000 as int), -1) else coalesce(cast(castle_t * 1000 as int), -1) end uptime_ms,

@@ -373,3 +373,12 @@ def test_opening_shares_are_of_all_games(spark):
     ages = spark.createDataFrame([(1, "1v1", 600.5, 1100.4, 1900.6)], "civ_id int, ladder string, feudal_median double, castle_median double, imperial_median double")
     got = d.doc_civ_meta(civs, meta, none("map_id string"), none("build int"), openings, ages, spark.createDataFrame([], "build int")).first().ladders["1v1"]
     assert [tuple(o) for o in got.openings] == [("scouts", 10.0), ("archers", 4.0)] and tuple(got.age_up) == (601.0, 1100.0, 1901.0)
+
+
+def test_compositions_go_by_name(spark):
+    """Two units of one name count together; shares are percentages of all winners, to one decimal; ties go by name."""
+    won = spark.createDataFrame([(i, 1, 7, "<1000") for i in range(3)], "match_id int, profile_id int, civ_id int, elo_bucket string")
+    units = spark.createDataFrame([(0, 1, 4, 2), (1, 1, 5, 4), (1, 1, 6, 9), (2, 1, 6, 9), (2, 1, 83, 50), (2, 1, 99, 1)], "match_id int, profile_id int, unit_id int, trained int")
+    names = spark.createDataFrame([(4, "Archer"), (5, "ARCHER"), (6, "Aaa"), (83, "Villager")], "unit_id int, name string")
+    got = [(r.unit, r.producers, r.winners, r.share, r.trained_median, r["rank"]) for r in m.winner_comps(won, units, names, 1).orderBy("rank").collect()]
+    assert got == [("aaa", 2, 3, 66.7, 9.0, 1), ("archer", 2, 3, 66.7, 3.0, 2)]
