@@ -182,13 +182,32 @@ def status_counts(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-def id_ranges(df: DataFrame, size: int, done: DataFrame | None = None, key: str = "match_id") -> DataFrame:
-    """Chunks of distinct ids, `size` wide in value, that hold ids, without those already done (chunk): their bounds and counts.
+def ranked_ids(ids: DataFrame, key: str = "match_id", width: int = 1_000_000) -> DataFrame:
+    """The distinct ids and nth, their place in ascending order, from 0; nulls have none.
 
-    Chunks are cut by value, so that no global sort or count is needed to resume."""
-    chunk = F.floor(F.col(key) / size).cast("long").alias("chunk")
-    out = df.select(key).distinct().groupBy(chunk).agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n"))
-    return out.join(done, "chunk", "left_anti") if done is not None else out
+    Ids are cut into blocks of `width` values, which are counted; a block's ids are ranked by themselves and begin where
+    the blocks before it end. One row for each block, but no id, is ordered in one task. A lost task is repeated with the
+    same result, as nothing is sampled.
+    """
+    block = F.col(key) - F.pmod(F.col(key), F.lit(width))
+    ids = ids.select(key).filter(F.col(key).isNotNull()).distinct().withColumn("_block", block)
+    blocks = ids.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.orderBy("_block").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("_n")
+    inside = F.row_number().over(W.partitionBy("_block").orderBy(key)) - 1
+    return ids.join(blocks.select("_block", before.alias("_before")), "_block").select(key, (F.col("_before") + inside).alias("nth"))
+
+
+def id_ranges(df: DataFrame, size: int, processed: int = 0, limit: int | None = None, key: str = "match_id", width: int = 1_000_000) -> DataFrame:
+    """Chunks of `size` distinct ids in ascending order, the last one of what is left: chunk, low, high, n, cursor.
+
+    cursor is how many ids have been processed once the chunk is done; a run that was stopped goes on with that number as
+    `processed`, and its chunks begin after those ids. limit: only the first so many ids, those processed included. A
+    chunk's bounds hold its ids and no others.
+    """
+    ranked = ranked_ids(df, key, width).filter(F.col("nth") >= processed)
+    ranked = ranked if limit is None else ranked.filter(F.col("nth") < limit)
+    chunk = ((F.col("nth") - processed - F.pmod(F.col("nth") - processed, F.lit(size))) / size).cast("long").alias("chunk")
+    return ranked.groupBy(chunk).agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n"), (F.max("nth") + 1).alias("cursor"))
 
 
 def merge_seeds(seeds: DataFrame) -> DataFrame:

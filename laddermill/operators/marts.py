@@ -11,9 +11,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from laddermill.functions.scalars import elo_bucket, rate
+from laddermill.operators.quantiles import quantiles
 
 MILITARY_OUT = (83, 13, 128, 354, 17)
 REF_TECHS = (22, 213, 202, 14, 55)
+#: Width of the bins in which seconds and units, and milliseconds, are counted for quantiles.
+S_BIN, MS_BIN = 64, 16_384
 
 
 def rated(players: DataFrame) -> DataFrame:
@@ -74,13 +77,12 @@ def civ_meta_openings(rows: DataFrame) -> DataFrame:
     return counted.withColumn("rank", F.row_number().over(order))
 
 
-def median(c: str) -> Column:
-    return F.percentile(F.col(c).cast("double"), 0.5).alias(c.replace("_t", "_median"))
+AGE_TIMES = {f"{a}_median": f"{a}_t" for a in ("feudal", "castle", "imperial")}
 
 
 def civ_meta_ageup(matches: DataFrame, players: DataFrame) -> DataFrame:
     rows = players.filter("feudal_t is not null and civ_id <> 0").join(matches.select("match_id", "ladder"), "match_id")
-    return rows.groupBy("civ_id", "ladder").agg(median("feudal_t"), median("castle_t"), median("imperial_t"))
+    return quantiles(rows, [["civ_id", "ladder"]], AGE_TIMES, width=S_BIN).select("civ_id", "ladder", *(F.col(c)[0].alias(c) for c in AGE_TIMES))
 
 
 def patch_axis(matches: DataFrame) -> DataFrame:
@@ -111,17 +113,16 @@ def matchups_by_elo(matches: DataFrame, players: DataFrame) -> DataFrame:
 
 
 def rollup_label(c: str) -> Column:
-    return F.when(F.grouping(c) == 1, "all").otherwise(F.col(c).cast("string")).alias(c)
+    """The key c of `quantiles` as text, 'all' where it is rolled up."""
+    return F.when(F.array_contains("rolled", c), "all").otherwise(F.col(c).cast("string")).alias(c)
 
 
 def benchmark_ageup(matches: DataFrame, players: DataFrame, min_n: int = 50) -> DataFrame:
     """Median age times by (civ, map, band, ladder), (civ, map, ladder), (civ, map) and (civ); cells of min_n or more."""
     rows = rated(players).filter("feudal_t is not null and civ_id <> 0 and elo is not null").join(matches.select("match_id", "map_id", "ladder"), "match_id")
     sets = [["civ_id", "map_id", "elo_bucket", "ladder"], ["civ_id", "map_id", "ladder"], ["civ_id", "map_id"], ["civ_id"]]
-    keys = [[F.col(k) for k in s] for s in sets]
-    named = [rollup_label(k) for k in ("map_id", "elo_bucket", "ladder")]
-    cells = rows.groupingSets(keys, *map(F.col, sets[0])).agg(F.count(F.lit(1)).alias("n"), median("feudal_t"), median("castle_t"), median("imperial_t"), *(x.alias(f"g_{i}") for i, x in enumerate(named)))
-    return cells.filter(F.col("n") >= min_n).select("civ_id", F.col("g_0").alias("map_id"), F.col("g_1").alias("elo_bucket"), F.col("g_2").alias("ladder"), "n", "feudal_median", "castle_median", "imperial_median")
+    cells = quantiles(rows, sets, AGE_TIMES, width=S_BIN, least=min_n)
+    return cells.select("civ_id", *map(rollup_label, ("map_id", "elo_bucket", "ladder")), "n", *(F.col(c)[0].alias(c) for c in AGE_TIMES))
 
 
 def benchmark_vils(matches: DataFrame, players: DataFrame, ages: DataFrame, min_n: int = 50) -> DataFrame:
@@ -136,11 +137,8 @@ def benchmark_vils(matches: DataFrame, players: DataFrame, ages: DataFrame, min_
     rows = per.filter("won and castle and windows = 2 and vils is not null and civ_id <> 0").join(rated(players).filter("elo is not null").select("match_id", "profile_id", "elo_bucket"), ["match_id", "profile_id"])
     rows = rows.join(matches.select("match_id", "map_id", "ladder"), "match_id")
     sets = [["civ_id", "map_id", "elo_bucket", "ladder"], ["civ_id", "map_id", "ladder"], ["civ_id", "map_id"]]
-    named = [rollup_label(k).alias(f"g_{i}") for i, k in enumerate(("elo_bucket", "ladder"))]
-    # equal values are counted before the rows are copied for each rollup
-    rows = rows.groupBy(*sets[0], "vils").agg(F.count(F.lit(1)).alias("times"))
-    cells = rows.groupingSets([[F.col(k) for k in s] for s in sets], *map(F.col, sets[0])).agg(F.sum("times").alias("n"), F.percentile("vils", 0.5, F.col("times")).alias("vils_median"), *named)
-    return cells.filter(F.col("n") >= min_n).select("civ_id", F.col("map_id").cast("string").alias("map_id"), F.col("g_0").alias("elo_bucket"), F.col("g_1").alias("ladder"), "n", "vils_median")
+    cells = quantiles(rows, sets, {"vils_median": "vils"}, width=S_BIN, least=min_n)
+    return cells.select("civ_id", *map(rollup_label, ("map_id", "elo_bucket", "ladder")), "n", F.col("vils_median")[0].alias("vils_median"))
 
 
 def benchmark_ecotech(matches: DataFrame, players: DataFrame, techs: DataFrame, min_n: int = 50) -> DataFrame:
@@ -148,10 +146,8 @@ def benchmark_ecotech(matches: DataFrame, players: DataFrame, techs: DataFrame,
     won = rated(players).filter("won and elo is not null").select("match_id", "profile_id", "elo_bucket")
     rows = techs.join(won, ["match_id", "profile_id"]).join(matches.select("match_id", "map_id", "ladder"), "match_id")
     sets = [["tech_id", "map_id", "elo_bucket", "ladder"], ["tech_id", "map_id", "ladder"], ["tech_id", "elo_bucket", "ladder"], ["tech_id", "ladder"]]
-    named = [rollup_label(k).alias(f"g_{i}") for i, k in enumerate(("map_id", "elo_bucket"))]
-    rows = rows.groupBy(*sets[0], "t_ms").agg(F.count(F.lit(1)).alias("times"))
-    cells = rows.groupingSets([[F.col(k) for k in s] for s in sets], *map(F.col, sets[0])).agg(F.sum("times").alias("n"), F.percentile("t_ms", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("times")).alias("q"), *named)
-    return cells.filter(F.col("n") >= min_n).select("tech_id", F.col("g_0").alias("map_id"), F.col("g_1").alias("elo_bucket"), "ladder", "n", *(F.col("q")[i].alias(p) for i, p in enumerate(("p25_ms", "p50_ms", "p75_ms"))))
+    cells = quantiles(rows, sets, {"q": "t_ms"}, (0.25, 0.5, 0.75), MS_BIN, min_n)
+    return cells.select("tech_id", *map(rollup_label, ("map_id", "elo_bucket")), "ladder", "n", *(F.col("q")[i].alias(p) for i, p in enumerate(("p25_ms", "p50_ms", "p75_ms"))))
 
 
 def civ_cube(matches: DataFrame, players: DataFrame, min_games: int = 20, ladder: str = "1v1") -> DataFrame:
@@ -177,7 +173,7 @@ def winner_comps(won: DataFrame, units: DataFrame, names: DataFrame, min_winners
     cell = ["civ_id", "elo_bucket"]
     totals = won.groupBy(*cell).agg(F.count(F.lit(1)).alias("winners")).filter(F.col("winners") >= min_winners)
     made = units.filter(~F.col("unit_id").isin(*MILITARY_OUT)).join(names.select("unit_id", F.lower("name").alias("unit")), "unit_id").join(won.select("match_id", "profile_id", *cell), ["match_id", "profile_id"])
-    by_unit = made.groupBy(*cell, "unit").agg(F.count(F.lit(1)).alias("producers"), F.percentile("trained", 0.5).alias("trained_median"))
+    by_unit = quantiles(made, [[*cell, "unit"]], {"trained_median": "trained"}, width=S_BIN).select(*cell, "unit", F.col("n").alias("producers"), F.col("trained_median")[0].alias("trained_median"))
     percent = F.floor((F.col("producers") * 2000 + F.col("winners")) / (F.col("winners") * 2)) / 10.0
     out = by_unit.join(totals, cell).withColumn("share", percent).filter(F.col("producers") >= F.col("winners") * min_share)
     return out.withColumn("rank", F.row_number().over(W.partitionBy(*cell).orderBy(F.desc("producers"), "unit")))
@@ -215,10 +211,9 @@ def winner_refs_meds(won: DataFrame, events: DataFrame, min_n: int = 50) -> Data
     )
     rows = won.select("match_id", "profile_id", "map_id", "elo_bucket").join(firsts, ["match_id", "profile_id"])
     names = ["military", *(f"t{t}" for t in REF_TECHS[:4])]
-    cells = rows.groupingSets([[F.col("map_id"), F.col("elo_bucket")], [F.col("elo_bucket")]], F.col("map_id"), F.col("elo_bucket")).agg(
-        F.count(F.lit(1)).alias("n"), *(F.percentile(c, 0.5).alias(f"{c}_median") for c in names), rollup_label("map_id").alias("g")
-    )
-    return cells.filter(F.col("n") >= min_n).select(F.col("g").alias("map_id"), "elo_bucket", "n", *(f"{c}_median" for c in names)).orderBy("map_id", "elo_bucket")
+    medians = {f"{c}_median": c for c in names}
+    cells = quantiles(rows, [["map_id", "elo_bucket"], ["elo_bucket"]], medians, width=MS_BIN, least=min_n)
+    return cells.select(rollup_label("map_id"), "elo_bucket", "n", *(F.col(c)[0].alias(c) for c in medians)).orderBy("map_id", "elo_bucket")
 
 
 def map_meta(matches: DataFrame, players: DataFrame) -> DataFrame:

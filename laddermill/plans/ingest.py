@@ -182,7 +182,12 @@ add(
     **MANIFEST_CTE,
 )
 add("status_counts", lambda t: g.status_counts(manifest(t)), "select status, count(*) as n from manifest group by 1", **MANIFEST_CTE)
-add("id_ranges", lambda t: g.id_ranges(t.matches, 2000, t.spark.range(1, 2).toDF("chunk")), "select match_id // 2000 as chunk, min(match_id) as low, max(match_id) as high, count(distinct match_id) as n from f_matches where match_id // 2000 <> 1 group by 1")
+add(
+    "id_ranges",
+    lambda t: g.id_ranges(t.matches, 200, 330, width=1000),
+    "select (nth - 330) // 200 as chunk, min(match_id) as low, max(match_id) as high, count(*) as n, max(nth) + 1 as cursor from ranked where nth >= 330 group by 1",
+    ranked="select match_id, row_number() over (order by match_id) - 1 as nth from (select distinct match_id from f_matches)",
+)
 add("merge_seeds", lambda t: g.merge_seeds(t.players.select("match_id", "profile_id", "elo")), "select match_id, profile_id, elo from f_players qualify row_number() over (partition by match_id order by profile_id) = 1")
 add("dim_default", lambda t: g.lookup_default(t.players.select("match_id", "profile_id", F.col("civ_id").alias("map_id")), t.maps, "map_id", "family", "other").select("match_id", "profile_id", "map_id", "family"), "select match_id, profile_id, civ_id as map_id, coalesce(family, 'other') as family from f_players left join f_maps on civ_id = map_id")
 WL = "wilson(wins, games)"

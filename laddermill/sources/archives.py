@@ -48,35 +48,81 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def listed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """path of every data file under the paths (files or folders), as a table; nothing is read but folders."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths)).select("path")
+
+
+def footers(files: DataFrame, columns: Sequence[str], per_task: int = 64) -> DataFrame:
+    """path, types of each Parquet file of `files` (path): the stored types of the columns, by name; null: not there.
+
+    The executors read the footers, some `per_task` files a task. Types have Spark's names; times in nanoseconds, which
+    Spark reads as their number, are 'nanoseconds', and types without a name in Spark are named as in the file."""
+
+    def name(kind) -> str:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import from_arrow_type
+
+        if pa.types.is_timestamp(kind):
+            return "nanoseconds" if kind.unit == "ns" else "timestamp" if kind.tz else "timestamp_ntz"
+        try:
+            return "void" if pa.types.is_null(kind) else from_arrow_type(kind).simpleString()
+        except Exception as unknown:  # pyspark raises classes of its own
+            if type(unknown).__module__.startswith("pyspark."):
+                return str(kind)
+            raise
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from urllib.parse import quote
+
+        import pyarrow.fs as pf
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            found = []
+            for path in batch.path:
+                local = path.removeprefix("file:") if path.startswith("file:") else path if "://" not in path else None
+                fs, where = (pf.LocalFileSystem(), "/" + local.lstrip("/")) if local else pf.FileSystem.from_uri(quote(path.replace("s3a://", "s3://", 1), safe=":/"))
+                stored = pq.read_schema(where, filesystem=fs)
+                found.append([name(stored.field(c).type) if c in stored.names else None for c in columns])
+            yield pd.DataFrame({"path": batch.path, "types": found})
+
+    tasks = max(1, files.count() // per_task)
+    return files.repartition(tasks).mapInPandas(read, "path string, types array<string>")
+
+
 def read_drifting(spark: SparkSession, paths: Sequence[str], columns: Mapping[str, str], accepted: Mapping[str, set[str]] = ACCEPTED) -> DataFrame:
     """Files whose columns differ in type, read once for each kind of schema, cast to `columns` and put together.
 
-    Only footers are looked at file by file. A stored type that is not accepted fails, and so does a column that is
-    missing altogether, or an int that is to stand for nulls (ALL_NULL_AS_INT) and has a value. Times stored in
-    nanoseconds are read as their number and become microseconds.
+    Executors look at the footers; the driver gets the files of each kind. A stored type that is not accepted fails, and
+    so does a column that is missing altogether, or an int that is to stand for nulls (ALL_NULL_AS_INT) and has a value.
+    Times stored in nanoseconds are read as their number and become microseconds; that needs a setting, which a session
+    of its own has, and this one has not.
     """
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    kinds: dict[tuple, list[str]] = {}
-    for path in paths:
-        stored = dict(spark.read.parquet(path).dtypes)
-        for c in columns:
-            if c not in stored:
-                raise ValueError(f"{path}: no column {c}")
-            if c in accepted and stored[c] not in accepted[c]:
-                raise ValueError(f"{path}: column {c} is stored as {stored[c]}")
-        kinds.setdefault(tuple((c, stored[c]) for c in columns), []).append(path)
+    names = list(columns)
+    kinds = {tuple(r.types): r.files for r in footers(listed(spark, paths), names).groupBy("types").agg(F.sort_array(F.collect_list("path")).alias("files")).collect()}
+    for types, files in kinds.items():
+        for c, stored in zip(names, types, strict=True):
+            if stored is None:
+                raise ValueError(f"{files[0]}: no column {c}")
+            if c in accepted and stored.replace("nanoseconds", "bigint") not in accepted[c]:
+                raise ValueError(f"{files[0]}: column {c} is stored as {stored}")
 
     def conformed(c: str, stored: str):
         if c in ALL_NULL_AS_INT and stored == "int":
             return F.when(F.col(c).isNotNull(), F.raise_error(F.lit(f"column {c} is stored as int and has values")).cast(columns[c])).cast(columns[c])
-        if columns[c] == "timestamp" and stored == "bigint":
+        if columns[c] == "timestamp" and stored in ("bigint", "nanoseconds"):
             return F.timestamp_micros(F.floor(F.col(c) / 1000).cast("bigint"))
         return F.col(c).cast(columns[c])
 
-    parts = [spark.read.parquet(*files).select(*(conformed(c, stored).alias(c) for c, stored in kind)) for kind, files in kinds.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    with_nanoseconds = spark.newSession()
+    with_nanoseconds.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    with_nanoseconds.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    # an empty table of this session comes first, as the first one's session is that of the result
+    out = spark.createDataFrame([], ", ".join(f"`{c}` {kind}" for c, kind in columns.items()))
+    for types, files in sorted(kinds.items()):
+        session = with_nanoseconds if "nanoseconds" in types else spark
+        out = out.unionByName(session.read.parquet(*files).select(*(conformed(c, stored).alias(c) for c, stored in zip(names, types, strict=True))))
     return out
 
 
