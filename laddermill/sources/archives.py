@@ -83,8 +83,11 @@ def footers(files: DataFrame, columns: Sequence[str], per_task: int = 64) -> Dat
             for path in batch.path:
                 local = path.removeprefix("file:") if path.startswith("file:") else path if "://" not in path else None
                 fs, where = (pf.LocalFileSystem(), "/" + local.lstrip("/")) if local else pf.FileSystem.from_uri(quote(path.replace("s3a://", "s3://", 1), safe=":/"))
-                stored = pq.read_schema(where, filesystem=fs)
-                found.append([name(stored.field(c).type) if c in stored.names else None for c in columns])
+                with pq.ParquetFile(where, filesystem=fs) as file:
+                    stored, leaves = file.schema_arrow, [file.schema.column(i) for i in range(len(file.schema))]
+                # Spark reads the old times of 96 bits as times
+                old = {leaf.path for leaf in leaves if leaf.physical_type == "INT96"}
+                found.append(["timestamp" if c in old else name(stored.field(c).type) if c in stored.names else None for c in columns])
             yield pd.DataFrame({"path": batch.path, "types": found})
 
     tasks = max(1, files.count() // per_task)
