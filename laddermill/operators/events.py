@@ -99,17 +99,20 @@ def apm(events: DataFrame, players: DataFrame) -> DataFrame:
 
 def age_snapshots(events: DataFrame, clicks: DataFrame) -> DataFrame:
     """What a player had queued, built and researched up to each age click, the click included."""
-    ages = clicks.select(*PLAYER, F.explode(F.array(*(F.struct(F.lit(a).alias("age"), F.col(f"{a}_ms").alias("at")) for a in AGES))).alias("c")).select(*PLAYER, "c.age", "c.at").filter("at is not null")
-    upto = events.join(ages, PLAYER, "right").withColumn("counts", F.col("t_ms") <= F.col("at"))
+    events = events.select(*PLAYER, "t_ms", "kind", "target_id", "amount")
+    upto = events.join(clicks.select(*PLAYER, *(f"{a}_ms" for a in AGES)), PLAYER, "right")
     amount = F.greatest(F.coalesce("amount", F.lit(1)), F.lit(1))
-    total = lambda cond, what: F.coalesce(F.sum(F.when(F.col("counts") & cond, what)), F.lit(0)).cast("long")
     train = F.col("kind") == "train"
-    return upto.groupBy(*PLAYER, "age", "at").agg(
-        total(train & (F.col("target_id") == VILLAGER), amount).alias("villagers"),
-        total(train & ~F.col("target_id").isin(*ECO_UNITS), amount).alias("military"),
-        total(F.col("kind") == "build", F.lit(1)).alias("n_buildings"),
-        total(F.col("kind") == "research", F.lit(1)).alias("n_research"),
-    )
+    counts = {
+        "villagers": (train & (F.col("target_id") == VILLAGER), amount),
+        "military": (train & ~F.col("target_id").isin(*ECO_UNITS), amount),
+        "n_buildings": (F.col("kind") == "build", F.lit(1)),
+        "n_research": (F.col("kind") == "research", F.lit(1)),
+    }
+    # one pass with sums for each age, so that events are neither copied nor shuffled again
+    total = lambda a, cond, what: F.coalesce(F.sum(F.when((F.col("t_ms") <= F.col(f"{a}_ms")) & cond, what)), F.lit(0)).cast("long")
+    per = upto.groupBy(*PLAYER).agg(*(F.struct(F.lit(a).alias("age"), F.max(f"{a}_ms").alias("at"), *(total(a, *c).alias(n) for n, c in counts.items())).alias(a) for a in AGES))
+    return per.select(*PLAYER, F.explode(F.array(*AGES)).alias("c")).filter("c.at is not null").select(*PLAYER, "c.*")
 
 
 def winner_individual(events: DataFrame, players: DataFrame) -> DataFrame:
