@@ -2,7 +2,9 @@
 
 The units of a text are its lines, the sentences of its lines, and the sentences of its paragraphs, which may run over
 several lines. Each unit is compared with the units of licence templates by the cosine of sparse TF-IDF vectors; document
-frequencies are counted over the whole corpus, for all tokens. A file without a licence of its own takes that of the
+frequencies are counted over the whole corpus, for all tokens. Versions and the words that tell variants of a licence
+apart decide between near templates: a unit is compared only with templates whose versions and variants it states, and
+that state its variants. A unit as near to two licences names neither. A file without a licence of its own takes that of the
 licence file in the nearest directory above it, found by joining its ancestors' paths with the directories of licence
 files.
 """
@@ -24,25 +26,75 @@ TEMPLATES = {
         Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
         You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
         Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+    "Apache-1.1": """Licensed under the Apache Software License, Version 1.1.""",
     "GPL-3.0": """This work is licensed under the GNU General Public License, version 3.
         This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
         You should have received a copy of the GNU General Public License along with this program.""",
+    "GPL-2.0": """This work is licensed under the GNU General Public License, version 2.
+        This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.
+        This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2
+        either version 2 of the License, or (at your option) any later version.
+        You should have received a copy of the GNU General Public License along with this program.""",
+    "LGPL-3.0": """This work is licensed under the GNU Lesser General Public License, version 3.
+        This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+        You should have received a copy of the GNU Lesser General Public License along with this library.""",
+    "LGPL-2.1": """This work is licensed under the GNU Lesser General Public License, version 2.1.
+        This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.
+        either version 2.1 of the License, or (at your option) any later version.
+        You should have received a copy of the GNU Lesser General Public License along with this library.""",
+    "AGPL-3.0": """This work is licensed under the GNU Affero General Public License, version 3.
+        This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+        You should have received a copy of the GNU Affero General Public License along with this program.""",
+    "GFDL-1.3": """Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version 1.3 or any later version published by the Free Software Foundation.""",
     "MIT": """Released under the MIT License.
         Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
         The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.""",
+    "MIT-0": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so.""",
+    "0BSD": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.""",
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
     "CC-BY-NC-4.0": """Licensed under CC BY-NC 4.0.
         This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.""",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-4.0": """Licensed under CC BY 4.0.
+        This work is licensed under a Creative Commons Attribution 4.0 International License.""",
+    "CC-BY-SA-4.0": """Licensed under CC BY-SA 4.0.
+        This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.""",
+    "CC-BY-ND-4.0": """Licensed under CC BY-ND 4.0.
+        This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.""",
+    "CC-BY-NC-SA-4.0": """Licensed under CC BY-NC-SA 4.0.
+        This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.""",
+    "CC-BY-NC-ND-4.0": """Licensed under CC BY-NC-ND 4.0.
+        This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.""",
+    "CC0-1.0": """To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.
+        This work is dedicated to the public domain under CC0 1.0 Universal.""",
+    "BSD-2-Clause": """Licensed under the BSD 2-Clause License.
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+        Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.""",
     "BSD-3-Clause": """Use of this source code is governed by a BSD-style license.
+        Licensed under the BSD 3-Clause License.
         Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
         Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
         Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.""",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.
+        If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    "MPL-1.1": """The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License"); you may not use this file except in compliance with the License.""",
+    "EPL-2.0": """This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/""",
+    "EPL-1.0": """All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution.""",
+    "CDDL-1.0": """The contents of this file are subject to the terms of the Common Development and Distribution License, Version 1.0 only (the "License").""",
+    "BSL-1.0": """Distributed under the Boost Software License, Version 1.0.""",
+    "Artistic-2.0": """This program is free software; you can redistribute it and/or modify it under the terms of the Artistic License 2.0.""",
+    "OFL-1.1": """This Font Software is licensed under the SIL Open Font License, Version 1.1.""",
+    "EUPL-1.2": """Licensed under the European Union Public Licence, Version 1.2.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty.
+        The origin of this software must not be misrepresented; you must not claim that you wrote the original software.""",
+    "WTFPL": """Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed.""",
     "Unlicense": """This is free and unencumbered software released into the public domain.
         Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
     "LicenseRef-reserved": "All rights reserved.",
 }
+#: Words that tell variants of a licence apart.
+VARIANTS = ("affero", "lesser", "library", "sharealike", "noncommercial", "noderivatives", "sa", "nc", "nd")
+#: Versions, as tokens.
+VERSION = r"v?[0-9](\.[0-9])*"
 LEAST = 0.7
 TOKEN = r"[\p{L}\p{N}]+(?:[.][\p{N}]+)*"
 SENTENCE = r"(?<=[.;:!?])\s+"
@@ -59,6 +111,11 @@ def template_units() -> list[tuple[str, Counter]]:
     return [(name, Counter(tokens(line))) for name, text in TEMPLATES.items() for line in text.split("\n")]
 
 
+def decisive(unit: Counter) -> tuple[int, int]:
+    """How many different versions and how many different variants a template's unit states."""
+    return sum(bool(re.fullmatch(VERSION, t)) for t in unit), sum(t in VARIANTS for t in unit)
+
+
 def vocabulary() -> list[str]:
     return sorted({t for _, unit in template_units() for t in unit})
 
@@ -103,6 +160,13 @@ def units(files: DataFrame) -> DataFrame:
     return files.select("doc_id", F.explode(F.array_distinct(F.concat(whole, inside, across))).alias("u")).select("doc_id", "u.*")
 
 
+def alternatives(words: list[str]) -> str:
+    """A pattern for one of the words, which tries their common beginnings once."""
+    by_first = {c: [w[1:] for w in words if w[:1] == c] for c in sorted({w[:1] for w in words})}
+    parts = [re.escape(c) + alternatives(rest) for c, rest in by_first.items() if c]
+    return "" if not parts else f"(?:{'|'.join(parts)}){'?' if '' in words else ''}"
+
+
 def candidates(files: DataFrame, weights: dict[str, float], least: float) -> DataFrame:
     """doc_id, first_line, tokens, key of the units that can have a cosine of `least` or more.
 
@@ -110,7 +174,7 @@ def candidates(files: DataFrame, weights: dict[str, float], least: float) -> Dat
     cosine is at most the share of its norm in the vocabulary, sqrt(s / (s + o)) where s is at most (h * heaviest) ** 2.
     """
     keys, heaviest = key_tokens(weights, least), max(weights.values())
-    has_key = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(map(re.escape, keys))})(?![\p{{L}}\p{{N}}])"
+    has_key = rf"(?<![\p{{L}}\p{{N}}]){alternatives(keys)}(?![\p{{L}}\p{{N}}])"
     found = units(files.filter(F.lower("text").rlike(has_key))).withColumn("unit", F.lower("unit")).filter(F.col("unit").rlike(has_key))
     found = found.withColumn("tokens", F.regexp_extract_all("unit", F.lit(TOKEN), F.lit(0))).withColumn("h", F.size(F.filter("tokens", lambda x: x.isin(vocabulary()))))
     most = F.pow(F.col("h") * heaviest, 2.0) * (1 / least**2 - 1 + 1e-9)
@@ -118,34 +182,40 @@ def candidates(files: DataFrame, weights: dict[str, float], least: float) -> Dat
 
 
 def scores(kinds: DataFrame, df: DataFrame, weights: dict[str, float], n: int) -> DataFrame:
-    """key, score, license: the best template of each row of kinds (key, tokens) and its cosine, among n documents.
+    """key, score, license: the nearest licence of each row of kinds (key, tokens) and its cosine, among n documents.
 
-    Of equal scores the last licence in the alphabet. The frequencies are joined to the rows' tokens; the templates'
-    weights, an inverted index of some hundred rows, are broadcast.
+    Compared are templates of which the row states every version and every variant, and that state all its variants. A
+    row as near to several licences has license null. The frequencies are joined to the rows' tokens; the templates'
+    weights, an inverted index of about a thousand rows, are broadcast.
     """
     tf = kinds.select("key", F.explode("tokens").alias("token")).groupBy("key", "token").agg(F.count(F.lit(1)).alias("n"))
     weighted = tf.join(df, "token").select("key", "token", (F.col("n") * (F.log(F.lit(n + 1) / (F.col("df") + 1)) + 1)).alias("weight"))
-    norms = weighted.groupBy("key").agg(F.sqrt(F.sum(F.pow("weight", 2.0))).alias("norm"))
-    index = []
+    norms = weighted.groupBy("key").agg(F.sqrt(F.sum(F.pow("weight", 2.0))).alias("norm"), F.count_if(F.col("token").isin(*VARIANTS)).alias("stated"))
+    index, names = [], sorted(TEMPLATES)
     for i, (name, unit) in enumerate(template_units()):
         norm = sum((k * weights[t]) ** 2 for t, k in unit.items()) ** 0.5
-        index += [f"('{t}', {i}, '{name}', {k * weights[t] / norm!r}D)" for t, k in unit.items()]
-    index = kinds.sparkSession.sql(f"select * from values {', '.join(index)} as t(token, nth, license, part)")
-    dots = weighted.join(F.broadcast(index), "token").groupBy("key", "nth", "license").agg(F.sum(F.col("weight") * F.col("part")).alias("dot"))
-    best = dots.join(norms, "key").groupBy("key").agg(F.max(F.struct(F.round(F.col("dot") / F.col("norm"), 9).alias("score"), "license")).alias("s"))
-    return best.select("key", "s.score", "s.license")
+        versions, variants = decisive(unit)
+        index += [f"('{t}', {i}, {names.index(name)}, {k * weights[t] / norm!r}D, {int(bool(re.fullmatch(VERSION, t)))}, {versions}, {int(t in VARIANTS)}, {variants})" for t, k in unit.items()]
+    index = kinds.sparkSession.sql(f"select * from values {', '.join(index)} as t(token, nth, name, part, version, versions, variant, variants)")
+    dots = weighted.join(F.broadcast(index), "token").groupBy("key", "nth", "name", "versions", "variants").agg(F.sum(F.col("weight") * F.col("part")).alias("dot"), F.sum("version").alias("v"), F.sum("variant").alias("w"))
+    fit = dots.filter("v = versions and w = variants").join(norms, "key").filter("variants = stated")
+    score = F.round(F.col("dot") / F.col("norm"), 9)
+    best = fit.groupBy("key").agg(F.max(F.struct(score.alias("score"), "name")).alias("s"), F.max(F.struct(score.alias("score"), (-F.col("name")).alias("name"))).alias("t"))
+    name = F.when(F.col("s.name") == -F.col("t.name"), F.element_at(F.array(*map(F.lit, names)), F.col("s.name") + 1))
+    return best.select("key", "s.score", name.alias("license"))
 
 
 def own_licenses(files: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, score, license, first_line of each file with a unit that is a licence notice: the best unit's.
 
-    files: doc_id, text. Of equally good units one that begins the text is the best.
+    files: doc_id, text. Of equally good units that of the last licence in the alphabet is the best, then one that begins
+    the text. Units as near to several licences don't count.
     """
     df = materialize(document_frequencies(files), "document-frequencies")
     n = files.count()
     weights = template_weights(df, n)
     found = materialize(candidates(files, weights, least), "license-units")
-    best = scores(found.select("key", "tokens").dropDuplicates(["key"]), df, weights, n).filter(F.col("score") >= least)
+    best = scores(found.select("key", "tokens").dropDuplicates(["key"]), df, weights, n).filter((F.col("score") >= least) & F.col("license").isNotNull())
     top = found.join(best, "key").groupBy("doc_id").agg(F.max(F.struct("score", "license", "first_line")).alias("s"))
     return top.select("doc_id", "s.score", "s.license", "s.first_line")
 
