@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 
 def mode_per_key(df: DataFrame, key: str, value: Column, weight: Column | None = None) -> DataFrame:
-    """The most frequent value of each key, of equally frequent ones the smallest."""
+    """key, value, n: the most frequent value of each key, of equally frequent ones the smallest.
+
+    A value can be anything that has an order, a struct of several columns too. weight: how often a row counts.
+    """
     counted = df.groupBy(key, value.alias("value")).agg(F.sum(weight if weight is not None else F.lit(1)).cast("long").alias("n"))
-    best = counted.groupBy(key).agg(F.max(F.struct("n", (-F.col("value")).alias("least"))).alias("b"))
-    return best.select(key, (-F.col("b.least")).alias("value"), "b.n")
+    best = counted.groupBy(key).agg(F.min(F.struct((-F.col("n")).alias("less"), "value")).alias("b"))
+    return best.select(key, "b.value", (-F.col("b.less")).alias("n"))
 
 
 def consensus(df: DataFrame, key: str, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:

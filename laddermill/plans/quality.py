@@ -106,7 +106,12 @@ add(
     union all select 'unique', (select count(*) from (select o_orderkey from orders group by 1 having count(*) > 1)), (select count(*) from orders))""",
 )
 
-add("mode_per_key", lambda t: x.mode_per_key(t.raw("lineitem"), "l_suppkey", F.least(F.floor(F.col("l_linenumber") / 2), F.lit(3)).cast("int")), "select l_suppkey, v as value, n from (select l_suppkey, cast(least(l_linenumber // 2, 3) as int) as v, count(*) as n from lineitem group by all) qualify row_number() over (partition by l_suppkey order by n desc, v) = 1")
+add(
+    "mode_per_key",
+    lambda t: x.mode_per_key(t.raw("lineitem"), "l_suppkey", F.struct(F.col("l_returnflag").alias("building"), F.least(F.floor(F.col("l_linenumber") / 2), F.lit(3)).cast("int").alias("band")), F.col("l_partkey") % 5).select("l_suppkey", "value.*", "n"),
+    """select l_suppkey, building, band, n from (select l_suppkey, l_returnflag as building, cast(least(l_linenumber // 2, 3) as int) as band, cast(sum(l_partkey % 5) as bigint) as n from lineitem group by all)
+    qualify row_number() over (partition by l_suppkey order by n desc, building, band) = 1""",
+)
 add("conflict_dedupe", lambda t: x.consensus(t.raw("lineitem").withColumn("k", F.concat_ws("/", "l_orderkey", "l_linenumber")), "k", ["l_partkey", "l_suppkey"])[1], "select l_orderkey || '/' || l_linenumber as k, count(distinct (l_partkey, l_suppkey)) as variants from lineitem group by 1 having count(distinct (l_partkey, l_suppkey)) > 1")
 add(
     "first_wins",

@@ -76,12 +76,23 @@ add("scan_shards", lambda t: shards(t).groupBy("kind").agg(F.count(F.lit(1)).ali
 
 
 def histories(t: Tables) -> DataFrame:
-    rows = t.players.join(t.matches, "match_id").selectExpr("profile_id", "match_id", "struct(match_id id, case when match_id % 9 = 0 then 'LOBBY' else 'AUTOMATCH' end description, cast(match_id % 12 as int) matchtype_id, case when match_id % 8 > 0 then 1600000000 + match_id end completiontime, array(struct(cast(profile_id as bigint) profile_id, elo oldrating, case when match_id % 2 = 0 then elo + 9 end newrating)) members) m")
-    return rows.groupBy("profile_id", (F.col("match_id") % 100).alias("page")).agg(F.to_json(F.struct(F.collect_list("m").alias("matches"))).alias("payload"))
+    """Payloads of two hundred match ids for each profile, so that their number, not their size, grows with the matches."""
+    rows = t.players.join(t.matches, "match_id").selectExpr("profile_id", "match_id", "struct(match_id id, case when match_id % 9 = 0 then 'LOBBY' else 'AUTOMATCH' end description, cast(match_id % 12 as int) matchtype_id, case when match_id % 8 > 0 then 1600000000 + match_id when match_id % 16 = 0 then 0 end completiontime, array(struct(cast(profile_id as bigint) profile_id, elo oldrating, case when match_id % 2 = 0 then elo + 9 end newrating)) members) m")
+    return rows.groupBy("profile_id", F.floor(F.col("match_id") / 200).alias("page")).agg(F.to_json(F.struct(F.collect_list("m").alias("matches"))).alias("payload"))
 
 
 HIST = "f_players where match_id in (select match_id from f_matches) and match_id % 9 <> 0 and match_id % 8 > 0 and match_id % 12 between 6 and 9"
-add("history_seeds", lambda t: a.normalize_history(histories(t))[0].select("match_id", "ladder", "profile_id", "elo"), f"select match_id, case when match_id % 12 = 6 then '1v1' else 'team' end as ladder, profile_id, case when match_id % 2 = 0 then elo + 9 else elo end as elo from {HIST}")
+add(
+    "history_seeds",
+    lambda t: a.normalize_history(histories(t))[0].select("match_id", "ladder", F.unix_seconds("played_at").alias("played_s"), "profile_id", "elo"),
+    f"select match_id, case when match_id % 12 = 6 then '1v1' else 'team' end as ladder, 1600000000 + match_id as played_s, profile_id, case when match_id % 2 = 0 then elo + 9 else elo end as elo from {HIST}",
+)
+add(
+    "history_census",
+    lambda t: a.normalize_history(histories(t))[1],
+    """select case when match_id % 9 = 0 then 'not_automatch' when match_id % 8 = 0 then 'running' when match_id % 12 = 2 then 'known_other' when match_id % 12 between 6 and 9 then 'ok' else 'unknown_type' end as reason, count(*) as n
+    from f_players where match_id in (select match_id from f_matches) group by 1""",
+)
 PAGES = "select o_orderkey // 100 as page, o_orderkey, o_custkey from orders"
 add(
     "ladder_profiles",

@@ -193,12 +193,12 @@ def read_event_shards(spark: SparkSession, path: str, schema: str = SHARD) -> Da
 
 def normalize_history(df: DataFrame, payload: str = "payload") -> tuple[DataFrame, DataFrame]:
     """Seeds (match_id, ladder, played_at, profile_id, elo) of landed match histories, newest first, and a census of
-    what was skipped. df: profile_id, payload (JSON). Only finished automatic matches; types 6 and 7 to 9; of the
-    queried profile's ratings the new one, else the old."""
+    what was skipped. df: profile_id, payload (JSON). Only finished automatic matches (their time is above 0); types 6 and
+    7 to 9; of the queried profile's ratings the new one, else the old."""
     kind = T.StructType.fromDDL("matches array<struct<id:bigint,description:string,matchtype_id:int,completiontime:bigint,members:array<struct<profile_id:bigint,oldrating:int,newrating:int>>>>")
     m = df.select("profile_id", F.explode(F.from_json(payload, kind)["matches"]).alias("m")).select("profile_id", "m.*")
     ladder = F.when(F.col("matchtype_id") == 6, "1v1").when(F.col("matchtype_id").between(7, 9), "team")
-    reason = F.when(F.coalesce(F.col("description") != "AUTOMATCH", F.lit(True)), "not_automatch").when(F.col("completiontime").isNull(), "running").when(F.col("matchtype_id").isin(2, 18), "known_other").when(ladder.isNull(), "unknown_type").otherwise("ok")
+    reason = F.when(F.coalesce(F.col("description") != "AUTOMATCH", F.lit(True)), "not_automatch").when(F.coalesce(F.col("completiontime") <= 0, F.lit(True)), "running").when(F.col("matchtype_id").isin(2, 18), "known_other").when(ladder.isNull(), "unknown_type").otherwise("ok")
     m = m.withColumn("reason", reason).withColumn("ladder", ladder)
     own = F.get(F.filter("members", lambda x: x["profile_id"] == F.col("profile_id")), F.lit(0))
     seeds = m.filter("reason = 'ok'").select(F.col("id").alias("match_id"), "ladder", F.timestamp_seconds("completiontime").alias("played_at"), "profile_id", F.coalesce(own["newrating"], own["oldrating"]).alias("elo"))

@@ -56,3 +56,25 @@ def test_chunks_of_sparse_ids_and_resumption(spark, width):
         want = [(i // 10, part[0], part[-1], len(part), start + i + len(part)) for i in range(0, len(left), 10) for part in [left[i : i + 10]]]
         assert sorted(tuple(r) for r in g.id_ranges(df, 10, start, limit, width=width).collect()) == want
     assert g.id_ranges(df.limit(0), 10).collect() == []
+
+
+def test_histories_skip_for_a_reason(spark):
+    """Unfinished matches (no time, or one that is not above 0) are running; newest first; the new rating, else the old."""
+    import json
+
+    match = lambda i, time, kind=6, said="AUTOMATCH", new=None: {"id": i, "description": said, "matchtype_id": kind, "completiontime": time, "members": [{"profile_id": 9, "oldrating": 1, "newrating": 2}, {"profile_id": 5, "oldrating": 1000 + i, "newrating": new}]}
+    matches = [match(1, 50), match(2, 70, 8, new=3), match(3, 0), match(4, -1), match(5, None), match(6, 60, said="LOBBY"), match(7, 60, 18), match(8, 60, 99)]
+    seeds, census = a.normalize_history(spark.createDataFrame([(5, json.dumps({"matches": matches})), (6, None), (7, "{}"), (8, "broken")], "profile_id bigint, payload string"))
+    assert [(r.match_id, r.ladder, r.profile_id, r.elo) for r in seeds.collect()] == [(2, "team", 5, 3), (1, "1v1", 5, 1001)]
+    assert {r.reason: r.n for r in census.collect()} == {"ok": 2, "running": 3, "not_automatch": 1, "known_other": 1, "unknown_type": 1}
+
+
+def test_modes_of_pairs(spark):
+    """Counts are summed by (building, band); of equal ones the smaller pair wins."""
+    from pyspark.sql import functions as F
+
+    from laddermill.operators.text import mode_per_key
+
+    rows = [(1, "stable", 1, 3), (1, "range", 2, 2), (1, "range", 2, 1), (2, "b", 1, 1), (2, "a", 3, 1), (2, "a", 2, 1), (3, None, 1, 4)]
+    got = mode_per_key(spark.createDataFrame(rows, "unit int, building string, band int, n int"), "unit", F.struct("building", "band"), F.col("n"))
+    assert sorted((r.unit, *r.value, r.n) for r in got.collect()) == [(1, "range", 2, 3), (2, "a", 2, 1), (3, None, 1, 4)]
