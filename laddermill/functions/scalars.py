@@ -7,11 +7,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Rating bands by their lower edge.
+#: Rating bands by their lower edge.
 BANDS = {"<1000": None, "1000-1199": 1000, "1200-1399": 1200, "1400-1649": 1400, "1650-1799": 1650, "1800-1999": 1800, "2000-2199": 2000, "2200-2499": 2200, "2500+": 2500}
+#: Tiers by their least percentage.
 TIERS = (("S", 53), ("A", 51), ("B", 49), ("C", 47))
-#: Opening labels that stand for themselves; any other becomes null.
+#: Opening labels that stand for themselves; any other becomes null.
 OPENINGS = ("scouts", "archers", "man_at_arms", "fast_castle", "drush", "trash", "fires", "galleys", "towers")
+#: Leaderboards of each ladder.
 LADDERS = {"1v1": ("random_map", "co_random_map"), "team": ("team_random_map", "co_team_random_map")}
 
 

@@ -210,8 +210,9 @@ def id_ranges(df: DataFrame, size: int, processed: int = 0, limit: int | None =
     return ranked.groupBy(chunk).agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n"), (F.max("nth") + 1).alias("cursor"))
 
 
-def merge_seeds(seeds: DataFrame) -> DataFrame:
-    return first_of(seeds, ["match_id"], ["profile_id"])
+def merge_seeds(seeds: DataFrame, order: Sequence[str | Column] = ("place", "profile_id")) -> DataFrame:
+    """One seed for each match: that of the profile with the first place on the ladder (place, null last)."""
+    return first_of(seeds, ["match_id"], [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order])
 
 
 def lookup_default(df: DataFrame, dim: DataFrame, key: str, value: str, default: str) -> DataFrame:

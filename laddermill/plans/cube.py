@@ -123,6 +123,24 @@ add("doc_civ_meta", lambda t: civ_documents(t).select("civ_id", "slug", F.explod
     left join (select civ_id as c3, ladder as l3, cast(count(*) as int) as by_patch from {mart("civ_meta_by_patch")} where games >= 10 and build in (select build from kept) group by all) p on c3 = a.civ_id and l3 = a.ladder
     left join (select civ_id as c4, ladder as l4, cast(least(count(*), 3) as int) as openings, max(case when rank = 1 then opening_kind end) as opening from {mart("civ_meta_openings")} group by all) o on c4 = a.civ_id and l4 = a.ladder
     left join (select civ_id as c5, ladder as l5, feudal_median, castle_median, imperial_median from {mart("civ_meta_ageup")}) g on c5 = a.civ_id and l5 = a.ladder""", kept=KEPT)
+LADDERS = f"select civ_id, ladder, games as overall from {mart('civ_meta')} where elo_bucket = 'all' and games >= 50 and civ_id in (select civ_id from f_civs where civ_id <> 0)"
+add(
+    "doc_civ_openings",
+    lambda t: civ_documents(t).select("civ_id", F.explode("ladders").alias("ladder", "v")).select("civ_id", "ladder", F.posexplode("v.openings").alias("nth", "o")).select("civ_id", "ladder", "nth", "o.*"),
+    f"select civ_id, ladder, cast(rank - 1 as int) as nth, opening_kind as opening, round(games / overall * 10000) / 100 as share from {mart('civ_meta_openings')} join ladders using (civ_id, ladder) where rank <= 3",
+    ladders=LADDERS,
+)
+PARTS = {"elo": ("elo_bucket", "civ_meta", "elo_bucket <> 'all' and games >= 10"), "map": ("map_id", "civ_meta_by_map", "games >= 20"), "patch": ("build", "civ_meta_by_patch", "games >= 10 and build in (select build from kept)")}
+
+
+def civ_cells(t: Tables):
+    """Every entry of the documents' maps by band, map and patch."""
+    v = civ_documents(t).select("civ_id", F.explode("ladders").alias("ladder", "v"))
+    parts = [v.select("civ_id", "ladder", F.lit(p).alias("part"), F.explode(f"v.by_{p}").alias("key", "x")).select("civ_id", "ladder", "part", F.col("key").cast("string").alias("key"), "x.games", "x.winrate") for p in PARTS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+add("doc_civ_cells", civ_cells, " union all ".join(f"select civ_id, ladder, '{p}' as part, cast({key} as varchar) as key, games, winrate from {mart(of)} semi join ladders using (civ_id, ladder) where {where}" for p, (key, of, where) in PARTS.items()), ladders=LADDERS, kept=KEPT)
 ENTRY = "o.opponent opponent, o.winrate winrate, o.games games"
 
 

@@ -188,7 +188,12 @@ add(
     "select (nth - 330) // 200 as chunk, min(match_id) as low, max(match_id) as high, count(*) as n, max(nth) + 1 as cursor from ranked where nth >= 330 group by 1",
     ranked="select match_id, row_number() over (order by match_id) - 1 as nth from (select distinct match_id from f_matches)",
 )
-add("merge_seeds", lambda t: g.merge_seeds(t.players.select("match_id", "profile_id", "elo")), "select match_id, profile_id, elo from f_players qualify row_number() over (partition by match_id order by profile_id) = 1")
+PLACE = "case when profile_id <> 3 then profile_id * 5 % 7 end"
+add(
+    "merge_seeds",
+    lambda t: g.merge_seeds(t.players.select("match_id", "profile_id", "elo", F.expr(PLACE).alias("place"))).select("match_id", "profile_id", "elo"),
+    f"select match_id, profile_id, elo from f_players qualify row_number() over (partition by match_id order by {PLACE} nulls last, profile_id) = 1",
+)
 add("dim_default", lambda t: g.lookup_default(t.players.select("match_id", "profile_id", F.col("civ_id").alias("map_id")), t.maps, "map_id", "family", "other").select("match_id", "profile_id", "map_id", "family"), "select match_id, profile_id, civ_id as map_id, coalesce(family, 'other') as family from f_players left join f_maps on civ_id = map_id")
 WL = "wilson(wins, games)"
 CENTRE, HALF = "(wins / games + 1.96*1.96 / (2 * games::double))", "(1.96::double * sqrt((wins / games) * (1 - wins / games) / games + 1.96::double*1.96::double / (4 * games::double * games)))"
