@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from laddermill.functions.scalars import mmss
 from laddermill.operators import findings as f
-from laddermill.plans import findings as plans
+from laddermill.plans import findings as plans, sources
 from laddermill.sources import roles
 from laddermill.sources.roles import Tables
+from laddermill.streaming import streams
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,3 +45,18 @@ def test_superlatives_of_ties_zeros_and_lone_players(spark):
 def test_minutes_and_seconds_as_printed(spark):
     rows = spark.createDataFrame([(x,) for x in (0.0, 5.9, 59.99, 60.0, 3605.0, -5.0, -65.5, -59.0, -600.0, None)], "s double").select("s", mmss(F.col("s")).alias("t"), F.expr("if(s is null, null, format_string('%d:%02d', cast(floor(cast(floor(s) as int) / 60) as int), cast(floor(s) as int) % 60))").alias("want"))
     assert all(r.t == r.want for r in rows.collect())
+
+
+def test_backlogs_are_made_once_and_land_in_as_many_batches_whatever_their_files(spark):
+    path, files = sources.landed(spark.range(1000).repartition(9), "landed", 4)
+    n = spark.read.format("binaryFile").load(path).count()
+    assert n > 8 and -(-n // files) == 4
+    assert spark.read.parquet(path).count() == 1000
+    rows = spark.range(9).withColumn("a", F.lit("old"))
+    both = sources.twice(rows, "id % 3 = 0", "id", "'new'")
+    assert sorted((r.id, r.a) for r in both.collect()) == sorted([(i, "old") for i in range(9)] + [(i, "new") for i in (0, 3, 6)])
+
+
+def test_retries_are_kept_by_spark(spark):
+    stream = spark.readStream.format("rate").load().selectExpr("value match_id", "value failed_at")
+    assert "FlatMapGroupsInPandasWithState" not in streams.retries(stream)._jdf.queryExecution().logical().toString()
