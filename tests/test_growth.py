@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from laddermill.functions.scalars import mmss
 from laddermill.operators import findings as f
+from laddermill.operators import ingest, quality
 from laddermill.plans import findings as plans, sources
 from laddermill.sources import roles
 from laddermill.sources.roles import Tables
@@ -60,3 +61,12 @@ def test_backlogs_are_made_once_and_land_in_as_many_batches_whatever_their_files
 def test_retries_are_kept_by_spark(spark):
     stream = spark.readStream.format("rate").load().selectExpr("value match_id", "value failed_at")
     assert "FlatMapGroupsInPandasWithState" not in streams.retries(stream)._jdf.queryExecution().logical().toString()
+
+
+def test_ids_are_counted_before_they_meet_the_dimension(spark):
+    rows, dim = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id int"), spark.createDataFrame([(1,), (1,)], "id int")
+    for df in (quality.foreign_keys(rows, dim, "id"), ingest.filter_known(rows, dim, "id")[1]):
+        lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        join, counted = (next(i for i, x in enumerate(lines) if word in x) for word in ("Join LeftAnti", "Aggregate"))
+        assert join < counted
+    assert sorted(map(str, ingest.filter_known(rows, dim, "id")[1].collect())) == ["Row(id=2, dropped=2)", "Row(id=None, dropped=1)"]
