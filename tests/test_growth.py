@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ast
+
 from pyspark.sql import functions as F
 
 from laddermill.functions.scalars import mmss
 from laddermill.operators import findings as f
 from laddermill.operators import ingest, quality
 from laddermill.plans import findings as plans, sources
-from laddermill.sources import roles
+from laddermill.sources import archives, roles
 from laddermill.sources.roles import Tables
 from laddermill.streaming import streams
 
@@ -70,3 +72,19 @@ def test_ids_are_counted_before_they_meet_the_dimension(spark):
         join, counted = (next(i for i, x in enumerate(lines) if word in x) for word in ("Join LeftAnti", "Aggregate"))
         assert join < counted
     assert sorted(map(str, ingest.filter_known(rows, dim, "id")[1].collect())) == ["Row(id=2, dropped=2)", "Row(id=None, dropped=1)"]
+
+
+def test_literals_mean_the_same_read_as_json(monkeypatch):
+    texts = ["{'a': 1, 'b': [1.5, -2, 'x y'], 'c': {}}", "{'a': None, 'b': True}", "{'a': true}", "{'a': NaN}", '{"it\'s": 1}', r"{'a\n': 1}", "{1: 2, 'a': (1, 2)}", "\n {'a': 1}", " {'a': 1}", "{'a': 01}", "{'a': 1,}", "{'a': 'b' 'c'}", "{'a': '\t'}", "{'a': '\n'}", "{'a': " + "[" * 300 + "]" * 300 + "}", "{'a': 1e5, 'a': 2}", "{'a': 1 # x\n}", "nonsense", ""]
+
+    literal = archives.literal_reader()
+
+    def read(reader, text):
+        try:
+            return repr(reader(text))
+        except (ValueError, SyntaxError, TypeError) as error:
+            return "bad" if not isinstance(error, TypeError) else "type"
+
+    assert [read(literal, x) for x in texts] == [read(ast.literal_eval, x) for x in texts]
+    monkeypatch.setattr(archives.ast, "literal_eval", lambda text: 1 / 0)
+    assert literal(texts[0]) == {"a": 1, "b": [1.5, -2, "x y"], "c": {}}  # without the slow reader
