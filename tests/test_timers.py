@@ -39,3 +39,20 @@ def test_timers_give_what_the_queue_gives(spark, tmp_path):
         assert 4 not in {m for m, _, _ in emitted} and {(1, 2, 1240), (2, 1, 130), (3, 2, 245)} <= emitted and (1, 1, 120) not in emitted
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", kept)
+
+
+def test_matches_of_a_bucket_wake_each_at_its_own_time(spark, tmp_path):
+    """All matches in one bucket: one key in the state, and the same rows as with a bucket for each."""
+    kept = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", streams.ROCKSDB)
+    found = {}
+    try:
+        for buckets in (1, 4096):
+            source, out = str(tmp_path / f"in{buckets}"), str(tmp_path / f"out{buckets}")
+            for rows in ([(1, 0), (2, 10), (3, 0), (3, 5), *((4, i) for i in range(8))], [(1, 1000), (9, 2000)], [(9, 9000), (None, 9000)], [(9, 40_000)]):
+                spark.createDataFrame([(m, at(s)) for m, s in rows], "match_id bigint, failed_at timestamp").coalesce(1).write.mode("append").parquet(source)
+                got = streams.run(streams.ready_by_timer(streams.source(spark, source, None), late="0 seconds", forget_s=20_000, buckets=buckets), out, f"{out}-checkpoint")
+            found[buckets] = sorted((str(r.match_id), r.attempts, str(r.ready_at)) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", kept)
+    assert found[1] == found[4096] and {("None", 1), ("9", 2), ("1", 2)} <= {x[:2] for x in found[1]}
