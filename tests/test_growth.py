@@ -88,3 +88,40 @@ def test_literals_mean_the_same_read_as_json(monkeypatch):
     assert [read(literal, x) for x in texts] == [read(ast.literal_eval, x) for x in texts]
     monkeypatch.setattr(archives.ast, "literal_eval", lambda text: 1 / 0)
     assert literal(texts[0]) == {"a": 1, "b": [1.5, -2, "x y"], "c": {}}  # without the slow reader
+
+
+def test_what_needs_no_reference_makes_none(spark, monkeypatch):
+    monkeypatch.setattr(plans, "bench", lambda t: 1 / 0)
+    for name in ("idle_cost", "opponent_profile", "superlatives", "winner_gaps"):
+        assert plans.QUERIES[name](spark, SF).count() > 0
+    assert plan(plans.QUERIES["idle_cost"](spark, SF)).count("l_orderkey") and plan(plans.QUERIES["idle_cost"](spark, SF)).count("/lineitem.parquet") <= 1
+
+
+def test_gaps_need_no_shuffle(spark):
+    t = Tables(spark, SF)
+    df = f.gaps(plans.metrics(t), plans.own_metrics(t))
+    assert "Exchange hashpartitioning" not in plan(df) and "Sort " not in plan(df)
+
+
+def test_texts_of_findings_are_compiled(spark):
+    t = Tables(spark, SF)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        said = f.findings(plans.metrics(t), others=plans.own_metrics(t))._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(x.split(";")[0].split(")")[0]) for x in said.split("maxMethodCodeSize:")[1:]]
+    assert sizes and max(sizes) < 8000
+
+
+def test_players_with_their_match_are_those_of_both_tables(spark):
+    t = Tables(spark, SF)
+    key = lambda rows: sorted(map(str, rows.collect()))
+    both = t.players.join(t.matches, "match_id")
+    assert t.met.columns == both.columns and t.met.dtypes == both.dtypes and key(t.met) == key(both)
+
+
+def test_lines_that_become_events_are_dealt_by_their_number_only(spark):
+    t = Tables(spark, SF)
+    assert t.parts < int(spark.conf.get("spark.sql.shuffle.partitions")) and f"l_linenumber#" in plan(t.events) and "REPARTITION_BY_NUM" in plan(t.events)
