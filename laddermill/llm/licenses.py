@@ -15,10 +15,10 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laddermill.llm.common import materialize, small, table
+from laddermill.llm.common import let, materialize, small, table
 
 #: Notices, headers and texts of common licences.
 TEMPLATES = {
@@ -96,6 +96,8 @@ VARIANTS = ("affero", "lesser", "library", "sharealike", "noncommercial", "noder
 #: Versions, as tokens.
 VERSION = r"v?[0-9](\.[0-9])*"
 LEAST = 0.7
+#: How many of the corpus's most frequent tokens come to the driver, whose weights bound those of all others.
+FREQUENT = 1000
 TOKEN = r"[\p{L}\p{N}]+(?:[.][\p{N}]+)*"
 SENTENCE = r"(?<=[.;:!?])\s+"
 #: File names of licence files.
@@ -132,6 +134,32 @@ def template_weights(df: DataFrame, n: int) -> dict[str, float]:
     return {t: math.log((n + 1) / (known.get(t, 0) + 1)) + 1 for t in vocabulary()}
 
 
+def frequent_tokens(df: DataFrame, n: int) -> list[tuple[float, list[str]]]:
+    """(bound, tokens) of the FREQUENT most frequent tokens outside the templates: their weights are the bound or more.
+
+    The last has no tokens, as its bound holds for all others.
+    """
+    top = df.filter(~F.col("token").isin(vocabulary())).orderBy(F.desc("df"), "token").limit(FREQUENT).collect()
+    weight = {r["token"]: math.log((n + 1) / (r["df"] + 1)) + 1 for r in top}
+    bounds = {t: math.floor(2 * w) / 2 for t, w in weight.items()}
+    return [(b, [t for t in bounds if bounds[t] == b]) for b in sorted(set(bounds.values()))] + [(max(weight.values(), default=1.0), [])]
+
+
+def template_parts(spark: SparkSession, weights: dict[str, float]) -> DataFrame:
+    """One row, parts: for each token of the vocabulary, what one of it adds to the product with each template's unit vector."""
+    found = template_units()
+    norms = [sum((k * weights[t]) ** 2 for t, k in unit.items()) ** 0.5 or 1.0 for _, unit in found]
+    rows = (", ".join(f"{unit[t] * weights[t] ** 2 / norm!r}D" for (_, unit), norm in zip(found, norms, strict=True)) for t in vocabulary())
+    return spark.sql(f"select array({', '.join(f'array({row})' for row in rows)}) as parts")
+
+
+def counted(tokens: Column) -> Column:
+    """array<struct<token, n>>: the different tokens of an array, and how often it has each."""
+    firsts = lambda s: F.filter(F.transform(s, lambda x, i: F.when((i == 0) | (x != F.get(s, i - 1)), i)), lambda i: i.isNotNull())
+    runs = lambda s, at: F.transform(at, lambda i, j: F.struct(F.get(s, i).alias("token"), (F.coalesce(F.get(at, j + 1), F.size(s)) - i).alias("n")))
+    return let(F.sort_array(tokens), lambda s: let(firsts(s), lambda at: runs(s, at)))
+
+
 def key_tokens(weights: dict[str, float], least: float) -> list[str]:
     """Tokens of which every unit with a cosine of `least` or more to a template's has one.
 
@@ -167,18 +195,30 @@ def alternatives(words: list[str]) -> str:
     return "" if not parts else f"(?:{'|'.join(parts)}){'?' if '' in words else ''}"
 
 
-def candidates(files: DataFrame, weights: dict[str, float], least: float) -> DataFrame:
-    """doc_id, first_line, tokens, key of the units that can have a cosine of `least` or more.
+def candidates(files: DataFrame, weights: dict[str, float], least: float, frequent: list[tuple[float, list[str]]]) -> DataFrame:
+    """doc_id, first_line, tokens, key (their hash) of the units that can have a cosine of `least` or more.
 
     Such a unit has a key token. And with h tokens of the vocabulary and o others, whose weights are 1 or more, its
     cosine is at most the share of its norm in the vocabulary, sqrt(s / (s + o)) where s is at most (h * heaviest) ** 2.
+    What is left is compared with every template: the products and the part of the norm in the vocabulary are exact, only
+    the weights of other tokens are replaced by their bounds.
     """
-    keys, heaviest = key_tokens(weights, least), max(weights.values())
+    keys, heaviest, known = key_tokens(weights, least), max(weights.values()), vocabulary()
     has_key = rf"(?<![\p{{L}}\p{{N}}]){alternatives(keys)}(?![\p{{L}}\p{{N}}])"
     found = units(files.filter(F.lower("text").rlike(has_key))).withColumn("unit", F.lower("unit")).filter(F.col("unit").rlike(has_key))
-    found = found.withColumn("tokens", F.regexp_extract_all("unit", F.lit(TOKEN), F.lit(0))).withColumn("h", F.size(F.filter("tokens", lambda x: x.isin(vocabulary()))))
+    found = found.withColumn("tokens", F.regexp_extract_all("unit", F.lit(TOKEN), F.lit(0))).withColumn("h", F.size(F.filter("tokens", lambda x: x.isin(known))))
     most = F.pow(F.col("h") * heaviest, 2.0) * (1 / least**2 - 1 + 1e-9)
-    return found.filter((F.size("tokens") - F.col("h")) <= most).select("doc_id", "first_line", "tokens", F.array_join("tokens", " ").alias("key"))
+    found = found.filter((F.size("tokens") - F.col("h")) <= most).select("doc_id", "first_line", "tokens")
+    place = lambda r: F.array_position(F.lit(known), r.token).cast("int") - 1
+    highest = lambda runs: F.array_max(F.aggregate(runs, F.array_repeat(F.lit(0.0), len(template_units())), lambda a, r: F.zip_with(a, F.get("parts", place(r)), lambda x, y: x + r.n * y)))
+    square = lambda runs, weight: F.aggregate(runs, F.lit(0.0), lambda a, r: a + F.pow(r.n * weight(r), 2.0))
+    exact = lambda r: F.get(F.lit([weights[t] for t in known]), place(r))
+    *levels, (rest, _) = frequent
+    bound = lambda r: F.coalesce(*(F.when(r.token.isin(ts), F.lit(b)) for b, ts in levels), F.lit(rest))
+    others = square(counted(F.filter("tokens", lambda x: ~x.isin(known))), bound)
+    near = let(counted(F.filter("tokens", lambda x: x.isin(known))), lambda runs: highest(runs) >= least * (1 - 1e-9) * F.sqrt(square(runs, exact) + others))
+    found = found.crossJoin(F.broadcast(materialize(template_parts(files.sparkSession, weights), "template-parts"))).filter(near)
+    return found.select("doc_id", "first_line", "tokens", F.sha2(F.array_join("tokens", " "), 256).alias("key"))
 
 
 def scores(kinds: DataFrame, df: DataFrame, weights: dict[str, float], n: int) -> DataFrame:
@@ -188,7 +228,7 @@ def scores(kinds: DataFrame, df: DataFrame, weights: dict[str, float], n: int) -
     row as near to several licences has license null. The frequencies are joined to the rows' tokens; the templates'
     weights, an inverted index of about a thousand rows, are broadcast.
     """
-    tf = kinds.select("key", F.explode("tokens").alias("token")).groupBy("key", "token").agg(F.count(F.lit(1)).alias("n"))
+    tf = kinds.select("key", F.inline(counted(F.col("tokens"))))
     weighted = tf.join(df, "token").select("key", "token", (F.col("n") * (F.log(F.lit(n + 1) / (F.col("df") + 1)) + 1)).alias("weight"))
     norms = weighted.groupBy("key").agg(F.sqrt(F.sum(F.pow("weight", 2.0))).alias("norm"), F.count_if(F.col("token").isin(*VARIANTS)).alias("stated"))
     index, names = [], sorted(TEMPLATES)
@@ -214,7 +254,7 @@ def own_licenses(files: DataFrame, least: float = LEAST) -> DataFrame:
     df = materialize(document_frequencies(files), "document-frequencies")
     n = files.count()
     weights = template_weights(df, n)
-    found = materialize(candidates(files, weights, least), "license-units")
+    found = materialize(candidates(files, weights, least, frequent_tokens(df, n)), "license-units")
     best = scores(found.select("key", "tokens").dropDuplicates(["key"]), df, weights, n).filter((F.col("score") >= least) & F.col("license").isNotNull())
     top = found.join(best, "key").groupBy("doc_id").agg(F.max(F.struct("score", "license", "first_line")).alias("s"))
     return top.select("doc_id", "s.score", "s.license", "s.first_line")

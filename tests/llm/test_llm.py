@@ -527,6 +527,25 @@ def test_licences_count_all_tokens(spark):
         want = plain_licences(files)
         assert got[0][1] == "MIT" and got[0][2] == pytest.approx(want[0][0], abs=1e-6) and got[1][1] is None
 
+def test_long_near_copies_are_not_compared_token_by_token(spark):
+    """Long lines with a key token or a short notice in them can't be near a template: none of their tokens is joined."""
+    rnd = random.Random(8)
+    base = [rnd.choice(["the", "of", "is", "and", *(f"w{i}" for i in range(150))]) for _ in range(230)]
+    copies = [" ".join(["Released under the MIT License" if i % 2 else "the license", *(x if rnd.random() < 0.9 else f"x{rnd.randrange(99)}" for x in base)]) for i in range(300)]
+    rows = ["Released under the MIT License.", *copies, *["words of a text"] * 300]
+    files = spark.createDataFrame([*enumerate(rows)], "doc_id bigint, text string")
+    df, n = licenses.document_frequencies(files), len(rows)
+    weights = licenses.template_weights(df, n)
+    found = licenses.candidates(files, weights, licenses.LEAST, licenses.frequent_tokens(df, n)).collect()
+    assert 0 in {r.doc_id for r in found} and len(found) < 10 and max(len(r.key) for r in found) <= 64
+    got, want = by_id(licenses.own_licenses(files)), plain_licences(rows)
+    assert {i: (got[i][1], round(got[i][0], 6)) for i in got} == {i: (w[1], round(w[0], 6)) for i, w in enumerate(want) if w}
+
+
+def test_tokens_are_counted(spark):
+    rows = spark.createDataFrame([(["b", "a", "b", "b"],), ([],), (["x"],)], "tokens array<string>").select(licenses.counted(F.col("tokens")).alias("c"))
+    assert [[tuple(x) for x in r.c] for r in rows.collect()] == [[("a", 1), ("b", 3)], [], [("x", 1)]]
+
 
 @pytest.mark.parametrize("slot", [7, 50, 1000])
 def test_url_filters_are_an_as_of_join(spark, slot):
