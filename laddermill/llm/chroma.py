@@ -13,10 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from laddermill.llm.common import materialize, ship, table
+from laddermill.llm.common import counted, materialize, ship, table
 
 CLASSES, WIDTH = 12, 16
 #: Thresholds of the log ratios, and how many of a query's least certain levels are tried on both sides.
@@ -25,6 +25,8 @@ LEVELS, UNSURE = (-0.1, 0.0, 0.1), 3
 #: (0.046 over the 49 integers of pairs of vectors). An alignment lies SURE deviations or more below one half, where
 #: chance puts 4 in 10^11, and has a bit error of MOST_ERROR at most. So overlaps below 18 integers never suffice.
 SPREAD, SURE, MOST_ERROR = 0.32, 6.5, 0.18
+#: Queries that meet an integer of a recording in one row.
+BLOCK = 1024
 _GRAY = np.array([0, 1, 3, 2], np.uint32)
 
 
@@ -161,15 +163,38 @@ def asked_for(recordings: DataFrame, queries: DataFrame, prints: DataFrame, unsu
     return known.groupBy(F.col("class_id").alias("query_id")).agg(F.min_by("prints", "rec_id").alias("query_prints"), F.min_by("probes", "rec_id").alias("probes"))
 
 
+def dealt(asked: DataFrame) -> DataFrame:
+    """asked (query_id, ...) with block and nth, its number there: some BLOCK queries are a block."""
+    block = F.pmod(F.xxhash64("query_id"), F.lit(-(-asked.count() // BLOCK) or 1))
+    return asked.withColumn("block", block).withColumn("nth", F.row_number().over(Window.partitionBy("block").orderBy("query_id")).cast("long"))
+
+
+def meetings(asked: DataFrame, ones: DataFrame) -> DataFrame:
+    """rec_id, block, at array<long>: for each integer of a recording, the places of a block's queries that ask for it.
+
+    asked: block, nth, query_prints, probes; ones: rec_id, prints. An integer that many recordings and many queries share
+    makes a row for each recording and block. A place holds nth in its upper 32 bits, the offset plus 2 ** 31 in the others.
+    """
+    at = ones.select("rec_id", F.posexplode("prints").alias("at", "print"))
+    each = asked.select("block", "nth", (F.size("probes") / F.size("query_prints")).cast("int").alias("each"), F.posexplode("probes").alias("probe", "print"))
+    place = F.shiftleft("nth", 32) + F.lit(1 << 31) - F.floor(F.col("probe") / F.col("each"))
+    lists = each.groupBy("print", "block").agg(F.collect_list(place).alias("places"))
+    return at.join(lists, "print").select("rec_id", "block", F.transform("places", lambda p: p + F.col("at")).alias("at"))
+
+
+def votes(asked: DataFrame, ones: DataFrame) -> DataFrame:
+    """block, nth, rec_id, offset, votes: at how many places a recording has an integer that the query asks for there."""
+    found = meetings(asked, ones).groupBy("rec_id", "block").agg(counted(F.flatten(F.collect_list("at"))).alias("found"))
+    each = found.select("rec_id", "block", F.explode("found").alias("f"))
+    offset = F.col("f.value").bitwiseAND(F.lit((1 << 32) - 1)) - F.lit(1 << 31)
+    return each.select("block", F.shiftright("f.value", 32).alias("nth"), "rec_id", offset.cast("int").alias("offset"), F.col("f.n").cast("long").alias("votes"))
+
+
 def _aligned_classes(prints: DataFrame, asked: DataFrame, sure: float, most_error: float) -> DataFrame:
     """class_id, n_queries, b (the best) of the classes that align with another class that holds a query."""
-    asked = materialize(asked, "asked")
+    asked = materialize(dealt(asked), "asked")
     ones = prints.filter("rec_id = class_id").select(F.col("class_id").alias("rec_id"), "prints")
-    at = ones.select("rec_id", F.posexplode("prints").alias("at", "print"))
-    each = asked.select("query_id", (F.size("probes") / F.size("query_prints")).cast("int").alias("each"), F.posexplode("probes").alias("nth", "print"))
-    at_query = each.select("query_id", F.floor(F.col("nth") / F.col("each")).cast("int").alias("query_at"), "print")
-    votes = at_query.join(at, "print").filter("query_id <> rec_id").groupBy("query_id", "rec_id", (F.col("at") - F.col("query_at")).alias("offset")).agg(F.count(F.lit(1)).alias("votes"))
-    both = votes.join(asked.drop("probes"), "query_id").join(ones, "rec_id")
+    both = votes(asked, ones).join(asked.drop("probes"), ["block", "nth"]).filter("query_id <> rec_id").join(ones, "rec_id")
     start, other = F.greatest(-F.col("offset"), F.lit(0)), F.greatest(F.col("offset"), F.lit(0))
     both = both.withColumn("overlap", F.least(F.size("query_prints") - start, F.size("prints") - other))
     limit = F.least(F.lit(most_error), 0.5 - sure * SPREAD / F.sqrt("overlap"))

@@ -79,3 +79,10 @@ def words(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """body(value) with value evaluated once a row."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def counted(values: Column) -> Column:
+    """array<struct<value, n>>: the different values of an array without nulls, and how often it has each."""
+    firsts = lambda s: F.filter(F.transform(s, lambda x, i: F.when((i == 0) | (x != F.get(s, i - 1)), i)), lambda i: i.isNotNull())
+    runs = lambda s, at: F.transform(at, lambda i, j: F.struct(F.get(s, i).alias("value"), (F.coalesce(F.get(at, j + 1), F.size(s)) - i).alias("n")))
+    return let(F.sort_array(values), lambda s: let(firsts(s), lambda at: runs(s, at)))

@@ -15,10 +15,10 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laddermill.llm.common import let, materialize, small, table
+from laddermill.llm.common import counted, let, materialize, small, table
 
 #: Notices, headers and texts of common licences.
 TEMPLATES = {
@@ -153,13 +153,6 @@ def template_parts(spark: SparkSession, weights: dict[str, float]) -> DataFrame:
     return spark.sql(f"select array({', '.join(f'array({row})' for row in rows)}) as parts")
 
 
-def counted(tokens: Column) -> Column:
-    """array<struct<token, n>>: the different tokens of an array, and how often it has each."""
-    firsts = lambda s: F.filter(F.transform(s, lambda x, i: F.when((i == 0) | (x != F.get(s, i - 1)), i)), lambda i: i.isNotNull())
-    runs = lambda s, at: F.transform(at, lambda i, j: F.struct(F.get(s, i).alias("token"), (F.coalesce(F.get(at, j + 1), F.size(s)) - i).alias("n")))
-    return let(F.sort_array(tokens), lambda s: let(firsts(s), lambda at: runs(s, at)))
-
-
 def key_tokens(weights: dict[str, float], least: float) -> list[str]:
     """Tokens of which every unit with a cosine of `least` or more to a template's has one.
 
@@ -209,12 +202,12 @@ def candidates(files: DataFrame, weights: dict[str, float], least: float, freque
     found = found.withColumn("tokens", F.regexp_extract_all("unit", F.lit(TOKEN), F.lit(0))).withColumn("h", F.size(F.filter("tokens", lambda x: x.isin(known))))
     most = F.pow(F.col("h") * heaviest, 2.0) * (1 / least**2 - 1 + 1e-9)
     found = found.filter((F.size("tokens") - F.col("h")) <= most).select("doc_id", "first_line", "tokens")
-    place = lambda r: F.array_position(F.lit(known), r.token).cast("int") - 1
+    place = lambda r: F.array_position(F.lit(known), r.value).cast("int") - 1
     highest = lambda runs: F.array_max(F.aggregate(runs, F.array_repeat(F.lit(0.0), len(template_units())), lambda a, r: F.zip_with(a, F.get("parts", place(r)), lambda x, y: x + r.n * y)))
     square = lambda runs, weight: F.aggregate(runs, F.lit(0.0), lambda a, r: a + F.pow(r.n * weight(r), 2.0))
     exact = lambda r: F.get(F.lit([weights[t] for t in known]), place(r))
     *levels, (rest, _) = frequent
-    bound = lambda r: F.coalesce(*(F.when(r.token.isin(ts), F.lit(b)) for b, ts in levels), F.lit(rest))
+    bound = lambda r: F.coalesce(*(F.when(r.value.isin(ts), F.lit(b)) for b, ts in levels), F.lit(rest))
     others = square(counted(F.filter("tokens", lambda x: ~x.isin(known))), bound)
     near = let(counted(F.filter("tokens", lambda x: x.isin(known))), lambda runs: highest(runs) >= least * (1 - 1e-9) * F.sqrt(square(runs, exact) + others))
     found = found.crossJoin(F.broadcast(materialize(template_parts(files.sparkSession, weights), "template-parts"))).filter(near)
@@ -228,7 +221,7 @@ def scores(kinds: DataFrame, df: DataFrame, weights: dict[str, float], n: int) -
     row as near to several licences has license null. The frequencies are joined to the rows' tokens; the templates'
     weights, an inverted index of about a thousand rows, are broadcast.
     """
-    tf = kinds.select("key", F.inline(counted(F.col("tokens"))))
+    tf = kinds.select("key", F.inline(counted(F.col("tokens"))).alias("token", "n"))
     weighted = tf.join(df, "token").select("key", "token", (F.col("n") * (F.log(F.lit(n + 1) / (F.col("df") + 1)) + 1)).alias("weight"))
     norms = weighted.groupBy("key").agg(F.sqrt(F.sum(F.pow("weight", 2.0))).alias("norm"), F.count_if(F.col("token").isin(*VARIANTS)).alias("stated"))
     index, names = [], sorted(TEMPLATES)

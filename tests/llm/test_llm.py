@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from laddermill.llm import bpe, chroma, components, licenses, mixing, near_dedup, pii, quality, substring_dedup, suffix_dedup, url_filters
+from laddermill.llm import bpe, chroma, common, components, licenses, mixing, near_dedup, pii, quality, substring_dedup, suffix_dedup, url_filters
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -543,7 +543,7 @@ def test_long_near_copies_are_not_compared_token_by_token(spark):
 
 
 def test_tokens_are_counted(spark):
-    rows = spark.createDataFrame([(["b", "a", "b", "b"],), ([],), (["x"],)], "tokens array<string>").select(licenses.counted(F.col("tokens")).alias("c"))
+    rows = spark.createDataFrame([(["b", "a", "b", "b"],), ([],), (["x"],)], "tokens array<string>").select(common.counted(F.col("tokens")).alias("c"))
     assert [[tuple(x) for x in r.c] for r in rows.collect()] == [[("a", 1), ("b", 3)], [], [("x", 1)]]
 
 
@@ -629,6 +629,21 @@ def test_chroma_is_an_exact_comparison(spark):
     assert chroma.matches(planted.limit(0), planted).count() == 0
 
 
+def test_chroma_near_copies_meet_a_block_of_queries_at_once(spark, monkeypatch):
+    """Of near copies and silence the join makes a row for each integer and block, not for each query; votes are the same."""
+    rnd = np.random.default_rng(5)
+    prints = [[7] * 20 + [int(x) for x in np.where(rnd.random(30) < 0.9, np.arange(100, 130), rnd.integers(1000, 1010, 30))] for _ in range(60)]
+    ones = spark.createDataFrame([*enumerate(prints)], "rec_id bigint, prints array<bigint>")
+    asked = spark.createDataFrame([(i, p, [x for y in p for x in (y, y + 5000)]) for i, p in enumerate(prints[:40])], "query_id bigint, query_prints array<bigint>, probes array<bigint>")
+    want = collections.Counter((q, r, j - i) for q in range(40) for r in range(60) for i, x in enumerate(prints[q]) for j, y in enumerate(prints[r]) if x == y)
+    for block in (1000, 7):
+        monkeypatch.setattr(chroma, "BLOCK", block)
+        parts = chroma.dealt(asked)
+        ids = {(r.block, r.nth): r.query_id for r in parts.collect()}
+        assert chroma.meetings(parts, ones).count() <= 50 * 60 * -(-40 // block) < sum(want.values()) / 10
+        assert {(ids[r.block, r.nth], r.rec_id, r.offset): r.votes for r in chroma.votes(parts, ones).collect()} == want
+
+
 def test_chroma_tries_every_offset(spark, monkeypatch):
     """Votes at an offset with too little overlap don't hide those at one that is long enough."""
     query, rec = list(range(100, 130)), list(range(100, 130))
